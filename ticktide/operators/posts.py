@@ -47,9 +47,9 @@ def _in_time_order(comments: Column) -> Column:
     )
 
 
-def explode_comments(posts: DataFrame) -> DataFrame:
-    """Comment rows with their post's key; posts without comments give none."""
-    return posts.select("post_id", F.inline("comments"))
+def explode_comments(posts: DataFrame, keep_empty: bool = False) -> DataFrame:
+    """Comment rows with their post's key; posts without comments give none, or one row of nulls."""
+    return posts.select("post_id", F.inline_outer("comments") if keep_empty else F.inline("comments"))
 
 
 def comment_count(posts: DataFrame, keep_empty: bool = False) -> DataFrame:

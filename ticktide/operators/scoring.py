@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ticktide.functions import sentiment as rules_of
 from ticktide.functions.sentiment import Rules
@@ -59,29 +59,40 @@ def post_scores(posts: DataFrame, lexicon: DataFrame, rules: Rules = Rules()) ->
     return scores.withColumnRenamed("sentiment", "post_sentiment")
 
 
-def comment_scores(posts: DataFrame, lexicon: DataFrame, rules: Rules = Rules()) -> DataFrame:
-    """``comments_sentiment`` per post: the upvote-weighted mean of the comments' scores, divided once more
-    by their number. Negative upvotes weigh 0; a post without comments scores 0.
+def _comments_sentiment() -> Column:
+    """Upvote-weighted mean of the comments' scores, divided once more by their number.
+
+    Negative upvotes weigh 0; a post without comments scores 0.
     """
-    comments = explode_comments(posts)
-    scored = lexicon_sentiment(comments, ["post_id", "comm_id", "comm_score"], "comm_body", lexicon, rules)
     weight = F.greatest("comm_score", F.lit(0))
-    per_post = scored.groupBy("post_id").agg(
-        F.sum(F.col("sentiment") * weight).alias("weighted"),
-        F.sum(weight).alias("weights"),
-        F.count(F.lit(1)).alias("n"),
-    )
-    value = F.col("weighted") / (F.col("weights") + F.lit(NO_UPVOTES)) / F.col("n")
-    return (
-        posts.select("post_id").distinct()
-        .join(per_post, "post_id", "left")
-        .select("post_id", F.coalesce(value, F.lit(0.0)).alias("comments_sentiment"))
-    )
+    weighted, weights = F.sum(F.col("sentiment") * weight), F.sum(weight)
+    return F.coalesce(weighted / (weights + F.lit(NO_UPVOTES)) / F.nullif(F.count("comm_id"), F.lit(0)), F.lit(0.0))
+
+
+def comment_scores(posts: DataFrame, lexicon: DataFrame, rules: Rules = Rules()) -> DataFrame:
+    """``comments_sentiment`` per post."""
+    comments = explode_comments(posts, keep_empty=True)
+    scored = lexicon_sentiment(comments, ["post_id", "comm_id", "comm_score"], "comm_body", lexicon, rules)
+    return scored.groupBy("post_id").agg(_comments_sentiment().alias("comments_sentiment"))
 
 
 def scored_posts(posts: DataFrame, lexicon: DataFrame, rules: Rules = Rules()) -> DataFrame:
-    """Posts with both sentiment columns."""
-    scores = post_scores(posts, lexicon, rules).join(comment_scores(posts, lexicon, rules), "post_id")
+    """Posts with both sentiment columns. Titles and comments are scored in one pass."""
+    titled = F.col("part") == 0 if "part" in posts.columns else F.lit(True)
+    title = F.struct(
+        F.lit(None).cast("string").alias("comm_id"),
+        F.lit(None).cast("int").alias("comm_score"),
+        F.col("post_title").alias("body"),
+    )
+    bodies = F.transform(
+        F.coalesce("comments", F.array()), lambda c: F.struct(c["comm_id"], c["comm_score"], c["comm_body"].alias("body"))
+    )
+    texts = posts.select("post_id", F.inline(F.when(titled, F.concat(F.array(title), bodies)).otherwise(bodies)))
+    scored = lexicon_sentiment(texts, ["post_id", "comm_id", "comm_score"], "body", lexicon, rules)
+    scores = scored.groupBy("post_id").agg(
+        F.max(F.when(F.col("comm_id").isNull(), F.col("sentiment"))).alias("post_sentiment"),
+        _comments_sentiment().alias("comments_sentiment"),
+    )
     return posts.join(scores, "post_id")
 
 

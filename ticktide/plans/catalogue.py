@@ -100,7 +100,7 @@ def ndjson_scan_bad(spark, sf_dir):
 def _landed_posts(spark, sf_dir):
     root = scratch_path(spark, "posts")
     views.land_posts(views.nested_posts(spark, sf_dir), root)
-    return landed.read_posts(spark, root, multi_line=False, partitioned=True)
+    return landed.read_posts(spark, root, multi_line=False, partitions=["hour"])
 
 
 def posts_scan(spark, sf_dir):
@@ -185,7 +185,7 @@ def hour_partition_overwrite(spark, sf_dir):
     newest = views.posts_flat(spark, sf_dir).agg(F.max("post_time")).scalar()
     again = nested.where(F.col("post_time") == newest)
     views.land_posts(again.withColumn("post_score", F.col("post_score") + 1000), root)
-    good = landed.good_posts(landed.read_posts(spark, root, multi_line=False, partitioned=True))
+    good = landed.good_posts(landed.read_posts(spark, root, multi_line=False, partitions=["hour"]))
     return good.select("hour", "post_id", "post_score")
 
 
@@ -471,9 +471,11 @@ def stream_lag_features(spark, sf_dir):
 
 
 def _context(spark, sf_dir):
-    def opened():
-        return views.flat_weather(spark, sf_dir), views.sentiment_by_hour(spark, sf_dir)
-    return opened
+    """Hourly tables as an hourly job would land them; each batch opens them anew."""
+    root = scratch_path(spark, "context")
+    views.flat_weather(spark, sf_dir).write.parquet(f"{root}/weather")
+    views.sentiment_by_hour(spark, sf_dir).write.parquet(f"{root}/sentiment")
+    return lambda: (spark.read.parquet(f"{root}/weather"), spark.read.parquet(f"{root}/sentiment"))
 
 
 def stream_enrich_hour(spark, sf_dir):

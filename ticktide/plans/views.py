@@ -110,7 +110,8 @@ def nested_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def land_weather(spark: SparkSession, sf_dir: str, root: str) -> None:
     hourly = nested_weather(spark, sf_dir).withColumn("hour", F.date_format("hour", "yyyy-MM-dd-HH"))
-    overwrite_hours(hourly, root)
+    # At most one row per hour and city, so no hour can be crowded.
+    overwrite_hours(hourly, root, tasks=spark.sparkContext.defaultParallelism)
 
 
 def land_posts(posts: DataFrame, root: str) -> None:

@@ -2,20 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from ticktide.operators.sides import latest_by
 from ticktide.schemas import RESULT_COLUMNS, RESULTS
 
 
-def overwrite_hours(rows: DataFrame, root: str, fmt: str = "json", by: str = "hour") -> None:
+def overwrite_hours(rows: DataFrame, root: str, fmt: str = "json", by: str = "hour", tasks: int | None = None) -> None:
     """Land rows by hour; an hour that is landed again replaces only itself.
 
     The rebalance hint writes few files per hour and still splits a crowded hour over several tasks.
+    ``tasks`` instead spreads many tiny hours over that many writers, one file each.
     """
+    spread = rows.repartition(tasks, by) if tasks else rows.hint("rebalance", by)
     (
-        rows.hint("rebalance", by)
-        .write.format(fmt)
+        spread.write.format(fmt)
         .partitionBy(by)
         .option("partitionOverwriteMode", "dynamic")
         .mode("overwrite")
@@ -59,6 +60,3 @@ def batch_path(root: str, batch_id: int) -> str:
 def write_batch(rows: DataFrame, root: str, batch_id: int) -> None:
     rows.write.mode("overwrite").parquet(batch_path(root, batch_id))
 
-
-def in_hour_key(rows: DataFrame, ts: Column) -> DataFrame:
-    return rows.withColumn("hour", F.date_format(ts, "yyyy-MM-dd-HH"))

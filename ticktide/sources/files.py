@@ -13,15 +13,31 @@ def _with_extra(schema: T.StructType, *fields: T.StructField) -> T.StructType:
     return T.StructType([*schema.fields, *fields])
 
 
-def read_posts(spark: SparkSession, root: str, multi_line: bool = True, partitioned: bool = False) -> DataFrame:
+def read_lines(spark: SparkSession, root: str, schema: T.StructType, partitions: list[str] | None = None) -> DataFrame:
+    """One JSON record per line, blank lines skipped, unreadable records in ``_corrupt_record``.
+
+    Parses text instead of using the JSON source: that source judges only the columns a query happens to
+    read, so the same line could be good in one query and bad in the next.
+    """
+    parts = partitions or []
+    text = T.StructType([T.StructField("value", T.StringType()), *[T.StructField(p, T.StringType()) for p in parts]])
+    lines = spark.read.schema(text).text(root).where(F.length(F.trim("value")) > 0)
+    record = _with_extra(schema, T.StructField(CORRUPT, T.StringType()))
+    parsed = F.from_json("value", record, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    return lines.select(parsed.alias("record"), *parts, "_metadata").select("record.*", *parts, "_metadata")
+
+
+def read_posts(spark: SparkSession, root: str, multi_line: bool = True, partitions: list[str] | None = None) -> DataFrame:
     """Posts, with unreadable records in ``_corrupt_record``.
 
     The producer writes pretty-printed arrays (``multi_line``). Line-delimited files split across tasks
     and should be preferred for large landings.
     """
-    extra = [T.StructField("hour", T.StringType())] if partitioned else []
+    if not multi_line:
+        return read_lines(spark, root, POST, partitions)
+    extra = [T.StructField(name, T.StringType()) for name in partitions or []]
     schema = _with_extra(POST, *extra, T.StructField(CORRUPT, T.StringType()))
-    return spark.read.schema(schema).option("multiLine", multi_line).json(root)
+    return spark.read.schema(schema).option("multiLine", True).json(root)
 
 
 def good_posts(posts: DataFrame) -> DataFrame:
@@ -29,8 +45,8 @@ def good_posts(posts: DataFrame) -> DataFrame:
 
 
 def bad_records(rows: DataFrame) -> DataFrame:
-    """Quarantine: what could not be read."""
-    return rows.where(F.col(CORRUPT).isNotNull()).select(CORRUPT)
+    """Quarantine: records that could not be read, with the fields that could."""
+    return rows.where(F.col(CORRUPT).isNotNull())
 
 
 def read_weather(spark: SparkSession, root: str, multi_line: bool = False) -> DataFrame:
@@ -54,11 +70,8 @@ def read_ticks_ndjson(spark: SparkSession, root: str) -> DataFrame:
 
     The time stamp stays text, as in the files. Every good line counts, also behind a bad one.
     """
-    schema = T.StructType([
-        TICK["symbol"], TICK["price"], T.StructField("timestamp", T.StringType()),
-        T.StructField(CORRUPT, T.StringType()),
-    ])
-    return spark.read.schema(schema).json(root)
+    record = T.StructType([TICK["symbol"], TICK["price"], T.StructField("timestamp", T.StringType())])
+    return read_lines(spark, root, record).drop("_metadata")
 
 
 def good_ticks(lines: DataFrame) -> DataFrame:
@@ -66,7 +79,8 @@ def good_ticks(lines: DataFrame) -> DataFrame:
 
 
 def bad_ticks(lines: DataFrame) -> DataFrame:
-    return lines.where(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("line"))
+    """Lines that are no JSON or hold a field of the wrong type, with the symbol where it could be read."""
+    return bad_records(lines).select(F.col(CORRUPT).alias("line"), "symbol")
 
 
 def file_audit(rows: DataFrame) -> DataFrame:
