@@ -1,7 +1,7 @@
 """Rule-based sentiment (Hutto & Gilbert, ICWSM 2014) as column expressions.
 
-A text becomes one entry per word, holding what the neighbouring words do to it. Entries meet the
-lexicon in a join, and a sum per text gives the score; see ``operators.scoring``.
+A text becomes one row per word. Rows meet the lexicon in a join, the rules adjust what was found, and a
+sum per text gives the score; see ``operators.scoring``.
 """
 
 from __future__ import annotations
@@ -41,8 +41,8 @@ DAMPENERS = (
     "scarcely", "slightly", "somewhat", "sorta",
 )
 
-# Leading or trailing ASCII punctuation.
-WORD_EDGES = r"^[!-/:-@\[-`{-~]+|[!-/:-@\[-`{-~]+$"
+# Fixed value: the punctuation taken off both ends of a word.
+PUNCTUATION = r"""!"#$%&'()*+,-./:;<=>?@[\]^_`{|}~"""
 
 
 @dataclass(frozen=True)
@@ -59,7 +59,7 @@ def words(text: Column) -> Column:
     """Words without edge punctuation; short leftovers stay whole so that ``:)`` survives."""
 
     def bare(word: Column) -> Column:
-        inner = F.regexp_replace(word, WORD_EDGES, "")
+        inner = F.btrim(word, F.lit(PUNCTUATION))
         return F.when(F.length(inner) > 2, inner).otherwise(word)
 
     pieces = F.filter(F.split(F.coalesce(text, F.lit("")), r"\s+"), lambda word: word != "")
@@ -74,62 +74,41 @@ def partly_shouted(tokens: Column) -> Column:
     return F.exists(tokens, shouted) & ~F.forall(tokens, shouted)
 
 
-def degrees(tokens: Column, loud: Column, rules: Rules) -> Column:
-    """How far each word strengthens (+) or weakens (-) the words after it."""
+def degrees(tokens: Column, lowered: Column, loud: Column, rules: Rules) -> Column:
+    """How far each word strengthens (+) or weakens (-) the words after it; 0 for an ordinary word."""
 
-    def degree(word: Column) -> Column:
-        extra = F.when(loud & shouted(word), CAPS_GAIN).otherwise(0.0)
-        return (
-            F.when(F.lower(word).isin(*rules.intensifiers), extra + DEGREE_GAIN)
-            .when(F.lower(word).isin(*rules.dampeners), extra - DEGREE_GAIN)
-            .otherwise(0.0)
-        )
+    def degree(word: Column, at: Column) -> Column:
+        gain = F.when(word.isin(*rules.intensifiers), DEGREE_GAIN).when(word.isin(*rules.dampeners), -DEGREE_GAIN)
+        extra = F.when(loud & shouted(F.get(tokens, at)), CAPS_GAIN).otherwise(0.0)
+        return F.when(gain.isNotNull(), gain + extra).otherwise(0.0)
 
-    return F.transform(tokens, degree)
+    return F.transform(lowered, degree)
 
 
-def negations(tokens: Column, rules: Rules) -> Column:
-    return F.transform(
-        tokens, lambda word: F.lower(word).isin(*rules.negators) | F.lower(word).contains("n't")
-    )
+def negations(lowered: Column, rules: Rules) -> Column:
+    return F.transform(lowered, lambda word: word.isin(*rules.negators) | word.contains("n't"))
+
 
+def word_valence(
+    valence: Column, word: Column, spot: Column, degree: Column, negated: Column, loud: Column, contrast_at: Column
+) -> Column:
+    """Valence of the word at ``spot`` (from 0) after caps, degree words, negation and contrast.
 
-def entries(tokens: Column, degree: Column, negated: Column, loud: Column, contrast_at: Column) -> Column:
-    """One struct per word: the look-up key and the effect of its surroundings."""
-
-    def entry(word: Column, at: Column) -> Column:
-        side = (
-            F.when(contrast_at == 0, 1.0)
-            .when(at + 1 < contrast_at, BEFORE_CONTRAST)
-            .when(at + 1 > contrast_at, AFTER_CONTRAST)
-            .otherwise(1.0)
-        )
-        near = [
-            part
-            for back, decay in enumerate(DISTANCE_DECAY, start=1)
-            for part in (
-                (F.coalesce(F.get(degree, at - back), F.lit(0.0)) * decay).alias(f"degree{back}"),
-                F.coalesce(F.get(negated, at - back), F.lit(False)).alias(f"negated{back}"),
-            )
-        ]
-        return F.struct(
-            F.lower(word).alias("token"),
-            F.when(loud & shouted(word), CAPS_GAIN).otherwise(0.0).alias("caps"),
-            (F.get(degree, at) != 0).alias("is_degree"),
-            side.alias("side"),
-            *near,
-        )
-
-    return F.transform(tokens, entry)
-
-
-def entry_valence(valence: Column, entry: str = "entry") -> Column:
-    """Valence of a matched word after caps, degree words, negation and contrast."""
-    value = valence + F.signum(valence) * F.col(f"{entry}.caps")
-    for back in range(1, len(DISTANCE_DECAY) + 1):
-        value = value + F.signum(value) * F.col(f"{entry}.degree{back}")
-        value = value * F.when(F.col(f"{entry}.negated{back}"), NEGATION_FACTOR).otherwise(1.0)
-    return F.when(F.col(f"{entry}.is_degree"), 0.0).otherwise(value * F.col(f"{entry}.side"))
+    ``degree`` and ``negated`` are the whole text's arrays; only words found in the lexicon look at them.
+    """
+    value = valence + F.signum(valence) * F.when(loud & shouted(word), CAPS_GAIN).otherwise(0.0)
+    for back, decay in enumerate(DISTANCE_DECAY, start=1):
+        near = F.coalesce(F.get(degree, spot - back), F.lit(0.0)) * F.lit(decay)
+        flips = F.coalesce(F.get(negated, spot - back), F.lit(False))
+        value = value + F.signum(value) * near
+        value = value * F.when(flips, NEGATION_FACTOR).otherwise(1.0)
+    side = (
+        F.when(contrast_at == 0, 1.0)
+        .when(spot + 1 < contrast_at, BEFORE_CONTRAST)
+        .when(spot + 1 > contrast_at, AFTER_CONTRAST)
+        .otherwise(1.0)
+    )
+    return F.when(valence.isNull(), 0.0).when(F.get(degree, spot) != 0, 0.0).otherwise(value * side)
 
 
 def emphasis(text: Column) -> Column:

@@ -8,8 +8,7 @@ from ticktide.functions.times import hour_start
 from ticktide.operators.ordered import ROWS_PER_SEGMENT, carried_forward
 from ticktide.operators.sides import small_side
 from ticktide.operators.ticks import batch_delta, lag_features, last_prices
-from ticktide.operators.weather import pivot_weather
-from ticktide.schemas import FEATURE_COLUMNS, WEATHER_COLUMNS
+from ticktide.schemas import CITIES, FEATURE_COLUMNS, MEASURES, WEATHER_COLUMNS
 
 CONTEXT_COLUMNS = [*WEATHER_COLUMNS, "sentiment"]
 
@@ -20,27 +19,29 @@ def hours_of(ticks: DataFrame) -> DataFrame:
 
 def context_series(flat_weather: DataFrame, sentiment: DataFrame) -> DataFrame:
     """Hourly observations as (hour, series, value), one series per later column."""
-    weather = pivot_weather(flat_weather).unpivot(["hour"], WEATHER_COLUMNS, "series", "value")
+    city = F.coalesce(*[F.when(F.col("country") == code, city) for code, (city, _) in CITIES.items()])
+    measures = [
+        F.struct(F.concat(F.lit(f"{prefix}_"), city).alias("series"), F.col(source).cast("double").alias("value"))
+        for prefix, source in MEASURES.items()
+    ]
+    weather = flat_weather.where(F.col("country").isin(*CITIES)).select("hour", F.inline(F.array(*measures)))
     moods = sentiment.select("hour", F.lit("sentiment").alias("series"), F.col("sentiment").alias("value"))
-    return weather.where(F.col("value").isNotNull()).unionByName(moods)
+    return weather.unionByName(moods)
 
 
 def forward_fill_hour(hours: DataFrame, series: DataFrame, names: list[str]) -> DataFrame:
     """Value of every series at every hour: observed, or the last one observed before, or null.
 
-    Each group is one series with at most one row per calendar hour, so its size is bounded by the
-    calendar whatever the volume of ticks; the series fill in parallel.
+    Each group is one series with a few rows per calendar hour, so its size is bounded by the calendar
+    whatever the volume of ticks; the series fill in parallel.
     """
-    wanted = hours.select(
-        "hour", F.explode(F.array(*[F.lit(name) for name in names])).alias("series"), F.lit(True).alias("wanted")
+    asked = F.array(*[F.struct(F.lit(name).alias("series"), F.lit(True).alias("asked")) for name in names])
+    points = series.withColumn("asked", F.lit(False)).unionByName(
+        hours.select("hour", F.inline(asked)), allowMissingColumns=True
     )
-    points = (
-        series.unionByName(wanted, allowMissingColumns=True)
-        .groupBy("series", "hour")
-        .agg(F.max("value").alias("value"), F.max("wanted").alias("wanted"))
-    )
-    filled = carried_forward(points, ["series"], "hour", ["value"])
-    return filled.where(F.col("wanted")).drop("wanted")
+    # An asked hour stands behind the observations of the same hour.
+    filled = carried_forward(points, ["series"], ["hour", "asked", "value"], "value")
+    return filled.where(F.col("asked")).drop("asked")
 
 
 def hourly_context(hours: DataFrame, flat_weather: DataFrame, sentiment: DataFrame) -> DataFrame:

@@ -32,7 +32,7 @@ def cut_points(df: DataFrame, keys: list[str], order: list[str], rows_per_segmen
             return None
     else:
         counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
-        hot = stage(counted.where(F.col("rows") > rows_per_segment).select(*keys))
+        hot = counted.where(F.col("rows") > rows_per_segment).select(*keys)
         if hot.isEmpty():
             return None
     every = max(rows_per_segment // SAMPLES_PER_SEGMENT, 1)
@@ -76,7 +76,7 @@ def with_segments(df: DataFrame, keys: list[str], order: list[str], cuts: DataFr
     else:
         marked = df.select("*", cuts.select("cuts").scalar().alias("cuts"))
     passed = F.when(F.col("cuts").isNull(), 0).otherwise(_cuts_passed(F.col("cuts"), F.struct(*order), longest))
-    return marked.withColumn(SEGMENT, passed).drop("cuts")
+    return marked.select(*df.columns, passed.alias(SEGMENT))
 
 
 def lagged(
@@ -144,10 +144,7 @@ def numbered(
     )
 
 
-def carried_forward(
-    points: DataFrame, keys: list[str], order: str, values: list[str]
-) -> DataFrame:
-    """Fill gaps with the last known value. For calendar-bounded groups (one row per key and hour)."""
-    upto = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    filled = {name: F.last(name, ignorenulls=True).over(upto) for name in values}
-    return points.withColumns(filled)
+def carried_forward(points: DataFrame, keys: list[str], order: list[str], value: str) -> DataFrame:
+    """Replace nulls by the last known value. For groups that the calendar bounds, such as hourly series."""
+    upto = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return points.withColumn(value, F.last(value, ignorenulls=True).over(upto))

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ticktide.functions import sentiment as rules_of
 from ticktide.functions.sentiment import Rules
 from ticktide.operators.posts import explode_comments, with_post_hour
-from ticktide.operators.sides import small_side
+from ticktide.operators.sides import small_table
 
 NO_UPVOTES = 1e-12
 
@@ -20,34 +20,30 @@ def lexicon_sentiment(
     Words meet the lexicon in a broadcast join and are summed inside the task that holds the text, so
     one narrow row per text crosses the network.
     """
-    tokens = texts.select(*ids, F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn(
+    cut = texts.select(*ids, F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn(
         "tokens", rules_of.words(F.col("text"))
     )
-    loud = F.col("loud")
-    marked = (
-        tokens.withColumns({
-            "loud": rules_of.partly_shouted(F.col("tokens")),
-            "contrast_at": F.array_position(F.transform("tokens", lambda w: F.lower(w)), rules.contrast),
+    tokens, lowered, loud = F.col("tokens"), F.col("lowered"), F.col("loud")
+    ruled = (
+        cut.withColumns({
+            "lowered": F.transform(tokens, lambda word: F.lower(word)),
+            "loud": rules_of.partly_shouted(tokens),
             "strength": rules_of.emphasis(F.col("text")),
         })
         .withColumns({
-            "degree": rules_of.degrees(F.col("tokens"), loud, rules),
-            "negated": rules_of.negations(F.col("tokens"), rules),
+            "degree": rules_of.degrees(tokens, lowered, loud, rules),
+            "negated": rules_of.negations(lowered, rules),
+            "contrast_at": F.array_position(lowered, rules.contrast),
         })
-        .select(
-            *ids,
-            "strength",
-            rules_of.entries(
-                F.col("tokens"), F.col("degree"), F.col("negated"), loud, F.col("contrast_at")
-            ).alias("entries"),
-        )
+        .select(*ids, "strength", "loud", "degree", "negated", "contrast_at", F.posexplode_outer("tokens").alias("spot", "word"))
     )
-    words = marked.select(*ids, "strength", F.explode_outer("entries").alias("entry"))
-    found = words.join(
-        small_side(lexicon.select("token", "valence")), F.col("entry.token") == F.col("token"), "left"
+    known = small_table(lexicon.select("token", "valence"))
+    found = ruled.join(known, F.lower("word") == F.col("token"), "left")
+    value = rules_of.word_valence(
+        F.col("valence"), F.col("word"), F.col("spot"), F.col("degree"), F.col("negated"), loud, F.col("contrast_at")
     )
     summed = found.groupBy(*ids).agg(
-        F.coalesce(F.sum(rules_of.entry_valence(F.col("valence"))), F.lit(0.0)).alias("total"),
+        F.coalesce(F.sum(value), F.lit(0.0)).alias("total"),
         F.max("strength").alias("strength"),
     )
     return summed.select(*ids, rules_of.compound(F.col("total"), F.col("strength")).alias("sentiment"))

@@ -19,6 +19,11 @@ def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(staged) if staged.count() <= max_rows else staged
 
 
+def small_table(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """As ``small_side`` for a stored table, which needs counting but no staging."""
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
 def attach_parent(children: DataFrame, parents: DataFrame, key: str, extra: list[Column] | None = None) -> DataFrame:
     """parents LEFT JOIN children, for children that may crowd under a few parents.
 

@@ -60,8 +60,15 @@ TEST_RULES = Rules(
 FIXED_MODEL = {"currency_diff": 0.25, "tem_paris": 0.05, "hum_tokyo": -0.01, "wind_ny": 0.1, "sentiment": 2.0}
 
 
+# Declared, so that opening a table costs no schema inference.
+TABLES = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _view(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:

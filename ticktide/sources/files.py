@@ -13,18 +13,33 @@ def _with_extra(schema: T.StructType, *fields: T.StructField) -> T.StructType:
     return T.StructType([*schema.fields, *fields])
 
 
+def _read_text(spark: SparkSession, root: str, partitions: list[str] | None, whole: bool) -> DataFrame:
+    text = T.StructType([T.StructField(name, T.StringType()) for name in ["value", *(partitions or [])]])
+    read = spark.read.schema(text).text(root, wholetext=whole)
+    return read.where(F.length(F.trim("value")) > 0)
+
+
 def read_lines(spark: SparkSession, root: str, schema: T.StructType, partitions: list[str] | None = None) -> DataFrame:
     """One JSON record per line, blank lines skipped, unreadable records in ``_corrupt_record``.
 
     Parses text instead of using the JSON source: that source judges only the columns a query happens to
     read, so the same line could be good in one query and bad in the next.
     """
-    parts = partitions or []
-    text = T.StructType([T.StructField("value", T.StringType()), *[T.StructField(p, T.StringType()) for p in parts]])
-    lines = spark.read.schema(text).text(root).where(F.length(F.trim("value")) > 0)
+    kept = [*(partitions or []), "_metadata"]
+    lines = _read_text(spark, root, partitions, whole=False)
     record = _with_extra(schema, T.StructField(CORRUPT, T.StringType()))
     parsed = F.from_json("value", record, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    return lines.select(parsed.alias("record"), *parts, "_metadata").select("record.*", *parts, "_metadata")
+    return lines.select(parsed.alias("record"), *kept).select("record.*", *kept)
+
+
+def read_documents(spark: SparkSession, root: str, schema: T.StructType, partitions: list[str] | None = None) -> DataFrame:
+    """One JSON array (or object) per file, spread over any number of lines. A file that cannot be read is
+    one row with its text in ``_corrupt_record``. A file is one task's work, so it suits bounded files only."""
+    kept = [*(partitions or []), "_metadata"]
+    files = _read_text(spark, root, partitions, whole=True)
+    parsed = F.from_json("value", T.ArrayType(schema), {"mode": "PERMISSIVE"})
+    bad = F.when(F.col("parsed").isNull(), F.col("value")).alias(CORRUPT)
+    return files.select("value", parsed.alias("parsed"), *kept).select(F.inline_outer("parsed"), bad, *kept)
 
 
 def read_posts(spark: SparkSession, root: str, multi_line: bool = True, partitions: list[str] | None = None) -> DataFrame:
@@ -33,11 +48,7 @@ def read_posts(spark: SparkSession, root: str, multi_line: bool = True, partitio
     The producer writes pretty-printed arrays (``multi_line``). Line-delimited files split across tasks
     and should be preferred for large landings.
     """
-    if not multi_line:
-        return read_lines(spark, root, POST, partitions)
-    extra = [T.StructField(name, T.StringType()) for name in partitions or []]
-    schema = _with_extra(POST, *extra, T.StructField(CORRUPT, T.StringType()))
-    return spark.read.schema(schema).option("multiLine", True).json(root)
+    return (read_documents if multi_line else read_lines)(spark, root, POST, partitions)
 
 
 def good_posts(posts: DataFrame) -> DataFrame:
