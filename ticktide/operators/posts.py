@@ -32,7 +32,7 @@ def nest_comments(posts: DataFrame, comments: DataFrame, per_row: int = COMMENTS
         .withColumn("comments", _in_time_order(F.col("comments")))
     )
     empty = [F.lit(0).alias("part"), F.array().cast(f"array<{COMMENT.simpleString()}>").alias("comments")]
-    return attach_parent(nested, posts, "post_id", empty)
+    return attach_parent(nested, posts, "post_id", empty, seen=comments)
 
 
 def _in_time_order(comments: Column) -> Column:

@@ -24,14 +24,23 @@ def small_table(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
-def attach_parent(children: DataFrame, parents: DataFrame, key: str, extra: list[Column] | None = None) -> DataFrame:
+def attach_parent(
+    children: DataFrame,
+    parents: DataFrame,
+    key: str,
+    extra: list[Column] | None = None,
+    seen: DataFrame | None = None,
+) -> DataFrame:
     """parents LEFT JOIN children, for children that may crowd under a few parents.
 
     A left join cannot split a hot key on its nullable side. An inner join can (AQE splits either
-    side), so parents without children are added from an anti join on the distinct keys.
+    side), so parents without children are added from an anti join on the distinct keys. ``seen`` may
+    name a cheaper frame to take those keys from than ``children``; ``extra`` are the columns of a parent
+    without children.
     """
     matched = children.join(parents, key)
-    childless = parents.join(children.select(key).distinct(), key, "left_anti")
+    keys = (children if seen is None else seen).select(key).distinct()
+    childless = parents.join(keys, key, "left_anti")
     if extra:
         childless = childless.select("*", *extra)
     return matched.unionByName(childless, allowMissingColumns=True)

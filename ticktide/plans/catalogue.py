@@ -13,7 +13,7 @@ from ticktide.operators import cells, enrich, ordered, posts, results, scoring,
 from ticktide.operators.sides import latest_by, without_top
 from ticktide.plans import views
 from ticktide.schemas import FEATURE_COLUMNS, WEATHER_COLUMNS
-from ticktide.session import prepare, scratch_path
+from ticktide.session import prepare, scratch_path, stage
 from ticktide.sinks import files as sinks
 from ticktide.sources import files as landed
 from ticktide.sources.messages import read_messages
@@ -288,7 +288,7 @@ def weather_pair_corr(spark, sf_dir):
 
 def weather_histograms(spark, sf_dir):
     """The diagonal of the pair plot: one automatic histogram per measure."""
-    measures = weather.raw_measures(views.nested_weather(spark, sf_dir)).persist()
+    measures = stage(weather.raw_measures(views.nested_weather(spark, sf_dir)))
     parts = [
         stats.histogram_auto(measures, name).withColumn("measure", F.lit(name)) for name in weather.PAIR_MEASURES
     ]

@@ -8,7 +8,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from ticktide.functions.times import hour_start
+from ticktide.functions.times import hour_key, hour_start
 from ticktide.models.learners import LinearLearner, NetworkLearner, train
 from ticktide.models.state import load, to_frame
 from ticktide.operators.enrich import asof_hour_join, complete
@@ -50,6 +50,19 @@ def archive(ticks: DataFrame, path: str, checkpoint: str, name: str = "ticks") -
     )
 
 
+def land_stream(records: DataFrame, at: str, path: str, checkpoint: str) -> DataStreamWriter:
+    """Land arriving records as JSON below their event-time hour. With ``start(..., drain=True)`` it is the
+    hourly job: it takes what has arrived since the last run and stops."""
+    return (
+        records.withColumn("hour", hour_key(F.col(at)))
+        .writeStream.format("json")
+        .option("path", path)
+        .option("checkpointLocation", checkpoint)
+        .partitionBy("hour")
+        .outputMode("append")
+    )
+
+
 def averages_to_console(ticks: DataFrame, checkpoint: str, width: str = "1 minute") -> DataStreamWriter:
     """Print the running averages; complete mode, for small windows of history only."""
     return (
