@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ticktide.models.learners import LinearLearner, NetworkLearner, feature_stats, train
+from ticktide.models.learners import LinearLearner, NetworkLearner, feature_stats, forward_pass, train
 from ticktide.models.state import ModelState, latest_models, load, to_frame
 from ticktide.schemas import FEATURE_COLUMNS
 
@@ -51,7 +51,7 @@ def test_network_gradient_is_the_slope_of_the_error(sample):
     z = (x - state.mean) / state.scale()
 
     def loss(weights):
-        return ((learner.forward(z, learner.layers(weights))[-1][:, 0] - y) ** 2).mean() / 2
+        return ((forward_pass(z, learner.layers(weights))[-1][:, 0] - y) ** 2).mean() / 2
 
     got = learner.gradient(frame, state)
     assert len(got.values) == learner.size == 3051
@@ -75,7 +75,7 @@ def test_network_first_adam_step(sample):
     assert np.allclose(moved[used], -learner.rate * np.sign(gradient.values[used]), rtol=1e-3)
     predicted = learner.predict(frame, after).agg(F.sum("y_hat")).first()[0]
     z = (x - after.mean) / after.scale()
-    assert predicted == pytest.approx(learner.forward(z, learner.layers(after.weights))[-1].sum())
+    assert predicted == pytest.approx(forward_pass(z, learner.layers(after.weights))[-1].sum())
 
 
 @pytest.mark.parametrize("learner", [LinearLearner(rate=0.2, power=0.0), NetworkLearner(rate=0.005)])

@@ -11,7 +11,7 @@ from typing import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ticktide.models.state import ModelState
 from ticktide.schemas import FEATURE_COLUMNS
@@ -37,14 +37,6 @@ def feature_stats(features: DataFrame) -> tuple[int, np.ndarray, np.ndarray]:
     return n, np.array(row[1:1 + width]), np.array(row[1 + width:]) * n
 
 
-def standardised(state: ModelState) -> list[Column]:
-    scale = state.scale()
-    return [
-        (F.col(name).cast("double") - F.lit(float(state.mean[at]))) / F.lit(float(scale[at]))
-        for at, name in enumerate(FEATURE_COLUMNS)
-    ]
-
-
 @dataclass
 class LinearLearner:
     """Linear regression by stochastic gradient descent; 17 weights and an intercept."""
@@ -58,19 +50,22 @@ class LinearLearner:
         return ModelState(self.name, weights=np.zeros(len(FEATURE_COLUMNS) + 1))
 
     def predict(self, features: DataFrame, state: ModelState) -> DataFrame:
-        terms = zip(standardised(state), state.weights)
-        return features.withColumn(
-            "y_hat", sum((x * F.lit(float(w)) for x, w in terms), F.lit(float(state.weights[-1])))
-        )
+        """The weights belong to standardised inputs; folding mean and scale into them leaves raw columns."""
+        slopes = state.weights[:-1] / state.scale()
+        base = state.weights[-1] - slopes @ state.mean
+        terms = (F.col(name).cast("double") * F.lit(float(slope)) for name, slope in zip(FEATURE_COLUMNS, slopes))
+        return features.withColumn("y_hat", sum(terms, F.lit(float(base))))
 
     def gradient(self, features: DataFrame, state: ModelState) -> Gradient:
-        """One native aggregate over the batch."""
-        error = F.col("y_hat") - F.col("y")
-        inputs = [*standardised(state), F.lit(1.0)]
-        row = self.predict(features, state).agg(
-            *[F.avg(error * x) for x in inputs], F.avg(error * error)
+        """One native aggregate over the batch: moments of the error with the raw inputs."""
+        errors = self.predict(features, state).withColumn("error", F.col("y_hat") - F.col("y"))
+        error = F.col("error")
+        row = errors.agg(
+            *[F.avg(error * F.col(name)) for name in FEATURE_COLUMNS], F.avg(error), F.avg(error * error)
         ).first()
-        return Gradient(np.array(row[:-1]), row[-1])
+        with_inputs, mean_error = np.array(row[:-2]), row[-2]
+        slopes = (with_inputs - state.mean * mean_error) / state.scale()
+        return Gradient(np.append(slopes, mean_error), row[-1])
 
     def step(self, state: ModelState, gradient: Gradient) -> None:
         state.step += 1
@@ -79,6 +74,35 @@ class LinearLearner:
         state.weights = state.weights - rate * (gradient.values + decay * state.weights)
 
 
+def _passes():
+    """Forward and backward pass as closures: they travel to the workers whole, which need not have this
+    package installed."""
+
+    def forward(x: np.ndarray, layers: list[np.ndarray]) -> list[np.ndarray]:
+        """Inputs of every layer, then the output."""
+        values = [x]
+        for at, layer in enumerate(layers):
+            out = values[-1] @ layer[:-1] + layer[-1]
+            values.append(out if at == len(layers) - 1 else np.maximum(out, 0.0))
+        return values
+
+    def sums(x: np.ndarray, y: np.ndarray, layers: list[np.ndarray]) -> np.ndarray:
+        """Gradient sums over rows in weight order, then the sum of squared errors and the row count."""
+        values = forward(x, layers)
+        error = values[-1] - y[:, None]
+        parts, delta = [], error
+        for at in range(len(layers) - 1, -1, -1):
+            parts.append(np.vstack([values[at].T @ delta, delta.sum(axis=0)]).ravel())
+            if at:
+                delta = (delta @ layers[at][:-1].T) * (values[at] > 0)
+        return np.concatenate([*parts[::-1], [float((error**2).sum()), float(len(y))]])
+
+    return forward, sums
+
+
+forward_pass, gradient_sums = _passes()
+
+
 @dataclass
 class NetworkLearner:
     """Multi-layer perceptron regressor, rectified hidden layers, trained with Adam.
@@ -117,27 +141,10 @@ class NetworkLearner:
         parts = np.split(weights, ends[:-1])
         return [part.reshape(rows + 1, columns) for part, (rows, columns) in zip(parts, self.shapes)]
 
-    def forward(self, x: np.ndarray, layers: list[np.ndarray]) -> list[np.ndarray]:
-        """Inputs of every layer, then the output."""
-        values = [x]
-        for at, layer in enumerate(layers):
-            out = values[-1] @ layer[:-1] + layer[-1]
-            values.append(out if at == len(layers) - 1 else np.maximum(out, 0.0))
-        return values
-
-    def sums(self, x: np.ndarray, y: np.ndarray, layers: list[np.ndarray]) -> np.ndarray:
-        """Gradient sums over rows in weight order, then the sum of squared errors and the row count."""
-        values = self.forward(x, layers)
-        error = values[-1] - y[:, None]
-        parts, delta = [], error
-        for at in range(len(layers) - 1, -1, -1):
-            parts.append(np.vstack([values[at].T @ delta, delta.sum(axis=0)]).ravel())
-            if at:
-                delta = (delta @ layers[at][:-1].T) * (values[at] > 0)
-        return np.concatenate([*parts[::-1], [float((error**2).sum()), float(len(y))]])
-
     def predict(self, features: DataFrame, state: ModelState) -> DataFrame:
-        layers, mean, scale, forward = self.layers(state.weights), state.mean, state.scale(), self.forward
+        layers, mean, scale = self.layers(state.weights), state.mean, state.scale()
+
+        forward = forward_pass
 
         @F.pandas_udf("double")
         def predicted(x: pd.Series) -> pd.Series:
@@ -147,13 +154,15 @@ class NetworkLearner:
         return features.withColumn("y_hat", predicted(inputs))
 
     def gradient(self, features: DataFrame, state: ModelState) -> Gradient:
-        layers, mean, scale, sums = self.layers(state.weights), state.mean, state.scale(), self.sums
+        layers, mean, scale = self.layers(state.weights), state.mean, state.scale()
+
+        sums, columns = gradient_sums, FEATURE_COLUMNS
 
         def partition_sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             total = None
             for batch in batches:
                 if len(batch):
-                    x = (batch[FEATURE_COLUMNS].to_numpy(dtype=float) - mean) / scale
+                    x = (batch[columns].to_numpy(dtype=float) - mean) / scale
                     part = sums(x, batch["y"].to_numpy(dtype=float), layers)
                     total = part if total is None else total + part
             if total is not None:

@@ -206,8 +206,9 @@ def histogram(values: str, bins: str, *names: str, label: str = "") -> str:
 
 
 AUTO_BINS = """
-    SELECT greatest(1, ceil((max(v) - min(v)) / least((max(v) - min(v)) / (log2(count(*)) + 1),
-           2 * (quantile_cont(v, 0.75) - quantile_cont(v, 0.25)) / count(*) ** (1.0 / 3)))) FROM vs"""
+    SELECT CASE WHEN span = 0 THEN 1 ELSE ceil(span / least(span / (log2(n) + 1),
+                coalesce(2 * nullif(spread, 0) / n ** (1.0 / 3), span / (log2(n) + 1)))) END
+    FROM (SELECT max(v) - min(v) AS span, count(*) AS n, quantile_cont(v, 0.75) - quantile_cont(v, 0.25) AS spread FROM vs)"""
 
 TOP_DROPPED = """
     SELECT comm_id, comm_score FROM (
