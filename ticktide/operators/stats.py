@@ -48,7 +48,7 @@ def _binned(df: DataFrame, column: str, low, high, bins: int) -> DataFrame:
         F.count(F.lit(1)).alias("count")
     )
     every = df.sparkSession.range(1, bins + 1).withColumnRenamed("id", "bin")
-    return every.join(F.broadcast(counted), "bin", "left").select(
+    return every.join(counted, "bin", "left").select(
         "bin",
         (F.lit(low) + (F.col("bin") - 1) * F.lit(step)).alias("bin_start"),
         (F.lit(low) + F.col("bin") * F.lit(step)).alias("bin_end"),

@@ -343,14 +343,22 @@ def _results_table(spark, sf_dir):
     return name
 
 
+def _forget(spark, name, opened):
+    """Take a table out of the catalog again. Its files stay at their own location, where ``opened`` reads."""
+    spark.sql(f"DROP TABLE {name}")
+    return opened
+
+
 def results_append(spark, sf_dir):
-    return read_results(spark, _results_table(spark, sf_dir))
+    name = _results_table(spark, sf_dir)
+    return _forget(spark, name, read_results(spark, name))
 
 
 def results_scan(spark, sf_dir):
     name = _results_table(spark, sf_dir)
     found = run_query(spark, f"SELECT * FROM {name}")
-    return results.strip_prefix(found.toDF(*[f"{name}.{column}" for column in found.columns]), name)
+    prefixed = found.toDF(*[f"{name}.{column}" for column in found.columns])
+    return _forget(spark, name, results.strip_prefix(prefixed, name))
 
 
 def results_time_range(spark, sf_dir):
