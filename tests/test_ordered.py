@@ -35,6 +35,17 @@ def test_lags_of_a_hot_symbol(spark, rows_per_segment):
     assert sorted(got.collect(), key=lambda r: r.event_id) == sorted(plain_lags(df).collect(), key=lambda r: r.event_id)
 
 
+def test_ties_in_the_whole_order_lose_no_carried_row(spark):
+    """Equal order values: which of them is first is open, but sums over a key must see all of them."""
+    df = spark.range(300).select(
+        F.lit("A").alias("symbol"), F.floor(F.col("id") / 20).alias("event_time"), F.lit(0).alias("event_id"),
+        F.lit(1.0).alias("price"),
+    ).persist()
+    for n in (2, 30):
+        got = ordered.lagged(df, ["symbol"], ORDER, "price", {"b1": 1, "b2": 2}, n)
+        assert got.agg(F.count(F.lit(1)), F.sum("b1"), F.sum("b2")).first() == (300, 299.0, 298.0)
+
+
 def test_segments_are_balanced(spark):
     df = skewed(spark).persist()
     cuts = ordered.cut_points(df, ["symbol"], ORDER, 100)

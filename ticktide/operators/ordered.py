@@ -19,12 +19,17 @@ from ticktide.session import stage
 ROWS_PER_SEGMENT = 4_000_000
 SAMPLES_PER_SEGMENT = 32
 SEGMENT = "_segment"
+LATE = "_late"
+# Rows that a segment may hand to the next one.
+CARRY = 2
 
 
 def cut_points(df: DataFrame, keys: list[str], order: list[str], rows_per_segment: int) -> DataFrame | None:
-    """Per hot key the sorted array of order values where a new segment starts; None without hot keys.
+    """Per hot key a sorted array of cuts; None without hot keys.
 
-    Both the number of hot keys and the number of cut points are at most rows / rows_per_segment.
+    A cut is the order value where a new segment starts (``at``), and one shortly before it with at least
+    ``CARRY`` rows from there to the cut (``late``; null if unknown). Both the number of hot keys and the
+    number of cuts are at most rows / rows_per_segment.
     """
     if not keys:
         hot = None
@@ -39,14 +44,16 @@ def cut_points(df: DataFrame, keys: list[str], order: list[str], rows_per_segmen
     picked = df.select(*keys, F.struct(*order).alias("at"))
     if hot is not None:
         picked = picked.join(small_side(hot), keys, "left_semi")
-    picked = picked.where(F.pmod(F.xxhash64("at"), F.lit(every)) == 0)
+    picked = picked.where(F.pmod(F.xxhash64("at"), F.lit(every)) == 0).distinct()
     per_key = Window.partitionBy(*keys).orderBy("at")
     stride = min(SAMPLES_PER_SEGMENT, rows_per_segment)
+    # Samples are distinct values of rows, so from the sample CARRY places before a cut that many rows precede it.
+    late = F.lag("at", CARRY).over(per_key) if stride > CARRY else F.lit(None)
     starts = (
-        picked.withColumn("nth", F.row_number().over(per_key))
+        picked.withColumns({"nth": F.row_number().over(per_key), "late": late})
         .where(F.pmod("nth", F.lit(stride)) == 0)
         .groupBy(*keys)
-        .agg(F.array_sort(F.collect_set("at")).alias("cuts"))
+        .agg(F.array_sort(F.collect_list(F.struct("at", "late"))).alias("cuts"))
     )
     staged = stage(starts)
     return None if staged.isEmpty() else staged
@@ -59,7 +66,7 @@ def _cuts_passed(cuts: Column, at: Column, longest: int) -> Column:
         middle = F.floor((bounds["low"] + bounds["high"]) / 2).cast("int")
         return (
             F.when(bounds["low"] >= bounds["high"], bounds)
-            .when(F.get(cuts, middle) <= at, F.struct((middle + 1).alias("low"), bounds["high"].alias("high")))
+            .when(F.get(cuts, middle)["at"] <= at, F.struct((middle + 1).alias("low"), bounds["high"].alias("high")))
             .otherwise(F.struct(bounds["low"].alias("low"), middle.alias("high")))
         )
 
@@ -69,14 +76,20 @@ def _cuts_passed(cuts: Column, at: Column, longest: int) -> Column:
 
 
 def with_segments(df: DataFrame, keys: list[str], order: list[str], cuts: DataFrame) -> DataFrame:
-    """Add the segment number; keys that were not cut have only segment 0."""
+    """Add the segment number, and whether a row can be among the last ``CARRY`` rows before a cut. Keys that
+    were not cut have only segment 0."""
     longest = cuts.agg(F.max(F.size("cuts"))).first()[0]
     if keys:
         marked = df.join(small_side(cuts), keys, "left")
     else:
         marked = df.select("*", cuts.select("cuts").scalar().alias("cuts"))
-    passed = F.when(F.col("cuts").isNull(), 0).otherwise(_cuts_passed(F.col("cuts"), F.struct(*order), longest))
-    return marked.select(*df.columns, passed.alias(SEGMENT))
+    at = F.struct(*order)
+    passed = F.when(F.col("cuts").isNull(), 0).otherwise(_cuts_passed(F.col("cuts"), at, longest))
+    next_cut = F.get("cuts", F.col(SEGMENT))
+    late = next_cut["late"].isNull() | (at >= next_cut["late"])
+    return marked.select("*", passed.alias(SEGMENT)).select(
+        *df.columns, SEGMENT, F.coalesce(next_cut.isNotNull() & late, F.lit(False)).alias(LATE)
+    )
 
 
 def lagged(
@@ -98,23 +111,28 @@ def lagged(
         return df.select("*", *lags(over))
 
     depth = max(offsets.values())
-    cut = with_segments(df, keys, order, cuts)
+    if depth > CARRY:
+        raise ValueError(f"segments hand over {CARRY} rows, not {depth}")
+    marked = with_segments(df, keys, order, cuts)
+    cut = marked.drop(LATE)
     last_first = Window.partitionBy(*keys, SEGMENT).orderBy(*[F.col(name).desc() for name in order])
     tails = stage(
-        cut.select(*keys, SEGMENT, *[name for name in dict.fromkeys([*order, value]) if name not in keys])
+        marked.where(LATE)
+        .select(*keys, SEGMENT, *[name for name in dict.fromkeys([*order, value]) if name not in keys])
         .withColumn("back", F.row_number().over(last_first))
         .where(F.col("back") <= depth)
         .drop("back")
     )
-    # For each segment, the last rows before it. A short segment lets older rows shine through.
+    # For each segment, the last rows before it; a cut is a row's own value, so no segment behind one is empty.
+    # A segment shorter than that lets older rows shine through.
     inside = [name for name in tails.columns if name not in keys and name != SEGMENT]
     through = Window.partitionBy(*keys).orderBy(SEGMENT, *order).rowsBetween(-(depth - 1), 0)
     following = Window.partitionBy(*keys).orderBy(SEGMENT, *order)
     carried = (
         tails.withColumn("recent", F.collect_list(F.struct(*inside)).over(through))
-        .withColumn("next", F.lead(SEGMENT).over(following))
-        .where(F.col("next") > F.col(SEGMENT))
-        .select(*keys, F.col("next").alias(SEGMENT), F.inline("recent"))
+        .withColumn("next", F.coalesce(F.lead(SEGMENT).over(following), F.lit(-1)))
+        .where(F.col("next") != F.col(SEGMENT))
+        .select(*keys, (F.col(SEGMENT) + 1).alias(SEGMENT), F.inline("recent"))
         .withColumn("_carried", F.lit(True))
     )
     whole = cut.withColumn("_carried", F.lit(False)).unionByName(carried, allowMissingColumns=True)
@@ -129,7 +147,7 @@ def numbered(
     cuts = cut_points(df, [], order, rows_per_segment)
     if cuts is None:
         return df.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("bigint") - 1)
-    cut = with_segments(df, [], order, cuts)
+    cut = with_segments(df, [], order, cuts).drop(LATE)
     before = Window.orderBy(SEGMENT).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         cut.groupBy(SEGMENT)
