@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ticktide.llm import mixing, simhash
+from ticktide.llm import crf_lang, mixing, simhash
 from ticktide.llm.tables import table
 
 
@@ -16,9 +16,14 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.plan(table(spark, sf_dir, "documents"))
 
 
+def op10_crf_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return crf_lang.predict(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op3_simhash": op3_simhash,
     "op4_mixing": op4_mixing,
+    "op10_crf_language": op10_crf_language,
 }
 
 # The targets come from the same integers: sources are taken in order of their ceiling per weight until the
