@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ticktide.llm import crf_lang, mixing, simhash
+from ticktide.llm import cgk, crf_lang, mixing, simhash
 from ticktide.llm.tables import table
 
 
@@ -16,6 +16,10 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.plan(table(spark, sf_dir, "documents"))
 
 
+def op8_cgk_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cgk.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_crf_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return crf_lang.predict(table(spark, sf_dir, "documents"))
 
@@ -23,6 +27,7 @@ def op10_crf_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op3_simhash": op3_simhash,
     "op4_mixing": op4_mixing,
+    "op8_cgk_decontamination": op8_cgk_decontamination,
     "op10_crf_language": op10_crf_language,
 }
 

@@ -91,6 +91,17 @@ class Words:
         inverse = _power_table(pow(BASE, -1, 1 << 64), size)
         return mix((sums[self.end] - sums[self.start]) * inverse[self.start])
 
+    def only(self, wanted: np.ndarray) -> Words:
+        """The same words without the bytes that the table of 256 flags leaves out; empty words go."""
+        keep = wanted[self.data]
+        before = np.zeros(len(keep) + 1, np.int64)
+        np.cumsum(keep, out=before[1:])
+        start, end = before[self.start], before[self.end]
+        full = end > start
+        count = np.zeros(len(full) + 1, np.int64)
+        np.cumsum(full, out=count[1:])
+        return Words(self.data[keep], start[full], end[full], count[self.first], before[self.offsets])
+
     def tokens(self) -> list[bytes]:
         """The words as byte strings."""
         raw = self.data.tobytes()
