@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ticktide.llm import cgk, crf_lang, mixing, simhash
+from ticktide.llm import cgk, crf_lang, mixing, simhash, token_shards
 from ticktide.llm.tables import table
 
 
+def op2_token_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_shards.materialise(table(spark, sf_dir, "documents"), token_shards.shards_path(spark))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
 
@@ -25,6 +29,7 @@ def op10_crf_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_token_order": op2_token_order,
     "op3_simhash": op3_simhash,
     "op4_mixing": op4_mixing,
     "op8_cgk_decontamination": op8_cgk_decontamination,
