@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ticktide.llm import cgk, crf_lang, mixing, simhash, token_shards
+from ticktide.llm import cgk, crf_lang, mixing, quality_rules, simhash, token_shards
 from ticktide.llm.tables import table
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_token_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_shards.materialise(table(spark, sf_dir, "documents"), token_shards.shards_path(spark))
 
@@ -29,6 +33,7 @@ def op10_crf_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quality_rules": op1_quality_rules,
     "op2_token_order": op2_token_order,
     "op3_simhash": op3_simhash,
     "op4_mixing": op4_mixing,

@@ -102,6 +102,20 @@ class Words:
         np.cumsum(full, out=count[1:])
         return Words(self.data[keep], start[full], end[full], count[self.first], before[self.offsets])
 
+    def per_text(self, counted: np.ndarray) -> np.ndarray:
+        """How many bytes that the table of 256 flags marks each text holds."""
+        sums = np.zeros(len(self.data) + 1, np.int64)
+        np.cumsum(counted[self.data], out=sums[1:])
+        return sums[self.offsets[1:]] - sums[self.offsets[:-1]]
+
+    def lines(self) -> Words:
+        """The lines that hold a word, cut at line feeds, in place of the words."""
+        ends = np.union1d(np.flatnonzero(self.data == 10), self.offsets[1:])
+        starts = np.union1d(np.flatnonzero(self.data == 10) + 1, self.offsets[:-1])
+        line, word = np.unique(np.searchsorted(ends, self.start, side="right"), return_index=True)
+        begin, end = starts[np.searchsorted(starts, self.start[word], side="right") - 1], ends[line]
+        return Words(self.data, begin, end, np.searchsorted(begin, self.offsets), self.offsets)
+
     def tokens(self) -> list[bytes]:
         """The words as byte strings."""
         raw = self.data.tobytes()
