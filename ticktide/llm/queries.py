@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ticktide.llm import cgk, crf_lang, html_paths, mixing, quality_rules, simhash, token_shards
+from ticktide.llm import cgk, crf_lang, html_paths, mixing, pii, quality_rules, simhash, token_shards
 from ticktide.llm.tables import table
 
 
@@ -24,6 +24,10 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.plan(table(spark, sf_dir, "documents"))
 
 
+def op5_candidate_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.found(table(spark, sf_dir, "documents"))
+
+
 def op6_html_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_paths.extracted(table(spark, sf_dir, "pages"))
 
@@ -41,6 +45,7 @@ QUERIES = {
     "op2_token_order": op2_token_order,
     "op3_simhash": op3_simhash,
     "op4_mixing": op4_mixing,
+    "op5_candidate_pii": op5_candidate_pii,
     "op6_html_paths": op6_html_paths,
     "op8_cgk_decontamination": op8_cgk_decontamination,
     "op10_crf_language": op10_crf_language,
