@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ticktide.llm import cgk, crf_lang, html_paths, mixing, pii, quality_rules, simhash, token_shards
+from ticktide.llm import cgk, crf_lang, html_paths, kneser_ney, mixing, pii, quality_rules, simhash, token_shards
 from ticktide.llm.tables import table
 
 
@@ -32,6 +32,10 @@ def op6_html_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_paths.extracted(table(spark, sf_dir, "pages"))
 
 
+def op7_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kneser_ney.classified(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_cgk_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cgk.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -47,6 +51,7 @@ QUERIES = {
     "op4_mixing": op4_mixing,
     "op5_candidate_pii": op5_candidate_pii,
     "op6_html_paths": op6_html_paths,
+    "op7_kneser_ney": op7_kneser_ney,
     "op8_cgk_decontamination": op8_cgk_decontamination,
     "op10_crf_language": op10_crf_language,
 }
