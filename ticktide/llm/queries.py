@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ticktide.llm import cgk, crf_lang, html_paths, kneser_ney, mixing, pii, quality_rules, simhash, token_shards
+from ticktide.llm import cgk, crf_lang, gru_lm, html_paths, kneser_ney, mixing, pii, quality_rules, simhash, token_shards
 from ticktide.llm.tables import table
 
 
@@ -40,6 +40,10 @@ def op8_cgk_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cgk.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op9_gru_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gru_lm.scored(table(spark, sf_dir, "documents"))
+
+
 def op10_crf_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return crf_lang.predict(table(spark, sf_dir, "documents"))
 
@@ -53,6 +57,7 @@ QUERIES = {
     "op6_html_paths": op6_html_paths,
     "op7_kneser_ney": op7_kneser_ney,
     "op8_cgk_decontamination": op8_cgk_decontamination,
+    "op9_gru_scores": op9_gru_scores,
     "op10_crf_language": op10_crf_language,
 }
 
