@@ -20,6 +20,7 @@ import posixpath
 import uuid
 import zlib
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticktide.llm.tables import staged
-from ticktide.llm.words import mix, text_of, text_slices
+from ticktide.llm.words import Words, mix, text_of, text_slices, words_of
 from ticktide.session import prepare, scratch_path
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -37,6 +38,8 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 SEPARATOR = 50256
 ROUNDS = 6
 TOKEN = np.dtype("<u2")
+KNOWN_PIECES = 1_000_000
+SLICE_BYTES = 8 << 20
 META = "meta.json"
 MANIFEST = ("slot long, shard long, byte_offset long, sequence long, n_tokens int, doc_ids array<long>, "
             "token_crc32 long")
@@ -107,20 +110,112 @@ class Packer:
         return [(self.tokens, list(self.ids))] if len(self.tokens) else []
 
 
-def _streams(batch: pa.RecordBatch, tokenizer: str) -> list:
-    encode = encoding(tokenizer).encode_ordinary
-    return [np.array([*encode(text), SEPARATOR], TOKEN) for text in text_of(batch, "text").to_pylist()]
+_NOT_WHITE = np.ones(256, bool)  # bytes that cannot begin a white-space character
+_NOT_WHITE[[*range(9, 14), *range(28, 33), 0xC2, 0xE1, 0xE2, 0xE3]] = False
+
+
+def _pieces(column: pa.Array) -> Words:
+    """Texts cut before every space that is followed by another character than white space.
+
+    The pre-token pattern always starts a new pre-token there, so pieces can be encoded one by one. A piece mostly
+    is a word with its space, and most pieces of a slice are repeated.
+    """
+    text = words_of(column)
+    data, offsets = text.data, text.offsets
+    cut = np.zeros(len(data), bool)
+    cut[:-1] = (data[:-1] == 32) & _NOT_WHITE[data[1:]]
+    full = offsets[1:] > offsets[:-1]
+    cut[offsets[1:][full] - 1] = False
+    cut[offsets[:-1][full]] = True
+    start = np.flatnonzero(cut)
+    return Words(data, start, np.append(start[1:], len(data))[:len(start)], np.searchsorted(start, offsets), offsets)
+
+
+class Encoder:
+    """Token ids of whole texts. Each distinct piece is encoded once, new pieces of a slice end to end as one text;
+    up to KNOWN_PIECES are remembered, by the hash of their bytes."""
+
+    def __init__(self, tokenizer: str):
+        self.tokenizer = encoding(tokenizer)
+        self.size = np.array([len(self.tokenizer.decode_single_token_bytes(i)) for i in range(self.tokenizer.n_vocab)])
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known = np.zeros(0, np.uint64)
+        self.begin = self.length = np.zeros(0, np.int64)
+        self.flat = np.zeros(0, TOKEN)
+
+    def _learn(self, pieces: Words, hashes: np.ndarray, at: np.ndarray) -> None:
+        """Encode and remember the pieces at ``at``, which are distinct and new."""
+        long = np.flatnonzero(pieces.end[at] - pieces.start[at] > 1)
+        spaced = np.zeros(len(at), bool)  # a space before another character: such a piece can follow any other
+        first = pieces.start[at[long]]
+        spaced[long] = (pieces.data[first] == 32) & _NOT_WHITE[pieces.data[first + 1]]
+        alone, joined = at[~spaced], at[spaced]
+        encode = self.tokenizer.encode_ordinary
+        begin, length = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
+        ids = [encode(pieces.data[pieces.start[k]:pieces.end[k]].tobytes().decode()) for k in alone]
+        size = pieces.end[joined] - pieces.start[joined]
+        stop = np.cumsum(size)
+        total = int(stop[-1]) if len(stop) else 0
+        text = pieces.data[np.arange(total) + np.repeat(pieces.start[joined] - (stop - size), size)].tobytes().decode()
+        tokens = np.array(encode(text), TOKEN)
+        length[~spaced] = [len(x) for x in ids]
+        begin[~spaced] = np.cumsum(length[~spaced]) - length[~spaced]
+        edge = np.searchsorted(np.cumsum(self.size[tokens]), np.append(0, stop), side="left") + 1
+        edge[0] = 0
+        length[spaced] = np.diff(edge)
+        begin[spaced] = edge[:-1] + length[~spaced].sum()
+        place = np.searchsorted(self.known, hashes)
+        self.known = np.insert(self.known, place, hashes)
+        self.begin = np.insert(self.begin, place, begin + len(self.flat))
+        self.length = np.insert(self.length, place, length)
+        self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(ids), TOKEN), tokens])
+
+    def _distinct(self, pieces: Words) -> tuple[np.ndarray, np.ndarray]:
+        """For every piece the place of its first token in ``flat`` and the number of its tokens."""
+        hashes, at, back = np.unique(pieces.hashes(), return_index=True, return_inverse=True)
+        if len(self.known) > KNOWN_PIECES:
+            self._forget()
+        place = np.searchsorted(self.known, hashes)
+        new = np.ones(len(hashes), bool)
+        inside = place < len(self.known)
+        new[inside] = self.known[place[inside]] != hashes[inside]
+        if new.any():
+            self._learn(pieces, hashes[new], at[new])
+            place = np.searchsorted(self.known, hashes)
+        place = place[back]
+        return self.begin[place], self.length[place]
+
+    def count(self, column: pa.Array) -> int:
+        """Tokens of all texts with their separators."""
+        return int(self._distinct(_pieces(column))[1].sum()) + len(column)
+
+    def streams(self, column: pa.Array) -> list[np.ndarray]:
+        """Each text's tokens and its separator."""
+        pieces = _pieces(column)
+        begin, length = self._distinct(pieces)
+        done = np.zeros(len(length) + 1, np.int64)
+        np.cumsum(length, out=done[1:])
+        tokens = self.flat[np.arange(done[-1]) + np.repeat(begin - done[:-1], length)]
+        edges = done[pieces.first]
+        return [np.append(tokens[low:high], TOKEN.type(SEPARATOR)) for low, high in zip(edges[:-1], edges[1:])]
+
+
+@lru_cache(maxsize=2)
+def encoder_of(tokenizer: str) -> Encoder:
+    return Encoder(tokenizer)
 
 
 def _counted(docs: DataFrame, length: int, tokenizer: str) -> dict[int, int]:
     """Sequences of each input partition; the driver holds one number per partition."""
     def work(batches):
-        tokens, part = 0, None
+        tokens, part, encoder = 0, None, encoder_of(tokenizer)
         for whole in batches:
-            for batch in text_slices(whole, "text"):
+            for batch in text_slices(whole, "text", SLICE_BYTES):
                 if part is None:
                     part = batch.column(2)[0].as_py() >> 33
-                tokens += sum(map(len, _streams(batch, tokenizer)))
+                tokens += encoder.count(text_of(batch, "text"))
         if part is not None:
             yield pa.RecordBatch.from_arrays([pa.array([part]), pa.array([-(-tokens // length)])], ["part", "n"])
 
@@ -145,12 +240,12 @@ def _placed(docs: DataFrame, length: int, tokenizer: str, counts: dict[int, int]
         ], ["shard", "slot", "sequence", "n_tokens", "doc_ids", "tokens"])
 
     def work(batches):
-        packer, done, start, expected = Packer(length), 0, None, 0
+        packer, encoder, done, start, expected = Packer(length), encoder_of(tokenizer), 0, None, 0
         for whole in batches:
-            for batch in text_slices(whole, "text"):
+            for batch in text_slices(whole, "text", SLICE_BYTES):
                 if start is None:
                     start, expected = base.value[batch.column(2)[0].as_py() >> 33]
-                rows = packer.add(batch.column(0).to_pylist(), _streams(batch, tokenizer))
+                rows = packer.add(batch.column(0).to_pylist(), encoder.streams(text_of(batch, "text")))
                 if rows:
                     yield rows_of(rows, start + done)
                     done += len(rows)
