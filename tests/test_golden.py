@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ticktide.functions import texts
+from ticktide.functions.sentiment import Rules, rules_of
 from ticktide.operators import cells, enrich, posts, results, scoring, series, stats, ticks, weather
 from ticktide.operators.sides import latest_by, without_top
 from ticktide.schemas import COMMENT, POST, RESULT_COLUMNS, WEATHER
@@ -64,8 +65,8 @@ def test_comment_score_is_divided_twice(spark):
     lexicon = spark.createDataFrame([("good", 1.0)], "token string, valence double")
     comments = [("a", "good", 0.0, 3), ("b", "plain", 1.0, -1)]
     frame = spark.createDataFrame(
-        [("p", "t", 0.0, 1, 0.5, comments), ("q", "t", 0.0, 1, 0.5, []), ("r", "t", 0.0, 1, 0.5, None),
-         ("s", "t", 0.0, 1, 0.5, [("c", "good", 0.0, 0), ("d", "good", 0.0, -4), ("e", "good", 0.0, None)])], POST
+        [("p", 0, "t", 0.0, 1, 0.5, comments), ("q", 0, "t", 0.0, 1, 0.5, []), ("r", 0, "t", 0.0, 1, 0.5, None),
+         ("s", 0, "t", 0.0, 1, 0.5, [("c", "good", 0.0, 0), ("d", "good", 0.0, -4), ("e", "good", 0.0, None)])], POST
     )
     one = round(1 / 16**0.5, 4)
     rows = {r.post_id: r.comments_sentiment for r in scoring.comment_scores(frame, lexicon).collect()}
@@ -77,7 +78,7 @@ def test_comment_score_is_divided_twice(spark):
 
 def test_comment_count_with_and_without_empty(spark):
     frame = spark.createDataFrame(
-        [("p", "t", 0.0, 1, 0.5, [("a", "x", 0.0, 3)]), ("q", "t", 0.0, 1, 0.5, []), ("r", "t", 0.0, 1, 0.5, None)], POST
+        [("p", 0, "t", 0.0, 1, 0.5, [("a", "x", 0.0, 3)]), ("q", 0, "t", 0.0, 1, 0.5, []), ("r", 0, "t", 0.0, 1, 0.5, None)], POST
     )
     assert {tuple(r) for r in posts.comment_count(frame).collect()} == {("p", 1)}
     assert {tuple(r) for r in posts.comment_count(frame, keep_empty=True).collect()} == {("p", 1), ("q", 0), ("r", 0)}
@@ -111,7 +112,8 @@ def test_comment_count_with_and_without_empty(spark):
 def test_sentiment_rules(spark, text, expected_total):
     lexicon = spark.createDataFrame([("good", 1.9), ("bad", -2.5), (":)", 2.0)], "token string, valence double")
     frame = spark.createDataFrame([(1, text)], "id int, text string")
-    score = scoring.lexicon_sentiment(frame, ["id"], "text", lexicon).first().sentiment
+    rules = Rules(("not",), ("very",), ("hardly",), "but")
+    score = scoring.lexicon_sentiment(frame, ["id"], "text", lexicon, rules).first().sentiment
     assert score == pytest.approx(expected_total / (expected_total**2 + 15) ** 0.5, abs=1e-4)
 
 
@@ -175,7 +177,7 @@ def test_double_text(spark, value):
 
 def test_cells_round_trip(spark):
     comments = [("c1", 'say "hi"\nthere', 5.0, 3)]
-    frame = spark.createDataFrame([("p", None, 1704067200.0, 7, 0.9, comments)], POST)
+    frame = spark.createDataFrame([("p", 0, None, 1704067200.0, 7, 0.9, comments)], POST)
     scored = frame.withColumns({"post_sentiment": F.lit(0.25), "comments_sentiment": F.lit(-0.5)})
     stored = cells.cells_of(scored)
     assert stored.first().cells["post_info:post_title"] == "None"
@@ -193,7 +195,7 @@ def test_day_band_includes_both_ends(spark):
 
 def test_without_top(spark):
     frame = spark.createDataFrame([(str(v), v % 5) for v in range(10)], "id string, score int")
-    kept = without_top(frame, [F.desc("score"), F.col("id")], 3, ["id"])
+    kept = without_top(frame, [F.desc("score"), F.col("id")], 3)
     assert {r.id for r in kept.collect()} == {str(v) for v in range(10)} - {"4", "9", "3"}
 
 
@@ -237,11 +239,24 @@ def test_pretty_printed_posts(spark, tmp_path):
             "comments": [{"comm_id": "c", "comm_body": "b", "comm_time_utc": 2.0, "comm_score": 3}]}
     (tmp_path / "posts_got_2024-01-01-00.json").write_text(json.dumps([post, {**post, "post_id": "q"}], indent=4))
     (tmp_path / "posts_got_2024-01-01-01.json").write_text("{broken")
-    read = landed.read_posts(spark, str(tmp_path))
-    assert {r.post_id for r in landed.good_posts(read).collect()} == {"p", "q"}
+    read = landed.read_posts(spark, str(tmp_path), multi_line=True)
+    assert {(r.post_id, r.part) for r in landed.good_posts(read).collect()} == {("p", 0), ("q", 0)}
     assert landed.bad_records(read).count() == 1
 
 
+def test_layouts_quarantine_the_same_records(spark, tmp_path):
+    good = {"post_id": "p", "post_title": "t", "post_time": 1.0, "post_score": 2, "post_upvote": 0.5, "comments": []}
+    records = [good, {**good, "post_id": "q", "post_score": "many"}, {**good, "post_id": "r"}]
+    (tmp_path / "a").mkdir()
+    (tmp_path / "b").mkdir()
+    (tmp_path / "a" / "x.json").write_text(json.dumps(records, indent=2))
+    (tmp_path / "b" / "x.json").write_text("\n".join(map(json.dumps, records)))
+    for folder, multi_line in (("a", True), ("b", False)):
+        read = landed.read_posts(spark, str(tmp_path / folder), multi_line=multi_line)
+        assert {r.post_id for r in landed.good_posts(read).collect()} == {"p", "r"}
+        assert {r.post_id for r in landed.bad_records(read).collect()} == {"q"}
+
+
 def test_results_append_by_name_and_prefix(spark, tmp_path):
     name = "golden_results"
     sinks.create_results_table(spark, name, str(tmp_path / "results"))
@@ -287,9 +302,68 @@ def test_compact(spark, tmp_path):
 
 def test_schema_profile_reads_nested_fields(spark):
     frame = spark.createDataFrame(
-        [("p", "t", 0.0, 1, None, [("a", "x", 0.0, 3), ("b", None, 0.0, 3)]), ("q", None, 0.0, 1, 0.5, None)], POST
+        [("p", 0, "t", 0.0, 1, None, [("a", "x", 0.0, 3), ("b", None, 0.0, 3)]), ("q", 0, None, 0.0, 1, 0.5, None)], POST
     )
     profile = {r.path: (r.type, r.non_null) for r in landed.schema_profile(frame).collect()}
     assert profile["post_id"] == ("string", 2) and profile["post_upvote"] == ("double", 1)
     assert profile["comments[].comm_id"] == ("string", 2) and profile["comments[].comm_body"] == ("string", 1)
     assert len(profile) == len(POST) - 1 + len(COMMENT)
+
+
+def test_a_post_is_scored_each_time_it_lands(spark):
+    lexicon = spark.createDataFrame([("good", 1.9)], "token string, valence double")
+    rows = [(hour, "p", 0, "good day", 0.0, 1, 0.5, []) for hour in ("2024-01-02-10", "2024-01-02-11")]
+    frame = spark.createDataFrame(rows, "hour string, post_id string, part int, post_title string, post_time double, "
+                                  f"post_score int, post_upvote double, comments array<{COMMENT.simpleString()}>")
+    once = round(1.9 / (1.9 ** 2 + 15) ** 0.5, 4)
+    scores = scoring.post_scores(frame, lexicon, keys=["hour", "post_id"]).collect()
+    assert [r.post_sentiment for r in scores] == [once, once]
+    moods = scoring.hourly_sentiment(frame, lexicon).orderBy("hour").collect()
+    assert [(r.hour, r.sentiment) for r in moods] == [(dt.datetime(2024, 1, 2, hour), once) for hour in (10, 11)]
+
+
+def test_comments_without_or_with_repeated_ids_count_each(spark):
+    lexicon = spark.createDataFrame([("good", 1.9), ("bad", -2.5)], "token string, valence double")
+    texts = [(None, "good", 0.0, 3), (None, "bad", 1.0, None), ("a", "bad", 2.0, 1), ("a", "good", 2.0, 1)]
+    frame = spark.createDataFrame([("p", 0, "good", 0.0, 1, 0.5, texts)], POST)
+    good, bad = (round(v / (v * v + 15) ** 0.5, 4) for v in (1.9, -2.5))
+    row = scoring.scored_posts(frame, lexicon).first()
+    assert row.post_sentiment == good
+    assert row.comments_sentiment == pytest.approx((good * 3 + bad + good) / 5 / 4)
+
+
+def test_parts_of_a_crowded_post_score_and_upsert_together(spark, tmp_path):
+    lexicon = spark.createDataFrame([("good", 1.9)], "token string, valence double")
+    post = spark.createDataFrame([("p", "good", 0.0, 1, 0.5)],
+                                 "post_id string, post_title string, post_time double, post_score int, post_upvote double")
+    comments = spark.range(10).select(
+        F.lit("p").alias("post_id"), F.col("id").cast("string").alias("comm_id"), F.lit("good").alias("comm_body"),
+        F.col("id").cast("double").alias("comm_time_utc"), F.lit(2).alias("comm_score"),
+    )
+    whole, parts = posts.nest_comments(post, comments), posts.nest_comments(post, comments, per_row=4)
+    assert parts.count() > 1
+    one, many = (scoring.scored_posts(frame, lexicon).select("post_sentiment", "comments_sentiment").distinct().collect()
+                 for frame in (whole, parts))
+    assert one == many
+    sinks.append_versions(cells.cells_of(scoring.scored_posts(parts, lexicon).withColumn("version", F.lit(1)), "version"), str(tmp_path))
+    stored = sinks.read_latest(spark, str(tmp_path), ["post_id", "part"], F.col("version"))
+    assert cells.comments_of(stored).count() == 10 and cells.posts_of(stored).count() == 1
+
+
+def test_ticks_without_ids_have_first_last_and_delta(spark):
+    frame = tick_rows(spark, [("A", 0, 10), ("A", 0, 12), ("A", 3600, 13)]).withColumn("event_id", F.lit(None).cast("bigint"))
+    stats_rows = ticks.batch_price_stats(frame).orderBy("hour").collect()
+    assert {stats_rows[0].first_price, stats_rows[0].last_price} == {10, 12} and stats_rows[1].last_price == 13
+    assert [r.y for r in ticks.batch_delta(frame).where("y is not null").collect()] == [13 - stats_rows[0].last_price]
+
+
+def test_without_top_removes_no_copy_too_many(spark):
+    frame = spark.createDataFrame([("a", 5)] * 5 + [("b", 1), (None, 2)], "id string, score int")
+    kept = without_top(frame, [F.desc("score")], 3)
+    assert sorted(kept.collect(), key=str) == sorted(frame.where("score < 5").collect() + frame.limit(2).collect(), key=str)
+
+
+def test_rules_come_from_a_table(spark):
+    table = spark.createDataFrame([("not", "negator"), ("very", "intensifier"), ("but", "contrast")], "token string, kind string")
+    assert rules_of(table) == Rules(("not",), ("very",), (), "but")
+    assert rules_of(table.limit(0)) == Rules()

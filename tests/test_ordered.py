@@ -48,12 +48,21 @@ def test_ties_in_the_whole_order_lose_no_carried_row(spark):
 
 def test_segments_are_balanced(spark):
     df = skewed(spark).persist()
-    cuts = ordered.cut_points(df, ["symbol"], ORDER, 100)
-    sizes = ordered.with_segments(df, ["symbol"], ORDER, cuts).groupBy("symbol", "_segment").count().collect()
+    sizes = ordered.with_segments(df, ["symbol"], ORDER, 30).groupBy("symbol", "_segment").count().collect()
     assert max(r["count"] for r in sizes) <= 300
     assert len([r for r in sizes if r.symbol == "HOT"]) >= 5
 
 
+def test_deep_lags_and_equal_rows(spark):
+    df = skewed(spark, 600).persist()
+    over = Window.partitionBy("symbol").orderBy(*ORDER)
+    expected = df.withColumns({"b7": F.lag("price", 7).over(over)}).orderBy("event_id").collect()
+    assert ordered.lagged(df, ["symbol"], ORDER, "price", {"b7": 7}, 20).orderBy("event_id").collect() == expected
+    same = spark.range(500).select(F.lit("x").alias("v"))
+    numbers = [r.row_no for r in ordered.numbered(same, ["v"], rows_per_segment=50).collect()]
+    assert sorted(numbers) == list(range(500))
+
+
 @pytest.mark.parametrize("rows_per_segment", [1, 7, 100, 10_000])
 def test_numbering(spark, rows_per_segment):
     df = skewed(spark, 500).persist()

@@ -50,7 +50,25 @@ def test_an_hour_is_read_from_its_own_folder(spark, sf_dir):
     rows = spark.createDataFrame([("2024-01-01-00", "Paris"), ("2024-01-01-01", "Paris")], "hour string, name string")
     overwrite_hours(rows, root)
     hour = read_weather_hour(spark, root, "2024-01-01-01")
-    assert re.search(r"PartitionFilters: \[isnotnull\(hour", plan(hour)) and hour.count() == 1
+    assert all("/hour=2024-01-01-01/" in path for path in hour.inputFiles()) and hour.count() == 1
+    assert hour.first().hour == "2024-01-01-01"
+
+
+def test_segments_carry_no_arrays_to_the_rows(spark, sf_dir):
+    lags = ticks.lag_features(views.ticks(spark, sf_dir), rows_per_segment=10)
+    assert "lambda" not in plan(lags) and "CartesianProduct" not in plan(lags)
+
+
+def test_newest_versions_need_no_sort(spark):
+    from ticktide.operators.sides import latest_by
+
+    versions = spark.range(100).select((F.col("id") % 7).alias("k"), F.col("id").alias("version"), F.lit("text").alias("t"))
+    assert "SortAggregate" not in plan(latest_by(versions, ["k"], F.col("version")))
+
+
+def test_counting_comments_reads_no_bodies(spark, sf_dir):
+    text = plan(catalogue.QUERIES["comment_count"](spark, sf_dir))
+    assert "ReadSchema: struct<conv_id:bigint,turn:bigint>" in text
 
 
 def test_time_filter_reaches_the_scan(spark, sf_dir):

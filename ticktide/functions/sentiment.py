@@ -10,7 +10,7 @@ from dataclasses import dataclass
 from typing import Callable
 
 import pandas as pd
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 # Fixed values of the published method.
 NORMALISER = 15.0
@@ -23,36 +23,32 @@ AFTER_CONTRAST = 1.5
 EXCLAMATION_GAIN, EXCLAMATION_MAX = 0.292, 4
 QUESTION_GAIN, QUESTION_MAX, QUESTION_CAP = 0.18, 3, 0.96
 
-NEGATORS = (
-    "aint", "arent", "cannot", "cant", "couldnt", "darent", "didnt", "doesnt", "dont", "hadnt", "hasnt",
-    "havent", "isnt", "mightnt", "mustnt", "neither", "never", "none", "nope", "nor", "not", "nothing",
-    "nowhere", "rarely", "seldom", "despite", "shouldnt", "uhuh", "wasnt", "werent", "without", "wont",
-    "wouldnt",
-)
-INTENSIFIERS = (
-    "absolutely", "amazingly", "awfully", "completely", "considerably", "decidedly", "deeply", "enormously",
-    "entirely", "especially", "exceptionally", "extremely", "fabulously", "fully", "greatly", "highly",
-    "hugely", "incredibly", "intensely", "majorly", "more", "most", "particularly", "purely", "quite",
-    "really", "remarkably", "so", "substantially", "thoroughly", "totally", "tremendously", "unbelievably",
-    "unusually", "utterly", "very",
-)
-DAMPENERS = (
-    "almost", "barely", "hardly", "kinda", "less", "little", "marginally", "occasionally", "partly",
-    "scarcely", "slightly", "somewhat", "sorta",
-)
-
 # Fixed value: the punctuation taken off both ends of a word.
 PUNCTUATION = r"""!"#$%&'()*+,-./:;<=>?@[\]^_`{|}~"""
 
 
+# Largest number of rule words; they are literals of the plan.
+RULE_WORDS = 10_000
+
+
 @dataclass(frozen=True)
 class Rules:
-    """Word lists of the rule families; the defaults are the English ones."""
-
-    negators: tuple[str, ...] = NEGATORS
-    intensifiers: tuple[str, ...] = INTENSIFIERS
-    dampeners: tuple[str, ...] = DAMPENERS
-    contrast: str = "but"
+    """Word lists of the rule families and the word behind which a text turns. Without words no rule applies."""
+
+    negators: tuple[str, ...] = ()
+    intensifiers: tuple[str, ...] = ()
+    dampeners: tuple[str, ...] = ()
+    contrast: str = ""
+
+
+def rules_of(table: DataFrame) -> Rules:
+    """Rules from an input table (token, kind) with the kinds negator, intensifier, dampener and contrast."""
+    rows = table.select("token", "kind").distinct().limit(RULE_WORDS + 1).collect()
+    if len(rows) > RULE_WORDS:
+        raise ValueError(f"more than {RULE_WORDS} rule words")
+    found = {kind: tuple(sorted(r["token"] for r in rows if r["kind"] == kind))
+             for kind in ("negator", "intensifier", "dampener", "contrast")}
+    return Rules(found["negator"], found["intensifier"], found["dampener"], next(iter(found["contrast"]), ""))
 
 
 def words(text: Column) -> Column:

@@ -25,11 +25,13 @@ def from_text(text: Column) -> Column:
     return F.try_to_timestamp(text).cast("timestamp_ntz")
 
 
-def event_rank(ts: Column, tie: Column) -> Column:
-    """(time, tie) as one decimal.
+def event_rank(ts: Column, tie: Column, other: Column) -> Column:
+    """(time, tie) as one decimal. Rows without a tie-breaking id are ranked by the hash of ``other``, so rows that
+    differ in it keep one order in every run.
 
     A fixed-width ordering value keeps ``max_by``/``min_by`` in the hash aggregate, where a struct
     would force a sort of the whole input.
     """
     micros = F.unix_micros(ts.cast("timestamp")).cast("decimal(19,0)")
-    return (micros * F.lit(10**18).cast("decimal(19,0)") + tie.cast("decimal(19,0)")).cast("decimal(38,0)")
+    known = F.coalesce(tie.cast("bigint"), F.pmod(F.xxhash64(other), F.lit(10**18)))
+    return (micros * F.lit(10**18).cast("decimal(19,0)") + known.cast("decimal(19,0)")).cast("decimal(38,0)")

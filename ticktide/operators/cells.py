@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ticktide.functions.texts import cell_text, plain_double
+from ticktide.operators.posts import first_parts
 from ticktide.schemas import COMMENT
 
 
-def cells_of(scored: DataFrame) -> DataFrame:
-    """Scored posts as (post_id, cells), every value as text."""
+def cells_of(scored: DataFrame, *others: str) -> DataFrame:
+    """Scored nested rows as (post_id, part, cells) with every value as text; ``others`` are columns to keep."""
     cells = {
         "post_info:post_title": cell_text(F.col("post_title")),
         "post_info:post_time": cell_text(plain_double(F.col("post_time"))),
@@ -20,13 +21,12 @@ def cells_of(scored: DataFrame) -> DataFrame:
         "sentiment:comments_sentiment": cell_text(plain_double(F.col("comments_sentiment"))),
     }
     pairs: list[Column] = [part for name, value in cells.items() for part in (F.lit(name), value)]
-    kept = [name for name in ("part", "version") if name in scored.columns]
-    return scored.select(F.col("post_id").cast("string"), *kept, F.create_map(*pairs).alias("cells"))
+    return scored.select(F.col("post_id").cast("string"), "part", *others, F.create_map(*pairs).alias("cells"))
 
 
 def posts_of(cells: DataFrame) -> DataFrame:
     """Posts table of a cell scan: every cell but the comments, typed again."""
-    return _first_part(cells).select(
+    return first_parts(cells).select(
         F.col("post_id").alias("post_key"),
         _cell("post_info:post_score").try_cast("int").alias("post_score"),
         _cell("post_info:post_time").try_cast("double").alias("post_time"),
@@ -51,7 +51,3 @@ def comments_of(cells: DataFrame) -> DataFrame:
 
 def _cell(name: str) -> Column:
     return F.col("cells")[name]
-
-
-def _first_part(cells: DataFrame) -> DataFrame:
-    return cells.where(F.col("part") == 0) if "part" in cells.columns else cells

@@ -1,95 +1,42 @@
 """Order-dependent operators that survive a key holding a large share of all rows.
 
-A plain window puts every row of a key into one task. Here a key is cut, where its counted size calls
-for it, into consecutive segments of bounded size. Windows run per (key, segment); what they need from
-the segment before travels as a few carried rows or one offset per segment. Cut points are real order
-values taken from the data, so ties in time and bursts within one hour are cut as well. They only steer
-the balance: every row keeps its place in the order, and the results equal those of the plain window.
+A plain window puts every row of a key into one task. Keys whose counted size calls for it are taken apart: their
+rows are dealt out by range of (key, order), so each partition is a consecutive run of the order, a segment of
+bounded size, whatever the values look like. Windows run per (key, segment); what they need from the segments
+before travels as a few carried rows or one offset per segment. A row number as the last order value splits even
+rows that are equal in everything. The results equal those of the plain window.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ticktide.operators.sides import small_side
 from ticktide.session import stage
 
 ROWS_PER_SEGMENT = 4_000_000
-SAMPLES_PER_SEGMENT = 32
 SEGMENT = "_segment"
-LATE = "_late"
-# Rows that a segment may hand to the next one.
-CARRY = 2
+TIE = "_tie"
 
 
-def cut_points(df: DataFrame, keys: list[str], order: list[str], rows_per_segment: int) -> DataFrame | None:
-    """Per hot key a sorted array of cuts; None without hot keys.
+def hot_keys(df: DataFrame, keys: list[str], rows_per_segment: int) -> tuple[DataFrame, int] | None:
+    """The keys with more rows than a segment, staged, and the number of their rows; None without such keys.
 
-    A cut is the order value where a new segment starts (``at``), and one shortly before it with at least
-    ``CARRY`` rows from there to the cut (``late``; null if unknown). Both the number of hot keys and the
-    number of cuts are at most rows / rows_per_segment.
+    There are at most rows / rows_per_segment of them, and each carries one number.
     """
-    if not keys:
-        hot = None
-        if df.count() <= rows_per_segment:
-            return None
-    else:
-        counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
-        hot = counted.where(F.col("rows") > rows_per_segment).select(*keys)
-        if hot.isEmpty():
-            return None
-    every = max(rows_per_segment // SAMPLES_PER_SEGMENT, 1)
-    picked = df.select(*keys, F.struct(*order).alias("at"))
-    if hot is not None:
-        picked = picked.join(small_side(hot), keys, "left_semi")
-    picked = picked.where(F.pmod(F.xxhash64("at"), F.lit(every)) == 0).distinct()
-    per_key = Window.partitionBy(*keys).orderBy("at")
-    stride = min(SAMPLES_PER_SEGMENT, rows_per_segment)
-    # Samples are distinct values of rows, so from the sample CARRY places before a cut that many rows precede it.
-    late = F.lag("at", CARRY).over(per_key) if stride > CARRY else F.lit(None)
-    starts = (
-        picked.withColumns({"nth": F.row_number().over(per_key), "late": late})
-        .where(F.pmod("nth", F.lit(stride)) == 0)
-        .groupBy(*keys)
-        .agg(F.array_sort(F.collect_list(F.struct("at", "late"))).alias("cuts"))
-    )
-    staged = stage(starts)
-    return None if staged.isEmpty() else staged
-
-
-def _cuts_passed(cuts: Column, at: Column, longest: int) -> Column:
-    """Number of cut points at or before a row, by bisection."""
-
-    def halve(bounds: Column, _: Column) -> Column:
-        middle = F.floor((bounds["low"] + bounds["high"]) / 2).cast("int")
-        return (
-            F.when(bounds["low"] >= bounds["high"], bounds)
-            .when(F.get(cuts, middle)["at"] <= at, F.struct((middle + 1).alias("low"), bounds["high"].alias("high")))
-            .otherwise(F.struct(bounds["low"].alias("low"), middle.alias("high")))
-        )
-
-    start = F.struct(F.lit(0).alias("low"), F.size(cuts).alias("high"))
-    rounds = F.sequence(F.lit(1), F.lit(max(1, math.ceil(math.log2(longest + 1)) + 1)))
-    return F.aggregate(rounds, start, halve, lambda bounds: bounds["low"])
-
-
-def with_segments(df: DataFrame, keys: list[str], order: list[str], cuts: DataFrame) -> DataFrame:
-    """Add the segment number, and whether a row can be among the last ``CARRY`` rows before a cut. Keys that
-    were not cut have only segment 0."""
-    longest = cuts.agg(F.max(F.size("cuts"))).first()[0]
-    if keys:
-        marked = df.join(small_side(cuts), keys, "left")
-    else:
-        marked = df.select("*", cuts.select("cuts").scalar().alias("cuts"))
-    at = F.struct(*order)
-    passed = F.when(F.col("cuts").isNull(), 0).otherwise(_cuts_passed(F.col("cuts"), at, longest))
-    next_cut = F.get("cuts", F.col(SEGMENT))
-    late = next_cut["late"].isNull() | (at >= next_cut["late"])
-    return marked.select("*", passed.alias(SEGMENT)).select(
-        *df.columns, SEGMENT, F.coalesce(next_cut.isNotNull() & late, F.lit(False)).alias(LATE)
-    )
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > rows_per_segment)
+    hot = stage(counted)
+    total = hot.agg(F.sum("_rows")).first()[0]
+    return (hot.drop("_rows"), total) if total else None
+
+
+def with_segments(df: DataFrame, keys: list[str], order: list[str], segments: int) -> DataFrame:
+    """Add the number of the range of (keys, order) that a row lies in, and a row number that breaks ties.
+
+    Staged, because ranges come from a sample and must be the same wherever the result is used.
+    """
+    tied = df.withColumn(TIE, F.monotonically_increasing_id())
+    return stage(tied.repartitionByRange(segments, *keys, *order, TIE).withColumn(SEGMENT, F.spark_partition_id()))
 
 
 def lagged(
@@ -101,64 +48,60 @@ def lagged(
     rows_per_segment: int = ROWS_PER_SEGMENT,
 ) -> DataFrame:
     """Earlier values of ``value`` per key: one column per entry of ``offsets`` (name -> rows back)."""
-    cuts = cut_points(df, keys, order, rows_per_segment)
-
     def lags(over: Window) -> list[Column]:
         return [F.lag(value, back).over(over).alias(name) for name, back in offsets.items()]
 
-    if cuts is None:
-        over = Window.partitionBy(*keys).orderBy(*order)
-        return df.select("*", *lags(over))
-
-    depth = max(offsets.values())
-    if depth > CARRY:
-        raise ValueError(f"segments hand over {CARRY} rows, not {depth}")
-    marked = with_segments(df, keys, order, cuts)
-    cut = marked.drop(LATE)
-    last_first = Window.partitionBy(*keys, SEGMENT).orderBy(*[F.col(name).desc() for name in order])
+    hot = hot_keys(df, keys, rows_per_segment)
+    if hot is None:
+        return df.select("*", *lags(Window.partitionBy(*keys).orderBy(*order)))
+    names, rows = hot
+    named = small_side(names.select(*[F.col(name).alias(f"_{name}") for name in keys]))
+    same = [F.col(name).eqNullSafe(F.col(f"_{name}")) for name in keys]
+    rest = df.join(named, same, "left_anti").select("*", *lags(Window.partitionBy(*keys).orderBy(*order)))
+    cut = with_segments(df.join(named, same, "left_semi"), keys, order, -(-rows // rows_per_segment) + 1)
+
+    full, depth = [*order, TIE], max(offsets.values())
+    last_first = Window.partitionBy(*keys, SEGMENT).orderBy(*[F.col(name).desc() for name in full])
     tails = stage(
-        marked.where(LATE)
-        .select(*keys, SEGMENT, *[name for name in dict.fromkeys([*order, value]) if name not in keys])
-        .withColumn("back", F.row_number().over(last_first))
-        .where(F.col("back") <= depth)
-        .drop("back")
+        cut.select(*keys, SEGMENT, *[name for name in dict.fromkeys([*full, value]) if name not in keys])
+        .withColumn("back", F.row_number().over(last_first)).where(F.col("back") <= depth).drop("back")
     )
-    # For each segment, the last rows before it; a cut is a row's own value, so no segment behind one is empty.
-    # A segment shorter than that lets older rows shine through.
+    # For each segment of a key, the last rows of the key before it: few rows per segment, over all segments.
     inside = [name for name in tails.columns if name not in keys and name != SEGMENT]
-    through = Window.partitionBy(*keys).orderBy(SEGMENT, *order).rowsBetween(-(depth - 1), 0)
-    following = Window.partitionBy(*keys).orderBy(SEGMENT, *order)
+    following = Window.partitionBy(*keys).orderBy(SEGMENT, *full)
     carried = (
-        tails.withColumn("recent", F.collect_list(F.struct(*inside)).over(through))
-        .withColumn("next", F.coalesce(F.lead(SEGMENT).over(following), F.lit(-1)))
+        tails.withColumn("recent", F.collect_list(F.struct(*inside)).over(following.rowsBetween(-(depth - 1), 0)))
+        .withColumn("next", F.lead(SEGMENT).over(following))
         .where(F.col("next") != F.col(SEGMENT))
-        .select(*keys, (F.col(SEGMENT) + 1).alias(SEGMENT), F.inline("recent"))
+        .select(*keys, F.col("next").alias(SEGMENT), F.inline("recent"))
         .withColumn("_carried", F.lit(True))
     )
     whole = cut.withColumn("_carried", F.lit(False)).unionByName(carried, allowMissingColumns=True)
-    over = Window.partitionBy(*keys, SEGMENT).orderBy(*order)
-    return whole.select("*", *lags(over)).where(~F.col("_carried")).drop("_carried", SEGMENT)
+    over = Window.partitionBy(*keys, SEGMENT).orderBy(*full)
+    found = whole.select("*", *lags(over)).where(~F.col("_carried")).drop("_carried", SEGMENT, TIE)
+    return rest.unionByName(found)
 
 
 def numbered(
     df: DataFrame, order: list[str], name: str = "row_no", rows_per_segment: int = ROWS_PER_SEGMENT
 ) -> DataFrame:
-    """Number all rows from 0 in the given order."""
-    cuts = cut_points(df, [], order, rows_per_segment)
-    if cuts is None:
-        return df.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("bigint") - 1)
-    cut = with_segments(df, [], order, cuts).drop(LATE)
+    """Number all rows from 0 in the given order; rows that tie in it are ordered by their other columns."""
+    total = [*order, *[column for column in df.columns if column not in order]]
+    rows = df.count()
+    if rows <= rows_per_segment:
+        return df.withColumn(name, F.row_number().over(Window.orderBy(*total)).cast("bigint") - 1)
+    cut = with_segments(df, [], total, -(-rows // rows_per_segment) + 1)
     before = Window.orderBy(SEGMENT).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         cut.groupBy(SEGMENT)
         .agg(F.count(F.lit(1)).alias("rows"))
         .select(SEGMENT, F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("offset"))
     )
-    inside = Window.partitionBy(SEGMENT).orderBy(*order)
+    inside = Window.partitionBy(SEGMENT).orderBy(*total, TIE)
     return (
         cut.join(small_side(offsets), SEGMENT)
         .withColumn(name, F.col("offset") + F.row_number().over(inside) - 1)
-        .drop(SEGMENT, "offset")
+        .drop(SEGMENT, TIE, "offset")
     )
 
 

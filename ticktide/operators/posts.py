@@ -4,19 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ticktide.functions.times import from_epoch
 from ticktide.operators.sides import attach_parent, small_side
-from ticktide.schemas import COMMENT
+from ticktide.schemas import COMMENT, POST_KEY
 
 COMMENTS_PER_ROW = 10_000
 DAY = 86_400.0
+HOUR = 3_600
 
 
 def nest_comments(posts: DataFrame, comments: DataFrame, per_row: int = COMMENTS_PER_ROW) -> DataFrame:
     """One row per post with its comments as a sorted array.
 
-    A row holds about ``per_row`` comments at most: a post with more gets several rows (``part`` 0, 1,
-    ...), each a hash share of its comments, so that no comment is lost and no array grows without bound.
+    (``post_id``, ``part``) is the key of a row, at every size. A row holds about ``per_row`` comments at
+    most: a post with more gets parts 0, 1, ..., each a share of its comments by their hash. Part 0 always exists
+    and stands for the post where one row per post is wanted.
     """
     crowded = (
         comments.groupBy("post_id")
@@ -26,13 +27,14 @@ def nest_comments(posts: DataFrame, comments: DataFrame, per_row: int = COMMENTS
     )
     nested = (
         comments.join(small_side(crowded), "post_id", "left")
-        .withColumn("part", F.pmod(F.xxhash64("comm_id"), F.coalesce("parts", F.lit(1))).cast("int"))
-        .groupBy("post_id", "part")
+        .withColumn("part", F.pmod(F.xxhash64("comm_id", "comm_body", "comm_time_utc"), F.coalesce("parts", F.lit(1))).cast("int"))
+        .groupBy(*POST_KEY)
         .agg(F.collect_list(F.struct("comm_time_utc", "comm_id", "comm_body", "comm_score")).alias("comments"))
         .withColumn("comments", _in_time_order(F.col("comments")))
     )
-    empty = [F.lit(0).alias("part"), F.array().cast(f"array<{COMMENT.simpleString()}>").alias("comments")]
-    return attach_parent(nested, posts, "post_id", empty, seen=comments)
+    none = F.array().cast(f"array<{COMMENT.simpleString()}>").alias("comments")
+    without_first = posts.join(nested.where(F.col("part") == 0).select("post_id"), "post_id", "left_anti")
+    return nested.join(posts, "post_id").unionByName(without_first.select("*", F.lit(0).alias("part"), none))
 
 
 def _in_time_order(comments: Column) -> Column:
@@ -60,6 +62,11 @@ def comment_count(posts: DataFrame, keep_empty: bool = False) -> DataFrame:
     return counted if keep_empty else counted.where(F.col("count") > 0)
 
 
+def count_flat(comments: DataFrame) -> DataFrame:
+    """Comments per post from comment rows; only keys are read and shuffled."""
+    return comments.groupBy("post_id").agg(F.count(F.lit(1)).alias("count"))
+
+
 def day_band(posts: DataFrame, as_of: Column) -> DataFrame:
     """Posts created between 48 and 24 hours before ``as_of`` (epoch seconds), both ends included."""
     return posts.where(F.col("post_time").between(as_of - 2 * DAY, as_of - DAY))
@@ -70,7 +77,7 @@ def newest(posts: DataFrame, count: int = 1000) -> DataFrame:
 
 
 def comments_to_json(posts: DataFrame) -> DataFrame:
-    return posts.select("post_id", F.to_json("comments").alias("comments_json"))
+    return posts.select(*POST_KEY, F.to_json("comments").alias("comments_json"))
 
 
 def join_comments(posts: DataFrame, comments: DataFrame) -> DataFrame:
@@ -78,5 +85,14 @@ def join_comments(posts: DataFrame, comments: DataFrame) -> DataFrame:
     return attach_parent(comments, posts, "post_id")
 
 
-def with_post_hour(posts: DataFrame) -> DataFrame:
-    return posts.withColumn("hour", F.date_trunc("hour", from_epoch(F.col("post_time"))).cast("timestamp_ntz"))
+def first_parts(posts: DataFrame) -> DataFrame:
+    """One row per post."""
+    return posts.where(F.col("part") == 0)
+
+
+def landings(posts: DataFrame, first: int = 24, last: int = 48) -> DataFrame:
+    """Posts with the hours (``hour``, as in the landing's folders) whose files hold them: an hourly pull takes the
+    posts that are one to two days old, so a post lands once in each of these hours after the hour of its creation."""
+    after = F.explode(F.sequence(F.lit(first), F.lit(last)))
+    hour = F.timestamp_seconds(F.floor(F.col("post_time") / HOUR) * HOUR + F.col("after") * HOUR)
+    return posts.withColumn("after", after).withColumn("hour", F.date_format(hour, "yyyy-MM-dd-HH")).drop("after")

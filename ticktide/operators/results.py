@@ -15,7 +15,7 @@ def batch_results(predicted: DataFrame, bucket: str = "hour") -> DataFrame:
     Also carries the unrounded error as ``mse_exact``.
     """
     known = predicted.where(F.col("y_hat").isNotNull())
-    rank = event_rank(F.col("event_time"), F.col("event_id"))
+    rank = event_rank(F.col("event_time"), F.col("event_id"), F.col("y_hat"))
     kept = [*FEATURE_COLUMNS, "y", "y_hat"]
     rows = known.groupBy(bucket).agg(*[F.min_by(name, rank).alias(name) for name in kept], *batch_mse())
     return typed_results(rows.withColumn("time_stamp", epoch_seconds(F.col(bucket))))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ticktide.functions import sentiment as rules_of
 from ticktide.functions.sentiment import Rules
-from ticktide.operators.posts import explode_comments, with_post_hour
+from ticktide.operators.posts import first_parts
 from ticktide.operators.sides import small_table
 
 NO_UPVOTES = 1e-12
@@ -49,55 +49,62 @@ def lexicon_sentiment(
     return summed.select(*ids, rules_of.compound(F.col("total"), F.col("strength")).alias("sentiment"))
 
 
-def post_scores(posts: DataFrame, lexicon: DataFrame, rules: Rules = Rules()) -> DataFrame:
-    """``post_sentiment`` of the title, per post."""
-    scores = lexicon_sentiment(_one_row_each(posts), ["post_id"], "post_title", lexicon, rules)
+def post_scores(posts: DataFrame, lexicon: DataFrame, rules: Rules = Rules(), keys: list[str] = ["post_id"]) -> DataFrame:
+    """``post_sentiment`` of the title, per post; ``keys`` name a post, with its landing hour if it lands repeatedly."""
+    scores = lexicon_sentiment(first_parts(posts), keys, "post_title", lexicon, rules)
     return scores.withColumnRenamed("sentiment", "post_sentiment")
 
 
-def _comments_sentiment() -> Column:
+def _comments_sentiment(scored: Column, upvotes: Column, comment: Column) -> Column:
     """Upvote-weighted mean of the comments' scores, divided once more by their number.
 
-    Negative upvotes weigh 0; a post without comments scores 0.
+    Negative and null upvotes weigh 0; a post without comments scores 0.
     """
-    weight = F.greatest("comm_score", F.lit(0))
-    weighted, weights = F.sum(F.col("sentiment") * weight), F.sum(weight)
-    return F.coalesce(weighted / (weights + F.lit(NO_UPVOTES)) / F.nullif(F.count("comm_id"), F.lit(0)), F.lit(0.0))
+    weight = F.when(comment, F.greatest(upvotes, F.lit(0)))
+    weighted, weights = F.sum(scored * weight), F.sum(weight)
+    return F.coalesce(weighted / (weights + F.lit(NO_UPVOTES)) / F.nullif(F.count_if(comment), F.lit(0)), F.lit(0.0))
+
+
+def _texts(posts: DataFrame, keys: list[str], titles: bool) -> DataFrame:
+    """One row per text of a post: its title, and each comment by its place in the array. Ids of comments may be
+    missing or repeated, so they name nothing here."""
+    title = F.array(F.struct(
+        F.lit(True).alias("is_title"), F.lit(-1).alias("place"), F.lit(None).cast("int").alias("upvotes"),
+        F.col("post_title").alias("body") if titles else F.lit(None).cast("string").alias("body")))
+    comments = F.transform(F.coalesce("comments", F.array()), lambda c, at: F.struct(
+        F.lit(False).alias("is_title"), at.alias("place"), c["comm_score"].alias("upvotes"), c["comm_body"].alias("body")))
+    return posts.select(*keys, "part", F.inline(F.when(F.col("part") == 0, F.concat(title, comments)).otherwise(comments)))
+
+
+def _scores(posts: DataFrame, lexicon: DataFrame, rules: Rules, keys: list[str], titles: bool) -> DataFrame:
+    ids = [*keys, "part", "is_title", "place", "upvotes"]
+    scored = lexicon_sentiment(_texts(posts, keys, titles), ids, "body", lexicon, rules)
+    return scored.groupBy(*keys).agg(
+        F.max(F.when(F.col("is_title"), F.col("sentiment"))).alias("post_sentiment"),
+        _comments_sentiment(F.col("sentiment"), F.col("upvotes"), ~F.col("is_title")).alias("comments_sentiment"),
+    )
 
 
-def comment_scores(posts: DataFrame, lexicon: DataFrame, rules: Rules = Rules()) -> DataFrame:
-    """``comments_sentiment`` per post."""
-    comments = explode_comments(posts, keep_empty=True)
-    scored = lexicon_sentiment(comments, ["post_id", "comm_id", "comm_score"], "comm_body", lexicon, rules)
-    return scored.groupBy("post_id").agg(_comments_sentiment().alias("comments_sentiment"))
+def comment_scores(posts: DataFrame, lexicon: DataFrame, rules: Rules = Rules(), keys: list[str] = ["post_id"]) -> DataFrame:
+    """``comments_sentiment`` per post, over all its parts."""
+    return _scores(posts, lexicon, rules, keys, titles=False).drop("post_sentiment")
 
 
-def scored_posts(posts: DataFrame, lexicon: DataFrame, rules: Rules = Rules()) -> DataFrame:
-    """Posts with both sentiment columns. Titles and comments are scored in one pass."""
-    titled = F.col("part") == 0 if "part" in posts.columns else F.lit(True)
-    title = F.struct(
-        F.lit(None).cast("string").alias("comm_id"),
-        F.lit(None).cast("int").alias("comm_score"),
-        F.col("post_title").alias("body"),
-    )
-    bodies = F.transform(
-        F.coalesce("comments", F.array()), lambda c: F.struct(c["comm_id"], c["comm_score"], c["comm_body"].alias("body"))
-    )
-    texts = posts.select("post_id", F.inline(F.when(titled, F.concat(F.array(title), bodies)).otherwise(bodies)))
-    scored = lexicon_sentiment(texts, ["post_id", "comm_id", "comm_score"], "body", lexicon, rules)
-    scores = scored.groupBy("post_id").agg(
-        F.max(F.when(F.col("comm_id").isNull(), F.col("sentiment"))).alias("post_sentiment"),
-        _comments_sentiment().alias("comments_sentiment"),
-    )
-    return posts.join(scores, "post_id")
+def scored_posts(posts: DataFrame, lexicon: DataFrame, rules: Rules = Rules(), keys: list[str] = ["post_id"]) -> DataFrame:
+    """Nested rows with both sentiment columns of their post. Titles and comments are scored in one pass."""
+    return posts.join(_scores(posts, lexicon, rules, keys, titles=True), keys)
+
 
+def hourly_sentiment(landed: DataFrame, lexicon: DataFrame, rules: Rules = Rules()) -> DataFrame:
+    """Mean title sentiment, to six decimals, of the posts that landed in each hour (column ``hour`` of the landing).
 
-def hourly_sentiment(posts: DataFrame, lexicon: DataFrame, rules: Rules = Rules()) -> DataFrame:
-    """Mean post sentiment per hour of the posts' creation."""
-    titles = with_post_hour(_one_row_each(posts))
-    scores = lexicon_sentiment(titles, ["post_id", "hour"], "post_title", lexicon, rules)
-    return scores.groupBy("hour").agg(F.avg("sentiment").alias("sentiment"))
+    Scores have four decimals. They are summed as whole numbers, so the mean does not depend on the order of rows.
+    """
+    scores = lexicon_sentiment(first_parts(landed), ["hour", "post_id"], "post_title", lexicon, rules)
+    hour = F.to_timestamp("hour", "yyyy-MM-dd-HH").cast("timestamp_ntz")
+    return scores.groupBy(hour.alias("hour")).agg(_mean_of_scores().alias("sentiment"))
 
 
-def _one_row_each(posts: DataFrame) -> DataFrame:
-    return posts.where(F.col("part") == 0) if "part" in posts.columns else posts
+def _mean_of_scores() -> Column:
+    total, n = F.sum(F.round(F.col("sentiment") * 10_000).cast("bigint")), F.count(F.lit(1))
+    return F.floor((200 * total + n) / (2 * n)) / 1e6

@@ -47,17 +47,25 @@ def attach_parent(
 
 
 def latest_by(df: DataFrame, keys: list[str], version: Column) -> DataFrame:
-    """The newest row per key; versions are combined before the shuffle, so a hot key costs nothing extra."""
-    values = [name for name in df.columns if name not in keys]
-    newest = df.groupBy(*keys).agg(F.max_by(F.struct(*values), version).alias("newest"))
-    return newest.select(*keys, *[F.col("newest")[name].alias(name) for name in values])
+    """The newest row per key. ``version`` must be unique within a key and not null.
+
+    The newest version is a number per key, found by a hash aggregate that combines before the shuffle; the rows
+    follow by a join on key and version. The maximum of whole rows would sort all versions ever written.
+    """
+    newest = df.groupBy(*[F.col(name).alias(f"_{name}") for name in keys]).agg(F.max(version).alias("_newest"))
+    same = [F.col(name).eqNullSafe(F.col(f"_{name}")) for name in keys]
+    found = df.withColumn("_version", version).join(newest, [*same, F.col("_version") == F.col("_newest")], "left_semi")
+    return found.drop("_version")
 
 
-def without_top(df: DataFrame, order: list[Column], count: int, key: list[str]) -> DataFrame:
+def without_top(df: DataFrame, order: list[Column], count: int) -> DataFrame:
     """All rows but the first ``count`` in the given order.
 
     An OFFSET over a sorted frame would pull every row into one task; finding the few rows to leave
     out is a bounded top-k, and removing them needs no sort at all.
     """
-    top = F.broadcast(df.orderBy(*order).limit(count).select(*key))
-    return df.join(top, key, "left_anti")
+    top = stage(df.orderBy(*order, *df.columns).limit(count))
+    distinct = F.broadcast(top.select(*[F.col(name).alias(f"_{name}") for name in df.columns]).distinct())
+    same = [F.col(name).eqNullSafe(F.col(f"_{name}")) for name in df.columns]
+    # Only copies of a top row can be left over in part; all others are no copies and stay as they are.
+    return df.join(distinct, same, "left_anti").unionByName(df.join(distinct, same, "left_semi").exceptAll(top))

@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ticktide.session import stage
+
 EXACT_ROWS = 1_000_000
 QUANTILE_ACCURACY = 100_000
 
@@ -16,13 +20,13 @@ def histogram(df: DataFrame, column: str, bins: int = 20) -> DataFrame:
     return _binned(df, column, low, high, bins)
 
 
-def histogram_auto(df: DataFrame, column: str) -> DataFrame:
+def histogram_auto(df: DataFrame, column: str, exact_rows: int = EXACT_ROWS) -> DataFrame:
     """As ``histogram``, with the smaller bin width of Sturges and Freedman-Diaconis."""
     values = df.where(F.col(column).isNotNull())
     low, high, n = values.agg(F.min(column), F.max(column), F.count(column)).first()
     if not n:
         return _binned(df, column, low, high, 1)
-    lower, upper = quantiles(values, column, [0.25, 0.75], rows=n)
+    lower, upper = quantiles(values, column, [0.25, 0.75], rows=n, exact_rows=exact_rows)
     return _binned(df, column, low, high, auto_bins(float(high) - float(low), n, upper - lower))
 
 
@@ -70,9 +74,10 @@ def quantiles(
     if rows <= exact_rows:
         at = _values_at(values, ranks)
     else:
-        at = {}
-        for rank in ranks:
-            part, place = _narrowed(values, rank, rows, exact_rows)
+        at, found = {}, _brackets(values, ranks, rows, exact_rows)
+        near = stage(values.where(reduce(or_, [F.col("v").between(low, high) for low, high, _, _ in found.values()])))
+        for rank, (low, high, below, inside) in found.items():
+            part, place = _narrowed(near.where(F.col("v").between(low, high)), rank - below, inside, exact_rows)
             at[rank] = _values_at(part, [place])[place]
     return [
         at[math.floor(place)] + (at[math.ceil(place)] - at[math.floor(place)]) * (place - math.floor(place))
@@ -90,18 +95,36 @@ def _values_at(values: DataFrame, ranks: list[int]) -> dict[int, float]:
     return {rank: row[f"r{rank}"] for rank in ranks}
 
 
+def _brackets(
+    values: DataFrame, ranks: list[int], rows: int, exact_rows: int
+) -> dict[int, tuple[float, float, int, int]]:
+    """For each rank two values around it, the number of rows below them and that between them.
+
+    One aggregate estimates all brackets and a second one counts them. A bracket that missed its rank is
+    opened on that side and counted again.
+    """
+    accuracy = min(QUANTILE_ACCURACY, max(exact_rows // 8, 100))
+    margin = 2.0 / accuracy
+    ends = [min(1.0, max(0.0, rank / (rows - 1) + side)) for rank in ranks for side in (-margin, margin)]
+    found = values.agg(F.percentile_approx("v", ends, accuracy)).first()[0]
+    bounds = {rank: [found[2 * at], found[2 * at + 1]] for at, rank in enumerate(ranks)}
+    while True:
+        counts = values.agg(*[
+            count for low, high in bounds.values()
+            for count in (F.count_if(F.col("v") < low), F.count_if(F.col("v").between(low, high)))
+        ]).first()
+        known = {rank: (*bounds[rank], counts[2 * at], counts[2 * at + 1]) for at, rank in enumerate(bounds)}
+        missed = [rank for rank, (_, _, below, inside) in known.items() if not below <= rank < below + inside]
+        if not missed:
+            return known
+        for rank in missed:
+            bounds[rank][rank >= known[rank][2]] = math.inf if rank >= known[rank][2] else -math.inf
+
+
 def _narrowed(values: DataFrame, rank: int, rows: int, exact_rows: int) -> tuple[DataFrame, int]:
     """The part of ``values`` around a rank that is small enough to order, and the rank inside it."""
     while rows > exact_rows:
-        accuracy = min(QUANTILE_ACCURACY, max(exact_rows // 8, 100))
-        place, margin = rank / (rows - 1), 2.0 / accuracy
-        ends = [max(0.0, place - margin), min(1.0, place + margin)]
-        low, high = values.agg(F.percentile_approx("v", ends, accuracy)).first()[0]
-        below, inside = values.agg(
-            F.count_if(F.col("v") < low), F.count_if(F.col("v").between(low, high))
-        ).first()
-        if not below <= rank < below + inside:
-            raise ArithmeticError(f"rank {rank} lies outside its bracket [{low}, {high}]")
+        low, high, below, inside = _brackets(values, [rank], rows, exact_rows)[rank]
         if inside == rows:
             break
         values, rank, rows = values.where(F.col("v").between(low, high)), rank - below, inside

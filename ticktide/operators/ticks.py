@@ -11,7 +11,7 @@ from ticktide.operators.ordered import ROWS_PER_SEGMENT, lagged
 from ticktide.operators.sides import small_side
 from ticktide.schemas import TICK
 
-TICK_ORDER = ["event_time", "event_id"]
+TICK_ORDER = ["event_time", "event_id", "price"]
 
 
 def parse_ticks(messages: DataFrame, keep: list[str] | None = None) -> DataFrame:
@@ -58,7 +58,7 @@ def lag_features(
 
 def last_prices(ticks: DataFrame, bucket: str) -> DataFrame:
     """Last price per symbol and bucket, and the last price of the symbol's bucket before."""
-    rank = event_rank(F.col("event_time"), F.col("event_id"))
+    rank = event_rank(F.col("event_time"), F.col("event_id"), F.col("price"))
     last = ticks.groupBy("symbol", bucket).agg(F.max_by("price", rank).alias("last_price"))
     over = Window.partitionBy("symbol").orderBy(bucket)
     return last.withColumn("previous_price", F.lag("last_price").over(over))
@@ -83,7 +83,7 @@ def _bucketed(ticks: DataFrame, bucket: str) -> DataFrame:
 
 def batch_price_stats(ticks: DataFrame, bucket: str = "hour") -> DataFrame:
     """Row count, first and last price of each batch in a single pass."""
-    rank = event_rank(F.col("event_time"), F.col("event_id"))
+    rank = event_rank(F.col("event_time"), F.col("event_id"), F.col("price"))
     return _bucketed(ticks, bucket).groupBy(bucket).agg(
         F.count(F.lit(1)).alias("n"),
         F.min_by("price", rank).alias("first_price"),

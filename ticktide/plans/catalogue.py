@@ -6,13 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ticktide.functions.times import hour_key, hour_start
+from ticktide.functions.times import hour_key
 from ticktide.models.learners import LinearLearner, NetworkLearner, train
-from ticktide.models.state import latest_models, to_frame
+from ticktide.models.state import latest_models, load, to_frame
 from ticktide.operators import cells, enrich, ordered, posts, results, scoring, series, stats, ticks, weather
 from ticktide.operators.sides import latest_by, without_top
 from ticktide.plans import views
-from ticktide.schemas import FEATURE_COLUMNS, WEATHER_COLUMNS
+from ticktide.schemas import FEATURE_COLUMNS, POST_KEY, WEATHER_COLUMNS
 from ticktide.session import prepare, scratch_path, stage
 from ticktide.sinks import files as sinks
 from ticktide.sources import files as landed
@@ -66,6 +66,45 @@ def batch_price_stats(spark, sf_dir):
     return ticks.batch_price_stats(views.ticks(spark, sf_dir))
 
 
+def _without_ids(spark, sf_dir):
+    """Ticks as real messages bring them, without an id; the number only names the rows of the result."""
+    return views.ticks(spark, sf_dir).select(
+        F.col("event_id").alias("row"), F.lit(None).cast("bigint").alias("event_id"), "symbol", "price", "event_time")
+
+
+def lag_features_no_id(spark, sf_dir):
+    lags = ticks.lag_features(_without_ids(spark, sf_dir))
+    return rounded(lags.select("row", "price_1", "price_2", "currency_diff"), "currency_diff")
+
+
+def batch_delta_no_id(spark, sf_dir):
+    delta = ticks.batch_delta(_without_ids(spark, sf_dir))
+    return rounded(delta.select("row", "previous_price", "y"), "y")
+
+
+def batch_price_stats_no_id(spark, sf_dir):
+    return ticks.batch_price_stats(_without_ids(spark, sf_dir))
+
+
+def lag_features_cut(spark, sf_dir):
+    """Lags with a limit that every symbol exceeds, so that all rows go through segments; three rows back."""
+    lags = ordered.lagged(views.ticks(spark, sf_dir), ["symbol"], ticks.TICK_ORDER, "price",
+                          {"price_1": 1, "price_2": 2, "price_3": 3}, rows_per_segment=100)
+    return lags.select("event_id", "price_1", "price_2", "price_3")
+
+
+def ticks_numbered_cut(spark, sf_dir):
+    """Row numbers over segments; the prices, rounded, tie often."""
+    rows = views.ticks(spark, sf_dir).select(F.round("price").alias("price"), "event_id")
+    return ordered.numbered(rows, ["price"], rows_per_segment=300)
+
+
+def histogram_auto_narrowed(spark, sf_dir):
+    """As ``histogram_auto``, with quantiles found by narrowing instead of by ordering all values."""
+    found = stats.histogram_auto(views.ticks(spark, sf_dir), "price", exact_rows=500)
+    return rounded(found, "bin_start", "bin_end")
+
+
 def filter_time_range(spark, sf_dir):
     text = F.date_format("event_time", "yyyy-MM-dd HH:mm:ss.SSSSSS")
     dated = series.with_date(views.ticks(spark, sf_dir).select("symbol", "price", text.alias("timestamp")))
@@ -100,24 +139,51 @@ def ndjson_scan_bad(spark, sf_dir):
 def _landed_posts(spark, sf_dir):
     root = scratch_path(spark, "posts")
     views.land_posts(views.nested_posts(spark, sf_dir), root)
-    return landed.read_posts(spark, root, multi_line=False, partitions=["hour"])
+    return landed.read_posts(spark, root, partitions=["hour"])
+
+
+def _shown(comments: str | Column = "comments") -> Column:
+    """Whole comments as one text."""
+    return F.array_join(F.transform(comments, lambda c: F.concat_ws(
+        ":", c["comm_id"], c["comm_time_utc"].cast("bigint"), c["comm_score"], c["comm_body"])), ",").alias("comments")
 
 
 def posts_scan(spark, sf_dir):
     good = landed.good_posts(_landed_posts(spark, sf_dir))
-    return good.select(
-        "hour", "post_id", "post_title", "post_time", "post_score", "post_upvote",
-        F.size("comments").cast("bigint").alias("n_comments"),
-    )
+    return good.select("hour", "post_id", "part", "post_title", "post_time", "post_score", "post_upvote", _shown())
+
+
+def posts_scan_multiline(spark, sf_dir):
+    """The same posts as indented arrays, one file per hour."""
+    root = scratch_path(prepare(spark), "posts")
+    views.land_indented_posts(views.nested_posts(spark, sf_dir), root)
+    good = landed.good_posts(landed.read_posts(spark, root, multi_line=True, partitions=["hour"]))
+    return good.select("hour", "post_id", "part", "post_title", "post_time", "post_score", "post_upvote", _shown())
+
+
+def _together(parts):
+    """All comments of a post's parts in one row, to compare what crowded posts hold."""
+    comments = parts.select("post_id", F.inline("comments")).groupBy("post_id").agg(F.array_sort(F.collect_list(
+        F.struct("comm_time_utc", "comm_id", "comm_body", "comm_score"))).alias("comments"))
+    return comments.select("post_id", _shown())
+
+
+def posts_scan_parts(spark, sf_dir):
+    """Landed posts of which every one with more than one comment is crowded."""
+    root = scratch_path(prepare(spark), "posts")
+    views.land_posts(views.nested_posts(spark, sf_dir, per_row=1), root)
+    return _together(landed.good_posts(landed.read_posts(spark, root, partitions=["hour"])))
+
+
+def comments_to_json_parts(spark, sf_dir):
+    rows = posts.comments_to_json(views.nested_posts(spark, sf_dir, per_row=1))
+    kind = landed.POST["comments"].dataType.simpleString()
+    return _together(rows.select("post_id", F.from_json("comments_json", kind).alias("comments")))
 
 
 def posts_nest_from_flat(spark, sf_dir):
     nested = views.nested_posts(spark, sf_dir)
-    return nested.select(
-        "post_id", "part", "post_title", "post_time", "post_score", "post_upvote",
-        F.array_join(F.transform("comments", lambda c: F.concat_ws(":", c["comm_id"], c["comm_score"])), ",")
-        .alias("comments"),
-    )
+    return nested.select("post_id", "part", "post_title", "post_time", "post_score", "post_upvote", _shown())
 
 
 def posts_day_band(spark, sf_dir):
@@ -131,11 +197,12 @@ def newest_posts(spark, sf_dir):
 
 
 def comment_count(spark, sf_dir):
-    return posts.comment_count(views.nested_posts(spark, sf_dir))
+    return posts.count_flat(views.comments_flat(spark, sf_dir))
 
 
 def comment_count_outer(spark, sf_dir):
-    return posts.comment_count(views.nested_posts(spark, sf_dir), keep_empty=True)
+    """Counted in landed posts, of which only the lengths of the arrays are needed."""
+    return posts.comment_count(landed.good_posts(_landed_posts(spark, sf_dir)), keep_empty=True)
 
 
 def comments_to_json(spark, sf_dir):
@@ -148,18 +215,18 @@ def posts_join_comments(spark, sf_dir):
 
 
 def drop_top3(spark, sf_dir):
-    comments = posts.explode_comments(views.nested_posts(spark, sf_dir))
+    comments = views.comments_flat(spark, sf_dir)
     order = [F.desc("comm_score"), F.col("comm_id")]
-    return without_top(comments, order, 3, ["comm_id"]).select("comm_id", "comm_score")
+    return without_top(comments.select("comm_id", "comm_score"), order, 3)
 
 
 def histogram_comment_count(spark, sf_dir):
-    counts = posts.comment_count(views.nested_posts(spark, sf_dir))
+    counts = stage(comment_count(spark, sf_dir))
     return rounded(stats.histogram(counts, "count"), "bin_start", "bin_end")
 
 
 def histogram_comm_score(spark, sf_dir):
-    return rounded(stats.histogram(drop_top3(spark, sf_dir), "comm_score"), "bin_start", "bin_end")
+    return rounded(stats.histogram(stage(drop_top3(spark, sf_dir)), "comm_score"), "bin_start", "bin_end")
 
 
 def histogram_auto(spark, sf_dir):
@@ -185,7 +252,7 @@ def hour_partition_overwrite(spark, sf_dir):
     newest = views.posts_flat(spark, sf_dir).agg(F.max("post_time")).scalar()
     again = nested.where(F.col("post_time") == newest)
     views.land_posts(again.withColumn("post_score", F.col("post_score") + 1000), root)
-    good = landed.good_posts(landed.read_posts(spark, root, multi_line=False, partitions=["hour"]))
+    good = landed.good_posts(landed.read_posts(spark, root, partitions=["hour"]))
     return good.select("hour", "post_id", "post_score")
 
 
@@ -199,33 +266,48 @@ def schema_profile(spark, sf_dir):
 
 def lexicon_sentiment(spark, sf_dir):
     texts = views.table(prepare(spark), sf_dir, "conversations")
-    return scoring.lexicon_sentiment(texts, ["conv_id", "turn"], "text", views.lexicon(spark), views.TEST_RULES)
+    return scoring.lexicon_sentiment(texts, ["conv_id", "turn"], "text", views.lexicon(spark), views.rules(spark))
 
 
 def post_scores(spark, sf_dir):
-    return scoring.post_scores(views.nested_posts(spark, sf_dir), views.lexicon(spark), views.TEST_RULES)
+    return scoring.post_scores(views.nested_posts(spark, sf_dir), views.lexicon(spark), views.rules(spark))
+
+
+def comment_scores_parts(spark, sf_dir):
+    """Scores of crowded posts whose comments have no id, or share one."""
+    anonymous = F.transform("comments", lambda c, at: c.withField("comm_id", F.when(at % 2 == 0, F.lit("same"))))
+    nested = views.nested_posts(spark, sf_dir, per_row=1).withColumn("comments", anonymous)
+    return rounded(scoring.comment_scores(nested, views.lexicon(spark), views.rules(spark)), "comments_sentiment")
 
 
 def comment_scores(spark, sf_dir):
-    scores = scoring.comment_scores(views.nested_posts(spark, sf_dir), views.lexicon(spark), views.TEST_RULES)
+    scores = scoring.comment_scores(views.nested_posts(spark, sf_dir), views.lexicon(spark), views.rules(spark))
     return rounded(scores, "comments_sentiment")
 
 
 def hourly_sentiment(spark, sf_dir):
-    return rounded(views.sentiment_by_hour(spark, sf_dir), "sentiment")
+    """From landed files, in which a post lies in 24 hours."""
+    root = scratch_path(prepare(spark), "posts")
+    views.land_posts(posts.landings(views.nested_posts(spark, sf_dir).drop("comments")), root)
+    good = landed.good_posts(landed.read_posts(spark, root, partitions=["hour"]))
+    return rounded(scoring.hourly_sentiment(good, views.lexicon(spark), views.rules(spark)), "sentiment")
 
 
 # -- keyed cells ---------------------------------------------------------------------------------------
 
-def _cells(spark, sf_dir):
-    scored = scoring.scored_posts(views.nested_posts(spark, sf_dir), views.lexicon(spark), views.TEST_RULES)
-    return cells.cells_of(rounded(scored, "comments_sentiment"))
+def _cells(spark, sf_dir, per_row=posts.COMMENTS_PER_ROW):
+    """A stored keyed table of scored posts, written twice: the newer version of every key counts."""
+    root = scratch_path(prepare(spark), "keyed")
+    for version, score in ((1, F.col("post_score") + 1000), (2, F.col("post_score"))):
+        rows = views.nested_posts(spark, sf_dir, per_row).withColumns({"post_score": score, "version": F.lit(version)})
+        scored = scoring.scored_posts(rows, views.lexicon(spark), views.rules(spark))
+        sinks.append_versions(cells.cells_of(rounded(scored, "comments_sentiment"), "version"), root)
+    return sinks.read_latest(spark, root, POST_KEY, F.col("version"))
 
 
 def kv_row_cells(spark, sf_dir):
-    """The cells as rows; the comments' JSON has a query of its own."""
-    rows = _cells(spark, sf_dir).select("post_id", F.explode("cells").alias("qualifier", "value"))
-    return rows.where(F.col("qualifier") != "post_info:comments")
+    """All seven cells of every row of the stored table."""
+    return _cells(spark, sf_dir).select("post_id", F.explode("cells").alias("qualifier", "value"))
 
 
 def kv_scan_posts(spark, sf_dir):
@@ -236,6 +318,11 @@ def kv_scan_comments(spark, sf_dir):
     return cells.comments_of(_cells(spark, sf_dir))
 
 
+def kv_upsert_parts(spark, sf_dir):
+    """Comments of crowded posts after the upsert."""
+    return cells.comments_of(_cells(spark, sf_dir, per_row=1))
+
+
 def kv_upsert_latest(spark, sf_dir):
     """Two writes of the same keys; the second changes the score of every other post."""
     root = scratch_path(spark, "keyed")
@@ -422,12 +509,21 @@ def mlp_step(spark, sf_dir):
 
 
 def model_state_latest(spark, sf_dir):
-    """A model version per batch, here the running row count per symbol and hour; the newest counts."""
-    hourly = views.ticks(spark, sf_dir).withColumn("hour", hour_start(F.col("event_time")))
-    saved = hourly.groupBy("symbol", "hour").agg(F.count(F.lit(1)).alias("seen"), F.avg("price").alias("mean"))
-    version = F.unix_seconds(F.col("hour").cast("timestamp")).alias("version")
-    states = saved.select(F.col("symbol").alias("model"), version, "seen", "mean")
-    return rounded(latest_models(states), "mean")
+    """Versions of two models saved as a table: the start, and after a step over the whole table. The newest
+    version of each is read back."""
+    rows, root = _model_rows(spark, sf_dir), scratch_path(spark, "models")
+    for learner in (LinearLearner(), NetworkLearner()):
+        state = learner.start()
+        state.version = 0
+        sinks.append_versions(to_frame(spark, [state]), root)
+        state, _ = train(rows, learner, state)
+        state.version = 1
+        sinks.append_versions(to_frame(spark, [state]), root)
+    rows.unpersist()
+    newest = latest_models(spark.read.parquet(root))
+    linear = load(newest, LinearLearner().name)
+    return rounded(_weights(to_frame(spark, [linear])), "weight").crossJoin(
+        newest.agg(F.count(F.lit(1)).alias("models"), F.max("version").alias("version"), F.max("seen").alias("seen")))
 
 
 # -- streams -------------------------------------------------------------------------------------------
@@ -525,6 +621,17 @@ QUERIES: dict[str, Query] = {
     "ndjson_scan_good": ndjson_scan_good,
     "ndjson_scan_bad": ndjson_scan_bad,
     "posts_scan": posts_scan,
+    "posts_scan_multiline": posts_scan_multiline,
+    "posts_scan_parts": posts_scan_parts,
+    "comments_to_json_parts": comments_to_json_parts,
+    "comment_scores_parts": comment_scores_parts,
+    "kv_upsert_parts": kv_upsert_parts,
+    "lag_features_no_id": lag_features_no_id,
+    "batch_delta_no_id": batch_delta_no_id,
+    "batch_price_stats_no_id": batch_price_stats_no_id,
+    "lag_features_cut": lag_features_cut,
+    "ticks_numbered_cut": ticks_numbered_cut,
+    "histogram_auto_narrowed": histogram_auto_narrowed,
     "posts_nest_from_flat": posts_nest_from_flat,
     "posts_day_band": posts_day_band,
     "newest_posts": newest_posts,

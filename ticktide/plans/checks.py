@@ -6,6 +6,7 @@ Written independently of the queries: where Spark aggregates, these rank or join
 from __future__ import annotations
 
 from ticktide.functions import sentiment as rules
+from ticktide.functions.sentiment import Rules
 from ticktide.operators.weather import PAIR_MEASURES
 from ticktide.plans import views
 from ticktide.schemas import CITIES, FEATURE_COLUMNS, MEASURES, WEATHER_COLUMNS
@@ -38,7 +39,9 @@ def words_in(names: tuple[str, ...]) -> str:
     return ", ".join(f"'{name}'" for name in names)
 
 
-TEST = views.TEST_RULES
+TEST = Rules(
+    negators=("not", "by", "his"), intensifiers=("very", "are", "this"), dampeners=("hardly", "on", "as"), contrast="with"
+)
 # Leading or trailing ASCII punctuation, for the regular expressions of DuckDB.
 EDGES = r"^[!-/:-@\[-`{-~]+|[!-/:-@\[-`{-~]+$"
 
@@ -120,8 +123,9 @@ PARTS = {
     "post_scored": scored("posts", "post_id", "post_title"),
     "comment_scored": scored("comments", "comm_id", "comm_body"),
     "moods": """
-        SELECT date_trunc('hour', make_timestamp(CAST(post_time AS BIGINT) * 1000000)) AS hour, avg(sentiment) AS sentiment
-        FROM posts JOIN post_scored USING (post_id) GROUP BY 1""",
+        SELECT date_trunc('hour', make_timestamp(CAST(post_time AS BIGINT) * 1000000)) + after * INTERVAL 1 HOUR AS hour,
+               floor((200 * sum(CAST(round(sentiment * 10000) AS BIGINT)) + count(*)) / (2.0 * count(*))) / 1000000.0 AS sentiment
+        FROM posts JOIN post_scored USING (post_id), unnest(generate_series(24, 48)) AS t(after) GROUP BY 1""",
     "comment_mood": """
         SELECT p.post_id,
                round(coalesce(sum(s.sentiment * greatest(c.comm_score, 0)) / (sum(greatest(c.comm_score, 0)) + 1e-12)
@@ -218,7 +222,7 @@ TOP_DROPPED = """
 JSON_TIME = "'1.' || rtrim(substr(CAST(CAST(comm_time_utc AS BIGINT) AS VARCHAR), 2), '0') || 'E9'"
 
 
-def sgd_weights() -> str:
+def sgd_weights(also: str = "") -> str:
     """Weights after one step from zero: -rate times the mean of -y times the standardised input."""
     rate = 0.01
     terms = [
@@ -229,7 +233,7 @@ def sgd_weights() -> str:
     union = " UNION ALL ".join([*terms, f"SELECT 'intercept', {rate} * avg(y) FROM full_rows"])
     moments = ", ".join(f"avg({name}) AS m_{name}, stddev_pop({name}) AS s_{name}" for name in FEATURE_COLUMNS)
     return with_parts(
-        f"SELECT input, round(w, 6) AS weight FROM ({union})", "full_rows", moments=f"SELECT {moments} FROM full_rows"
+        f"SELECT input, round(w, 6) AS weight{also} FROM ({union})", "full_rows", moments=f"SELECT {moments} FROM full_rows"
     )
 
 
@@ -254,6 +258,22 @@ def long_weather(table: str, at: str) -> str:
     )
 
 
+# Whole comments in one text.
+SHOWN = """coalesce(string_agg(comm_id || ':' || CAST(comm_time_utc AS BIGINT) || ':' || comm_score || ':' || comm_body, ','
+                 ORDER BY comm_time_utc, comm_id), '')"""
+POSTS_LANDED = with_parts(
+    f"""SELECT {HOUR_KEY} AS hour, post_id, 0 AS part, post_title, post_time, post_score, post_upvote, {SHOWN} AS comments
+        FROM posts LEFT JOIN comments USING (post_id) GROUP BY ALL""", "posts", "comments"
+)
+POSTS_COMMENTS = with_parts(f"SELECT post_id, {SHOWN} AS comments FROM comments GROUP BY 1", "comments")
+COMMENTS_JSON = f"""'[' || coalesce(string_agg('{{"comm_id":"' || comm_id || '","comm_body":' || to_json(comm_body)
+                   || ',"comm_time_utc":' || {JSON_TIME} || ',"comm_score":' || comm_score || '}}', ','
+                   ORDER BY comm_time_utc, comm_id), '') || ']'"""
+KEYED_COMMENTS = with_parts(
+    """SELECT comm_id AS comment_id, comm_body AS comment_body, comm_time_utc AS comment_time,
+              comm_score AS comment_score, post_id AS post_key FROM comments JOIN posts USING (post_id)""", "posts", "comments"
+)
+
 AVERAGES = """
     SELECT time_bucket(INTERVAL '1 minute', event_time) AS window_start,
            time_bucket(INTERVAL '1 minute', event_time) + INTERVAL '1 minute' AS window_end,
@@ -272,6 +292,25 @@ CHECKS: dict[str, str] = {
         """SELECT date_trunc('hour', event_time) AS hour, count(*) AS n, arg_min(price, event_time) AS first_price,
                   arg_max(price, event_time) AS last_price FROM ticks GROUP BY 1""", "ticks"
     ),
+    "lag_features_no_id": with_parts(
+        "SELECT event_id AS row, price_1, price_2, round(currency_diff, 6) AS currency_diff FROM lags", "lags"
+    ),
+    "batch_delta_no_id": with_parts(
+        "SELECT event_id AS row, previous_price, round(price - previous_price, 6) AS y FROM deltas", "deltas"
+    ),
+    "batch_price_stats_no_id": with_parts(
+        """SELECT date_trunc('hour', event_time) AS hour, count(*) AS n, arg_min(price, event_time) AS first_price,
+                  arg_max(price, event_time) AS last_price FROM ticks GROUP BY 1""", "ticks"
+    ),
+    "lag_features_cut": with_parts(
+        """SELECT event_id, lag(price, 1) OVER w AS price_1, lag(price, 2) OVER w AS price_2, lag(price, 3) OVER w AS price_3
+           FROM ticks WINDOW w AS (PARTITION BY symbol ORDER BY event_time, event_id)""", "ticks"
+    ),
+    "ticks_numbered_cut": with_parts(
+        """SELECT round(price) AS price, event_id, row_number() OVER (ORDER BY round(price), event_id) - 1 AS row_no
+           FROM ticks""", "ticks"
+    ),
+    "histogram_auto_narrowed": histogram("SELECT price AS v FROM ticks", AUTO_BINS, "ticks"),
     "filter_time_range": with_parts(
         f"SELECT symbol, price, event_time AS date FROM ticks WHERE event_time >= {START} AND event_time <= {END}", "ticks"
     ),
@@ -290,14 +329,12 @@ CHECKS: dict[str, str] = {
                   CASE WHEN event_id % 97 <> 0 THEN symbol END AS symbol
            FROM ticks WHERE event_id % 97 = 0 OR event_id % 101 = 0""", "ticks"
     ),
-    "posts_scan": with_parts(
-        f"""SELECT {HOUR_KEY} AS hour, post_id, post_title, post_time, post_score, post_upvote,
-                   (SELECT count(*) FROM comments c WHERE c.post_id = p.post_id) AS n_comments FROM posts p""",
-        "posts", "comments",
-    ),
+    "posts_scan": POSTS_LANDED,
+    "posts_scan_multiline": POSTS_LANDED,
+    "posts_scan_parts": POSTS_COMMENTS,
+    "comments_to_json_parts": POSTS_COMMENTS,
     "posts_nest_from_flat": with_parts(
-        """SELECT p.post_id, 0 AS part, post_title, post_time, post_score, post_upvote,
-                  coalesce(string_agg(comm_id || ':' || comm_score, ',' ORDER BY comm_time_utc, comm_id), '') AS comments
+        f"""SELECT p.post_id, 0 AS part, post_title, post_time, post_score, post_upvote, {SHOWN} AS comments
            FROM posts p LEFT JOIN comments c USING (post_id) GROUP BY ALL""", "posts", "comments"
     ),
     "posts_day_band": with_parts(
@@ -313,9 +350,7 @@ CHECKS: dict[str, str] = {
         "posts", "comments",
     ),
     "comments_to_json": with_parts(
-        f"""SELECT p.post_id, '[' || coalesce(string_agg('{{"comm_id":"' || comm_id || '","comm_body":' || to_json(comm_body)
-                   || ',"comm_time_utc":' || {JSON_TIME} || ',"comm_score":' || comm_score || '}}', ','
-                   ORDER BY comm_time_utc, comm_id), '') || ']' AS comments_json
+        f"""SELECT p.post_id, 0 AS part, {COMMENTS_JSON} AS comments_json
             FROM posts p LEFT JOIN comments c USING (post_id) GROUP BY 1""", "posts", "comments"
     ),
     "posts_join_comments": with_parts(
@@ -340,27 +375,26 @@ CHECKS: dict[str, str] = {
     ),
     "post_scores": with_parts("SELECT post_id, sentiment AS post_sentiment FROM post_scored", "post_scored"),
     "comment_scores": with_parts("SELECT * FROM comment_mood", "comment_mood"),
+    "comment_scores_parts": with_parts("SELECT * FROM comment_mood", "comment_mood"),
     "hourly_sentiment": with_parts("SELECT hour, round(sentiment, 6) AS sentiment FROM moods", "moods"),
     "kv_row_cells": with_parts(
         """SELECT post_id, qualifier, value FROM (
                SELECT post_id, post_title AS "post_info:post_title", CAST(post_time AS VARCHAR) AS "post_info:post_time",
                       CAST(post_score AS VARCHAR) AS "post_info:post_score",
-                      CAST(post_upvote AS VARCHAR) AS "post_info:post_upvote",
+                      CAST(post_upvote AS VARCHAR) AS "post_info:post_upvote", comments_json AS "post_info:comments",
                       CAST(sentiment AS VARCHAR) AS "sentiment:post_sentiment",
                       CAST(comments_sentiment AS VARCHAR) AS "sentiment:comments_sentiment"
-               FROM posts JOIN post_scored USING (post_id) JOIN comment_mood USING (post_id))
-           UNPIVOT (value FOR qualifier IN (COLUMNS(* EXCLUDE (post_id))))""", "post_scored", "comment_mood"
+               FROM posts JOIN post_scored USING (post_id) JOIN comment_mood USING (post_id) JOIN json USING (post_id))
+           UNPIVOT (value FOR qualifier IN (COLUMNS(* EXCLUDE (post_id))))""", "post_scored", "comment_mood", "comments",
+        json=f"SELECT p.post_id, {COMMENTS_JSON} AS comments_json FROM posts p LEFT JOIN comments c USING (post_id) GROUP BY 1",
     ),
     "kv_scan_posts": with_parts(
         """SELECT post_id AS post_key, post_score, post_time, post_title, post_upvote, comments_sentiment,
                   sentiment AS post_sentiment
            FROM posts JOIN post_scored USING (post_id) JOIN comment_mood USING (post_id)""", "post_scored", "comment_mood"
     ),
-    "kv_scan_comments": with_parts(
-        """SELECT comm_id AS comment_id, comm_body AS comment_body, comm_time_utc AS comment_time,
-                  comm_score AS comment_score, post_id AS post_key FROM comments JOIN posts USING (post_id)""",
-        "posts", "comments",
-    ),
+    "kv_scan_comments": KEYED_COMMENTS,
+    "kv_upsert_parts": KEYED_COMMENTS,
     "kv_upsert_latest": with_parts(
         """SELECT post_id, CAST(post_score + CASE WHEN CAST(post_id AS BIGINT) % 2 = 0 THEN 1000 ELSE 0 END AS INT) AS post_score,
                   CAST(CASE WHEN CAST(post_id AS BIGINT) % 2 = 0 THEN 2 ELSE 1 END AS BIGINT) AS version FROM posts""", "posts"
@@ -430,12 +464,8 @@ CHECKS: dict[str, str] = {
     "series_sentiment": with_parts("SELECT date, 'Sentiment' AS series, sentiment AS value FROM results", "results"),
     "series_weather": with_parts(long_weather("results", "date"), "results"),
     "sgd_first_step": sgd_weights(),
-    "model_state_latest": with_parts(
-        """SELECT symbol AS model, CAST(epoch(hour) AS BIGINT) AS version, count(*) AS seen, round(avg(price), 6) AS mean
-           FROM (SELECT *, date_trunc('hour', event_time) AS hour,
-                        max(date_trunc('hour', event_time)) OVER (PARTITION BY symbol) AS newest FROM ticks)
-           WHERE hour = newest GROUP BY symbol, hour""", "ticks"
-    ),
+    "model_state_latest": sgd_weights(", CAST(2 AS BIGINT) AS models, CAST(1 AS BIGINT) AS version, "
+                                      "(SELECT count(*) FROM full_rows) AS seen"),
     "stream_parse_ticks": with_parts(f"SELECT symbol, price, event_time, {BASE}, {QUOTE} FROM parsed", "parsed"),
     "stream_parquet_roundtrip": with_parts(
         f"""SELECT event_id, symbol, price, event_time, {BASE}, {QUOTE},
@@ -449,6 +479,7 @@ CHECKS: dict[str, str] = {
     ),
     "stream_enrich_hour": with_parts(
         f"""SELECT t.event_id, date_trunc('hour', t.event_time) AS hour, {', '.join(f'round(c.{n}, 6) AS {n}' for n in CONTEXT)}
-            FROM usable t ASOF LEFT JOIN context c ON date_trunc('hour', t.event_time) >= c.hour""", "usable", "context"
+            FROM (SELECT * FROM parsed WHERE event_time IS NOT NULL) t
+            ASOF LEFT JOIN context c ON date_trunc('hour', t.event_time) >= c.hour""", "parsed", "context"
     ),
 }

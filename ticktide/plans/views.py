@@ -8,9 +8,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ticktide.functions.sentiment import Rules
+from ticktide.functions.sentiment import Rules, rules_of
 from ticktide.operators.enrich import complete, feature_table
-from ticktide.operators.posts import nest_comments
+from ticktide.operators.posts import COMMENTS_PER_ROW, landings, nest_comments
 from ticktide.operators.scoring import hourly_sentiment
 from ticktide.operators.weather import flatten_weather
 from ticktide.schemas import CITIES
@@ -25,17 +25,19 @@ TICKS = """
 
 POSTS_FLAT = """
     SELECT CAST(conv_id AS STRING) AS post_id, text AS post_title,
-           CAST(1704067200 + conv_id * 3600 AS DOUBLE) AS post_time,
+           CAST(1704067200 + conv_id % 1000000000 * 3600 AS DOUBLE) AS post_time,
            CAST(length(text) % 100 AS INT) AS post_score,
            CAST(conv_id % 10 AS DOUBLE) / 10 AS post_upvote
-    FROM {conversations} WHERE turn = 0"""
+    FROM (SELECT conv_id, turn, text FROM {conversations}
+          UNION ALL SELECT 1000000000 + conv_id, turn, text FROM {conversations} WHERE conv_id % 50 = 0) AS c
+    WHERE turn = 0"""
 
 COMMENTS_FLAT = """
     SELECT CAST(conv_id AS STRING) AS post_id,
            concat(CAST(conv_id AS STRING), '-', CAST(turn AS STRING)) AS comm_id, text AS comm_body,
            CAST(1704067200 + conv_id * 3600 + turn * 60 AS DOUBLE) AS comm_time_utc,
            CAST(length(text) % 41 - 10 AS INT) AS comm_score
-    FROM {conversations} WHERE turn > 0 AND role = 'assistant'"""
+    FROM {conversations} WHERE turn > 0"""
 
 WEATHER_FLAT = """
     SELECT date_trunc('hour', ts) AS hour,
@@ -52,9 +54,11 @@ LEXICON = """
                  ('was', -2.1), ('it', 0.3), ('for', 1.5)) AS t(token, valence)"""
 
 # Test rules, made of frequent words as well, so that every rule family meets real rows.
-TEST_RULES = Rules(
-    negators=("not", "by", "his"), intensifiers=("very", "are", "this"), dampeners=("hardly", "on", "as"), contrast="with"
-)
+RULES = """
+    SELECT token, kind
+    FROM (VALUES ('not', 'negator'), ('by', 'negator'), ('his', 'negator'), ('very', 'intensifier'), ('are', 'intensifier'),
+                 ('this', 'intensifier'), ('hardly', 'dampener'), ('on', 'dampener'), ('as', 'dampener'),
+                 ('with', 'contrast')) AS t(token, kind)"""
 
 # Weights of the fixed linear prediction used for results: feature -> weight.
 FIXED_MODEL = {"currency_diff": 0.25, "tem_paris": 0.05, "hum_tokyo": -0.01, "wind_ny": 0.1, "sentiment": 2.0}
@@ -98,8 +102,12 @@ def lexicon(spark: SparkSession) -> DataFrame:
     return spark.sql(LEXICON)
 
 
-def nested_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return nest_comments(posts_flat(spark, sf_dir), comments_flat(spark, sf_dir))
+def rules(spark: SparkSession) -> Rules:
+    return rules_of(spark.sql(RULES))
+
+
+def nested_posts(spark: SparkSession, sf_dir: str, per_row: int = COMMENTS_PER_ROW) -> DataFrame:
+    return nest_comments(posts_flat(spark, sf_dir), comments_flat(spark, sf_dir), per_row)
 
 
 def nested_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -122,8 +130,17 @@ def land_weather(spark: SparkSession, sf_dir: str, root: str) -> None:
 
 
 def land_posts(posts: DataFrame, root: str) -> None:
+    """Land posts as JSON lines, by their column ``hour`` or else by the hour of their creation."""
+    hour = F.date_format(F.timestamp_seconds("post_time"), "yyyy-MM-dd-HH")
+    overwrite_hours(posts if "hour" in posts.columns else posts.withColumn("hour", hour), root)
+
+
+def land_indented_posts(posts: DataFrame, root: str) -> None:
+    """Land posts by hour of creation as the producer writes them: one indented JSON array per file."""
     hour = F.date_format(F.timestamp_seconds("post_time"), "yyyy-MM-dd-HH")
-    overwrite_hours(posts.drop("part").withColumn("hour", hour), root)
+    record = F.struct(*[name for name in posts.columns])
+    files = posts.groupBy(hour.alias("hour")).agg(F.to_json(F.collect_list(record), {"pretty": "true"}).alias("value"))
+    files.write.partitionBy("hour").option("lineSep", "\n").text(root)
 
 
 def tick_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -165,7 +182,9 @@ def time_slices(spark: SparkSession, sf_dir: str, count: int) -> list[DataFrame]
 
 
 def sentiment_by_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return hourly_sentiment(posts_flat(spark, sf_dir), lexicon(spark), TEST_RULES)
+    """The mood of every landing hour. Posts land again hour by hour, and are scored each time they land."""
+    landed = landings(posts_flat(spark, sf_dir)).withColumn("part", F.lit(0))
+    return hourly_sentiment(landed, lexicon(spark), rules(spark))
 
 
 def flat_weather(spark: SparkSession, sf_dir: str) -> DataFrame:

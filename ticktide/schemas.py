@@ -22,6 +22,7 @@ COMMENT = T.StructType([
 
 POST = T.StructType([
     T.StructField("post_id", T.StringType()),
+    T.StructField("part", T.IntegerType()),
     T.StructField("post_title", T.StringType()),
     T.StructField("post_time", T.DoubleType()),
     T.StructField("post_score", T.IntegerType()),
@@ -62,6 +63,9 @@ RESULTS = T.StructType(
     + [T.StructField(name, T.DoubleType()) for name in ("y", "y_hat", "mse", "time_stamp")]
 )
 
+# A nested row is a post or, if the post is crowded, one part of it. A landing holds one row per hour and key.
+POST_KEY = ["post_id", "part"]
+
 MODEL_STATE = T.StructType([
     T.StructField("model", T.StringType(), False),
     T.StructField("version", T.LongType(), False),

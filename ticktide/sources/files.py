@@ -26,23 +26,30 @@ def read_lines(spark: SparkSession, root: str, schema: T.StructType, partitions:
     read, so the same line could be good in one query and bad in the next.
     """
     kept = [*(partitions or []), "_metadata"]
-    lines = _read_text(spark, root, partitions, whole=False)
+    return _judged(_read_text(spark, root, partitions, whole=False), schema, kept)
+
+
+def _judged(records: DataFrame, schema: T.StructType, kept: list[str]) -> DataFrame:
     record = _with_extra(schema, T.StructField(CORRUPT, T.StringType()))
     parsed = F.from_json("value", record, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    return lines.select(parsed.alias("record"), *kept).select("record.*", *kept)
+    return records.select(parsed.alias("record"), *kept).select("record.*", *kept)
 
 
 def read_documents(spark: SparkSession, root: str, schema: T.StructType, partitions: list[str] | None = None) -> DataFrame:
-    """One JSON array (or object) per file, spread over any number of lines. A file that cannot be read is
-    one row with its text in ``_corrupt_record``. A file is one task's work, so it suits bounded files only."""
+    """One JSON array (or object) per file, spread over any number of lines.
+
+    The array is cut into the texts of its records, and each record is judged by the same rule as a line. A file that
+    is no array is one row with its text in ``_corrupt_record``. A file is one task's work and one string, so this
+    suits the producer's hourly files; larger landings are written as lines.
+    """
     kept = [*(partitions or []), "_metadata"]
     files = _read_text(spark, root, partitions, whole=True)
-    parsed = F.from_json("value", T.ArrayType(schema), {"mode": "PERMISSIVE"})
-    bad = F.when(F.col("parsed").isNull(), F.col("value")).alias(CORRUPT)
-    return files.select("value", parsed.alias("parsed"), *kept).select(F.inline_outer("parsed"), bad, *kept)
+    pieces = F.from_json("value", "array<string>", {"mode": "PERMISSIVE"})
+    records = files.select("*", "_metadata", F.explode(F.coalesce(pieces, F.array("value"))).alias("record_text"))
+    return _judged(records.withColumn("value", F.col("record_text")), schema, kept)
 
 
-def read_posts(spark: SparkSession, root: str, multi_line: bool = True, partitions: list[str] | None = None) -> DataFrame:
+def read_posts(spark: SparkSession, root: str, multi_line: bool = False, partitions: list[str] | None = None) -> DataFrame:
     """Posts, with unreadable records in ``_corrupt_record``.
 
     The producer writes pretty-printed arrays (``multi_line``). Line-delimited files split across tasks
@@ -52,7 +59,9 @@ def read_posts(spark: SparkSession, root: str, multi_line: bool = True, partitio
 
 
 def good_posts(posts: DataFrame) -> DataFrame:
-    return posts.where(F.col(CORRUPT).isNull() & F.col("post_id").isNotNull()).drop(CORRUPT)
+    """Readable posts. Producers that know no parts write none, so a missing part is the first."""
+    good = posts.where(F.col(CORRUPT).isNull() & F.col("post_id").isNotNull()).drop(CORRUPT)
+    return good.withColumn("part", F.coalesce("part", F.lit(0)))
 
 
 def bad_records(rows: DataFrame) -> DataFrame:
@@ -68,7 +77,8 @@ def read_weather(spark: SparkSession, root: str, multi_line: bool = False) -> Da
 
 def read_weather_hour(spark: SparkSession, root: str, hour: str) -> DataFrame:
     """One hour's weather; only that hour's directory is listed and read."""
-    return read_weather(spark, root).where(F.col("hour") == hour)
+    schema = _with_extra(WEATHER, T.StructField("hour", T.StringType()))
+    return spark.read.schema(schema).option("basePath", root).json(f"{root}/hour={hour}")
 
 
 def read_inferred(spark: SparkSession, root: str, multi_line: bool = False, sampling: float = 1.0) -> DataFrame:

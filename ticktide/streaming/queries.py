@@ -19,7 +19,7 @@ from ticktide.schemas import FEATURE_COLUMNS
 from ticktide.sinks.files import batch_path, write_batch
 
 CARRIED_TICKS = 2
-ARRIVAL_ORDER = ["arrival", "event_time", "event_id"]
+ARRIVAL_ORDER = ["arrival", "event_time", "event_id", "price"]
 
 
 def start(writer: DataStreamWriter, drain: bool = False) -> StreamingQuery:
@@ -143,9 +143,11 @@ def lag_stream(
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         known = carried.with_state(usable(batch), batch_id).persist()
-        write_batch(carried.features(known, rows_per_segment), path, batch_id)
-        carried.save(known, batch_id)
-        known.unpersist()
+        try:
+            write_batch(carried.features(known, rows_per_segment), path, batch_id)
+            carried.save(known, batch_id)
+        finally:
+            known.unpersist()
 
     return _per_batch(ticks, checkpoint, handle).outputMode("append")
 
@@ -158,7 +160,11 @@ def enrich_stream(ticks: DataFrame, context: Context, path: str, checkpoint: str
     batch, so an hour that lands late is seen by the next batch."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        write_batch(asof_hour_join(usable(batch), *context()), path, batch_id)
+        timed = batch.where(F.col("event_time").isNotNull()).persist()  # read for its hours and for its rows
+        try:
+            write_batch(asof_hour_join(timed, *context()), path, batch_id)
+        finally:
+            timed.unpersist()
 
     return _per_batch(ticks, checkpoint, handle).outputMode("append")
 
