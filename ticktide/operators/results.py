@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ticktide.functions.times import epoch_seconds, event_rank, from_epoch
 from ticktide.operators.stats import batch_mse
-from ticktide.schemas import FEATURE_COLUMNS, RESULT_COLUMNS, RESULTS
+from ticktide.schemas import FEATURE_COLUMNS, RESULTS
 
 
 def batch_results(predicted: DataFrame, bucket: str = "hour") -> DataFrame:
@@ -46,8 +46,3 @@ def in_period(results: DataFrame, start: Column, end: Column) -> DataFrame:
     """Results between two time stamps, both included. Compares the stored seconds, so the filter
     reaches the scan."""
     return results.where(F.col("time_stamp").between(epoch_seconds(start), epoch_seconds(end)))
-
-
-__all__ = [
-    "RESULT_COLUMNS", "batch_results", "dated", "in_period", "strip_prefix", "time_bounds", "typed_results",
-]

@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from ticktide.schemas import CITIES, MEASURES, WEATHER_COLUMNS
+from ticktide.schemas import CITIES, MEASURES
 
 KELVIN_OFFSET = 273.15
 PAIR_MEASURES = ("humidity", "wind_speed", "pressure", "temp", "feels_like")
@@ -31,11 +31,6 @@ def raw_measures(weather: DataFrame) -> DataFrame:
     )
 
 
-def vector_columns(flat: DataFrame) -> DataFrame:
-    """What goes into the feature vector, without the names."""
-    return flat.drop("city_name")
-
-
 def pivot_weather(flat: DataFrame) -> DataFrame:
     """One row per hour with 15 columns, by name: ``tem_paris``, ``hum_paris``, ``wind_paris``, ..."""
     measures = [F.max(F.col(source).cast("double")).alias(prefix) for prefix, source in MEASURES.items()]
@@ -77,9 +72,3 @@ def pair_correlation(measures: DataFrame, columns: tuple[str, ...] = PAIR_MEASUR
 def union_weather(frames: list[DataFrame]) -> DataFrame:
     """Frames with drifting schemas, by name, duplicates kept. Reading one directory needs no union."""
     return reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), frames)
-
-
-__all__ = [
-    "KELVIN_OFFSET", "PAIR_MEASURES", "WEATHER_COLUMNS", "flatten_weather", "pair_correlation", "pivot_weather",
-    "raw_measures", "union_weather", "unpivot_weather", "vector_columns",
-]

@@ -505,7 +505,7 @@ def mlp_step(spark, sf_dir):
     learner = NetworkLearner()
     state, _ = train(rows, learner, learner.start())
     rows.unpersist()
-    return to_frame(spark, [state]).select(F.posexplode("weights").alias("at", "weight"))
+    return rounded(to_frame(spark, [state]).select(F.posexplode("weights").alias("at", "weight")), "weight")
 
 
 def model_state_latest(spark, sf_dir):
@@ -596,7 +596,7 @@ def _prequential(spark, sf_dir, learner):
         return streams.prequential_stream(parsed, context, learner, root, checkpoint)
 
     _drained(spark, sf_dir, make, slices=4)
-    return spark.read.parquet(f"{root}/results")
+    return rounded(spark.read.parquet(f"{root}/results"), "y", "y_hat", "mse_exact")
 
 
 def stream_prequential(spark, sf_dir):

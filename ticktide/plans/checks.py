@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from ticktide.functions import sentiment as rules
 from ticktide.functions.sentiment import Rules
+from ticktide.models.learners import LinearLearner, NetworkLearner
 from ticktide.operators.weather import PAIR_MEASURES
 from ticktide.plans import views
 from ticktide.schemas import CITIES, FEATURE_COLUMNS, MEASURES, WEATHER_COLUMNS
@@ -237,6 +238,88 @@ def sgd_weights(also: str = "") -> str:
     )
 
 
+def network_step() -> str:
+    """Weights of the network after one step: forward and backward pass as sums over (row, unit), then Adam."""
+    learner = NetworkLearner()
+    layers = learner.layers(learner.start().weights)
+    values = ", ".join(
+        f"({at}, {i}, {j}, {float(weight)!r})"
+        for at, layer in enumerate(layers) for i, row in enumerate(layer) for j, weight in enumerate(row)
+    )
+    scaled = [f"(({name} - avg({name}) OVER ()) / coalesce(nullif(stddev_pop({name}) OVER (), 0), 1))" for name in FEATURE_COLUMNS]
+    parts = {
+        "w": f"SELECT * FROM (VALUES {values}) AS t(layer, i, j, weight)",
+        "inputs": f"SELECT row_number() OVER () AS row, y, [{', '.join(scaled)}, 1.0] AS x FROM full_rows",
+        "v0": "SELECT row, unnest(generate_series(0, len(x) - 1)) AS i, unnest(x) AS v FROM inputs",
+    }
+    last = len(layers) - 1
+    for at, layer in enumerate(layers[:-1]):
+        parts[f"s{at + 1}"] = f"SELECT row, j AS i, greatest(sum(v * weight), 0) AS v FROM v{at} JOIN w USING (i) WHERE layer = {at} GROUP BY ALL"
+        parts[f"v{at + 1}"] = f"FROM s{at + 1} UNION ALL SELECT row, {layer.shape[1]}, 1.0 FROM inputs"
+    parts[f"d{last}"] = f"""SELECT row, 0 AS j, sum(v * weight) - any_value(y) AS d FROM v{last} JOIN w USING (i) JOIN inputs USING (row)
+                            WHERE layer = {last} GROUP BY ALL"""
+    for at in range(last, 0, -1):
+        parts[f"d{at - 1}"] = f"""SELECT s.row, s.i AS j, sum(d * weight) * any_value(CAST(s.v > 0 AS INT)) AS d
+            FROM s{at} s JOIN w ON w.layer = {at} AND w.i = s.i JOIN d{at} b ON b.row = s.row AND b.j = w.j GROUP BY ALL"""
+    slopes = " UNION ALL ".join(
+        f"SELECT {at} AS layer, i, j, sum(v * d) / (SELECT count(*) FROM inputs) AS g FROM v{at} JOIN d{at} USING (row) GROUP BY i, j"
+        for at in range(len(layers))
+    )
+    ends = [0]
+    for layer in layers:
+        ends.append(ends[-1] + layer.size)
+    offset = " ".join(f"WHEN {at} THEN {ends[at]} + i * {layer.shape[1]} + j" for at, layer in enumerate(layers))
+    bias = " ".join(f"WHEN {at} THEN i = {len(layer) - 1}" for at, layer in enumerate(layers))
+    first, second = learner.betas
+    correction = (1 - second) ** 0.5 / (1 - first)
+    parts["slopes"] = f"""SELECT layer, i, j, weight, g + CASE WHEN CASE layer {bias} END THEN 0 ELSE {learner.penalty} * weight END AS g
+                          FROM ({slopes}) JOIN w USING (layer, i, j)"""
+    return with_parts(
+        f"""SELECT CAST(CASE layer {offset} END AS INT) AS at,
+                   round(weight - {learner.rate * correction!r} * {1 - first!r} * g / (sqrt({1 - second!r} * g * g) + {learner.epsilon}), 6) AS weight
+            FROM slopes""", "full_rows", **parts)
+
+
+def online_sgd(slices: int = 4) -> str:
+    """Results of the linear model's test-then-train stream: a chain of batches, each with the weights and the
+    moments that the batches before it left. Batch 0 has no earlier prices and thus no rows to learn from."""
+    learner, x = LinearLearner(), FEATURE_COLUMNS
+    parts = {
+        "cuts": f"""SELECT epoch_us(min(event_time)) AS low,
+                           CAST(round_even((epoch_us(max(event_time)) - epoch_us(min(event_time))) / {float(slices)}, 0) AS BIGINT) AS step
+                    FROM ticks""",
+        "sliced": f"""SELECT *, {' + '.join(f'CAST(epoch_us(event_time) >= low + {at} * step AS INT)' for at in range(1, slices))} AS batch
+                      FROM usable, cuts""",
+        "last_of": "SELECT symbol, batch, arg_max(price, event_time) AS price FROM sliced GROUP BY ALL",
+        "moved": """SELECT *, lag(price, 1) OVER w - lag(price, 2) OVER w AS currency_diff,
+                           price - (SELECT arg_max(l.price, l.batch) FROM last_of l WHERE l.symbol = s.symbol AND l.batch < s.batch) AS y
+                    FROM sliced s WINDOW w AS (PARTITION BY symbol ORDER BY event_time, event_id)""",
+        "r": f"""SELECT batch, event_id, event_time, y, currency_diff, {', '.join(f'c.{name}' for name in CONTEXT)}
+                 FROM moved m ASOF LEFT JOIN context c ON date_trunc('hour', m.event_time) >= c.hour
+                 WHERE {' AND '.join(f'{name} IS NOT NULL' for name in [*x, 'y'])}""",
+        "w1": "SELECT " + ", ".join(f"0.0::DOUBLE AS w_{name}" for name in [*x, "bias"]),
+    }
+    found = []
+    for at in range(1, slices):
+        rate = f"({learner.rate} / {at} ** {learner.power}::DOUBLE)"
+        seen = f"batch < {at}" if at > 1 else "batch = 1"
+        moments = ", ".join(f"avg({n}) AS a_{n}, coalesce(nullif(stddev_pop({n}), 0), 1) AS s_{n}" for n in x)
+        parts[f"m{at}"] = f"SELECT {moments} FROM r WHERE {seen}"
+        scaled = ", ".join(f"({n} - a_{n}) / s_{n} AS z_{n}" for n in x)
+        parts[f"z{at}"] = f"SELECT r.*, {scaled} FROM r, m{at} WHERE batch = {at}"
+        parts[f"e{at}"] = f"""SELECT *, y_hat - y AS error FROM (
+            SELECT z.*, w_bias + {' + '.join(f'w_{n} * z_{n}' for n in x)} AS y_hat FROM z{at} z, w{at})"""
+        steps = [f"any_value(w_{n}) - {rate} * (avg(error * z_{n}) + {learner.penalty} * any_value(w_{n})) AS w_{n}" for n in x]
+        parts[f"w{at + 1}"] = f"SELECT {', '.join(steps)}, any_value(w_bias) - {rate} * avg(error) AS w_bias FROM e{at}, w{at}"
+        if at > 1:
+            first = ", ".join(f"CAST({n} AS FLOAT) AS {n}" for n in x)
+            found.append(f"""SELECT {first}, round(y, 6) AS y, round(y_hat, 6) AS y_hat,
+                (SELECT round_even(avg(error ** 2), 0) FROM e{at}) AS mse, epoch_us(event_time) / 1000000.0 AS time_stamp,
+                (SELECT round(avg(error ** 2), 6) FROM e{at}) AS mse_exact, {at} AS batch_id
+                FROM e{at} QUALIFY row_number() OVER (ORDER BY event_time, event_id) = 1""")
+    return with_parts(" UNION ALL ".join(found), "usable", "context", **parts)
+
+
 def weather_leaves() -> str:
     leaves = {
         "hour": "string", "main.feels_like": "double", "main.humidity": "bigint", "main.pressure": "bigint",
@@ -464,6 +547,7 @@ CHECKS: dict[str, str] = {
     "series_sentiment": with_parts("SELECT date, 'Sentiment' AS series, sentiment AS value FROM results", "results"),
     "series_weather": with_parts(long_weather("results", "date"), "results"),
     "sgd_first_step": sgd_weights(),
+    "mlp_step": network_step(),
     "model_state_latest": sgd_weights(", CAST(2 AS BIGINT) AS models, CAST(1 AS BIGINT) AS version, "
                                       "(SELECT count(*) FROM full_rows) AS seen"),
     "stream_parse_ticks": with_parts(f"SELECT symbol, price, event_time, {BASE}, {QUOTE} FROM parsed", "parsed"),
@@ -477,6 +561,7 @@ CHECKS: dict[str, str] = {
                   round(lag(price, 1) OVER w - lag(price, 2) OVER w, 6) AS currency_diff
            FROM usable WINDOW w AS (PARTITION BY symbol ORDER BY event_time, event_id)""", "usable"
     ),
+    "stream_prequential_sgd": online_sgd(),
     "stream_enrich_hour": with_parts(
         f"""SELECT t.event_id, date_trunc('hour', t.event_time) AS hour, {', '.join(f'round(c.{n}, 6) AS {n}' for n in CONTEXT)}
             FROM (SELECT * FROM parsed WHERE event_time IS NOT NULL) t
