@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
+from ticktide.llm.tables import staged, with_largest
 from ticktide.llm.words import Words, crc_remainder, mix, text_of, text_slices, words_of
 
 BUCKETS = 1 << 17        # hashed features
@@ -198,18 +199,16 @@ def lexicon_counts(rows: DataFrame) -> DataFrame:
 def _sampled(rows: DataFrame, seed: int) -> DataFrame:
     """At most SAMPLE_DOCS rows per language, those with the smallest hashes.
 
-    The limit per language is found on hashes alone, so texts of other rows are never shuffled.
+    A hash limit from the language's number of rows leaves somewhat more than that; only those are ordered.
     """
-    def smallest(df: DataFrame) -> DataFrame:
-        order = Window.partitionBy("lang").orderBy("draw")
-        return df.withColumn("at", F.row_number().over(order)).where(F.col("at") <= SAMPLE_DOCS)
-
-    drawn = rows.withColumn("draw", F.xxhash64(F.lit(seed), "doc_id"))
-    limits = smallest(drawn.select("lang", "draw")).groupBy("lang").agg(F.max("draw").alias("limit")).collect()
     chosen = F.lit(False)
-    for row in limits:
-        chosen = chosen | ((F.col("lang") == row["lang"]) & (F.col("draw") <= row["limit"]))
-    return smallest(drawn.where(chosen))
+    for row in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect():
+        share = min(1.0, 1.3 * (SAMPLE_DOCS + 100) / row["n"])
+        limit = min(int(-(1 << 63) + share * (1 << 64)), (1 << 63) - 1)
+        chosen = chosen | ((F.col("lang") == row["lang"]) & (F.col("draw") <= limit))
+    drawn = rows.withColumn("draw", F.xxhash64(F.lit(seed), "doc_id")).where(chosen)
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("draw"))
+    return drawn.withColumn("at", place).where(F.col("at") <= SAMPLE_DOCS)
 
 
 def fit(docs: DataFrame, keep: Column | None = None, seed: int = 5, rounds: int = 60) -> Model:
@@ -223,7 +222,7 @@ def fit(docs: DataFrame, keep: Column | None = None, seed: int = 5, rounds: int
     counts = lexicon_counts(rows)
     words = counts.groupBy("word").agg(F.sum("n").alias("total"), F.map_from_entries(
         F.collect_list(F.struct("lang", "n"))).alias("by")).where(F.col("total") >= LEXICON_MIN)
-    top = words.orderBy(F.col("total").desc(), "word").limit(LEXICON_WORDS).collect()
+    top = with_largest(staged(words, "crf-words"), "total", LEXICON_WORDS).collect()
     sample = _sampled(rows, seed)
     pieces = F.split(F.trim(F.regexp_replace("text", r"[\x20\x09-\x0D]+", " ")), " ")
     middle = F.greatest(F.lit(1), F.floor((F.size("w") - SAMPLE_WORDS) / 2) + 1).cast("int")

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ticktide.llm.tables import staged
+from ticktide.llm.tables import hashed_sample, staged, with_largest
 from ticktide.llm.words import crc_remainder, text_of, text_slices, words_of
 
 WORDS = 4_096         # vocabulary of the network
@@ -111,7 +111,7 @@ class Vocabulary:
 def vocabulary(counts: DataFrame) -> Vocabulary:
     totals = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("tokens"), F.count(F.lit(1)).alias("types"),
                         F.coalesce(F.sum(F.when(F.col("word") == 0, F.col("n"))), F.lit(0)).alias("ends")).first()
-    top = counts.orderBy(F.col("n").desc(), "word").limit(COMMON).toPandas()
+    top = with_largest(counts, "n", COMMON).toPandas().sort_values(["n", "word"], ascending=[False, True])
     words, n = top["word"].to_numpy(np.int64).view(np.uint64), top["n"].to_numpy(np.int64)
     inner = np.flatnonzero(words != END)[:WORDS]
     number = np.full(len(words), len(inner))
@@ -254,7 +254,7 @@ def fit(docs: DataFrame, known: Vocabulary, seed: int = 9) -> Network:
     """Train on at most TRAIN_DOCS documents by hash of the id, in SHARDS tasks whose weights are averaged per round."""
     network = Network(known)
     draw = F.xxhash64(F.lit(seed), "doc_id")
-    limit = docs.select(draw.alias("draw")).orderBy("draw").limit(TRAIN_DOCS).agg(F.max("draw").alias("top")).first()["top"]
+    limit = hashed_sample(docs.select(draw.alias("draw")), "draw", TRAIN_DOCS).agg(F.max("draw").alias("top")).first()["top"]
     if limit is None or not known.size:
         return network
     spark = docs.sparkSession
@@ -287,7 +287,7 @@ def fit(docs: DataFrame, known: Vocabulary, seed: int = 9) -> Network:
         return train
 
     for turn in range(ROUNDS):
-        trained = sample.groupBy("shard").applyInPandas(trainer(turn), "size long, weights binary")
+        trained = sample.repartition(SHARDS, "shard").groupBy("shard").applyInPandas(trainer(turn), "size long, weights binary")
         found = trained.orderBy("size", "weights").collect()
         total = sum(row["size"] for row in found)
         network.load(sum(np.frombuffer(row["weights"], np.float32) * np.float32(row["size"] / total) for row in found))
@@ -324,7 +324,7 @@ def _parts(docs: DataFrame, known: Vocabulary, network: Network) -> DataFrame:
     def work(batches):
         held_counts, model = shared.value
         for whole in batches:
-            for batch in text_slices(whole, "text", SLICE_BYTES):
+            for batch in text_slices(whole, "text"):
                 hashes, first = _hashes(text_of(batch, "text"))
                 texts, length = batch.num_rows, np.diff(first)
                 row = np.repeat(np.arange(texts), length)

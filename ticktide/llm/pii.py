@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ticktide.llm.tables import hashed_sample
 from ticktide.llm.words import text_of
 
 KINDS = ("email", "ip", "card", "phone")
@@ -270,7 +271,7 @@ EXAMPLE = "kind string, good int, place long, features array<double>"
 def fit(docs: DataFrame, seed: int = 7) -> Model:
     """Trees and thresholds from at most SAMPLE_DOCS documents that hold a digit or an at sign, by hash of the id."""
     narrow = docs.where(F.col("text").rlike("[0-9@]")).select("doc_id", F.xxhash64(F.lit(seed), "doc_id").alias("draw"))
-    limit = narrow.select("draw").orderBy("draw").limit(SAMPLE_DOCS).agg(F.max("draw").alias("top")).first()["top"]
+    limit = hashed_sample(narrow, "draw", SAMPLE_DOCS).agg(F.max("draw").alias("top")).first()["top"]
     if limit is None:
         return Model({}, {})
     chosen = docs.select("doc_id", "text", F.xxhash64(F.lit(seed), "doc_id").alias("draw")).where(F.col("draw") <= limit)

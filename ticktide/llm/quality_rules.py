@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ticktide.llm.tables import staged
+from ticktide.llm.tables import hashed_sample, staged
 from ticktide.llm.words import Words, mix, text_of, text_slices, words_of
 
 SAMPLE_ROWS = 20_000   # labelled rows from which a list is learned
@@ -225,8 +225,8 @@ def judged(docs: DataFrame, labels: DataFrame, seed: int = 3) -> DataFrame:
     counts = staged(measured(docs), "quality-counts")
     known = labels.where("quality is not null and doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
     passing = counts.where(~base_failed()).select("doc_id", *[value.alias(name) for name, value in statistics().items()])
-    drawn = passing.join(known, "doc_id").orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id").limit(SAMPLE_ROWS)
-    sample = drawn.toPandas()
+    drawn = passing.join(known, "doc_id").withColumn("draw", F.xxhash64(F.lit(seed), "doc_id"))
+    sample = hashed_sample(drawn, "draw", SAMPLE_ROWS).toPandas().sort_values(["draw", "doc_id"])
     values = {name: sample[name].to_numpy(float) for name in statistics()}
     rule = first_rule(learn(values, (sample["quality"] == 0).to_numpy(bool), seed))
     return counts.select("*", base_failed().alias("base_failed"), rule.alias("rule")).withColumn(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ticktide.session import prepare, scratch_path
@@ -13,7 +13,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:
@@ -36,6 +36,27 @@ def documents_with(docs: DataFrame, column: str, kind: str) -> DataFrame:
     return docs if column in docs.columns else docs.withColumn(column, F.lit(None).cast(kind))
 
 
+def hashed_sample(rows: DataFrame, draw: str, size: int) -> DataFrame:
+    """At most ``size`` rows, those with the smallest of the evenly spread 64-bit hashes in column ``draw``.
+
+    The rows are counted first and cut by a hash limit that leaves somewhat more than ``size`` of them, so that
+    neither many rows nor the best rows of every partition come together in one task.
+    """
+    share = 1.3 * (size + 100) / max(rows.count(), 1)
+    if share < 1:
+        rows = rows.where(F.col(draw) <= int(-(1 << 63) + share * (1 << 64)))
+    return rows.orderBy(draw).limit(size)
+
+
+def with_largest(rows: DataFrame, value: str, size: int) -> DataFrame:
+    """The rows with the largest values, as many whole values as make at most ``size`` rows. Only one row per distinct
+    value is ordered."""
+    counted = rows.groupBy(value).agg(F.count(F.lit(1)).alias("__rows"))
+    upto = F.sum("__rows").over(Window.orderBy(F.col(value).desc()))
+    least = counted.withColumn("__upto", upto).where(F.col("__upto") <= size).agg(F.min(value).alias("least")).first()["least"]
+    return rows.where(F.lit(False) if least is None else F.col(value) >= least)
+
+
 def fixpoint(start: DataFrame, step: Callable[[DataFrame], DataFrame], label: str, rounds: int = 60) -> DataFrame:
     """Apply ``step`` until the set of rows stays the same; each round is staged."""
     def mark(df: DataFrame) -> tuple:

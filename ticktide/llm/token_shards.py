@@ -38,8 +38,8 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 SEPARATOR = 50256
 ROUNDS = 6
 TOKEN = np.dtype("<u2")
-KNOWN_PIECES = 1_000_000
-SLICE_BYTES = 8 << 20
+KNOWN_PIECES = 500_000
+SLICE_BYTES = 4 << 20
 META = "meta.json"
 MANIFEST = ("slot long, shard long, byte_offset long, sequence long, n_tokens int, doc_ids array<long>, "
             "token_crc32 long")
