@@ -18,9 +18,9 @@ HEADLINE = [
     "parse_ticks", "tumbling_avg", "lag_features", "batch_delta", "batch_price_stats", "histogram_auto",
     "comment_count", "lexicon_sentiment", "comment_scores", "hourly_sentiment", "kv_scan_posts", "kv_upsert_latest",
     "weather_pivot", "weather_pair_corr", "forward_fill_hour", "asof_hour_join", "feature_table", "results_append",
-    "sgd_first_step", "mlp_step", "stream_tumbling_avg", "stream_lag_features",
+    "sgd_first_step", "mlp_step", "stream_tumbling_avg", "stream_lag_features", "stream_prequential_sgd", "stream_prequential",
 ]
-ONCE = {"stream_tumbling_avg", "stream_lag_features"}
+ONCE = {"stream_tumbling_avg", "stream_lag_features", "stream_prequential_sgd", "stream_prequential"}
 
 
 def run(spark, name: str, sf_dir: str) -> float:

@@ -1,10 +1,14 @@
 """Every query with a SQL check gives the same rows as DuckDB; the others give rows."""
 
+import importlib
+import sys
+
 import duckdb
 import pytest
 
 import __spark_entry__ as contract
 from tests.conftest import SMALL
+from ticktide.plans.catalogue import QUERIES
 
 TABLES = ("events", "conversations")
 DUCK_TYPES = {
@@ -28,7 +32,7 @@ def ordered_rows(rows, columns):
     return sorted(tuple(repr(row[at]) for at in order) for row in rows)
 
 
-@pytest.mark.parametrize("name", sorted(set(contract.queries()) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - SLOW))
 def test_query(spark, duck, sf_dir, name):
     result = contract.queries()[name](spark, sf_dir)
     rows = result.collect()
@@ -49,3 +53,12 @@ def test_every_check_has_a_query():
 
 def test_entry(spark):
     assert contract.entry(spark).count() == 1000
+
+
+def test_contract_without_the_text_operators(monkeypatch):
+    monkeypatch.setitem(sys.modules, "ticktide.llm.queries", None)
+    monkeypatch.setitem(sys.modules, "corpus_pipeline", None)
+    bare = importlib.reload(contract)
+    assert set(bare.queries()) == set(QUERIES) and set(bare.oracle_sql()) <= set(QUERIES)
+    monkeypatch.undo()
+    importlib.reload(contract)

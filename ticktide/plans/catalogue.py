@@ -590,13 +590,17 @@ def stream_enrich_hour(spark, sf_dir):
 
 
 def _prequential(spark, sf_dir, learner):
+    """The stream fills the results table, which is then scanned by name."""
     root, context = scratch_path(prepare(spark), "online"), _context(spark, sf_dir)
+    name = f"results_{root[-32:]}"
+    sinks.create_results_table(spark, name, f"{root}/table", by_batch=True)
 
     def make(parsed, checkpoint):
-        return streams.prequential_stream(parsed, context, learner, root, checkpoint)
+        return streams.prequential_stream(parsed, context, learner, root, checkpoint, name)
 
     _drained(spark, sf_dir, make, slices=4)
-    return rounded(spark.read.parquet(f"{root}/results"), "y", "y_hat", "mse_exact")
+    # The catalog lists a partitioned table's folders only when it is read, so read before it is forgotten.
+    return _forget(spark, name, stage(rounded(run_query(spark, f"SELECT * FROM {name}"), "y", "y_hat")))
 
 
 def stream_prequential(spark, sf_dir):

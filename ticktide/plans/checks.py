@@ -315,7 +315,7 @@ def online_sgd(slices: int = 4) -> str:
             first = ", ".join(f"CAST({n} AS FLOAT) AS {n}" for n in x)
             found.append(f"""SELECT {first}, round(y, 6) AS y, round(y_hat, 6) AS y_hat,
                 (SELECT round_even(avg(error ** 2), 0) FROM e{at}) AS mse, epoch_us(event_time) / 1000000.0 AS time_stamp,
-                (SELECT round(avg(error ** 2), 6) FROM e{at}) AS mse_exact, {at} AS batch_id
+                {at} AS batch_id
                 FROM e{at} QUALIFY row_number() OVER (ORDER BY event_time, event_id) = 1""")
     return with_parts(" UNION ALL ".join(found), "usable", "context", **parts)
 

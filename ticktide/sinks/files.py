@@ -33,11 +33,15 @@ def read_latest(spark: SparkSession, root: str, keys: list[str], version: Column
     return latest_by(spark.read.parquet(root), keys, version)
 
 
-def create_results_table(spark: SparkSession, table: str, location: str | None = None) -> None:
-    """The results table: 17 FLOAT features, then y, y_hat, mse and time_stamp as DOUBLE."""
+def create_results_table(spark: SparkSession, table: str, location: str | None = None, by_batch: bool = False) -> None:
+    """The results table: 17 FLOAT features, then y, y_hat, mse and time_stamp as DOUBLE.
+
+    ``by_batch`` adds the partition column ``batch_id``, for a stream whose batches may be replayed.
+    """
     columns = ", ".join(f"{field.name} {field.dataType.simpleString()}" for field in RESULTS)
+    parts = (", batch_id INT", " PARTITIONED BY (batch_id)") if by_batch else ("", "")
     place = f" LOCATION '{location}'" if location else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet{place}")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}{parts[0]}) USING parquet{parts[1]}{place}")
 
 
 def append_results(rows: DataFrame, table: str) -> None:
@@ -45,6 +49,14 @@ def append_results(rows: DataFrame, table: str) -> None:
     rows.select(*RESULT_COLUMNS).write.insertInto(table)
 
 
+def overwrite_batch_results(rows: DataFrame, table: str, batch_id: int) -> None:
+    """Results of one micro-batch by column name; a replayed batch replaces its own rows only."""
+    rows.sparkSession.sql(
+        f"INSERT OVERWRITE TABLE {table} PARTITION (batch_id = {int(batch_id)}) SELECT * FROM {{rows}}",
+        rows=rows.select(*RESULT_COLUMNS),
+    )
+
+
 def compact(spark: SparkSession, source: str, target: str, partition_by: list[str] | None = None) -> None:
     """Rewrite many small files into few large ones at a new path."""
     rows = spark.read.parquet(source)

@@ -16,7 +16,7 @@ from ticktide.operators.ordered import ROWS_PER_SEGMENT
 from ticktide.operators.results import typed_results
 from ticktide.operators.ticks import lag_features, parse_ticks, split_symbol, tumbling_avg
 from ticktide.schemas import FEATURE_COLUMNS
-from ticktide.sinks.files import batch_path, write_batch
+from ticktide.sinks.files import batch_path, overwrite_batch_results, write_batch
 
 CARRIED_TICKS = 2
 ARRIVAL_ORDER = ["arrival", "event_time", "event_id", "price"]
@@ -175,11 +175,12 @@ def prequential_stream(
     learner: LinearLearner | NetworkLearner,
     root: str,
     checkpoint: str,
+    table: str | None = None,
 ) -> DataStreamWriter:
     """Test-then-train per batch: predict with the model so far, score, take one step, store one result row.
 
-    Below ``root``: ``prices`` (carried ticks), ``models`` (one version per batch) and ``results``. Each is
-    keyed by batch id and read from the version before, so a replay changes nothing.
+    Below ``root``: ``prices`` (carried ticks), ``models`` (one version per batch) and, unless ``table`` names the
+    results table, ``results``. Each is keyed by batch id and read from the version before, so a replay changes nothing.
     """
     carried = CarriedPrices(f"{root}/prices")
 
@@ -206,7 +207,10 @@ def prequential_stream(
                 "mse": F.bround(F.lit(float(gradient.squared_error)), 0),
                 "mse_exact": F.lit(float(gradient.squared_error)),
             })
-            write_batch(typed_results(scored), f"{root}/results", batch_id)
+            if table:
+                overwrite_batch_results(typed_results(scored), table, batch_id)
+            else:
+                write_batch(typed_results(scored), f"{root}/results", batch_id)
         write_batch(to_frame(spark, [state]), f"{root}/models", batch_id)
         carried.save(known, batch_id)
         rows.unpersist()
