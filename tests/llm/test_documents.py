@@ -451,8 +451,8 @@ def test_forward_backward_is_exact():
             continue
         mass = np.zeros((high - low, labels))
         for path in np.ndindex(*[labels] * (high - low)):
-            weight = np.exp(sum(scores[low + k, y] for k, y in enumerate(path)) + sum(transitions[a, b] for a, b in zip(path, path[1:]))
-                            + transitions[:, path[0]].max() * 0) * np.exp(transitions[:, path[0]]).sum()
+            weight = np.exp(sum(scores[low + k, y] for k, y in enumerate(path)) + sum(transitions[a, b] for a, b in zip(path, path[1:])))
+            weight *= np.exp(transitions[:, path[0]]).sum()  # any state may stand before the first word
             for k, y in enumerate(path):
                 mass[k, y] += weight
         assert np.allclose(mass / mass.sum(axis=1, keepdims=True), found[low:high])

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ticktide.llm.tables import hashed_sample, staged
-from ticktide.llm.words import Words, mix, text_of, text_slices, words_of
+from ticktide.llm.words import mix, text_of, text_slices, words_of
 
 SAMPLE_ROWS = 20_000   # labelled rows from which a list is learned
 MAX_CONDITIONS = 4

@@ -24,18 +24,13 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def with_bytes_of_model(spark: SparkSession, rows: list, limit: int) -> list:
-    """Guard for model tables that go to every task: their documented bound must hold."""
+def bounded(rows, limit: int):
+    """Guard for a table that goes to every task: its documented bound must hold."""
     if len(rows) > limit:
         raise ValueError(f"a model table has {len(rows)} rows, its bound is {limit}")
     return rows
 
 
-def documents_with(docs: DataFrame, column: str, kind: str) -> DataFrame:
-    """Make sure that an optional input column exists."""
-    return docs if column in docs.columns else docs.withColumn(column, F.lit(None).cast(kind))
-
-
 def hashed_sample(rows: DataFrame, draw: str, size: int) -> DataFrame:
     """At most ``size`` rows, those with the smallest of the evenly spread 64-bit hashes in column ``draw``.
 
