@@ -114,7 +114,7 @@ def test_update_versions_give_the_running_average(spark, feed, tmp_path):
     out, checkpoint = str(tmp_path / "out"), str(tmp_path / "checkpoint")
     for rows in ([("A", 0, 10)], [("A", 0.5, 20), ("B", 0, 3)]):
         feed.add(*rows)
-        drain(streams.average_versions(feed.stream(), out, checkpoint))
+        drain(streams.average_versions(feed.stream(), out, checkpoint, "10 minutes"))
     versions = spark.read.parquet(out)
     assert versions.where("symbol = 'A'").count() == 2
     newest = versions.groupBy("symbol").agg(F.max_by("avg_price", "batch_id")).collect()

@@ -561,7 +561,7 @@ def stream_parquet_roundtrip(spark, sf_dir):
 
 def stream_tumbling_avg(spark, sf_dir):
     target = scratch_path(prepare(spark), "averages")
-    _drained(spark, sf_dir, lambda parsed, checkpoint: streams.average_versions(parsed, target, checkpoint))
+    _drained(spark, sf_dir, lambda parsed, checkpoint: streams.average_versions(parsed, target, checkpoint, "10 minutes"))
     versions = spark.read.parquet(target)
     latest = latest_by(versions, ["window_start", "window_end", "symbol"], F.col("batch_id")).drop("batch_id")
     return rounded(_ntz(latest, "window_start", "window_end"), "avg_price")

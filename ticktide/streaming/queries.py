@@ -74,10 +74,12 @@ def averages_to_console(ticks: DataFrame, checkpoint: str, width: str = "1 minut
 
 
 def average_versions(
-    ticks: DataFrame, path: str, checkpoint: str, width: str = "1 minute", watermark: str = "10 minutes"
+    ticks: DataFrame, path: str, checkpoint: str, watermark: str, width: str = "1 minute"
 ) -> DataStreamWriter:
     """Write every changed average with its batch id as version; readers take the newest per window.
 
+    ``watermark`` has no default: ticks that are later than it are left out of their window, so whoever starts the
+    stream must say how late ticks may be. Spark counts them as ``numRowsDroppedByWatermark`` in the query's progress.
     Update mode sends only what changed, where complete mode would rewrite all windows every time.
     """
     return _per_batch(
