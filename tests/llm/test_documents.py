@@ -400,6 +400,29 @@ def test_language_model_scores(spark, docs, rows):
     assert gru_lm.scored(empty(spark)).count() == 0
 
 
+@pytest.mark.parametrize("lanes", [1, 3, 8])
+def test_training_reads_every_text_in_whole(lanes):
+    rng = np.random.default_rng(1)
+    texts = [rng.integers(0, 70, size) for size in (5, 0, 900, 24, 23, 1, 60, 300)]
+    wanted = [[*text.tolist(), 71] for text in texts]
+    going, found, before = [[] for _ in range(lanes)], [], np.full(lanes, 71)
+    for inputs, outputs, live in gru_lm.lane_windows(iter(texts), lanes, 71):
+        going, before = [going[lane] for lane in live], before[live]
+        for lane in range(len(live)):
+            assert inputs[0, lane] == before[lane]
+            for t, number in enumerate(outputs[:, lane].tolist()):
+                if number >= 0:
+                    assert t == 0 or inputs[t, lane] == outputs[t - 1, lane]
+                    going[lane].append(number)
+                    if number == 71:
+                        found.append(going[lane])
+                        going[lane] = []
+        before = outputs[-1]
+    assert sorted(found) == sorted(wanted)
+    known = gru_lm.Vocabulary(np.arange(1, 71, dtype=np.uint64), np.full(70, 5), np.arange(70), 70, np.full(70, 5), 1000, 200, 20)
+    assert gru_lm.train_shard(gru_lm.Network(known), iter(texts), lanes) == sum(map(len, wanted))
+
+
 def test_gradients_are_those_of_the_loss():
     rng = np.random.default_rng(0)
     known = gru_lm.Vocabulary(np.arange(1, 71, dtype=np.uint64), np.full(70, 5), np.arange(70), 70, np.full(70, 5), 1000, 200, 20)

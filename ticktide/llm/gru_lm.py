@@ -5,32 +5,37 @@ network written in numpy; they are dealt into classes by frequency, so a word's
 class times that within the class. All other words share one class, within which a word is as probable as its
 smoothed count in the corpus, so that the probabilities of all words, seen or not, add up to one.
 
-The network is trained by truncated backpropagation on a bounded sample, in shards whose weights are
-averaged after each round. Scoring carries the state through the whole text. Counts of words beyond those that
-every task holds are joined by shuffle.
+The network is trained by truncated backpropagation on all training documents in whole, in shards whose number
+follows from the counted words. A task streams its shard through lanes, each of which carries its state through
+whole texts; the weights are averaged after each round. Scoring carries the state likewise. Counts of words beyond
+those that every task holds are joined by shuffle.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ticktide.llm.tables import hashed_sample, staged, with_largest
+from ticktide.llm.tables import staged, with_largest
 from ticktide.llm.words import crc_remainder, text_of, text_slices, words_of
 
 WORDS = 4_096         # vocabulary of the network
 CLASS_WORDS = 64
 HIDDEN = 16
 COMMON = 1 << 18      # words whose counts every task holds: at most 4 MB
-TRAIN_DOCS = 4_000    # sampled training documents
-TRAIN_WORDS = 256     # consecutive words of each, from a place that follows from its id
-SHARDS, ROUNDS = 4, 4
-LANES, WINDOW, RATE = 32, 24, 0.01
+SHARDS, ROUNDS = 4, 4      # at least so many shards, and so many averages of their weights
+SHARD_TOKENS = 1 << 21     # words that a shard trains on in a round, a text more at most
+PASS_TOKENS = 1 << 22      # up to so many words every round is a pass over all of them, beyond it the rounds share one pass
+LANES, WINDOW, RATE = 512, 24, 0.01
+LANE_TOKENS = 1 << 13      # words for which a shard opens a further lane
+PIECE = 1 << 14            # weights that are averaged in one row
 END = np.uint64(0)    # stands for the end of a text among the word hashes
 PENDING = 1 << 20     # distinct words that a task gathers before it hands counts on
 SLICE_BYTES = 4 << 20
@@ -185,7 +190,10 @@ class Network:
         return result
 
     def window(self, inputs: np.ndarray, outputs: np.ndarray, state: np.ndarray):
-        """Gradients over one window (steps x lanes) by truncated backpropagation; also the state to carry on."""
+        """Gradients over one window (steps x lanes) by truncated backpropagation; also the state to carry on.
+
+        Places with a negative output hold no word and count for nothing.
+        """
         steps, lanes = inputs.shape
         known, saved = np.empty((steps, lanes, HIDDEN), np.float32), []
         for t in range(steps):
@@ -195,16 +203,20 @@ class Network:
             known[t] = state
             saved.append((before, kept))
         flat, number = known.reshape(-1, HIDDEN), outputs.ravel()
+        empty = number < 0
         group = np.where(number < self.size, number // CLASS_WORDS, self.classes + number - self.size)
         scores = flat @ self.to_class + self.class_bias
         share = np.exp(scores - scores.max(axis=1, keepdims=True))
         share /= share.sum(axis=1, keepdims=True)
         share[np.arange(len(group)), group] -= 1
+        share[empty] = 0
         slopes = [np.zeros_like(p) for p in self.parameters()]
         slopes[2], slopes[3] = flat.T @ share, share.sum(axis=0)
         back = share @ self.to_class.T
-        for at in np.unique(group[group < self.classes]):
-            own = np.flatnonzero(group == at)
+        order = np.argsort(group, kind="stable")
+        cuts = np.searchsorted(group[order], np.arange(self.classes + 1))
+        for at in np.flatnonzero(np.diff(cuts)):
+            own = order[cuts[at]:cuts[at + 1]]
             inner = flat[own] @ self.to_word[at] + self.word_bias[at]
             inner = np.exp(inner - inner.max(axis=1, keepdims=True))
             inner /= inner.sum(axis=1, keepdims=True)
@@ -213,84 +225,131 @@ class Network:
             back[own] += inner @ self.to_word[at].T
         back = back.reshape(steps, lanes, HIDDEN)
         carried = np.zeros((lanes, HIDDEN), np.float32)
+        d_input = np.empty((steps, lanes, 3 * HIDDEN), known.dtype)
         for t in range(steps - 1, -1, -1):
             before, (z, r, inner, u) = saved[t]
             total = back[t] + carried
             d_inner = total * (1 - z) * (1 - inner * inner)
             d_z = total * (before - inner) * z * (1 - z)
             d_r = d_inner * u * r * (1 - r)
-            np.add.at(slopes[0], inputs[t], np.concatenate([d_z, d_r, d_inner], axis=1))
+            d_input[t] = np.concatenate([d_z, d_r, d_inner], axis=1)
             d_u = np.concatenate([d_z, d_r, d_inner * r], axis=1)
             slopes[1] += before.T @ d_u
             carried = total * z + d_u @ self.again.T
             carried[inputs[t] == self.size + 1] = 0
-        return [slope / (steps * lanes) for slope in slopes], state
-
-
-def train_shard(network: Network, texts: list[np.ndarray], seed: int) -> Network:
-    """One pass over the texts, laid end to end in lanes; the state is carried from window to window."""
-    rng = np.random.default_rng(seed)
-    end = network.size + 1
-    stream = np.concatenate([np.append(texts[at], end) for at in rng.permutation(len(texts))])
-    lanes = max(1, min(LANES, len(stream) // (2 * WINDOW)))
-    length = len(stream) // lanes
-    outputs = stream[:length * lanes].reshape(lanes, length).T
-    inputs = np.vstack([np.full((1, lanes), end), outputs[:-1]])
-    state = np.zeros((lanes, HIDDEN), np.float32)
+        order = np.argsort(inputs, axis=None, kind="stable")
+        read = inputs.ravel()[order]
+        first = np.flatnonzero(np.append(True, read[1:] != read[:-1]))
+        slopes[0][read[first]] = np.add.reduceat(d_input.reshape(-1, 3 * HIDDEN)[order], first, axis=0)
+        return [slope / max(1, len(empty) - int(empty.sum())) for slope in slopes], state
+
+
+def lane_windows(texts: Iterator[np.ndarray], lanes: int, end: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Every word and end of the texts in windows: inputs and outputs (steps x lanes), and the lanes of the window before
+    that go on.
+
+    A lane takes the next text where its last one ends, so no text is cut between lanes. Once the texts run out, places
+    without a word have output -1 and lanes without one are left out.
+    """
+    rest = [np.zeros(0, np.int64)] * lanes
+    last = np.full(lanes, end)
+    while True:
+        outputs = np.full((len(rest), WINDOW), -1)
+        for lane in range(len(rest)):
+            filled = 0
+            while filled < WINDOW:
+                if not len(rest[lane]):
+                    text = next(texts, None)
+                    if text is None:
+                        break
+                    rest[lane] = np.append(text, end)
+                taken = rest[lane][:WINDOW - filled]
+                outputs[lane, filled:filled + len(taken)] = taken
+                rest[lane] = rest[lane][len(taken):]
+                filled += len(taken)
+        live = np.flatnonzero(outputs[:, 0] >= 0)
+        if not len(live):
+            return
+        rest, outputs = [rest[lane] for lane in live], outputs[live]
+        inputs = np.hstack([last[live, None], np.where(outputs < 0, end, outputs)[:, :-1]])
+        last = outputs[:, -1]
+        yield inputs.T, outputs.T, live
+
+
+def train_shard(network: Network, texts: Iterator[np.ndarray], lanes: int) -> int:
+    """One pass over the whole texts as they come, the state carried from window to window; the number of outputs."""
+    state, seen = np.zeros((lanes, HIDDEN), np.float32), 0
     parameters = network.parameters()
     first, second = [np.zeros_like(p) for p in parameters], [np.zeros_like(p) for p in parameters]
-    for turn, at in enumerate(range(0, length, WINDOW), 1):
-        slopes, state = network.window(inputs[at:at + WINDOW], outputs[at:at + WINDOW], state)
+    for turn, (inputs, outputs, live) in enumerate(lane_windows(iter(texts), lanes, network.size + 1), 1):
+        slopes, state = network.window(inputs, outputs, state[live])
+        seen += int((outputs >= 0).sum())
         norm = max(1.0, float(np.sqrt(sum((s * s).sum() for s in slopes))))
         for p, s, m, v in zip(parameters, slopes, first, second):
             s = s / norm
             m += 0.1 * (s - m)
             v += 0.01 * (s * s - v)
             p -= RATE * (m / (1 - 0.9 ** turn)) / (np.sqrt(v / (1 - 0.99 ** turn)) + 1e-6)
-    return network
+    return seen
+
+
+def _averaged(trained: DataFrame, shards: int) -> list:
+    """Per piece of the weights their mean over the shards by words, summed in two steps of about sqrt(shards) rows each."""
+    def total(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["size", "weights"])
+        size = int(rows["size"].sum())
+        mean = sum(np.frombuffer(w, np.float32) * np.float32(n / size) for n, w in zip(rows["size"], rows["weights"]))
+        return pd.DataFrame({"piece": rows["piece"].iloc[:1].to_numpy(), "part": [0], "size": [size], "weights": [mean.tobytes()]})
+
+    step = trained.withColumn("part", F.pmod("part", F.lit(int(shards ** 0.5) or 1)))
+    kind = "piece int, part int, size long, weights binary"
+    return step.groupBy("piece", "part").applyInPandas(total, kind).groupBy("piece").applyInPandas(total, kind).orderBy("piece").collect()
 
 
 def fit(docs: DataFrame, known: Vocabulary, seed: int = 9) -> Network:
-    """Train on at most TRAIN_DOCS documents by hash of the id, in SHARDS tasks whose weights are averaged per round."""
+    """Train on all documents in whole. Every document belongs to one shard of one round, or of each if they are few."""
     network = Network(known)
-    draw = F.xxhash64(F.lit(seed), "doc_id")
-    limit = hashed_sample(docs.select(draw.alias("draw")), "draw", TRAIN_DOCS).agg(F.max("draw").alias("top")).first()["top"]
-    if limit is None or not known.size:
+    if not known.size:
         return network
     spark = docs.sparkSession
     vocabulary_everywhere = spark.sparkContext.broadcast(known)
+    rounds = 1 if known.tokens <= PASS_TOKENS else ROUNDS  # disjoint parts of the documents
+    shards = max(SHARDS, -(-known.tokens // (rounds * SHARD_TOKENS)))
+    lanes = max(1, min(LANES, known.tokens // (rounds * shards * LANE_TOKENS)))
 
     def numbers(batches):
         for whole in batches:
             for batch in text_slices(whole, "text"):
                 hashes, first = _hashes(text_of(batch, "text"))
-                number = vocabulary_everywhere.value.look_up(hashes)[1].astype(np.int32)
-                rows = []
-                for low, high, mark in zip(first[:-1], first[1:] - 1, batch.column(1).to_pylist()):
-                    skip = mark % max(1, high - low - TRAIN_WORDS + 1)
-                    rows.append(number[low + skip:min(high, low + skip + TRAIN_WORDS)])
-                yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(rows, pa.list_(pa.int32()))], ["draw", "numbers"])
+                number = vocabulary_everywhere.value.look_up(hashes)[1].astype(np.int16)
+                rows = [number[low:high].tobytes() for low, high in zip(first[:-1], first[1:] - 1)]
+                yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(rows, pa.binary())], ["draw", "numbers"])
 
-    chosen = docs.select("text", draw.alias("draw")).where(F.col("draw") <= limit)
-    sample = chosen.mapInArrow(numbers, "draw long, numbers array<int>").orderBy("draw").limit(TRAIN_DOCS)
-    sample = staged(sample.withColumn("shard", F.pmod(F.xxhash64("draw"), F.lit(SHARDS))), "gru-sample")
+    drawn = docs.select("text", F.xxhash64(F.lit(seed), "doc_id", "text").alias("draw"))
+    texts = staged(drawn.mapInArrow(numbers, "draw long, numbers binary"), "gru-texts")
 
     def trainer(turn: int):
         weights = spark.sparkContext.broadcast(network.packed())
 
-        def train(rows: pd.DataFrame) -> pd.DataFrame:
+        def train(batches):
+            rows = (np.frombuffer(row.as_py(), np.int16).astype(np.int64) for batch in batches for row in batch.column(1))
             own = Network(vocabulary_everywhere.value).load(weights.value)
-            texts = [np.asarray(x, np.int64) for x in rows.sort_values("draw")["numbers"]]
-            train_shard(own, texts, seed + turn)
-            return pd.DataFrame({"size": [len(texts)], "weights": [own.packed()]})
+            seen = train_shard(own, rows, lanes)
+            if seen:
+                raw = own.packed()
+                pieces = [raw[at:at + 4 * PIECE] for at in range(0, len(raw), 4 * PIECE)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(range(len(pieces)), pa.int32()), pa.array([TaskContext.get().partitionId()] * len(pieces), pa.int32()),
+                     pa.array([seen] * len(pieces), pa.int64()), pa.array(pieces, pa.binary())], ["piece", "part", "size", "weights"])
 
         return train
 
     for turn in range(ROUNDS):
-        trained = sample.repartition(SHARDS, "shard").groupBy("shard").applyInPandas(trainer(turn), "size long, weights binary")
-        found = trained.orderBy("size", "weights").collect()
-        total = sum(row["size"] for row in found)
-        network.load(sum(np.frombuffer(row["weights"], np.float32) * np.float32(row["size"] / total) for row in found))
+        own = texts.where(F.pmod("draw", F.lit(rounds)) == turn % rounds)
+        order = F.xxhash64(F.lit(turn), "draw")
+        dealt = own.repartition(shards, F.xxhash64("draw")).sortWithinPartitions(order, "draw")
+        trained = dealt.mapInArrow(trainer(turn), "piece int, part int, size long, weights binary")
+        network.load(b"".join(row["weights"] for row in _averaged(trained, shards)))
     return network
 
 
