@@ -261,6 +261,28 @@ def test_added_spans_are_missed_forms_and_no_lookalikes(spark, rows):
     assert found[62].spans == "" and found[62].base_sha256 == hashlib.sha256(b"").hexdigest()
 
 
+def test_numbers_side_by_side_are_proposed_each(spark, rows):
+    def spans(text, kind):
+        return {text[a:b] for k, a, b in pii.proposals(text) if k == kind}
+
+    assert {"555-123-4567", "415-555-2671"} <= spans("call 555-123-4567 415-555-2671 now", "phone")
+    assert "415-555-2671" in spans("2024-01-02 415-555-2671", "phone")
+    assert "(415) 555-2671" in spans("12345 (415) 555-2671", "phone")
+    assert {"4111 1111 1111 1111", "5500-0000-0000-0004"} <= spans("4111 1111 1111 1111 5500-0000-0000-0004", "card")
+    for text in ("John (At) example.com", "john [aT] example [Dot] com"):
+        assert spans(text, "email") == {text}
+    assert len(pii.proposals("1 " * 5000)) < 20 * 5000
+    rng = random.Random(9)
+    some = [(100 + at, " ".join(rng.choice([rows[at % 60][1][:40], personal(rng)]) for _ in range(8)), "en", "s") for at in range(300)]
+    model = pii.fit(documents(spark, some))
+
+    def added(text):
+        return [text[a:b] for _, a, b in sorted(pii.added_spans(text, pii.base_spans(text), model), key=lambda s: s[1])]
+
+    assert added("call 555-123-4567 415-555-2671 now") == ["555-123-4567", "415-555-2671"]
+    assert added("on 2024-01-02 415-555-2671 we") == ["415-555-2671"]
+
+
 def test_redaction(spark, docs, rows):
     assert pii.redact("a b@c.de x", [("email", 2, 8)]) == "a [EMAIL] x"
     assert sorted(map(repr, pii.redacted(docs).collect())) == sorted(map(repr, docs.collect()))

@@ -45,7 +45,9 @@ DIGIT = re.compile(r"[0-9]")
 # Generators of proposals.
 AT = re.compile(r"[A-Za-z0-9._%+-]{1,64}(?:\x20?@\x20?|\x20?[(\[]\x20?at\x20?[)\]]\x20?)"
                 r"[A-Za-z0-9-]{1,64}(?:(?:\.|\x20?[(\[]\x20?dot\x20?[)\]]\x20?)[A-Za-z0-9-]{1,64})+", re.I)
+AT_NEEDS = re.compile(r"@|[(\[]\x20?at\x20?[)\]]", re.I)
 NUMBER = re.compile(r"[+(]?[0-9](?:[\x20()./-]{0,2}[0-9])*")
+GROUP = re.compile(r"[0-9]+")
 QUAD = re.compile(r"(?<![0-9])[0-9]{1,3}(?:(?:\.|\x20?\[\.\]\x20?|\x20?\(\.\)\x20?|\x20\.\x20)[0-9]{1,3}){3}(?![0-9])")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 
@@ -98,19 +100,27 @@ def base_spans(text: str) -> list[Span]:
 
 
 def proposals(text: str) -> list[Span]:
-    """Spans that may be personal data; they overlap, and one span can be proposed as several kinds."""
-    found = []
-    low = text.lower() if "@" in text or "at)" in text or "at]" in text or "AT" in text else ""
-    if low and ("@" in low or "at)" in low or "at]" in low or "at " in low):
-        found += [("email", *m.span()) for m in AT.finditer(text)]
+    """Spans that may be personal data; they overlap, and one span can be proposed as several kinds.
+
+    Of a run of numbers every sequence of its groups of digits within the limits of length is proposed.
+    """
+    found = [("email", *m.span()) for m in AT.finditer(text)] if AT_NEEDS.search(text) else []
     if not DIGIT.search(text):
         return found
     for match in NUMBER.finditer(text):
-        size = len(_digits(match[0]))
-        if 7 <= size <= 15:
-            found.append(("phone", *match.span()))
-        if 12 <= size <= 19:
-            found.append(("card", *match.span()))
+        if match.end() - match.start() < 7:
+            continue
+        groups = [m.span() for m in GROUP.finditer(text, *match.span())]
+        for at, (start, _) in enumerate(groups):
+            size, begin = 0, start - (start > match.start() and text[start - 1] in "+(")
+            for low, end in groups[at:]:
+                size += end - low
+                if size > 19:
+                    break
+                if 7 <= size <= 15:
+                    found.append(("phone", begin, end))
+                if size >= 12:
+                    found.append(("card", begin, end))
     return found + [("ip", *m.span()) for m in QUAD.finditer(text)]
 
 
@@ -152,6 +162,15 @@ def rewritten(kind: str, inner: str, at: int) -> str:
     return (f"({tail[:3]}) {tail[3:6]}-{tail[6:]}", f"{tail[:3]}-{tail[3:6]}-{tail[6:]}", f"{tail[:3]} {tail[3:6]} {tail[6:]}")[at % 3]
 
 
+def beside(kind: str, inner: str, form: str, at: int) -> tuple[str, str]:
+    """What stands before and behind a rewritten form: mostly nothing, else another number that makes one run with it."""
+    if kind not in ("card", "phone"):
+        return "", ""
+    digits = _digits(inner)
+    date = f"{1950 + int(digits[-4:]) % 100}-{1 + int(digits[-6:-4]) % 12:02}-{1 + int(digits[-3:-1]) % 28:02}"
+    return (("", ""), (f"{date} ", ""), ("", f" {form}"), (f"{form} ", ""), (f"{digits[:5]} ", ""), ("", f" {date}"))[at % 6]
+
+
 def lookalikes(kind: str, inner: str, at: int) -> list[str]:
     """What only looks like a base span: dates, plain numbers, amounts, times, impossible addresses."""
     digits = _digits(inner) or "1"
@@ -238,7 +257,10 @@ def _overlaps(a: int, b: int, taken: list[tuple[int, int]]) -> bool:
 
 
 def examples(text: str, place: int) -> list[tuple[str, int, list[float]]]:
-    """(kind, good, features) of the proposals in a text and of rewritten base spans in their places."""
+    """(kind, good, features) of the proposals in a text and of rewritten base spans in their places.
+
+    Of the proposals over a rewritten span those that share an edge with it are examples, since they are the most alike.
+    """
     base = base_spans(text)
     taken = [(a, b) for _, a, b in base]
     result = []
@@ -250,17 +272,18 @@ def examples(text: str, place: int) -> list[tuple[str, int, list[float]]]:
     for at, (kind, a, b) in enumerate(base[:SAMPLE_PER_DOC]):
         result.append((kind, 1, features(text, (kind, a, b))))
         form = rewritten(kind, text[a:b], place + at)
-        near = text[max(0, a - CONTEXT):a] + form + text[b:b + CONTEXT]
-        start = min(a, CONTEXT)
+        before, after = beside(kind, text[a:b], form, (place + at) // 12)
+        near = text[max(0, a - CONTEXT):a] + before + form + after + text[b:b + CONTEXT]
+        start = min(a, CONTEXT) + len(before)
         for proposed_kind, c, d in proposals(near):
             if c < start + len(form) and d > start:
                 good = proposed_kind == kind and c == start and d == start + len(form)
-                if good or proposed_kind != kind:
+                if good or c == start or d == start + len(form):
                     result.append((proposed_kind, int(good), features(near, (proposed_kind, c, d))))
         for form in lookalikes(kind, text[a:b], place + at):
             near = text[max(0, a - CONTEXT):a] + form + text[b:b + CONTEXT]
             for proposed_kind, c, d in proposals(near):
-                if c < start + len(form) and d > start:
+                if c == start or d == start + len(form):
                     result.append((proposed_kind, 0, features(near, (proposed_kind, c, d))))
     return result
 
