@@ -310,6 +310,17 @@ def test_main_text(spark):
     assert all(r.n_chars == len(r.text) for r in found.values())
 
 
+def test_all_content_of_a_page_stays():
+    intro, body = "What this is about, in short. It has a few signs.", " ".join(["A longer part of the text, with signs; and more."] * 7)
+    page = f"<body><div class=intro><p>{intro}</p></div><div class=text><p>{body}</p></div></body>"
+    assert html_paths.main_text(page) == f"{intro}\n{body}"
+    listed = "<ul>" + "".join(f"<li><a href=x>Source {at}</a></li>" for at in range(4)) + "</ul>"
+    page = f"<body><div class=post><p>{body}</p>{listed}<p>{body}</p></div>{listed}</body>"
+    assert html_paths.main_text(page) == "\n".join([body, *(f"Source {at}" for at in range(4)), body])
+    page = f"<body>{listed}<p>{body}</p><div><p>{body}</p></div></body>"
+    assert html_paths.main_text(page) == f"{body}\n{body}"
+
+
 # --- Kneser-Ney ---
 
 def test_probabilities_add_up_and_unseen_contexts_back_off(spark, docs):

@@ -2,9 +2,9 @@
 
 A page becomes its blocks of text, each with the path of tags from the root. Text length and punctuation are
 summed per path and divided by the path's number of blocks, smoothed over neighbouring blocks and fused. Paths
-above a threshold of the page's own scores hold content; the smallest element around most of their text is
-the article. Its blocks are returned in page order, without those in elements that by tag, role or name are
-not the article's text and without groups of bare links.
+above a threshold of the page's own scores hold content; the smallest element around all of it is the article.
+Its blocks are returned in page order, without those in elements that by tag, role or name are not the article's
+text. Where only the page itself surrounds all content, groups of bare links are left out too.
 """
 
 from __future__ import annotations
@@ -50,7 +50,6 @@ _PUNCTUATION = re.compile(r"[.,;:!?…。，、]")
 
 SMOOTHING = (0.1, 0.2, 0.4, 0.2, 0.1)
 CONTENT_SHARE = 0.25   # of the mean fused score by text, from which a path is content
-ARTICLE_SHARE = 0.8    # of the content's text that the article must hold
 LINK_SHARE = 0.9
 
 
@@ -208,12 +207,14 @@ def main_text(source: str) -> str:
             known[id(element)] = element
             element = element.parent
     total = sum(len(blocks[at][0]) for at in content)
-    inner = [known[key] for key, mass in held.items() if mass >= ARTICLE_SHARE * total]
+    inner = [known[key] for key, mass in held.items() if mass == total]
     article = max(inner, key=lambda element: element.depth)
     while article.tag not in ("article", "main", "") and any(up.tag in ("article", "main") for up in _above(article)):
         article = article.parent
     if article.tag in ("p", "li", "h1", "h2", "h3", "h4", "h5", "h6", "td", "blockquote", "pre") and article.parent is not None:
         article = article.parent
+    whole_page = article.tag in ("", "html", "body")
+    chosen = {paths[at] for at in content}
     links = defaultdict(lambda: [0, 0, 0])
     for path, (text, _, linked) in zip(paths, blocks):
         links[path][0] += linked
@@ -222,7 +223,8 @@ def main_text(source: str) -> str:
     kept = []
     for path, (text, owner, _) in zip(paths, blocks):
         linked, whole, count = links[path]
-        if article in _above(owner) and not (count >= 3 and linked >= LINK_SHARE * whole):
+        bare = whole_page and path not in chosen and count >= 3 and linked >= LINK_SHARE * whole
+        if article in _above(owner) and not bare:
             kept.append(text)
     return "\n".join(kept)
 
