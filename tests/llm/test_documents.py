@@ -321,6 +321,18 @@ def test_all_content_of_a_page_stays():
     assert html_paths.main_text(page) == f"{body}\n{body}"
 
 
+def test_names_do_not_exclude_the_text_itself():
+    text = " ".join(["A longer part of the text, with signs; and more."] * 7)
+    aside = "<div class=sidebar><p>Other things, and more. And more.</p></div>"
+    for opened in ('<div class="layout has-sidebar">', '<div id="page" class="with-sidebar">', '<div class="widget-post social-enabled">',
+                   '<section class="search-article">', '<article><section class="search-article">', '<div class="hasSidebar no-comments">'):
+        assert html_paths.main_text(f"<body>{opened}<p>{text}</p>{aside}") == text
+    replies = f"<div id=comments>{'<p>I like this, a lot. Yes, I do; and so on.</p>' * 40}</div>"
+    assert html_paths.main_text(f"<body><article><p>{text}</p></article>{replies}</body>") == text
+    assert html_paths.main_text(f"<body><p>{text}</p>{aside}</body>") == text
+    assert html_paths.main_text(f"<body><div class=widget-page><main><p>{text}</p></main></div><p>{'More, of it. ' * 90}</p>").startswith(text)
+
+
 # --- Kneser-Ney ---
 
 def test_probabilities_add_up_and_unseen_contexts_back_off(spark, docs):

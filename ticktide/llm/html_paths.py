@@ -39,6 +39,7 @@ promo promos promotion banner banners nav navbar navigation menu menus submenu b
 footer header masthead topbar toolbar comment comments commentlist disqus reply replies respond discussion cookie cookies consent
 gdpr notice notices notification notifications alert popup modal overlay newsletter subscribe subscription signup login
 share sharing social related recommended recommendations widget widgets pagination pager copyright search form hidden""".split())
+STATES, SWITCHES = frozenset("has with without no".split()), frozenset("enabled disabled".split())
 NAMED = frozenset("div section ul ol dl table p span ins figure header li".split())
 
 _TOKEN = re.compile(
@@ -54,12 +55,13 @@ LINK_SHARE = 0.9
 
 
 class Element:
-    __slots__ = ("tag", "label", "parent", "depth", "outside", "article", "link")
+    __slots__ = ("tag", "label", "parent", "depth", "barred", "named", "outside", "article", "link")
 
-    def __init__(self, tag: str, label: str, parent: Element | None, outside: bool):
-        self.tag, self.label, self.parent = tag, label, parent
+    def __init__(self, tag: str, label: str, parent: Element | None, barred: bool, named: bool = False):
+        self.tag, self.label, self.parent, self.named = tag, label, parent, named
         self.depth = parent.depth + 1 if parent else 0
-        self.outside = outside or (parent is not None and parent.outside)
+        self.barred = barred or (parent is not None and parent.barred)  # by tag, role or being hidden
+        self.outside = barred or named or (parent is not None and parent.outside)
         self.article = tag in ("article", "main") or (parent is not None and parent.article)
         self.link = tag == "a" or (parent is not None and parent.link)
 
@@ -72,7 +74,7 @@ class Element:
 
 
 def _element(tag: str, attributes: str, parent: Element) -> Element:
-    names, outside = [], tag in OUTSIDE or (tag == "header" and not parent.article)
+    names, named, outside = [], False, tag in OUTSIDE or (tag == "header" and not parent.article)
     if attributes and not attributes.isspace():
         for found in _ATTRIBUTE.finditer(attributes):
             name, value = found[1].lower(), found[2] or found[3] or found[4] or ""
@@ -86,9 +88,16 @@ def _element(tag: str, attributes: str, parent: Element) -> Element:
                 outside |= "display:none" in value.replace(" ", "").lower()
         if tag in NAMED and not (tag == "header" and parent.article):
             inner = {"header"} if parent.article else set()
-            words = {word.lower() for name in names for word in _NAME.findall(name)}
-            outside |= bool((words & OUTSIDE_NAMES) - inner)
-    return Element(tag, ".".join([tag, *sorted(names)]), parent, outside)
+            words = {word for name in names for word in _own_words(name)}
+            named = bool((words & OUTSIDE_NAMES) - inner)
+    return Element(tag, ".".join([tag, *sorted(names)]), parent, outside, named)
+
+
+def _own_words(name: str) -> list[str]:
+    """Words of a class or id, without those that only tell what the element has, has not or allows."""
+    words = [word.lower() for word in _NAME.findall(name)]
+    return [word for at, word in enumerate(words)
+            if not (at and words[at - 1] in STATES) and not (at + 1 < len(words) and words[at + 1] in SWITCHES)]
 
 
 class Page:
@@ -189,9 +198,32 @@ def _scores(blocks: list) -> tuple[dict[str, float], list[str]]:
     return {path: math.sqrt(own[path] * total[path] / seen[path]) for path in total}, paths
 
 
+def _inside(blocks: list) -> list:
+    """The blocks without those in elements of other names, unless such an element holds most of the scored text.
+
+    If the page has an article, its text alone decides. If nothing would be left, names count for nothing.
+    """
+    if not any(owner.outside for _, owner, _ in blocks):
+        return blocks
+    scores, paths = _scores(blocks)
+    only = any(owner.article for _, owner, _ in blocks)
+    weights = [(scores[path] * len(text), len(text)) if owner.article or not only else (0, 0)
+               for path, (text, owner, _) in zip(paths, blocks)]
+    by = 0 if any(weight[0] for weight in weights) else 1
+    held: dict[Element, float] = defaultdict(float)
+    for weight, (_, owner, _) in zip(weights, blocks):
+        for element in _above(owner):
+            if element.named:
+                held[element] += weight[by]
+    half = sum(weight[by] for weight in weights) / 2
+    other = {element for element, mass in held.items() if mass <= half}
+    kept = [block for block in blocks if other.isdisjoint(_above(block[1]))]
+    return kept or blocks
+
+
 def main_text(source: str) -> str:
     """The article's blocks, one per line; empty if the page has no text outside of the excluded parts."""
-    blocks = [block for block in Page(source).blocks if not block[1].outside]
+    blocks = _inside([block for block in Page(source).blocks if not block[1].barred])
     if not blocks:
         return ""
     scores, paths = _scores(blocks)
