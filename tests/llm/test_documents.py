@@ -559,6 +559,16 @@ def test_languages(spark, docs, rows):
     assert kept == {row[0] for row in rows} - {62, 63, 64, 66}
 
 
+def test_text_that_switches_between_three_languages_stays(spark):
+    rng = random.Random(4)
+    own = {lang: [a + b for a in stems for b in ("la", "mi", "to")] for lang, stems in (
+        ("aa", ["bak", "bod", "bif", "bur"]), ("bb", ["xen", "xoq", "xyl", "xav"]), ("cc", ["kuz", "kez", "kiz", "koz"]))}
+    texts = [(at, " ".join(rng.choices(own[lang], k=60)), lang, "s") for at, lang in enumerate(["aa", "bb", "cc"] * 30)]
+    switched = " ".join(" ".join(rng.choices(own[lang], k=size)) for lang, size in (("aa", 40), ("bb", 30), ("cc", 30)))
+    kept = {r.doc_id for r in crf_lang.accepted(documents(spark, texts + [(500, switched, None, "s"), (501, "12 !", None, "s")])).collect()}
+    assert kept == {*range(90), 500}
+
+
 def test_language_without_labels_is_unknown(spark, docs):
     bare = docs.drop("lang").selectExpr("*", "cast(null as string) lang")
     assert {r.lang_pred for r in crf_lang.predict(bare).collect()} == {"und"}

@@ -294,17 +294,19 @@ def word_marginals(model: Model, column: pa.Array) -> tuple[Words, np.ndarray, n
     return words, Chain(words.first, len(model.labels)).marginals(scores, model.transitions), end > start
 
 
-def _predict(model: Model, column: pa.Array) -> tuple[list, np.ndarray]:
+def _predict(model: Model, column: pa.Array) -> tuple[list, np.ndarray, np.ndarray]:
+    """Language, its mean marginal and the mean of every word's largest marginal, of each text."""
     texts = len(column)
     L = len(model.labels)
     if not L:
-        return [UNKNOWN] * texts, np.zeros(texts)
+        return [UNKNOWN] * texts, np.zeros(texts), np.zeros(texts)
     words, marginals, lettered = word_marginals(model, column)
     row = words.row[lettered]
     mass = np.stack([np.bincount(row, marginals[lettered, label], texts) for label in range(L)], axis=1)
     n = mass.sum(axis=1)
     best = mass.argmax(axis=1)
     score = np.clip(mass.max(axis=1) / np.maximum(n, 1e-300), 0.0, 1.0)
+    sure = np.clip(np.bincount(row, marginals[lettered].max(axis=1), texts) / np.maximum(n, 1e-300), 0.0, 1.0)
     ascii_letter = np.zeros(len(words.data) + 1, np.int64)
     np.cumsum(_LETTER[words.data] & (words.data < 128), out=ascii_letter[1:])
     plain = ascii_letter[words.offsets[1:]] > ascii_letter[words.offsets[:-1]]
@@ -313,27 +315,30 @@ def _predict(model: Model, column: pa.Array) -> tuple[list, np.ndarray]:
         letter = plain[at] or (n[at] > 0 and any(map(str.isalpha, column[at].as_py())))
         predicted.append(model.labels[best[at]] if letter else UNKNOWN)
         if not letter:
-            score[at] = 0.0
-    return predicted, score
+            score[at] = sure[at] = 0.0
+    return predicted, score, sure
 
 
-def label(docs: DataFrame, model: Model, text: str = "text", prediction: str = "lang_pred", score: str = "score") -> DataFrame:
+def label(docs: DataFrame, model: Model, text: str = "text", prediction: str = "lang_pred", score: str = "score",
+          certainty: str | None = None) -> DataFrame:
     """Append the predicted language of each whole text and its mean marginal.
 
     Null and empty texts, and texts without a letter, are ``und`` with score 0. Only the text is looked at. Columns
-    of the same names are replaced. Equal means are resolved in favour of the smaller label.
+    of the same names are replaced. Equal means are resolved in favour of the smaller label. ``certainty`` names a
+    further column with the mean of every word's largest marginal, which is high for a text that switches between languages.
     """
-    docs = docs.drop(prediction, score)
-    schema = StructType([*docs.schema.fields, StructField(prediction, StringType()), StructField(score, DoubleType())])
+    added = [prediction, score, *([certainty] if certainty else [])]
+    docs = docs.drop(*added)
+    schema = StructType([*docs.schema.fields, StructField(prediction, StringType()), *[StructField(name, DoubleType()) for name in added[1:]]])
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)
 
     def work(batches):
         for whole in batches:
             for batch in text_slices(whole, text):
-                names, scores = _predict(shared.value, text_of(batch, text))
+                names, *values = _predict(shared.value, text_of(batch, text))
                 yield pa.RecordBatch.from_arrays(
-                    [*batch.columns, pa.array(names, pa.string()), pa.array(scores)], [*batch.schema.names, prediction, score])
+                    [*batch.columns, pa.array(names, pa.string()), *map(pa.array, values[:len(added) - 1])], [*batch.schema.names, *added])
 
     return docs.mapInArrow(work, schema)
 
@@ -350,7 +355,8 @@ def predict(docs: DataFrame, modulus: int = 5) -> DataFrame:
 
 
 def accepted(docs: DataFrame, min_score: float = 0.5, modulus: int = 5) -> DataFrame:
-    """The documents whose language is known with at least ``min_score``, with their own columns."""
+    """The documents whose words are of known languages, one or several, with a mean certainty of at least ``min_score``,
+    with their own columns."""
     model = fit(docs, crc_remainder(F.col("doc_id"), modulus) != 0)
-    named = label(docs, model, prediction="__lang", score="__score")
-    return named.where((F.col("__lang") != UNKNOWN) & (F.col("__score") >= min_score)).select(*docs.columns)
+    named = label(docs, model, prediction="__lang", score="__score", certainty="__sure")
+    return named.where((F.col("__lang") != UNKNOWN) & (F.col("__sure") >= min_score)).select(*docs.columns)
