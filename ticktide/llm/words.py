@@ -122,13 +122,21 @@ class Words:
         return [raw[a:b] for a, b in zip(self.start.tolist(), self.end.tolist())]
 
 
-def words_of(column: pa.Array, lower: bool = False) -> Words:
-    """Split a non-null large_string column. ``lower`` changes A-Z only."""
+def byte_flags(marked: bytes) -> np.ndarray:
+    """A table of 256 flags, set for the given bytes."""
+    flags = np.zeros(256, bool)
+    flags[list(marked)] = True
+    return flags
+
+
+def words_of(column: pa.Array, lower: bool = False, separator: np.ndarray = _SEPARATOR) -> Words:
+    """Split a non-null large_string column at the bytes that the table of 256 flags marks. ``lower`` changes A-Z only."""
     buffers = column.buffers()
     offsets = np.frombuffer(buffers[1], np.int64)[column.offset:column.offset + len(column) + 1]
     raw = np.frombuffer(buffers[2] or b"", np.uint8)[offsets[0]:offsets[-1]]
     offsets = offsets - offsets[0]
-    inside = ~_SEPARATOR[raw]
+    raw = _LOWER[raw] if lower else raw
+    inside = ~separator[raw]
     begins = inside.copy()
     begins[1:] &= ~inside[:-1]
     edges = offsets[:-1][offsets[:-1] < len(raw)]
@@ -138,7 +146,7 @@ def words_of(column: pa.Array, lower: bool = False) -> Words:
     last = offsets[1:][offsets[1:] > 0] - 1
     ends[last] = inside[last]
     start, end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
-    return Words(_LOWER[raw] if lower else raw, start, end, np.searchsorted(start, offsets), offsets)
+    return Words(raw, start, end, np.searchsorted(start, offsets), offsets)
 
 
 def crc_remainder(ids, modulus: int):
