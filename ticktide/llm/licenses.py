@@ -115,9 +115,9 @@ class Index:
         # per step: token -> (template, place) of the prefixes, and of all members
         self.prefixes = {step: self._postings(sets, group, True) for step, group in self.steps.items()}
         self.members = {step: self._postings(sets, group, False) for step, group in self.steps.items()}
-        # a template most of whose tokens lie in a larger one says nothing where the larger one was found
-        self.wider = [{other for other, more in enumerate(sets) if self.sizes[other] > self.sizes[at]
-                       and len(np.intersect1d(members, more)) >= self.needed[at]} for at, members in enumerate(sets)]
+        # templates that hold enough of another one's tokens to be taken for it
+        self.rivals = [{other for other, more in enumerate(sets) if other != at
+                        and len(np.intersect1d(members, more)) >= self.needed[at]} for at, members in enumerate(sets)]
 
     def _postings(self, sets: list[np.ndarray], group: list[int], prefix: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         rows = sorted((int(token), at, place) for at in group for place, token in enumerate(sets[at])
@@ -209,9 +209,9 @@ def scanned(
 
     Phrases and templates are (label, words) with lower-case words between spaces. A place tells its label, first word
     and number of words; a block its template, first word, the word behind its end, shared tokens, their share of the
-    template and its lower-cased text. A template is not reported for a block that overlaps one of a wider template. Null
-    and empty texts have no words; repeated rows are reported each, null ids stay null and extra columns are ignored. An
-    empty table gives an empty result.
+    template and its lower-cased text. Of similar templates in overlapping blocks the one that shares more tokens is
+    reported. Null and empty texts have no words; repeated rows are reported each, null ids stay null and extra columns
+    are ignored. An empty table gives an empty result.
     """
     bounded([token for _, text in [*phrases, *templates] for token in text.split()], TEMPLATE_TOKENS)
     tokens = sorted({token for _, text in [*phrases, *templates] for token in text.split()})
@@ -248,7 +248,8 @@ def found_in(index: Index, words: Words) -> tuple[list[list[dict]], list[list[di
         found[row].append(tuple(block))
     for row in range(texts):
         for template, first, end, overlap in sorted(found[row], key=lambda block: (block[1], block[0])):
-            if any(other in index.wider[template] and begin < end and first < stop for other, begin, stop, _ in found[row]):
+            if any(other in index.rivals[template] and begin < end and first < stop and more > overlap
+                   for other, begin, stop, more in found[row]):
                 continue
             at = words.first[row]
             text = words.data[words.start[at + first]:words.end[at + end - 1]].tobytes().decode()
