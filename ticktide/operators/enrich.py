@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ticktide.functions.times import hour_start
+from ticktide.operators.asof import asof_merge
 from ticktide.operators.ordered import ROWS_PER_SEGMENT, carried_forward
 from ticktide.operators.sides import small_side
 from ticktide.operators.ticks import batch_delta, lag_features, last_prices
@@ -44,6 +45,15 @@ def forward_fill_hour(hours: DataFrame, series: DataFrame, names: list[str]) ->
     return filled.where(F.col("asked")).drop("asked")
 
 
+def forward_fill_ranges(
+    hours: DataFrame, series: DataFrame, names: list[str], rows_per_range: int = ROWS_PER_SEGMENT
+) -> DataFrame:
+    """As ``forward_fill_hour`` for series of any length: hours and observations meet in ranges of bounded size."""
+    asked = hours.select("hour", F.explode(F.array(*[F.lit(name) for name in names])).alias("series"))
+    observed = series.where(F.col("value").isNotNull())
+    return asof_merge(asked, observed, ["series"], "hour", ties=["value"], rows_per_range=rows_per_range)
+
+
 def hourly_context(hours: DataFrame, flat_weather: DataFrame, sentiment: DataFrame) -> DataFrame:
     """One row per hour with the 15 weather columns and the sentiment, gaps filled."""
     filled = forward_fill_hour(hours, context_series(flat_weather, sentiment), CONTEXT_COLUMNS)

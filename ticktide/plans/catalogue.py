@@ -10,6 +10,7 @@ from ticktide.functions.times import hour_key
 from ticktide.models.learners import LinearLearner, NetworkLearner, train
 from ticktide.models.state import latest_models, load, to_frame
 from ticktide.operators import cells, enrich, ordered, posts, results, scoring, series, stats, ticks, weather
+from ticktide.operators.asof import asof_merge
 from ticktide.operators.sides import latest_by, without_top
 from ticktide.plans import views
 from ticktide.schemas import FEATURE_COLUMNS, POST_KEY, WEATHER_COLUMNS
@@ -416,6 +417,42 @@ def feature_vector(spark, sf_dir):
     )
 
 
+# -- merges on time ------------------------------------------------------------------------------------
+
+def forward_fill_ranges(spark, sf_dir):
+    """The fill over ranges of 500 points, whatever the length of a series."""
+    hours = enrich.hours_of(views.ticks(spark, sf_dir))
+    observed = enrich.context_series(views.flat_weather(spark, sf_dir), views.sentiment_by_hour(spark, sf_dir))
+    filled = enrich.forward_fill_ranges(hours, observed, enrich.CONTEXT_COLUMNS, rows_per_range=500)
+    return rounded(filled, "value").select("hour", "series", "value")
+
+
+def _quoted(spark, sf_dir, *columns, **options):
+    found = asof_merge(views.trades(spark, sf_dir), views.quotes(spark, sf_dir), ["symbol"], "event_time", "quoted_at",
+                       ties=["quote_id"], **options)
+    return found.select("event_id", "symbol", "price", *columns)
+
+
+def asof_ticks_quotes(spark, sf_dir):
+    """Each trade with the last quote of its symbol."""
+    return _quoted(spark, sf_dir, "quote_id", "bid")
+
+
+def asof_ticks_quotes_cut(spark, sf_dir):
+    """The same over ranges so small that every symbol, and many a minute, is cut."""
+    return _quoted(spark, sf_dir, "quote_id", "bid", rows_per_range=200)
+
+
+def asof_next_quote(spark, sf_dir):
+    """Each trade with the first quote after it, at most ten minutes away."""
+    return _quoted(spark, sf_dir, "quote_id", "bid", direction="forward", exact=False, tolerance=600_000_000)
+
+
+def asof_nearest_quote(spark, sf_dir):
+    """Each trade with the nearest quote, at most two minutes away."""
+    return _quoted(spark, sf_dir, "quote_id", direction="nearest", tolerance=120_000_000)
+
+
 # -- results -------------------------------------------------------------------------------------------
 
 def _results(spark, sf_dir):
@@ -667,6 +704,11 @@ QUERIES: dict[str, Query] = {
     "weather_histograms": weather_histograms,
     "forward_fill_hour": forward_fill_hour,
     "asof_hour_join": asof_hour_join,
+    "forward_fill_ranges": forward_fill_ranges,
+    "asof_ticks_quotes": asof_ticks_quotes,
+    "asof_ticks_quotes_cut": asof_ticks_quotes_cut,
+    "asof_next_quote": asof_next_quote,
+    "asof_nearest_quote": asof_nearest_quote,
     "feature_table": feature_table,
     "feature_vector": feature_vector,
     "results_append": results_append,

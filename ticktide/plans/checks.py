@@ -112,6 +112,11 @@ FILLED = ", ".join(f"last_value({name} IGNORE NULLS) OVER upto AS {name}" for na
 
 PARTS = {
     "ticks": source(views.TICKS),
+    "trades": source(views.TRADES.replace("{ticks}", views.TICKS)),
+    "quotes": source(views.QUOTES.replace("{ticks}", views.TICKS)),
+    # of quotes at one time the last, and the first
+    "last_quotes": "SELECT symbol, quoted_at, max(quote_id) AS quote_id, arg_max(bid, quote_id) AS bid FROM quotes GROUP BY ALL",
+    "first_quotes": "SELECT symbol, quoted_at, min(quote_id) AS quote_id, arg_min(bid, quote_id) AS bid FROM quotes GROUP BY ALL",
     "posts": source(views.POSTS_FLAT),
     "comments": source(views.COMMENTS_FLAT),
     "weather": source(views.WEATHER_FLAT),
@@ -170,6 +175,8 @@ PARTS = {
 }
 
 NEEDS = {
+    "last_quotes": ("quotes",),
+    "first_quotes": ("quotes",),
     "parsed": ("ticks",),
     "usable": ("parsed",),
     "post_scored": ("posts", "lexicon"),
@@ -194,6 +201,12 @@ RESULTS_LIST = ", ".join([*FEATURE_COLUMNS, "y", "y_hat", "mse", "time_stamp"])
 HOUR_KEY = "strftime(make_timestamp(CAST(post_time AS BIGINT) * 1000000), '%Y-%m-%d-%H')"
 
 
+LAST_QUOTE = with_parts(
+    """SELECT t.event_id, t.symbol, t.price, q.quote_id, q.bid
+       FROM trades t ASOF LEFT JOIN last_quotes q ON t.symbol = q.symbol AND t.event_time >= q.quoted_at""", "trades", "last_quotes"
+)
+
+
 def histogram(values: str, bins: str, *names: str, label: str = "") -> str:
     """Counts in equal bins of column ``v`` of the query ``values``."""
     query = f"""
@@ -525,6 +538,31 @@ CHECKS: dict[str, str] = {
         f"""SELECT t.event_id, date_trunc('hour', t.event_time) AS hour, {', '.join(f'round(c.{n}, 6) AS {n}' for n in CONTEXT)}
             FROM ticks t ASOF LEFT JOIN context c ON date_trunc('hour', t.event_time) >= c.hour""", "ticks", "context"
     ),
+    "forward_fill_ranges": with_parts(
+        f"""SELECT h.hour, u.series, round(u.value, 6) AS value
+            FROM (SELECT DISTINCT date_trunc('hour', event_time) AS hour FROM ticks) h
+            JOIN (SELECT * FROM context UNPIVOT INCLUDE NULLS (value FOR series IN ({', '.join(CONTEXT)}))) u USING (hour)""",
+        "ticks", "context",
+    ),
+    "asof_ticks_quotes": LAST_QUOTE,
+    "asof_ticks_quotes_cut": LAST_QUOTE,
+    "asof_next_quote": with_parts(
+        """SELECT event_id, t.symbol, price, CASE WHEN near THEN quote_id END AS quote_id, CASE WHEN near THEN bid END AS bid
+           FROM (SELECT t.*, q.quote_id, q.bid, q.quoted_at - t.event_time <= INTERVAL 10 MINUTE AS near
+                 FROM trades t ASOF LEFT JOIN first_quotes q ON t.symbol = q.symbol AND t.event_time < q.quoted_at) t""",
+        "trades", "first_quotes",
+    ),
+    "asof_nearest_quote": with_parts(
+        """SELECT event_id, symbol, price,
+                  CASE WHEN near_before AND (NOT near_after OR event_time - before_at <= after_at - event_time) THEN before_id
+                       WHEN near_after THEN after_id END AS quote_id
+           FROM (SELECT t.*, b.quote_id AS before_id, b.quoted_at AS before_at, a.quote_id AS after_id, a.quoted_at AS after_at,
+                        coalesce(t.event_time - b.quoted_at <= INTERVAL 2 MINUTE, false) AS near_before,
+                        coalesce(a.quoted_at - t.event_time <= INTERVAL 2 MINUTE, false) AS near_after
+                 FROM trades t ASOF LEFT JOIN last_quotes b ON t.symbol = b.symbol AND t.event_time >= b.quoted_at
+                 ASOF LEFT JOIN first_quotes a ON t.symbol = a.symbol AND t.event_time <= a.quoted_at) t""",
+        "trades", "last_quotes", "first_quotes",
+    ),
     "feature_table": with_parts("SELECT * FROM featured", "featured"),
     "feature_vector": with_parts(
         f"""SELECT event_id, CAST({len(FEATURE_COLUMNS)} AS BIGINT) AS width,

@@ -23,6 +23,15 @@ TICKS = """
            value AS price, ts AS event_time
     FROM {events}"""
 
+# Two event tables for merges on time: every third event quotes a price, the others trade. Quotes are stamped by the
+# minute, so that several of one symbol share a time.
+TRADES = """
+    SELECT event_id, symbol, price, event_time FROM ({ticks}) AS t WHERE event_id % 3 <> 0"""
+
+QUOTES = """
+    SELECT event_id AS quote_id, symbol, price * 0.99 AS bid, date_trunc('minute', event_time) AS quoted_at
+    FROM ({ticks}) AS t WHERE event_id % 3 = 0"""
+
 POSTS_FLAT = """
     SELECT CAST(conv_id AS STRING) AS post_id, text AS post_title,
            CAST(1704067200 + conv_id % 1000000000 * 3600 AS DOUBLE) AS post_time,
@@ -85,6 +94,15 @@ def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _view(spark, sf_dir, TICKS)
 
 
+def trades(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _view(spark, sf_dir, TRADES.replace("{ticks}", TICKS))
+
+
+def quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = _view(spark, sf_dir, QUOTES.replace("{ticks}", TICKS))
+    return found.withColumn("quoted_at", F.col("quoted_at").cast("timestamp_ntz"))
+
+
 def posts_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _view(spark, sf_dir, POSTS_FLAT)
 
