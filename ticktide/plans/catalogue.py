@@ -19,7 +19,7 @@ from ticktide.sinks import files as sinks
 from ticktide.sources import files as landed
 from ticktide.sources.messages import read_messages
 from ticktide.sources.tables import read_results, run_query
-from ticktide.streaming import queries as streams
+from ticktide.streaming import queries as streams, state
 
 Query = Callable[[SparkSession, str], DataFrame]
 SLICES = 3
@@ -611,6 +611,32 @@ def stream_lag_features(spark, sf_dir):
     return rounded(lags, "currency_diff")
 
 
+def _delayed_slices(spark, sf_dir, count):
+    """Time slices in which every 13th tick arrives one slice late, and a last one that only moves the time on."""
+    slices = views.time_slices(spark, sf_dir, count)
+    late = F.col("key").cast("string").cast("bigint") % 13 == 0
+    held = [part.where(late) for part in slices]
+    on_time = [part.where(~late) for part in slices]
+    arrivals = [on_time[0], *[now.unionByName(before) for now, before in zip(on_time[1:], held)], held[-1]]
+    end = views.tick_messages(spark, sf_dir).limit(1).select(
+        F.lit("-1").cast("binary").alias("key"),
+        F.lit('{"symbol":"END","price":0,"timestamp":"2100-01-01T00:00:00"}').cast("binary").alias("value"))
+    return [*arrivals, end]
+
+
+def stream_lag_state(spark, sf_dir):
+    """Lags by the state operator: ticks arrive out of order over several restarts and come out in order."""
+    root = scratch_path(prepare(spark), "lag-state")
+    for part in _delayed_slices(spark, sf_dir, SLICES):
+        part.write.mode("append").parquet(f"{root}/messages")
+        parsed = streams.parsed_stream(read_messages(spark, "parquet", path=f"{root}/messages"))
+        # a slice is ten days long, and a tick may be as late as two of them
+        streams.start(state.lag_state_stream(
+            parsed, f"{root}/lags", f"{root}/prices", f"{root}/checkpoint", "21 days", width_ms=86_400_000), drain=True)
+    lags = spark.read.parquet(f"{root}/lags").select("event_id", "symbol", "price", "price_1", "price_2", "currency_diff")
+    return rounded(lags, "currency_diff")
+
+
 def _context(spark, sf_dir):
     """Hourly tables as an hourly job would land them; each batch opens them anew."""
     root = scratch_path(spark, "context")
@@ -727,6 +753,7 @@ QUERIES: dict[str, Query] = {
     "stream_parquet_roundtrip": stream_parquet_roundtrip,
     "stream_tumbling_avg": stream_tumbling_avg,
     "stream_lag_features": stream_lag_features,
+    "stream_lag_state": stream_lag_state,
     "stream_enrich_hour": stream_enrich_hour,
     "stream_prequential": stream_prequential,
     "stream_prequential_sgd": stream_prequential_sgd,

@@ -599,6 +599,11 @@ CHECKS: dict[str, str] = {
                   round(lag(price, 1) OVER w - lag(price, 2) OVER w, 6) AS currency_diff
            FROM usable WINDOW w AS (PARTITION BY symbol ORDER BY event_time, event_id)""", "usable"
     ),
+    "stream_lag_state": with_parts(
+        """SELECT event_id, symbol, price, lag(price, 1) OVER w AS price_1, lag(price, 2) OVER w AS price_2,
+                  round(lag(price, 1) OVER w - lag(price, 2) OVER w, 6) AS currency_diff
+           FROM usable WINDOW w AS (PARTITION BY symbol ORDER BY event_time, event_id)""", "usable"
+    ),
     "stream_prequential_sgd": online_sgd(),
     "stream_enrich_hour": with_parts(
         f"""SELECT t.event_id, date_trunc('hour', t.event_time) AS hour, {', '.join(f'round(c.{n}, 6) AS {n}' for n in CONTEXT)}
