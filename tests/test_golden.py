@@ -367,3 +367,15 @@ def test_rules_come_from_a_table(spark):
     table = spark.createDataFrame([("not", "negator"), ("very", "intensifier"), ("but", "contrast")], "token string, kind string")
     assert rules_of(table) == Rules(("not",), ("very",), (), "but")
     assert rules_of(table.limit(0)) == Rules()
+
+
+def test_a_title_is_scored_once_for_all_its_landings(spark):
+    lexicon = spark.createDataFrame([("good", 2.0), ("bad", -2.0)], "token string, valence double")
+    rows = [("p", 0, "good", "2024-01-01-01"), ("p", 0, "good", "2024-01-01-02"), ("p", 0, "bad", "2024-01-01-02"),
+            ("q", 0, None, "2024-01-01-02"), ("q", 1, "good", "2024-01-01-02")]
+    landed = spark.createDataFrame(rows, "post_id string, part int, post_title string, hour string")
+    moods = {row.hour.hour: row.sentiment for row in scoring.hourly_sentiment(landed, lexicon).collect()}
+    assert moods[1] > 0.3 and moods[2] == 0.0
+    posts_once = landed.where("hour = '2024-01-01-01'").withColumn("post_time", F.lit(0.0))
+    dealt = scoring.landing_sentiment(posts_once, lexicon).collect()
+    assert len(dealt) == 25 and {row.sentiment for row in dealt} == {moods[1]}

@@ -67,7 +67,7 @@ def test_newest_versions_need_no_sort(spark):
 
 
 def test_counting_comments_reads_no_bodies(spark, sf_dir):
-    text = plan(catalogue.QUERIES["comment_count"](spark, sf_dir))
+    text = plan(catalogue.QUERIES["comment_count_flat"](spark, sf_dir))
     assert "ReadSchema: struct<conv_id:bigint,turn:bigint>" in text
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ticktide.functions import sentiment as rules_of
 from ticktide.functions.sentiment import Rules
-from ticktide.operators.posts import first_parts
+from ticktide.operators.posts import first_parts, landings
 from ticktide.operators.sides import small_table
 
 NO_UPVOTES = 1e-12
@@ -98,9 +98,23 @@ def scored_posts(posts: DataFrame, lexicon: DataFrame, rules: Rules = Rules(), k
 def hourly_sentiment(landed: DataFrame, lexicon: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """Mean title sentiment, to six decimals, of the posts that landed in each hour (column ``hour`` of the landing).
 
-    Scores have four decimals. They are summed as whole numbers, so the mean does not depend on the order of rows.
+    A post that landed in several hours is scored once, as long as its title stayed the same. Scores have four decimals.
+    They are summed as whole numbers, so the mean does not depend on the order of rows.
     """
-    scores = lexicon_sentiment(first_parts(landed), ["hour", "post_id"], "post_title", lexicon, rules)
+    title = F.xxhash64("post_title").alias("title")
+    once = first_parts(landed).groupBy("post_id", title, "post_title").agg(F.collect_list("hour").alias("hours"))
+    scores = lexicon_sentiment(once, ["post_id", "title", "hours"], "post_title", lexicon, rules)
+    return _mean_by_hour(scores.select("sentiment", F.explode("hours").alias("hour")))
+
+
+def landing_sentiment(posts: DataFrame, lexicon: DataFrame, rules: Rules = Rules()) -> DataFrame:
+    """As ``hourly_sentiment`` of all hours in which ``posts`` land: each title is scored once, and only its score is
+    dealt out to the hours."""
+    scores = lexicon_sentiment(first_parts(posts), ["post_id", "post_time"], "post_title", lexicon, rules)
+    return _mean_by_hour(landings(scores))
+
+
+def _mean_by_hour(scores: DataFrame) -> DataFrame:
     hour = F.to_timestamp("hour", "yyyy-MM-dd-HH").cast("timestamp_ntz")
     return scores.groupBy(hour.alias("hour")).agg(_mean_of_scores().alias("sentiment"))
 

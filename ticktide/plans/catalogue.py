@@ -162,24 +162,30 @@ def posts_scan_multiline(spark, sf_dir):
     return good.select("hour", "post_id", "part", "post_title", "post_time", "post_score", "post_upvote", _shown())
 
 
-def _together(parts):
-    """All comments of a post's parts in one row, to compare what crowded posts hold."""
-    comments = parts.select("post_id", F.inline("comments")).groupBy("post_id").agg(F.array_sort(F.collect_list(
-        F.struct("comm_time_utc", "comm_id", "comm_body", "comm_score"))).alias("comments"))
-    return comments.select("post_id", _shown())
+def posts_scan_split(spark, sf_dir):
+    """The same arrays cut into records over byte ranges, so that no file is one string in one task."""
+    root = scratch_path(prepare(spark), "posts")
+    views.land_indented_posts(views.nested_posts(spark, sf_dir), root)
+    good = landed.good_posts(landed.read_split_posts(spark, root, partitions=["hour"]))
+    return good.select("hour", "post_id", "part", "post_title", "post_time", "post_score", "post_upvote", _shown())
+
+
+def _comment_rows(parts):
+    return parts.select("post_id", F.inline("comments")).select(
+        "post_id", "comm_id", "comm_body", "comm_time_utc", "comm_score")
 
 
 def posts_scan_parts(spark, sf_dir):
-    """Landed posts of which every one with more than one comment is crowded."""
+    """Comments of landed posts of which every one with more than one comment is crowded."""
     root = scratch_path(prepare(spark), "posts")
     views.land_posts(views.nested_posts(spark, sf_dir, per_row=1), root)
-    return _together(landed.good_posts(landed.read_posts(spark, root, partitions=["hour"])))
+    return _comment_rows(landed.good_posts(landed.read_posts(spark, root, partitions=["hour"])))
 
 
 def comments_to_json_parts(spark, sf_dir):
     rows = posts.comments_to_json(views.nested_posts(spark, sf_dir, per_row=1))
     kind = landed.POST["comments"].dataType.simpleString()
-    return _together(rows.select("post_id", F.from_json("comments_json", kind).alias("comments")))
+    return _comment_rows(rows.select("post_id", F.from_json("comments_json", kind).alias("comments")))
 
 
 def posts_nest_from_flat(spark, sf_dir):
@@ -198,11 +204,15 @@ def newest_posts(spark, sf_dir):
 
 
 def comment_count(spark, sf_dir):
+    """Counted in landed posts, of which only the lengths of the arrays are needed."""
+    return posts.comment_count(landed.good_posts(_landed_posts(spark, sf_dir)))
+
+
+def comment_count_flat(spark, sf_dir):
     return posts.count_flat(views.comments_flat(spark, sf_dir))
 
 
 def comment_count_outer(spark, sf_dir):
-    """Counted in landed posts, of which only the lengths of the arrays are needed."""
     return posts.comment_count(landed.good_posts(_landed_posts(spark, sf_dir)), keep_empty=True)
 
 
@@ -287,11 +297,11 @@ def comment_scores(spark, sf_dir):
 
 
 def hourly_sentiment(spark, sf_dir):
-    """From landed files, in which a post lies in 24 hours."""
+    """From landed files: a post is written once and counts in the 25 hours whose pulls bring it."""
     root = scratch_path(prepare(spark), "posts")
-    views.land_posts(posts.landings(views.nested_posts(spark, sf_dir).drop("comments")), root)
+    views.land_posts(views.nested_posts(spark, sf_dir).drop("comments"), root)
     good = landed.good_posts(landed.read_posts(spark, root, partitions=["hour"]))
-    return rounded(scoring.hourly_sentiment(good, views.lexicon(spark), views.rules(spark)), "sentiment")
+    return rounded(scoring.landing_sentiment(good, views.lexicon(spark), views.rules(spark)), "sentiment")
 
 
 # -- keyed cells ---------------------------------------------------------------------------------------
@@ -689,6 +699,7 @@ QUERIES: dict[str, Query] = {
     "ndjson_scan_bad": ndjson_scan_bad,
     "posts_scan": posts_scan,
     "posts_scan_multiline": posts_scan_multiline,
+    "posts_scan_split": posts_scan_split,
     "posts_scan_parts": posts_scan_parts,
     "comments_to_json_parts": comments_to_json_parts,
     "comment_scores_parts": comment_scores_parts,
@@ -704,6 +715,7 @@ QUERIES: dict[str, Query] = {
     "newest_posts": newest_posts,
     "comment_count": comment_count,
     "comment_count_outer": comment_count_outer,
+    "comment_count_flat": comment_count_flat,
     "comments_to_json": comments_to_json,
     "posts_join_comments": posts_join_comments,
     "drop_top3": drop_top3,

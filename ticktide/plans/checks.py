@@ -361,7 +361,8 @@ POSTS_LANDED = with_parts(
     f"""SELECT {HOUR_KEY} AS hour, post_id, 0 AS part, post_title, post_time, post_score, post_upvote, {SHOWN} AS comments
         FROM posts LEFT JOIN comments USING (post_id) GROUP BY ALL""", "posts", "comments"
 )
-POSTS_COMMENTS = with_parts(f"SELECT post_id, {SHOWN} AS comments FROM comments GROUP BY 1", "comments")
+POSTS_COMMENTS = with_parts(
+    "SELECT post_id, comm_id, comm_body, comm_time_utc, comm_score FROM comments JOIN posts USING (post_id)", "comments", "posts")
 COMMENTS_JSON = f"""'[' || coalesce(string_agg('{{"comm_id":"' || comm_id || '","comm_body":' || to_json(comm_body)
                    || ',"comm_time_utc":' || {JSON_TIME} || ',"comm_score":' || comm_score || '}}', ','
                    ORDER BY comm_time_utc, comm_id), '') || ']'"""
@@ -427,6 +428,7 @@ CHECKS: dict[str, str] = {
     ),
     "posts_scan": POSTS_LANDED,
     "posts_scan_multiline": POSTS_LANDED,
+    "posts_scan_split": POSTS_LANDED,
     "posts_scan_parts": POSTS_COMMENTS,
     "comments_to_json_parts": POSTS_COMMENTS,
     "posts_nest_from_flat": with_parts(
@@ -440,7 +442,8 @@ CHECKS: dict[str, str] = {
     "newest_posts": with_parts(
         "SELECT post_id, post_title, post_time FROM posts ORDER BY post_time DESC, post_id LIMIT 1000", "posts"
     ),
-    "comment_count": with_parts('SELECT post_id, count(*) AS "count" FROM comments GROUP BY 1', "comments"),
+    "comment_count": with_parts('SELECT post_id, count(*) AS "count" FROM comments JOIN posts USING (post_id) GROUP BY 1', "comments", "posts"),
+    "comment_count_flat": with_parts('SELECT post_id, count(*) AS "count" FROM comments GROUP BY 1', "comments"),
     "comment_count_outer": with_parts(
         'SELECT p.post_id, count(c.comm_id) AS "count" FROM posts p LEFT JOIN comments c USING (post_id) GROUP BY 1',
         "posts", "comments",

@@ -10,8 +10,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ticktide.functions.sentiment import Rules, rules_of
 from ticktide.operators.enrich import complete, feature_table
-from ticktide.operators.posts import COMMENTS_PER_ROW, landings, nest_comments
-from ticktide.operators.scoring import hourly_sentiment
+from ticktide.operators.posts import COMMENTS_PER_ROW, nest_comments
+from ticktide.operators.scoring import landing_sentiment
+from ticktide.operators.sides import small_side
 from ticktide.operators.weather import flatten_weather
 from ticktide.schemas import CITIES
 from ticktide.session import prepare
@@ -73,6 +74,9 @@ RULES = """
 FIXED_MODEL = {"currency_diff": 0.25, "tem_paris": 0.05, "hum_tokyo": -0.01, "wind_ny": 0.1, "sentiment": 2.0}
 
 
+# The producer's interface gives at most so many posts at a time.
+POSTS_PER_PULL = 1000
+
 # Declared, so that opening a table costs no schema inference.
 TABLES = {
     "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
@@ -153,12 +157,16 @@ def land_posts(posts: DataFrame, root: str) -> None:
     overwrite_hours(posts if "hour" in posts.columns else posts.withColumn("hour", hour), root)
 
 
-def land_indented_posts(posts: DataFrame, root: str) -> None:
-    """Land posts by hour of creation as the producer writes them: one indented JSON array per file."""
-    hour = F.date_format(F.timestamp_seconds("post_time"), "yyyy-MM-dd-HH")
-    record = F.struct(*[name for name in posts.columns])
-    files = posts.groupBy(hour.alias("hour")).agg(F.to_json(F.collect_list(record), {"pretty": "true"}).alias("value"))
-    files.write.partitionBy("hour").option("lineSep", "\n").text(root)
+def land_indented_posts(posts: DataFrame, root: str, per_file: int = POSTS_PER_PULL) -> None:
+    """Land posts by hour of creation as the producer writes them: indented JSON arrays of about ``per_file`` posts, one
+    to a file."""
+    hourly = posts.withColumn("hour", F.date_format(F.timestamp_seconds("post_time"), "yyyy-MM-dd-HH"))
+    pulls = hourly.groupBy("hour").agg(F.ceil(F.count(F.lit(1)) / per_file).alias("pulls"))
+    pull = F.pmod(F.xxhash64("post_id", "part"), F.col("pulls")).alias("pull")
+    record = F.struct(*posts.columns)
+    files = hourly.join(small_side(pulls), "hour").groupBy("hour", pull).agg(
+        F.to_json(F.collect_list(record), {"pretty": "true"}).alias("value"))
+    files.drop("pull").write.partitionBy("hour").option("maxRecordsPerFile", 1).text(root)
 
 
 def tick_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -200,9 +208,9 @@ def time_slices(spark: SparkSession, sf_dir: str, count: int) -> list[DataFrame]
 
 
 def sentiment_by_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The mood of every landing hour. Posts land again hour by hour, and are scored each time they land."""
-    landed = landings(posts_flat(spark, sf_dir)).withColumn("part", F.lit(0))
-    return hourly_sentiment(landed, lexicon(spark), rules(spark))
+    """The mood of every landing hour."""
+    posts = posts_flat(spark, sf_dir).withColumn("part", F.lit(0))
+    return landing_sentiment(posts, lexicon(spark), rules(spark))
 
 
 def flat_weather(spark: SparkSession, sf_dir: str) -> DataFrame:

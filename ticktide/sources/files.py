@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from ticktide.schemas import POST, TICK, WEATHER
 
@@ -58,6 +58,75 @@ def read_posts(spark: SparkSession, root: str, multi_line: bool = False, partiti
     return (read_documents if multi_line else read_lines)(spark, root, POST, partitions)
 
 
+def read_split_documents(spark: SparkSession, root: str, schema: T.StructType, partitions: list[str] | None = None) -> DataFrame:
+    """As ``read_documents`` for arrays of any size: a file is read in byte ranges by many tasks.
+
+    Spark cuts the bytes at closing braces. Whether a piece begins inside a string, and how deep in the array, follows from
+    all pieces before it: quotes and brackets are summed up per range of a file, and only these sums, one row per range, are
+    carried on. A record is what lies between two pieces that end at depth one. Records of an array must be objects. What is
+    left behind the last whole record of a broken file is one row with its text in ``_corrupt_record``; the records before
+    it are read.
+    """
+    parts = partitions or []
+    text = T.StructType([T.StructField(name, T.StringType()) for name in ["value", *parts]])
+    pieces = spark.read.schema(text).option("lineSep", "}").text(root).select(
+        "value", *parts, F.col("_metadata").alias("_file"), F.col("_metadata.file_path").alias("_path"),
+        F.col("_metadata.file_block_start").alias("_range"), F.monotonically_increasing_id().alias("_piece"))
+
+    strings = r'(?s)"[^"\\]*+(?:\\.[^"\\]*+)*+(?:"|$)'  # the last one may go on in the next piece
+    rest_of_string = r'(?s)^[^"\\]*+(?:\\.[^"\\]*+)*+(?:"|$)'
+
+    def size(value: Column, signs: str) -> Column:
+        return F.length(value) - F.length(F.translate(value, signs, ""))
+
+    def steps(value: Column) -> Column:
+        bare = F.regexp_replace(value, strings, "")
+        return size(bare, "[{") - size(bare, "]}")
+
+    quotes = size(F.regexp_replace("value", r"(?s)\\.", ""), '"') % 2
+    own = Window.partitionBy("_path", "_range").orderBy("_piece")
+    upto, before = own.rowsBetween(Window.unboundedPreceding, 0), own.rowsBetween(Window.unboundedPreceding, -1)
+    judged = pieces.withColumns({
+        "_quotes": quotes, "_outside": steps(F.col("value")), "_inside": steps(F.regexp_replace("value", rest_of_string, ""))})
+    judged = judged.withColumn("_opened", F.coalesce(F.sum("_quotes").over(before), F.lit(0)) % 2)
+
+    def deeper(began: int | Column) -> Column:
+        """Change of depth by a piece and its closing brace, if the range began inside a string (1) or not (0)."""
+        inside = (F.col("_opened") + began) % 2
+        closed = F.when((inside + F.col("_quotes")) % 2 == 0, 1).otherwise(0)
+        return F.when(inside == 0, F.col("_outside")).otherwise(F.col("_inside")) - closed
+
+    ranges = judged.groupBy("_path", "_range").agg(
+        F.sum("_quotes").alias("_all_quotes"), F.sum(deeper(0)).alias("_plain"), F.sum(deeper(1)).alias("_quoted"))
+    earlier = Window.partitionBy("_path").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    began = ranges.withColumn("_began", F.coalesce(F.sum("_all_quotes").over(earlier), F.lit(0)) % 2)
+    change = F.when(F.col("_began") == 0, F.col("_plain")).otherwise(F.col("_quoted"))
+    began = began.withColumn("_change", change).select(
+        "_path", "_range", "_began", F.coalesce(F.sum("_change").over(earlier), F.lit(0)).alias("_depth"))
+
+    placed = judged.join(began, ["_path", "_range"]).withColumn("_by", deeper(F.col("_began")))
+    ended = ((F.col("_opened") + F.col("_began") + F.col("_quotes")) % 2 == 0) & (F.col("_at") == 1)
+    placed = placed.withColumn("_at", F.col("_depth") + F.sum("_by").over(upto)).withColumn("_ends", ended.cast("int"))
+    counted = placed.withColumn("_nth", F.coalesce(F.sum("_ends").over(before), F.lit(0)))
+    ends = counted.groupBy("_path", "_range").agg(F.sum("_ends").alias("_all"))
+    first = ends.select("_path", "_range", F.coalesce(F.sum("_all").over(earlier), F.lit(0)).alias("_first"))
+
+    numbered = counted.join(first, ["_path", "_range"]).withColumn("_record", F.col("_first") + F.col("_nth"))
+    kept = [*parts, "_metadata"]
+    records = numbered.groupBy("_path", "_record", *parts).agg(
+        F.array_sort(F.collect_list(F.struct("_range", "_piece", "value"))).alias("pieces"),
+        F.max("_ends").alias("whole"), F.first("_file").alias("_metadata"))
+    body = F.concat(F.array_join("pieces.value", "}"), F.when(F.col("whole") == 1, "}").otherwise(""))
+    trimmed = F.regexp_replace(body, r"^[\s,\[]+", "")
+    found = records.withColumn("value", F.when(F.col("whole") == 1, trimmed).otherwise(body))
+    behind = (F.col("whole") == 0) & F.col("value").rlike(r"^\s*(\[\s*)?\]?\s*$")
+    return _judged(found.where(~behind), schema, kept)
+
+
+def read_split_posts(spark: SparkSession, root: str, partitions: list[str] | None = None) -> DataFrame:
+    return read_split_documents(spark, root, POST, partitions)
+
+
 def good_posts(posts: DataFrame) -> DataFrame:
     """Readable posts. Producers that know no parts write none, so a missing part is the first."""
     good = posts.where(F.col(CORRUPT).isNull() & F.col("post_id").isNotNull()).drop(CORRUPT)
