@@ -69,6 +69,31 @@ def pair_correlation(measures: DataFrame, columns: tuple[str, ...] = PAIR_MEASUR
     return once.select(F.inline(F.array(*rows)))
 
 
+def pair_grid(measures: DataFrame, columns: tuple[str, ...] = PAIR_MEASURES, bins: int = 10) -> DataFrame:
+    """The joint panels of the pair plot: rows per cell of equal bins, for each pair of measures; empty cells are left out.
+
+    Bounds come from one aggregate. Rows are counted once by the cells of all measures together, and only those
+    counts are dealt out to the pairs.
+    """
+    bounds = measures.agg(*[end(name).cast("double").alias(f"{word}_{name}")
+                            for name in columns for word, end in (("low", F.min), ("high", F.max))]).first()
+    places = []
+    for name in columns:
+        low, high = bounds[f"low_{name}"], bounds[f"high_{name}"]
+        if low is None:
+            places.append(F.lit(None).cast("bigint").alias(name))
+            continue
+        low, high = (low, high) if low < high else (low - 0.5, high + 0.5)
+        bin_of = F.width_bucket(F.col(name).cast("double"), F.lit(low), F.lit(high), F.lit(bins))
+        places.append(F.when(bin_of.isNotNull(), F.least(bin_of, F.lit(bins))).cast("bigint").alias(name))
+    cells = measures.select(*places).groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))
+    pairs = [(left, right) for at, left in enumerate(columns) for right in columns[at + 1:]]
+    panels = F.array(*[F.struct(F.lit(left).alias("left"), F.lit(right).alias("right"), F.col(left).alias("left_bin"),
+                                F.col(right).alias("right_bin")) for left, right in pairs])
+    dealt = cells.select("n", F.inline(panels)).dropna(subset=["left_bin", "right_bin"])
+    return dealt.groupBy("left", "right", "left_bin", "right_bin").agg(F.sum("n").alias("count"))
+
+
 def union_weather(frames: list[DataFrame]) -> DataFrame:
     """Frames with drifting schemas, by name, duplicates kept. Reading one directory needs no union."""
     return reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), frames)

@@ -16,7 +16,8 @@ from ticktide.plans import views
 from ticktide.schemas import FEATURE_COLUMNS, POST_KEY, WEATHER_COLUMNS
 from ticktide.session import prepare, scratch_path, stage
 from ticktide.sinks import files as sinks
-from ticktide.sources import files as landed
+from ticktide.sinks.keyed import KeyedTable
+from ticktide.sources import drift, files as landed
 from ticktide.sources.messages import read_messages
 from ticktide.sources.tables import read_results, run_query
 from ticktide.streaming import queries as streams, state
@@ -120,6 +121,11 @@ def series_price_hourly(spark, sf_dir):
     return rounded(series.price_series(views.ticks(spark, sf_dir), "1 hour", at="event_time"), "value")
 
 
+def series_price_m4(spark, sf_dir):
+    """Prices per symbol thinned to what a plot of 200 pixel columns shows."""
+    return series.m4_series(views.ticks(spark, sf_dir), 200, "event_time", "price", ["symbol"])
+
+
 def ndjson_lines(spark, sf_dir):
     root = scratch_path(spark, "tick-lines")
     views.tick_lines(spark, sf_dir).write.text(root)
@@ -309,10 +315,12 @@ def hourly_sentiment(spark, sf_dir):
 def _cells(spark, sf_dir, per_row=posts.COMMENTS_PER_ROW):
     """A stored keyed table of scored posts, written twice: the newer version of every key counts."""
     root = scratch_path(prepare(spark), "keyed")
+    scored = scoring.scored_posts(views.nested_posts(spark, sf_dir, per_row), views.lexicon(spark), views.rules(spark))
+    scored = rounded(scored, "comments_sentiment").persist()
     for version, score in ((1, F.col("post_score") + 1000), (2, F.col("post_score"))):
-        rows = views.nested_posts(spark, sf_dir, per_row).withColumns({"post_score": score, "version": F.lit(version)})
-        scored = scoring.scored_posts(rows, views.lexicon(spark), views.rules(spark))
-        sinks.append_versions(cells.cells_of(rounded(scored, "comments_sentiment"), "version"), root)
+        rows = scored.withColumns({"post_score": score, "version": F.lit(version)})
+        sinks.append_versions(cells.cells_of(rows, "version"), root)
+    scored.unpersist()
     return sinks.read_latest(spark, root, POST_KEY, F.col("version"))
 
 
@@ -347,6 +355,21 @@ def kv_upsert_latest(spark, sf_dir):
     return latest.select("post_id", "post_score", "version")
 
 
+def kv_compacted_scan(spark, sf_dir):
+    """Posts written, partly replaced, partly deleted, folded into the next generation, and partly written again."""
+    root = scratch_path(prepare(spark), "kept")
+    table = KeyedTable(spark, f"kept_{root[-32:]}", "posts", ["post_id"], root, buckets=8)
+    rows = views.posts_flat(spark, sf_dir).select("post_id", "post_title", "post_score")
+    number = F.col("post_id").cast("bigint")
+    table.write(rows.withColumn("post_score", F.col("post_score") + 1000), 1)
+    table.write(rows.where(number % 2 == 0), 2)
+    table.delete(rows.where(number % 7 == 0), 3)
+    table.compact()
+    table.write(rows.where(number % 14 == 0).withColumn("post_score", -F.col("post_score")), 4)
+    table.delete(rows.where(number % 5 == 1), 5)
+    return table.versions()
+
+
 # -- weather -------------------------------------------------------------------------------------------
 
 def _landed_weather(spark, sf_dir):
@@ -384,6 +407,29 @@ def weather_pair_corr(spark, sf_dir):
     return rounded(weather.pair_correlation(weather.raw_measures(views.nested_weather(spark, sf_dir))), "corr")
 
 
+def weather_pair_grid(spark, sf_dir):
+    """The joint panels of the pair plot."""
+    return weather.pair_grid(weather.raw_measures(views.nested_weather(spark, sf_dir)))
+
+
+def _drifting(spark, sf_dir, land, partition):
+    root = scratch_path(prepare(spark), "drift")
+    land(spark, sf_dir, root)
+    variants = drift.read_variants(spark, root, partition)
+    return variants, drift.drift_report(drift.field_types(variants, partition), partition)
+
+
+def posts_schema_drift(spark, sf_dir):
+    """Fields and types of landed posts whose producers differ."""
+    return _drifting(spark, sf_dir, views.land_drifting_posts, "producer")[1]
+
+
+def weather_union_drift(spark, sf_dir):
+    """Weather files whose fields and types differ, as one table."""
+    variants, report = _drifting(spark, sf_dir, views.land_drifting_weather, "old")
+    return drift.read_widened(variants, report)
+
+
 def weather_histograms(spark, sf_dir):
     """The diagonal of the pair plot: one automatic histogram per measure."""
     measures = stage(weather.raw_measures(views.nested_weather(spark, sf_dir)))
@@ -695,6 +741,7 @@ QUERIES: dict[str, Query] = {
     "filter_time_range": filter_time_range,
     "series_price": series_price,
     "series_price_hourly": series_price_hourly,
+    "series_price_m4": series_price_m4,
     "ndjson_scan_good": ndjson_scan_good,
     "ndjson_scan_bad": ndjson_scan_bad,
     "posts_scan": posts_scan,
@@ -733,6 +780,7 @@ QUERIES: dict[str, Query] = {
     "kv_scan_posts": kv_scan_posts,
     "kv_scan_comments": kv_scan_comments,
     "kv_upsert_latest": kv_upsert_latest,
+    "kv_compacted_scan": kv_compacted_scan,
     "weather_scan_hour": weather_scan_hour,
     "weather_flatten": weather_flatten,
     "weather_union_files": weather_union_files,
@@ -740,6 +788,9 @@ QUERIES: dict[str, Query] = {
     "weather_unpivot": weather_unpivot,
     "weather_pair_corr": weather_pair_corr,
     "weather_histograms": weather_histograms,
+    "weather_pair_grid": weather_pair_grid,
+    "posts_schema_drift": posts_schema_drift,
+    "weather_union_drift": weather_union_drift,
     "forward_fill_hour": forward_fill_hour,
     "asof_hour_join": asof_hour_join,
     "forward_fill_ranges": forward_fill_ranges,

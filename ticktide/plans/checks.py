@@ -416,6 +416,16 @@ CHECKS: dict[str, str] = {
         """SELECT date_trunc('hour', event_time) AS date, 'Price' AS series, round(avg(price), 6) AS value
            FROM ticks GROUP BY 1""", "ticks"
     ),
+    "series_price_m4": with_parts(
+        """SELECT DISTINCT symbol, "column", make_timestamp(p.t) AS event_time, p.v AS price FROM (
+               SELECT symbol, "column", unnest([
+                   min({'t': t, 'v': v}), max({'t': t, 'v': v}),
+                   {'t': min({'v': v, 't': t}).t, 'v': min(v)}, {'t': -max({'v': v, 't': -t}).t, 'v': max(v)}]) AS p
+               FROM (SELECT symbol, epoch_us(event_time) AS t, price AS v, (epoch_us(event_time) - low) // width AS "column"
+                     FROM ticks, (SELECT min(epoch_us(event_time)) AS low,
+                                         (max(epoch_us(event_time)) - min(epoch_us(event_time)) + 200) // 200 AS width FROM ticks))
+               GROUP BY symbol, "column")""", "ticks"
+    ),
     "ndjson_scan_good": with_parts(
         "SELECT symbol, price, event_time AS date FROM parsed WHERE price IS NOT NULL", "parsed"
     ),
@@ -498,6 +508,13 @@ CHECKS: dict[str, str] = {
         """SELECT post_id, CAST(post_score + CASE WHEN CAST(post_id AS BIGINT) % 2 = 0 THEN 1000 ELSE 0 END AS INT) AS post_score,
                   CAST(CASE WHEN CAST(post_id AS BIGINT) % 2 = 0 THEN 2 ELSE 1 END AS BIGINT) AS version FROM posts""", "posts"
     ),
+    "kv_compacted_scan": with_parts(
+        """SELECT post_id, post_title,
+                  CAST(CASE WHEN n % 14 = 0 THEN -post_score WHEN n % 2 = 0 THEN post_score ELSE post_score + 1000 END AS INTEGER)
+                      AS post_score,
+                  CAST(CASE WHEN n % 14 = 0 THEN 4 WHEN n % 2 = 0 THEN 2 ELSE 1 END AS BIGINT) AS version
+           FROM (SELECT *, CAST(post_id AS BIGINT) AS n FROM posts) WHERE (n % 7 <> 0 OR n % 14 = 0) AND n % 5 <> 1""", "posts"
+    ),
     "weather_scan_hour": with_parts(
         """SELECT strftime(hour, '%Y-%m-%d-%H') AS hour,
                   CASE country WHEN 'FR' THEN 'Paris' WHEN 'GB' THEN 'London' WHEN 'JP' THEN 'Tokyo' WHEN 'PL' THEN 'Warsaw'
@@ -526,6 +543,32 @@ CHECKS: dict[str, str] = {
             f"""SELECT '{a}' AS "left", '{b}' AS "right", round(corr({a}, {b}), 6) AS corr FROM weather""" for a, b in PAIRS
         ), "weather"
     ),
+    "weather_pair_grid": with_parts(
+        """SELECT l.measure AS "left", r.measure AS "right", l.bin AS left_bin, r.bin AS right_bin, count(*) AS count
+           FROM put l JOIN put r ON l.row = r.row AND l.place < r.place GROUP BY ALL""",
+        "weather",
+        numbered_weather="SELECT row_number() OVER () AS row, * FROM weather",
+        long_weather=" UNION ALL ".join(
+            f"SELECT row, {at} AS place, '{name}' AS measure, CAST({name} AS DOUBLE) AS v FROM numbered_weather"
+            for at, name in enumerate(PAIR_MEASURES)),
+        put="""SELECT row, place, measure, least(CAST(floor((v - lo) / ((hi - lo) / 10)) AS BIGINT) + 1, 10) AS bin
+               FROM (SELECT *, min(v) OVER (PARTITION BY place) AS lo, max(v) OVER (PARTITION BY place) AS hi FROM long_weather)""",
+    ),
+    "posts_schema_drift": with_parts(
+        """SELECT field, types, widened, count(DISTINCT n % 3) AS folders, count(*) AS rows, drifts
+           FROM (SELECT CAST(post_id AS BIGINT) AS n FROM posts WHERE post_id <> '0') JOIN
+                (VALUES ('post_id', 'bigint,string', 'string', [0, 1, 2], true), ('post_title', 'string', 'string', [0, 1], true),
+                        ('post_score', 'bigint,double,string', 'string', [0, 1, 2], true), ('post_upvote', 'double', 'double', [0], true),
+                        ('pinned', 'boolean', 'boolean', [2], true), ('tags', 'array', 'string', [2], true))
+                AS f(field, types, widened, producers, drifts) ON list_contains(producers, n % 3) GROUP BY ALL""", "posts"
+    ),
+    "weather_union_drift": with_parts(
+        """SELECT strftime(hour, '%Y-%m-%d %H') AS hour, country, CAST(humidity AS VARCHAR) AS temp,
+                  CASE WHEN NOT old THEN CAST(humidity AS BIGINT) END AS humidity,
+                  pressure + CASE WHEN old THEN 0.0::DOUBLE ELSE 0.5::DOUBLE END AS pressure,
+                  CASE WHEN NOT old THEN CAST(pressure AS BIGINT) END AS gust
+           FROM (SELECT *, dayofyear(hour) % 3 = 0 AS old FROM weather)""", "weather"
+    ),
     "weather_histograms": " UNION ALL ".join(
         f"""SELECT * FROM ({histogram(f'SELECT CAST({name} AS DOUBLE) AS v FROM weather', AUTO_BINS, 'weather',
                                       label=f"'{name}' AS measure,")})"""

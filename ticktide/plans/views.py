@@ -169,6 +169,34 @@ def land_indented_posts(posts: DataFrame, root: str, per_file: int = POSTS_PER_P
     files.drop("pull").write.partitionBy("hour").option("maxRecordsPerFile", 1).text(root)
 
 
+def land_drifting_posts(spark: SparkSession, sf_dir: str, root: str) -> None:
+    """Posts of three producers, each with fields and types of its own, as JSON lines; a line of the first is broken."""
+    flat = posts_flat(spark, sf_dir)
+    producer = F.col("post_id").cast("bigint") % 3
+    shapes = [
+        F.struct("post_id", "post_title", "post_score", "post_upvote"),
+        F.struct("post_id", "post_title", F.concat(F.col("post_score").cast("string"), F.lit(" points")).alias("post_score")),
+        F.struct(F.col("post_id").cast("bigint").alias("post_id"), F.col("post_upvote").alias("post_score"),
+                 F.lit(True).alias("pinned"), F.array("post_score").alias("tags")),
+    ]
+    line = F.when(F.col("post_id") == "0", F.lit("{broken"))
+    for at, shape in enumerate(shapes):
+        line = line.when(producer == at, F.to_json(shape))
+    flat.select(line.alias("value"), producer.alias("producer")).write.partitionBy("producer").text(root)
+
+
+def land_drifting_weather(spark: SparkSession, sf_dir: str, root: str) -> None:
+    """Hourly weather whose stations changed their format: every third day temperatures are text and humidity is
+    missing, every other day pressures are fractions and there is a wind gust."""
+    flat = weather_flat(spark, sf_dir).withColumn("day", F.dayofyear("hour"))
+    when = F.date_format("hour", "yyyy-MM-dd HH").alias("hour")
+    texts = F.struct(when, "country", F.col("humidity").cast("string").alias("temp"), "pressure")
+    fractions = F.struct(when, "country", F.col("humidity").alias("temp"), "humidity", (F.col("pressure") + 0.5).alias("pressure"),
+                         F.col("pressure").alias("gust"))
+    line = F.when(F.col("day") % 3 == 0, F.to_json(texts)).otherwise(F.to_json(fractions))
+    flat.select(line.alias("value"), (F.col("day") % 3 == 0).cast("string").alias("old")).write.partitionBy("old").text(root)
+
+
 def tick_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ticks as JSON messages; some are broken as a whole, some in their price."""
     when = F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
