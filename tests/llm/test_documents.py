@@ -482,7 +482,7 @@ def test_gradients_are_those_of_the_loss():
         state, total = start, 0.0
         for t in range(5):
             state = np.where((inputs[t] == 71)[:, None], 0, state)
-            state, _ = network.step(inputs[t], state)
+            state = network.step(inputs[t], state)
             total -= network.log_probability(state, outputs[t]).sum()
         return total / 15
 

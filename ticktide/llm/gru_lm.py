@@ -5,9 +5,9 @@ network written in numpy; they are dealt into classes by frequency, so a word's
 class times that within the class. All other words share one class, within which a word is as probable as its
 smoothed count in the corpus, so that the probabilities of all words, seen or not, add up to one.
 
-The network is trained by truncated backpropagation on all training documents in whole, in shards whose number
-follows from the counted words. A task streams its shard through lanes, each of which carries its state through
-whole texts; the weights are averaged after each round. Scoring carries the state likewise. Counts of words beyond
+The network is trained by truncated backpropagation, in one pass over all training documents in whole at every size. The
+counted words only decide how many shards there are. A shard goes through lanes, each of which carries its state through
+whole texts; each round trains on its part of the documents and averages the shards' weights. Scoring carries the state likewise. Counts of words beyond
 those that every task holds are joined by shuffle.
 """
 
@@ -19,7 +19,6 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,11 +29,12 @@ WORDS = 4_096         # vocabulary of the network
 CLASS_WORDS = 64
 HIDDEN = 16
 COMMON = 1 << 18      # words whose counts every task holds: at most 4 MB
-SHARDS, ROUNDS = 4, 4      # at least so many shards, and so many averages of their weights
-SHARD_TOKENS = 1 << 21     # words that a shard trains on in a round, a text more at most
-PASS_TOKENS = 1 << 22      # up to so many words every round is a pass over all of them, beyond it the rounds share one pass
-LANES, WINDOW, RATE = 512, 24, 0.01
-LANE_TOKENS = 1 << 13      # words for which a shard opens a further lane
+ROUNDS = 4                 # averages of the shards' weights; each round trains on its own quarter of the documents
+SHARD_TOKENS = 1 << 21     # words that a shard trains on in a round, give or take those of a text
+LANES, WINDOW, RATE = 256, 24, 0.01
+CHUNK = 1 << 12            # rows whose class scores are made at a time
+SCORED = 1 << 17           # states that are scored at a time
+GROUP_TOKENS = 1 << 22     # words of the texts that take their steps together, give or take those of a slice
 PIECE = 1 << 14            # weights that are averaged in one row
 END = np.uint64(0)    # stands for the end of a text among the word hashes
 PENDING = 1 << 20     # distinct words that a task gathers before it hands counts on
@@ -127,8 +127,19 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
                       int(totals["types"]), int(totals["ends"]))
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-x))
+def _softmax(scores: np.ndarray) -> np.ndarray:
+    scores -= scores.max(axis=1, keepdims=True)
+    np.exp(scores, out=scores)
+    scores /= scores.sum(axis=1, keepdims=True)
+    return scores
+
+
+def _log_softmax_at(scores: np.ndarray, column: np.ndarray) -> np.ndarray:
+    """The logarithm of each row's softmax at one column."""
+    scores -= scores.max(axis=1, keepdims=True)
+    chosen = scores[np.arange(len(column)), column]
+    np.exp(scores, out=scores)
+    return chosen - np.log(scores.sum(axis=1))
 
 
 class Network:
@@ -166,27 +177,41 @@ class Network:
             at += old.size
         return self
 
-    def step(self, number: np.ndarray, state: np.ndarray):
-        x, u = self.into[number], state @ self.again
-        gates = _sigmoid(x[:, :2 * HIDDEN] + u[:, :2 * HIDDEN])
-        z, r = gates[:, :HIDDEN], gates[:, HIDDEN:]
-        inner = np.tanh(x[:, 2 * HIDDEN:] + r * u[:, 2 * HIDDEN:])
-        return inner + z * (state - inner), (z, r, inner, u[:, 2 * HIDDEN:])
+    def step(self, number: np.ndarray, state: np.ndarray) -> np.ndarray:
+        """The state behind each number."""
+        x = self.into[number]
+        inner, again, after = (np.empty_like(state) for _ in range(3))
+        self._advance(x, state, np.empty((len(x), 2 * HIDDEN), x.dtype), inner, again, after)
+        return after
+
+    def _advance(self, x, state, gates, inner, again, after) -> None:
+        """One step of the gated unit; gates, the proposed state, its recurrent part and the new state go into arrays."""
+        u = state @ self.again
+        again[:] = u[:, 2 * HIDDEN:]
+        np.add(x[:, :2 * HIDDEN], u[:, :2 * HIDDEN], out=gates)
+        np.negative(gates, out=gates)
+        np.exp(gates, out=gates)
+        gates += 1
+        np.reciprocal(gates, out=gates)
+        np.multiply(gates[:, HIDDEN:], again, out=inner)
+        inner += x[:, 2 * HIDDEN:]
+        np.tanh(inner, out=inner)
+        np.subtract(state, inner, out=after)
+        after *= gates[:, :HIDDEN]
+        after += inner
 
     def log_probability(self, states: np.ndarray, number: np.ndarray) -> np.ndarray:
         """Natural log-probability of each number in the state before it."""
         group = np.where(number < self.size, number // CLASS_WORDS, self.classes + number - self.size)
-        scores = states @ self.to_class + self.class_bias
-        scores -= scores.max(axis=1, keepdims=True)
-        result = scores[np.arange(len(group)), group] - np.log(np.exp(scores).sum(axis=1))
-        order = np.argsort(group, kind="stable")
+        result = np.empty(len(group), np.float64)
+        for at in range(0, len(group), CHUNK):
+            cut = slice(at, at + CHUNK)
+            result[cut] = _log_softmax_at(states[cut] @ self.to_class + self.class_bias, group[cut])
+        order = np.argsort(group.astype(np.int16), kind="stable")
         cuts = np.searchsorted(group[order], np.arange(self.classes + 1))
-        for at in range(self.classes):
+        for at in np.flatnonzero(np.diff(cuts)):
             own = order[cuts[at]:cuts[at + 1]]
-            if len(own):
-                inner = states[own] @ self.to_word[at] + self.word_bias[at]
-                inner -= inner.max(axis=1, keepdims=True)
-                result[own] += inner[np.arange(len(own)), number[own] - at * CLASS_WORDS] - np.log(np.exp(inner).sum(axis=1))
+            result[own] += _log_softmax_at(states[own] @ self.to_word[at] + self.word_bias[at], number[own] - at * CLASS_WORDS)
         return result
 
     def window(self, inputs: np.ndarray, outputs: np.ndarray, state: np.ndarray):
@@ -195,19 +220,18 @@ class Network:
         Places with a negative output hold no word and count for nothing.
         """
         steps, lanes = inputs.shape
-        known, saved = np.empty((steps, lanes, HIDDEN), np.float32), []
+        ends, x = inputs == self.size + 1, self.into[inputs]
+        before, inner, again, known = (np.empty((steps, lanes, HIDDEN), x.dtype) for _ in range(4))
+        gates = np.empty((steps, lanes, 2 * HIDDEN), x.dtype)
         for t in range(steps):
-            state = np.where((inputs[t] == self.size + 1)[:, None], 0, state)  # a text begins behind an end
-            before = state
-            state, kept = self.step(inputs[t], before)
-            known[t] = state
-            saved.append((before, kept))
+            before[t] = state
+            before[t][ends[t]] = 0  # a text begins behind an end
+            self._advance(x[t], before[t], gates[t], inner[t], again[t], known[t])
+            state = known[t]
         flat, number = known.reshape(-1, HIDDEN), outputs.ravel()
         empty = number < 0
         group = np.where(number < self.size, number // CLASS_WORDS, self.classes + number - self.size)
-        scores = flat @ self.to_class + self.class_bias
-        share = np.exp(scores - scores.max(axis=1, keepdims=True))
-        share /= share.sum(axis=1, keepdims=True)
+        share = _softmax(flat @ self.to_class + self.class_bias)
         share[np.arange(len(group)), group] -= 1
         share[empty] = 0
         slopes = [np.zeros_like(p) for p in self.parameters()]
@@ -215,33 +239,40 @@ class Network:
         back = share @ self.to_class.T
         order = np.argsort(group, kind="stable")
         cuts = np.searchsorted(group[order], np.arange(self.classes + 1))
+        sorted_flat, sorted_back = flat[order], np.zeros((len(order), HIDDEN), back.dtype)
+        place = number[order] - group[order] * CLASS_WORDS
         for at in np.flatnonzero(np.diff(cuts)):
-            own = order[cuts[at]:cuts[at + 1]]
-            inner = flat[own] @ self.to_word[at] + self.word_bias[at]
-            inner = np.exp(inner - inner.max(axis=1, keepdims=True))
-            inner /= inner.sum(axis=1, keepdims=True)
-            inner[np.arange(len(own)), number[own] - at * CLASS_WORDS] -= 1
-            slopes[4][at], slopes[5][at] = flat[own].T @ inner, inner.sum(axis=0)
-            back[own] += inner @ self.to_word[at].T
+            own = slice(cuts[at], cuts[at + 1])
+            word = _softmax(sorted_flat[own] @ self.to_word[at] + self.word_bias[at])
+            word[np.arange(len(word)), place[own]] -= 1
+            slopes[4][at], slopes[5][at] = sorted_flat[own].T @ word, word.sum(axis=0)
+            sorted_back[own] = word @ self.to_word[at].T
+        back[order] += sorted_back
         back = back.reshape(steps, lanes, HIDDEN)
-        carried = np.zeros((lanes, HIDDEN), np.float32)
-        d_input = np.empty((steps, lanes, 3 * HIDDEN), known.dtype)
+
+        z, r = gates[:, :, :HIDDEN], gates[:, :, HIDDEN:]
+        to_inner, to_z, to_r = (1 - z) * (1 - inner * inner), (before - inner) * z * (1 - z), again * r * (1 - r)
+        carried = np.zeros((lanes, HIDDEN), x.dtype)
+        d_input, d_again = np.empty_like(x), np.empty_like(x)
         for t in range(steps - 1, -1, -1):
-            before, (z, r, inner, u) = saved[t]
-            total = back[t] + carried
-            d_inner = total * (1 - z) * (1 - inner * inner)
-            d_z = total * (before - inner) * z * (1 - z)
-            d_r = d_inner * u * r * (1 - r)
-            d_input[t] = np.concatenate([d_z, d_r, d_inner], axis=1)
-            d_u = np.concatenate([d_z, d_r, d_inner * r], axis=1)
-            slopes[1] += before.T @ d_u
-            carried = total * z + d_u @ self.again.T
-            carried[inputs[t] == self.size + 1] = 0
-        order = np.argsort(inputs, axis=None, kind="stable")
+            total, d = back[t] + carried, d_input[t]
+            np.multiply(total, to_z[t], out=d[:, :HIDDEN])
+            np.multiply(total, to_inner[t], out=d[:, 2 * HIDDEN:])
+            np.multiply(d[:, 2 * HIDDEN:], to_r[t], out=d[:, HIDDEN:2 * HIDDEN])
+            d_again[t] = d
+            d_again[t][:, 2 * HIDDEN:] *= r[t]
+            carried = total * z[t]
+            carried += d_again[t] @ self.again.T
+            carried[ends[t]] = 0
+        slopes[1] = before.reshape(-1, HIDDEN).T @ d_again.reshape(-1, 3 * HIDDEN)
+        order = np.argsort(inputs.ravel().astype(np.int16), kind="stable")
         read = inputs.ravel()[order]
         first = np.flatnonzero(np.append(True, read[1:] != read[:-1]))
         slopes[0][read[first]] = np.add.reduceat(d_input.reshape(-1, 3 * HIDDEN)[order], first, axis=0)
-        return [slope / max(1, len(empty) - int(empty.sum())) for slope in slopes], state
+        count = max(1, len(empty) - int(empty.sum()))
+        for slope in slopes:
+            slope /= count
+        return slopes, state
 
 
 def lane_windows(texts: Iterator[np.ndarray], lanes: int, end: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -284,12 +315,21 @@ def train_shard(network: Network, texts: Iterator[np.ndarray], lanes: int) -> in
     for turn, (inputs, outputs, live) in enumerate(lane_windows(iter(texts), lanes, network.size + 1), 1):
         slopes, state = network.window(inputs, outputs, state[live])
         seen += int((outputs >= 0).sum())
-        norm = max(1.0, float(np.sqrt(sum((s * s).sum() for s in slopes))))
+        norm = max(1.0, float(np.sqrt(sum(np.vdot(slope, slope) for slope in slopes))))
+        by_first, by_second = 1 - 0.9 ** turn, 1 - 0.99 ** turn
         for p, s, m, v in zip(parameters, slopes, first, second):
-            s = s / norm
-            m += 0.1 * (s - m)
-            v += 0.01 * (s * s - v)
-            p -= RATE * (m / (1 - 0.9 ** turn)) / (np.sqrt(v / (1 - 0.99 ** turn)) + 1e-6)
+            s *= 0.1 / norm
+            m *= 0.9
+            m += s
+            v *= 0.99
+            s *= s
+            v += s  # s holds a hundredth of the squared slope
+            np.divide(v, by_second, out=s)
+            np.sqrt(s, out=s)
+            s += 1e-6
+            np.divide(m, s, out=s)
+            s *= RATE / by_first
+            p -= s
     return seen
 
 
@@ -307,15 +347,13 @@ def _averaged(trained: DataFrame, shards: int) -> list:
 
 
 def fit(docs: DataFrame, known: Vocabulary, seed: int = 9) -> Network:
-    """Train on all documents in whole. Every document belongs to one shard of one round, or of each if they are few."""
+    """One pass over all documents in whole. Every document belongs to one shard of one round."""
     network = Network(known)
     if not known.size:
         return network
     spark = docs.sparkSession
     vocabulary_everywhere = spark.sparkContext.broadcast(known)
-    rounds = 1 if known.tokens <= PASS_TOKENS else ROUNDS  # disjoint parts of the documents
-    shards = max(SHARDS, -(-known.tokens // (rounds * SHARD_TOKENS)))
-    lanes = max(1, min(LANES, known.tokens // (rounds * shards * LANE_TOKENS)))
+    shards = max(1, -(-known.tokens // (ROUNDS * SHARD_TOKENS)))
 
     def numbers(batches):
         for whole in batches:
@@ -331,45 +369,63 @@ def fit(docs: DataFrame, known: Vocabulary, seed: int = 9) -> Network:
     def trainer(turn: int):
         weights = spark.sparkContext.broadcast(network.packed())
 
-        def train(batches):
-            rows = (np.frombuffer(row.as_py(), np.int16).astype(np.int64) for batch in batches for row in batch.column(1))
+        def train(rows: pa.Table) -> pa.Table:
+            rows = rows.sort_by([("draw", "ascending"), ("numbers", "ascending")])
             own = Network(vocabulary_everywhere.value).load(weights.value)
-            seen = train_shard(own, rows, lanes)
-            if seen:
-                raw = own.packed()
-                pieces = [raw[at:at + 4 * PIECE] for at in range(0, len(raw), 4 * PIECE)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(range(len(pieces)), pa.int32()), pa.array([TaskContext.get().partitionId()] * len(pieces), pa.int32()),
-                     pa.array([seen] * len(pieces), pa.int64()), pa.array(pieces, pa.binary())], ["piece", "part", "size", "weights"])
+            texts = (np.frombuffer(row.as_py(), np.int16).astype(np.int64) for row in rows["numbers"])
+            seen = train_shard(own, texts, LANES)
+            raw = own.packed()
+            pieces = [raw[at:at + 4 * PIECE] for at in range(0, len(raw), 4 * PIECE)]
+            shard = rows["shard"][0].as_py()
+            return pa.table([pa.array(range(len(pieces)), pa.int32()), pa.array([shard] * len(pieces), pa.int32()),
+                             pa.array([seen] * len(pieces), pa.int64()), pa.array(pieces, pa.binary())],
+                            names=["piece", "part", "size", "weights"])
 
         return train
 
     for turn in range(ROUNDS):
-        own = texts.where(F.pmod("draw", F.lit(rounds)) == turn % rounds)
-        order = F.xxhash64(F.lit(turn), "draw")
-        dealt = own.repartition(shards, F.xxhash64("draw")).sortWithinPartitions(order, "draw")
-        trained = dealt.mapInArrow(trainer(turn), "piece int, part int, size long, weights binary")
-        network.load(b"".join(row["weights"] for row in _averaged(trained, shards)))
+        own = texts.where(F.pmod("draw", F.lit(ROUNDS)) == turn)
+        shard = F.pmod(F.xxhash64(F.lit(turn), "draw"), F.lit(shards)).cast("int").alias("shard")
+        trained = own.select(shard, "draw", "numbers").groupBy("shard").applyInArrow(
+            trainer(turn), "piece int, part int, size long, weights binary")
+        averaged = _averaged(trained, shards)
+        if averaged:
+            network.load(b"".join(row["weights"] for row in averaged))
     return network
 
 
 def log_likelihood(network: Network, number: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Natural log-probability of each text, its words and its end, with the state carried from start to end."""
+    """Natural log-probability of each text, its words and its end, with the state carried from start to end.
+
+    All texts take their steps together, the longest first, so that those which are done need not be looked at again.
+    States are kept only until enough have come together to be scored at once.
+    """
     length = np.diff(first)
     order = np.argsort(-length, kind="stable")
     begin, size = first[:-1][order], length[order]
-    states = np.empty((len(number), HIDDEN), np.float32)
+    total = np.zeros(len(order))
     state = np.zeros((len(order), HIDDEN), np.float32)
-    active = np.searchsorted(-size, -np.arange(size[0] if len(size) else 0), side="left")
+    active = np.searchsorted(-size, -np.arange(size[0] if len(size) else 0), side="left").tolist()
+    states, wanted, held = [], [], 0
+
+    def settle() -> None:
+        found = network.log_probability(np.concatenate(states), np.concatenate(wanted))
+        texts = np.concatenate([np.arange(len(some)) for some in wanted])
+        total[:] += np.bincount(texts, found, len(total))
+
+    given = np.full(len(order), network.size + 1)
     for t, live in enumerate(active):
-        given = number[begin[:live] + t - 1] if t else np.full(live, network.size + 1)
-        state, _ = network.step(given, state[:live])
-        states[begin[:live] + t] = state
-    total = np.empty(len(number))
-    for at in range(0, len(number), 1 << 16):
-        cut = slice(at, at + (1 << 16))
-        total[cut] = network.log_probability(states[cut], number[cut])
-    return np.bincount(np.repeat(np.arange(len(length)), length), total, len(length))
+        state = network.step(given[:live], state[:live])
+        given = number[begin[:live] + t].astype(np.int64)
+        states.append(state)
+        wanted.append(given)
+        held += live
+        if held >= SCORED or t + 1 == len(active):
+            settle()
+            states, wanted, held = [], [], 0
+    result = np.empty(len(order))
+    result[order] = total
+    return result
 
 
 PARTS = ("row long, doc_id long, held_out boolean, n_tokens long, n_known long, n_other long, base double, other double, "
@@ -382,8 +438,20 @@ def _parts(docs: DataFrame, known: Vocabulary, network: Network) -> DataFrame:
 
     def work(batches):
         held_counts, model = shared.value
+        names = [part.split()[0] for part in PARTS.split(", ")[:9]] + ["rare"]
+        waiting, numbers, firsts, size = [], [], [], 0
+
+        def together() -> Iterator[pa.RecordBatch]:
+            first = np.concatenate([[0], *[part[1:] for part in firsts]])
+            found, at = log_likelihood(model, np.concatenate(numbers), first) / np.log(10), 0
+            for columns in waiting:
+                texts = len(columns[0])
+                network_scores = pa.array(found[at:at + texts])
+                at += texts
+                yield pa.RecordBatch.from_arrays([*columns[:-1], network_scores, columns[-1]], names)
+
         for whole in batches:
-            for batch in text_slices(whole, "text"):
+            for batch in text_slices(whole, "text", SLICE_BYTES):
                 hashes, first = _hashes(text_of(batch, "text"))
                 texts, length = batch.num_rows, np.diff(first)
                 row = np.repeat(np.arange(texts), length)
@@ -403,11 +471,17 @@ def _parts(docs: DataFrame, known: Vocabulary, network: Network) -> DataFrame:
                 def count(flags):
                     return pa.array(np.bincount(row[flags], minlength=texts))
 
-                yield pa.RecordBatch.from_arrays([
+                waiting.append([
                     batch.column(0), batch.column(1), batch.column(2), pa.array(length), count(n > 0), count(other),
-                    pa.array(np.bincount(row, logs, texts)), pa.array(np.bincount(row, np.where(other, logs, 0), texts)),
-                    pa.array(log_likelihood(model, number, first) / np.log(10)), rare,
-                ], ["row", "doc_id", "held_out", "n_tokens", "n_known", "n_other", "base", "other", "network", "rare"])
+                    pa.array(np.bincount(row, logs, texts)), pa.array(np.bincount(row, np.where(other, logs, 0), texts)), rare])
+                numbers.append(number.astype(np.int16))
+                firsts.append(first + size)
+                size += len(number)
+                if size >= GROUP_TOKENS:
+                    yield from together()
+                    waiting, numbers, firsts, size = [], [], [], 0
+        if waiting:
+            yield from together()
 
     return docs.mapInArrow(work, PARTS)
 
