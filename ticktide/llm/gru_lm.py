@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -32,6 +33,7 @@ COMMON = 1 << 18      # words whose counts every task holds: at most 4 MB
 ROUNDS = 4                 # averages of the shards' weights; each round trains on its own quarter of the documents
 SHARD_TOKENS = 1 << 21     # words that a shard trains on in a round, give or take those of a text
 LANES, WINDOW, RATE = 256, 24, 0.01
+LARGE = 40.0               # exponents within this bound need no shift: 64 of them add up in 32 bits
 CHUNK = 1 << 12            # rows whose class scores are made at a time
 SCORED = 1 << 17           # states that are scored at a time
 GROUP_TOKENS = 1 << 22     # words of the texts that take their steps together, give or take those of a slice
@@ -97,14 +99,34 @@ class Vocabulary:
         """Classes of words; behind them come the class of all other words and that of the end."""
         return -(-self.size // CLASS_WORDS)
 
+    @cached_property
+    def inner(self) -> np.ndarray:
+        """Places of the network's words and the end among the common words: few enough to be searched in the cache."""
+        return np.flatnonzero(self.number != self.size)
+
+    def numbers(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Number of each hash, and its place among the common words or -1 for words outside of the network."""
+        number = np.where(hashes == END, self.size + 1, self.size)
+        place = np.full(len(hashes), -1)
+        if len(self.inner):
+            keys = self.words[self.inner]
+            at = np.minimum(np.searchsorted(keys, hashes), len(keys) - 1)
+            hit = keys[at] == hashes
+            place[hit] = self.inner[at[hit]]
+            number[hit] = self.number[place[hit]]
+        return number, place
+
     def look_up(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Count, number and whether the count is held here, of each hash."""
-        if not len(self.words):
-            return (np.zeros(len(hashes), np.int64), np.where(hashes == END, self.size + 1, self.size), hashes == END)
-        at = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
-        held = self.words[at] == hashes
-        number = np.where(held, self.number[at], np.where(hashes == END, self.size + 1, self.size))
-        return np.where(held, self.n[at], 0), number, held | (hashes == END)
+        number, place = self.numbers(hashes)
+        loose = np.flatnonzero(place < 0)
+        if len(self.words) and len(loose):
+            at = np.minimum(np.searchsorted(self.words, hashes[loose]), len(self.words) - 1)
+            place[loose] = np.where(self.words[at] == hashes[loose], at, -1)
+        held = place >= 0
+        n = np.zeros(len(hashes), np.int64)
+        n[held] = self.n[place[held]]
+        return n, number, held | (hashes == END)
 
     @property
     def other_mass(self) -> int:
@@ -127,19 +149,27 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
                       int(totals["types"]), int(totals["ends"]))
 
 
-def _softmax(scores: np.ndarray) -> np.ndarray:
-    scores -= scores.max(axis=1, keepdims=True)
+def _exponents(scores: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """exp of the scores in place, less the row's maximum where they are so large that they need it, and the rows' sums.
+
+    Sums over rows are products with ones, which is faster than adding up short rows.
+    """
+    if scores.max(initial=0) > LARGE or scores.min(initial=0) < -LARGE:
+        scores -= scores.max(axis=1, keepdims=True)
     np.exp(scores, out=scores)
-    scores /= scores.sum(axis=1, keepdims=True)
+    return scores, scores @ np.ones(scores.shape[1], scores.dtype)
+
+
+def _softmax(scores: np.ndarray) -> np.ndarray:
+    scores, total = _exponents(scores)
+    scores *= np.reciprocal(total)[:, None]
     return scores
 
 
 def _log_softmax_at(scores: np.ndarray, column: np.ndarray) -> np.ndarray:
     """The logarithm of each row's softmax at one column."""
-    scores -= scores.max(axis=1, keepdims=True)
-    chosen = scores[np.arange(len(column)), column]
-    np.exp(scores, out=scores)
-    return chosen - np.log(scores.sum(axis=1))
+    scores, total = _exponents(scores)
+    return np.log(scores[np.arange(len(column)), column] / total)
 
 
 class Network:
@@ -179,7 +209,7 @@ class Network:
 
     def step(self, number: np.ndarray, state: np.ndarray) -> np.ndarray:
         """The state behind each number."""
-        x = self.into[number]
+        x = self.into.take(number, axis=0)
         inner, again, after = (np.empty_like(state) for _ in range(3))
         self._advance(x, state, np.empty((len(x), 2 * HIDDEN), x.dtype), inner, again, after)
         return after
@@ -220,7 +250,7 @@ class Network:
         Places with a negative output hold no word and count for nothing.
         """
         steps, lanes = inputs.shape
-        ends, x = inputs == self.size + 1, self.into[inputs]
+        ends, x = inputs == self.size + 1, self.into.take(inputs, axis=0)
         before, inner, again, known = (np.empty((steps, lanes, HIDDEN), x.dtype) for _ in range(4))
         gates = np.empty((steps, lanes, 2 * HIDDEN), x.dtype)
         for t in range(steps):
@@ -239,7 +269,7 @@ class Network:
         back = share @ self.to_class.T
         order = np.argsort(group, kind="stable")
         cuts = np.searchsorted(group[order], np.arange(self.classes + 1))
-        sorted_flat, sorted_back = flat[order], np.zeros((len(order), HIDDEN), back.dtype)
+        sorted_flat, sorted_back = flat.take(order, axis=0), np.zeros((len(order), HIDDEN), back.dtype)
         place = number[order] - group[order] * CLASS_WORDS
         for at in np.flatnonzero(np.diff(cuts)):
             own = slice(cuts[at], cuts[at + 1])
@@ -268,7 +298,7 @@ class Network:
         order = np.argsort(inputs.ravel().astype(np.int16), kind="stable")
         read = inputs.ravel()[order]
         first = np.flatnonzero(np.append(True, read[1:] != read[:-1]))
-        slopes[0][read[first]] = np.add.reduceat(d_input.reshape(-1, 3 * HIDDEN)[order], first, axis=0)
+        slopes[0][read[first]] = np.add.reduceat(d_input.reshape(-1, 3 * HIDDEN).take(order, axis=0), first, axis=0)
         count = max(1, len(empty) - int(empty.sum()))
         for slope in slopes:
             slope /= count
@@ -359,7 +389,7 @@ def fit(docs: DataFrame, known: Vocabulary, seed: int = 9) -> Network:
         for whole in batches:
             for batch in text_slices(whole, "text"):
                 hashes, first = _hashes(text_of(batch, "text"))
-                number = vocabulary_everywhere.value.look_up(hashes)[1].astype(np.int16)
+                number = vocabulary_everywhere.value.numbers(hashes)[0].astype(np.int16)
                 rows = [number[low:high].tobytes() for low, high in zip(first[:-1], first[1:] - 1)]
                 yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(rows, pa.binary())], ["draw", "numbers"])
 
