@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ticktide.models.state import ModelState
 from ticktide.schemas import FEATURE_COLUMNS
+from ticktide.session import scratch_path
 
 
 @dataclass
@@ -209,3 +210,42 @@ def train(features: DataFrame, learner: LinearLearner | NetworkLearner, state: M
         state.observe(n, mean, spread)
     learner.step(state, gradient)
     return state, gradient
+
+
+def train_minibatches(
+    features: DataFrame,
+    learner: LinearLearner | NetworkLearner,
+    state: ModelState,
+    rows_per_step: int = 100_000,
+    steps: int | None = None,
+    key: str = "event_id",
+    seed: int = 7,
+) -> tuple[ModelState, Gradient | None]:
+    """Test then train on one batch in several steps, each on its own rows, so that a batch of many rows counts as many.
+
+    The rows are dealt into about n / ``rows_per_step`` parts by a seeded hash of ``key``, which is the same in a replay, and
+    written once; a step reads only its part. Each part is tested with the weights of the steps before it, and the
+    returned error is the mean of these over all rows. Features are standardised as in ``train``, once for the batch.
+    """
+    n, mean, spread = feature_stats(features)
+    if not n:
+        return state, None
+    spark, path = features.sparkSession, scratch_path(features.sparkSession, "minibatches")
+    steps = steps or max(1, -(-n // rows_per_step))
+    drawn = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(seed), F.col(key)).cast("binary")), 1, 8), 16, 10).cast("bigint")
+    parted = features.select(*FEATURE_COLUMNS, "y", (drawn % steps).alias("part"))
+    parted.hint("rebalance", "part").write.partitionBy("part").parquet(path)
+    parts = spark.read.parquet(path)
+    sizes = {row["part"]: row["count"] for row in parts.groupBy("part").count().collect()}
+
+    fresh = not state.seen
+    if fresh:
+        state.observe(n, mean, spread)
+    squared = 0.0
+    for part in sorted(sizes):
+        gradient = learner.gradient(parts.where(F.col("part") == part), state)
+        squared += gradient.squared_error * sizes[part]
+        learner.step(state, gradient)
+    if not fresh:
+        state.observe(n, mean, spread)
+    return state, Gradient(gradient.values, squared / n)

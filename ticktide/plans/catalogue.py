@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ticktide.functions.times import hour_key
-from ticktide.models.learners import LinearLearner, NetworkLearner, train
+from ticktide.models.learners import LinearLearner, NetworkLearner, train, train_minibatches
 from ticktide.models.state import latest_models, load, to_frame
 from ticktide.operators import cells, enrich, ordered, posts, results, scoring, series, stats, ticks, weather
 from ticktide.operators.asof import asof_merge
@@ -15,7 +15,7 @@ from ticktide.operators.sides import latest_by, without_top
 from ticktide.plans import views
 from ticktide.schemas import FEATURE_COLUMNS, POST_KEY, WEATHER_COLUMNS
 from ticktide.session import prepare, scratch_path, stage
-from ticktide.sinks import files as sinks
+from ticktide.sinks import files as sinks, hours
 from ticktide.sinks.keyed import KeyedTable
 from ticktide.sources import drift, files as landed
 from ticktide.sources.messages import read_messages
@@ -273,6 +273,20 @@ def hour_partition_overwrite(spark, sf_dir):
     return good.select("hour", "post_id", "post_score")
 
 
+def hour_as_of_version(spark, sf_dir):
+    """All hours landed, the newest one replaced, and a landing that never finished: as of both versions."""
+    root = scratch_path(prepare(spark), "versioned")
+    rows = views.posts_flat(spark, sf_dir).select(
+        F.date_format(F.timestamp_seconds("post_time"), "yyyy-MM-dd-HH").alias("hour"), "post_id", "post_score")
+    first = hours.land_hours(rows, root)
+    newest = rows.where(F.col("hour") == rows.agg(F.max("hour")).scalar()).withColumn("post_score", F.col("post_score") + 1000)
+    second = hours.land_hours(newest, root)
+    rows.withColumn("post_score", F.lit(-1)).write.partitionBy("hour").parquet(f"{root}/data/version={second + 1}")
+    seen = [hours.read_hours(spark, root, at).withColumn("as_of", F.lit(name))
+            for at, name in ((first, "first"), (None, "now"))]
+    return seen[0].unionByName(seen[1]).select("as_of", "hour", "post_id", "post_score", "version")
+
+
 def schema_profile(spark, sf_dir):
     root = scratch_path(spark, "weather")
     views.land_weather(spark, sf_dir, root)
@@ -586,6 +600,15 @@ def sgd_first_step(spark, sf_dir):
     return rounded(_weights(to_frame(spark, [state])), "weight")
 
 
+def sgd_minibatch_steps(spark, sf_dir):
+    """Weights after four steps over the whole table, each on a quarter of the rows."""
+    rows = enrich.complete(views.features(spark, sf_dir)).select("event_id", *FEATURE_COLUMNS, "y").persist()
+    learner = LinearLearner()
+    state, _ = train_minibatches(rows, learner, learner.start(), steps=4)
+    rows.unpersist()
+    return rounded(_weights(to_frame(spark, [state])), "weight")
+
+
 def _weights(states):
     names = F.array(*[F.lit(name) for name in [*FEATURE_COLUMNS, "intercept"]])
     pairs = F.arrays_zip(names.alias("input"), F.col("weights").alias("weight"))
@@ -646,6 +669,20 @@ def stream_parse_ticks(spark, sf_dir):
     return _ntz(spark.read.parquet(target), "event_time")
 
 
+def stream_from_latest(spark, sf_dir):
+    """A stream that is started behind its first slice of messages and sees only what comes after, through restarts."""
+    target, source, checkpoint = (scratch_path(prepare(spark), name) for name in ("latest", "messages", "checkpoint"))
+
+    def opened():
+        return streams.parsed_stream(read_messages(spark, "parquet", path=source))
+
+    for at, part in enumerate(views.time_slices(spark, sf_dir, SLICES)):
+        part.write.mode("append").parquet(source)
+        if not streams.skip_to_latest(opened(), checkpoint):
+            streams.start(streams.batches(opened(), target, checkpoint), drain=True)
+    return _ntz(spark.read.parquet(target).select("event_id", "symbol", "price", "event_time"), "event_time")
+
+
 def stream_parquet_roundtrip(spark, sf_dir):
     target = scratch_path(prepare(spark), "archive")
     _drained(spark, sf_dir, lambda parsed, checkpoint: streams.archive(parsed, target, checkpoint))
@@ -771,6 +808,7 @@ QUERIES: dict[str, Query] = {
     "histogram_auto": histogram_auto,
     "file_audit": file_audit,
     "hour_partition_overwrite": hour_partition_overwrite,
+    "hour_as_of_version": hour_as_of_version,
     "schema_profile": schema_profile,
     "lexicon_sentiment": lexicon_sentiment,
     "post_scores": post_scores,
@@ -810,9 +848,11 @@ QUERIES: dict[str, Query] = {
     "series_sentiment": series_sentiment,
     "series_weather": series_weather,
     "sgd_first_step": sgd_first_step,
+    "sgd_minibatch_steps": sgd_minibatch_steps,
     "mlp_step": mlp_step,
     "model_state_latest": model_state_latest,
     "stream_parse_ticks": stream_parse_ticks,
+    "stream_from_latest": stream_from_latest,
     "stream_parquet_roundtrip": stream_parquet_roundtrip,
     "stream_tumbling_avg": stream_tumbling_avg,
     "stream_lag_features": stream_lag_features,

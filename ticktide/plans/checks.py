@@ -333,6 +333,27 @@ def online_sgd(slices: int = 4) -> str:
     return with_parts(" UNION ALL ".join(found), "usable", "context", **parts)
 
 
+def minibatch_sgd(steps: int = 4) -> str:
+    """Weights of the linear model after steps on the parts of the table that a hash of the id makes."""
+    learner, x = LinearLearner(), FEATURE_COLUMNS
+    moments = ", ".join(f"avg({n}) AS a_{n}, coalesce(nullif(stddev_pop({n}), 0), 1) AS s_{n}" for n in x)
+    scaled = ", ".join(f"({n} - a_{n}) / s_{n} AS z_{n}" for n in x)
+    parts = {
+        "m": f"SELECT {moments} FROM full_rows",
+        "z": f"""SELECT y, {scaled}, ('0x' || md5('7:' || event_id)[1:8])::BIGINT % {steps} AS part FROM full_rows, m""",
+        "w0": "SELECT " + ", ".join(f"0.0::DOUBLE AS w_{name}" for name in [*x, "bias"]),
+    }
+    for at in range(steps):
+        rate = f"({learner.rate} / {at + 1} ** {learner.power}::DOUBLE)"
+        parts[f"e{at}"] = f"""SELECT *, w_bias + {' + '.join(f'w_{n} * z_{n}' for n in x)} - y AS error
+                              FROM z, w{at} WHERE part = {at}"""
+        moved = [f"any_value(w_{n}) - {rate} * (avg(error * z_{n}) + {learner.penalty} * any_value(w_{n})) AS w_{n}" for n in x]
+        parts[f"w{at + 1}"] = f"SELECT {', '.join(moved)}, any_value(w_bias) - {rate} * avg(error) AS w_bias FROM e{at}"
+    rows = " UNION ALL ".join(f"SELECT '{name}' AS input, round(w_{short}, 6) AS weight FROM w{steps}"
+                              for name, short in [*((n, n) for n in x), ("intercept", "bias")])
+    return with_parts(rows, "full_rows", **parts)
+
+
 def weather_leaves() -> str:
     leaves = {
         "hour": "string", "main.feels_like": "double", "main.humidity": "bigint", "main.pressure": "bigint",
@@ -478,6 +499,12 @@ CHECKS: dict[str, str] = {
                    CAST(post_score + CASE WHEN post_time = (SELECT max(post_time) FROM posts) THEN 1000 ELSE 0 END AS INT)
                        AS post_score FROM posts""", "posts"
     ),
+    "hour_as_of_version": with_parts(
+        f"""SELECT as_of, hour, post_id, CAST(post_score + CASE WHEN changed THEN 1000 ELSE 0 END AS INTEGER) AS post_score,
+                   CAST(CASE WHEN changed THEN 2 ELSE 1 END AS BIGINT) AS version
+            FROM (SELECT *, as_of = 'now' AND hour = max(hour) OVER () AS changed
+                  FROM (SELECT {HOUR_KEY} AS hour, * FROM posts), (VALUES ('first'), ('now')) AS v(as_of))""", "posts"
+    ),
     "schema_profile": with_parts(weather_leaves(), "weather"),
     "lexicon_sentiment": with_parts(
         "SELECT * FROM turn_scored", "lexicon", turn_scored=scored("conversations", "conv_id, turn", "text")
@@ -631,10 +658,16 @@ CHECKS: dict[str, str] = {
     "series_sentiment": with_parts("SELECT date, 'Sentiment' AS series, sentiment AS value FROM results", "results"),
     "series_weather": with_parts(long_weather("results", "date"), "results"),
     "sgd_first_step": sgd_weights(),
+    "sgd_minibatch_steps": minibatch_sgd(),
     "mlp_step": network_step(),
     "model_state_latest": sgd_weights(", CAST(2 AS BIGINT) AS models, CAST(1 AS BIGINT) AS version, "
                                       "(SELECT count(*) FROM full_rows) AS seen"),
     "stream_parse_ticks": with_parts(f"SELECT symbol, price, event_time, {BASE}, {QUOTE} FROM parsed", "parsed"),
+    "stream_from_latest": with_parts(
+        """SELECT p.event_id, p.symbol, p.price, p.event_time FROM parsed p JOIN ticks t ON t.event_id = p.event_id
+           WHERE epoch_us(t.event_time) >= (SELECT epoch_us(min(event_time)) + CAST(round_even(
+               (epoch_us(max(event_time)) - epoch_us(min(event_time))) / 3.0, 0) AS BIGINT) FROM ticks)""", "parsed", "ticks"
+    ),
     "stream_parquet_roundtrip": with_parts(
         f"""SELECT event_id, symbol, price, event_time, {BASE}, {QUOTE},
                    CAST(event_time AS DATE) AS day FROM parsed""", "parsed"

@@ -5,11 +5,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 from typing import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from ticktide.functions.times import hour_key, hour_start
-from ticktide.models.learners import LinearLearner, NetworkLearner, train
+from ticktide.models.learners import LinearLearner, NetworkLearner, train, train_minibatches
 from ticktide.models.state import load, to_frame
 from ticktide.operators.enrich import asof_hour_join, complete
 from ticktide.operators.ordered import ROWS_PER_SEGMENT
@@ -31,6 +32,24 @@ def start(writer: DataStreamWriter, drain: bool = False) -> StreamingQuery:
     return query
 
 
+def skip_to_latest(messages: DataFrame, checkpoint: str) -> bool:
+    """Start a new stream at its source's latest message, whatever the source: what is there now is marked as read.
+
+    It does so only for a checkpoint that has no offsets yet, so a restart goes on where the stream stopped; returns
+    whether it did. The batch that passes the old messages never reads them. For queries that keep no state of their own
+    in the checkpoint, such as those that work per batch.
+    """
+    spark = messages.sparkSession
+    try:
+        if spark.read.text(f"{checkpoint}/offsets").limit(1).count():
+            return False
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+    start(messages.writeStream.foreachBatch(lambda rows, batch_id: None).option("checkpointLocation", checkpoint), drain=True)
+    return True
+
+
 def parsed_stream(messages: DataFrame) -> DataFrame:
     """Ticks of a message stream with base and quote; the message key, a number, breaks ties in time."""
     keyed = messages.withColumn("event_id", F.col("key").cast("string").try_cast("bigint"))
@@ -50,6 +69,11 @@ def archive(ticks: DataFrame, path: str, checkpoint: str, name: str = "ticks") -
     )
 
 
+def batches(ticks: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
+    """Every batch as it is, in a folder of its own."""
+    return _per_batch(ticks, checkpoint, lambda rows, batch_id: write_batch(rows, path, batch_id)).outputMode("append")
+
+
 def land_stream(records: DataFrame, at: str, path: str, checkpoint: str) -> DataStreamWriter:
     """Land arriving records as JSON below their event-time hour. With ``start(..., drain=True)`` it is the
     hourly job: it takes what has arrived since the last run and stops."""
@@ -178,9 +202,12 @@ def prequential_stream(
     root: str,
     checkpoint: str,
     table: str | None = None,
+    rows_per_step: int | None = None,
 ) -> DataStreamWriter:
     """Test-then-train per batch: predict with the model so far, score, take one step, store one result row.
 
+    With ``rows_per_step`` a batch is trained on in several steps of about so many rows.
+
     Below ``root``: ``prices`` (carried ticks), ``models`` (one version per batch) and, unless ``table`` names the
     results table, ``results``. Each is keyed by batch id and read from the version before, so a replay changes nothing.
     """
@@ -202,7 +229,10 @@ def prequential_stream(
         if fitted:
             first = learner.predict(rows.orderBy("event_time", "event_id").limit(1), state)
             first = first.withColumn("time_stamp", F.unix_micros(F.col("event_time").cast("timestamp")) / F.lit(1e6))
-        state, gradient = train(rows, learner, state)
+        if rows_per_step:
+            state, gradient = train_minibatches(rows, learner, state, rows_per_step)
+        else:
+            state, gradient = train(rows, learner, state)
         state.version = batch_id
         if fitted and gradient is not None:
             scored = first.withColumns({
