@@ -13,16 +13,18 @@ NO_UPVOTES = 1e-12
 
 
 def lexicon_sentiment(
-    texts: DataFrame, ids: list[str], text: str, lexicon: DataFrame, rules: Rules = Rules()
+    texts: DataFrame, ids: list[str], text: str, lexicon: DataFrame, rules: Rules = Rules(), words: str | None = None
 ) -> DataFrame:
-    """Score each text in [-1, 1]; an empty text gets 0.
+    """Score each text in [-1, 1]; an empty text gets 0. ``words`` may name a column with the text's words.
 
     Words meet the lexicon in a broadcast join and are summed inside the task that holds the text, so
     one narrow row per text crosses the network.
     """
-    cut = texts.select(*ids, F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn(
-        "tokens", rules_of.words(F.col("text"))
-    )
+    body = F.coalesce(F.col(text), F.lit("")).alias("text")
+    if words:
+        cut = texts.select(*ids, body, F.col(words).alias("tokens"))
+    else:
+        cut = texts.select(*ids, body).withColumn("tokens", rules_of.words(F.col("text")))
     tokens, lowered, loud = F.col("tokens"), F.col("lowered"), F.col("loud")
     ruled = (
         cut.withColumns({

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ticktide.functions.times import hour_key
 from ticktide.models.learners import LinearLearner, NetworkLearner, train, train_minibatches
 from ticktide.models.state import latest_models, load, to_frame
-from ticktide.operators import cells, enrich, ordered, posts, results, scoring, series, stats, ticks, weather
+from ticktide.operators import cells, enrich, ordered, phrases as phrased, posts, results, scoring, series, stats, ticks, weather
 from ticktide.operators.asof import asof_merge
 from ticktide.operators.sides import latest_by, without_top
 from ticktide.plans import views
@@ -300,6 +300,12 @@ def lexicon_sentiment(spark, sf_dir):
     return scoring.lexicon_sentiment(texts, ["conv_id", "turn"], "text", views.lexicon(spark), views.rules(spark))
 
 
+def phrase_sentiment(spark, sf_dir):
+    texts = views.table(prepare(spark), sf_dir, "conversations")
+    return phrased.phrase_sentiment(
+        texts, ["conv_id", "turn"], "text", views.lexicon(spark), views.phrases(spark), views.rules(spark))
+
+
 def post_scores(spark, sf_dir):
     return scoring.post_scores(views.nested_posts(spark, sf_dir), views.lexicon(spark), views.rules(spark))
 
@@ -697,6 +703,15 @@ def stream_tumbling_avg(spark, sf_dir):
     return rounded(_ntz(latest, "window_start", "window_end"), "avg_price")
 
 
+def stream_tumbling_complete(spark, sf_dir):
+    """All windows after every batch; the last batch's are the result."""
+    target = scratch_path(prepare(spark), "averages")
+    _drained(spark, sf_dir, lambda parsed, checkpoint: streams.averages_complete(parsed, target, checkpoint))
+    written = spark.read.parquet(target)
+    last = written.where(F.col("batch_id") == written.agg(F.max("batch_id")).scalar()).drop("batch_id")
+    return rounded(_ntz(last, "window_start", "window_end"), "avg_price")
+
+
 def stream_lag_features(spark, sf_dir):
     target, state = scratch_path(prepare(spark), "lags"), scratch_path(spark, "prices")
     _drained(spark, sf_dir, lambda parsed, checkpoint: streams.lag_stream(parsed, target, state, checkpoint))
@@ -811,6 +826,7 @@ QUERIES: dict[str, Query] = {
     "hour_as_of_version": hour_as_of_version,
     "schema_profile": schema_profile,
     "lexicon_sentiment": lexicon_sentiment,
+    "phrase_sentiment": phrase_sentiment,
     "post_scores": post_scores,
     "comment_scores": comment_scores,
     "hourly_sentiment": hourly_sentiment,
@@ -855,6 +871,7 @@ QUERIES: dict[str, Query] = {
     "stream_from_latest": stream_from_latest,
     "stream_parquet_roundtrip": stream_parquet_roundtrip,
     "stream_tumbling_avg": stream_tumbling_avg,
+    "stream_tumbling_complete": stream_tumbling_complete,
     "stream_lag_features": stream_lag_features,
     "stream_lag_state": stream_lag_state,
     "stream_enrich_hour": stream_enrich_hour,

@@ -47,9 +47,24 @@ TEST = Rules(
 EDGES = r"^[!-/:-@\[-`{-~]+|[!-/:-@\[-`{-~]+$"
 
 
-def scored(table: str, ids: str, text: str) -> str:
+def with_phrases(words: str) -> str:
+    """A list of words with those of each test phrase joined: the leftmost, of these the longest, as a regular expression
+    finds them. Control characters stand around words (1, 2) and found phrases (3, 4)."""
+    known = sorted((line.split("'")[1] for line in views.PHRASES.split("(")[2:] if "'" in line), key=lambda p: (-len(p.split()), p))
+    forms = "|".join("".join(f"\\x01{word}\\x02" for word in phrase.split()) for phrase in known)
+    line = f"array_to_string(list_transform({words}, lambda w: chr(1) || w || chr(2)), '')"
+    marked = f"regexp_replace({line}, '({forms})', chr(3) || '\\1' || chr(4), 'gi')"
+    joined = f"""array_to_string(list_transform(string_split({marked}, chr(3)), lambda p: CASE WHEN contains(p, chr(4))
+        THEN replace(string_split(p, chr(4))[1], chr(2) || chr(1), chr(8288)) || string_split(p, chr(4))[2] ELSE p END), '')"""
+    return f"list_filter(list_transform(string_split({joined}, chr(1)), lambda w: replace(w, chr(2), '')), lambda w: w <> '')"
+
+
+def scored(table: str, ids: str, text: str, lexicon: str = "lexicon", held=lambda words: words) -> str:
     """Rule-based sentiment with words as rows and windows over them."""
     caps = f"({rules.CAPS_GAIN})"
+    words = f"""list_transform(list_filter(regexp_split_to_array(coalesce({text}, ''), '\\s+'), lambda w: w <> ''),
+                              lambda w: CASE WHEN length(regexp_replace(w, '{EDGES}', '', 'g')) > 2
+                                             THEN regexp_replace(w, '{EDGES}', '', 'g') ELSE w END)"""
     b = [f"coalesce(lag(degree, {back}) OVER w, 0.0) * {decay} AS d{back}" for back, decay in ((1, 1.0), (2, 0.95), (3, 0.9))]
     n = [f"coalesce(lag(negated, {back}) OVER w, false) AS n{back}" for back in (1, 2, 3)]
     step = "v0"
@@ -58,9 +73,7 @@ def scored(table: str, ids: str, text: str) -> str:
     return f"""
     WITH texts AS (
         SELECT {ids}, coalesce({text}, '') AS body,
-               list_transform(list_filter(regexp_split_to_array(coalesce({text}, ''), '\\s+'), lambda w: w <> ''),
-                              lambda w: CASE WHEN length(regexp_replace(w, '{EDGES}', '', 'g')) > 2
-                                             THEN regexp_replace(w, '{EDGES}', '', 'g') ELSE w END) AS words
+               {held(words)} AS words
         FROM {table}),
     w0 AS (
         SELECT {ids}, unnest(words) AS word, generate_subscripts(words, 1) AS spot,
@@ -79,7 +92,7 @@ def scored(table: str, ids: str, text: str) -> str:
     w4 AS (
         SELECT {ids}, spot, contrast_at, valence + sign(valence) * CASE WHEN shouted THEN {caps} ELSE 0.0 END AS v0,
                d1, d2, d3, n1, n2, n3, degree
-        FROM w3 JOIN lexicon USING (token) WHERE degree IS NULL OR degree = 0),
+        FROM w3 JOIN {lexicon} USING (token) WHERE degree IS NULL OR degree = 0),
     totals AS (
         SELECT {ids}, sum(({step}) * CASE WHEN coalesce(contrast_at, 0) = 0 OR spot = contrast_at THEN 1.0
                                           WHEN spot < contrast_at THEN {rules.BEFORE_CONTRAST}
@@ -509,6 +522,12 @@ CHECKS: dict[str, str] = {
     "lexicon_sentiment": with_parts(
         "SELECT * FROM turn_scored", "lexicon", turn_scored=scored("conversations", "conv_id, turn", "text")
     ),
+    "phrase_sentiment": with_parts(
+        "SELECT * FROM turn_scored", "lexicon",
+        phrases=views.PHRASES,
+        valued="SELECT * FROM lexicon UNION ALL SELECT replace(phrase, ' ', chr(8288)), valence FROM phrases",
+        turn_scored=scored("conversations", "conv_id, turn", "text", "valued", with_phrases),
+    ),
     "post_scores": with_parts("SELECT post_id, sentiment AS post_sentiment FROM post_scored", "post_scored"),
     "comment_scores": with_parts("SELECT * FROM comment_mood", "comment_mood"),
     "comment_scores_parts": with_parts("SELECT * FROM comment_mood", "comment_mood"),
@@ -673,6 +692,7 @@ CHECKS: dict[str, str] = {
                    CAST(event_time AS DATE) AS day FROM parsed""", "parsed"
     ),
     "stream_tumbling_avg": with_parts(AVERAGES.format("parsed"), "parsed"),
+    "stream_tumbling_complete": with_parts(AVERAGES.format("parsed"), "parsed"),
     "stream_lag_features": with_parts(
         """SELECT event_id, symbol, price, lag(price, 1) OVER w AS price_1, lag(price, 2) OVER w AS price_2,
                   round(lag(price, 1) OVER w - lag(price, 2) OVER w, 6) AS currency_diff

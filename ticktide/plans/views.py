@@ -70,6 +70,12 @@ RULES = """
                  ('this', 'intensifier'), ('hardly', 'dampener'), ('on', 'dampener'), ('as', 'dampener'),
                  ('with', 'contrast')) AS t(token, kind)"""
 
+# Test phrases of frequent words; some begin or lie within others.
+PHRASES = """
+    SELECT phrase, CAST(valence AS DOUBLE) AS valence
+    FROM (VALUES ('of the', 1.7), ('the of', -1.2), ('and the', 0.8), ('the and of', 2.6), ('to the', -0.9), ('the the', 1.1),
+                 ('not the', 2.2), ('of the and', -2.4)) AS t(phrase, valence)"""
+
 # Weights of the fixed linear prediction used for results: feature -> weight.
 FIXED_MODEL = {"currency_diff": 0.25, "tem_paris": 0.05, "hum_tokyo": -0.01, "wind_ny": 0.1, "sentiment": 2.0}
 
@@ -128,6 +134,10 @@ def rules(spark: SparkSession) -> Rules:
     return rules_of(spark.sql(RULES))
 
 
+def phrases(spark: SparkSession) -> DataFrame:
+    return spark.sql(PHRASES)
+
+
 def nested_posts(spark: SparkSession, sf_dir: str, per_row: int = COMMENTS_PER_ROW) -> DataFrame:
     return nest_comments(posts_flat(spark, sf_dir), comments_flat(spark, sf_dir), per_row)
 

@@ -97,6 +97,12 @@ def averages_to_console(ticks: DataFrame, checkpoint: str, width: str = "1 minut
     )
 
 
+def averages_complete(ticks: DataFrame, path: str, checkpoint: str, width: str = "1 minute") -> DataStreamWriter:
+    """All windows so far, anew with every batch; complete mode, for small windows of history only."""
+    return _per_batch(
+        tumbling_avg(ticks, width), checkpoint, lambda rows, batch_id: write_batch(rows, path, batch_id)).outputMode("complete")
+
+
 def average_versions(
     ticks: DataFrame, path: str, checkpoint: str, watermark: str, width: str = "1 minute"
 ) -> DataStreamWriter:
