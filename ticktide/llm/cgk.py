@@ -6,7 +6,8 @@ one of any k + 1 disjoint pieces of the item unchanged, so only windows around s
 this loses nothing. Each window and each item of its length is embedded by a random walk that repeats
 a word or moves on depending on a random bit of step and word (CGK), which turns edits into substitutions.
 Repeated samples of coordinates are bucket keys; windows that meet an item in a bucket are verified by an exact
-alignment. The number of repeats follows from the recall wanted and the agreement measured on edited items.
+alignment. The number of repeats follows from the recall wanted and the agreement measured on edited items; items for
+which that would be too many are aligned with all of their windows, which loses nothing.
 """
 
 from __future__ import annotations
@@ -23,7 +24,9 @@ from ticktide.llm.words import Words, mix, text_of, text_slices, words_of
 EDITS_PER = 5        # one edit per so many item words: similarity 0.8
 MIN_WORDS = 5        # shorter items match only a document that equals them
 SAMPLED = 2          # coordinates per bucket key
-MOST_REPEATS = 256
+MOST_REPEATS = 256   # an item that needs more is aligned with every window around one of its pieces instead
+ALIGNED_WORDS = 16   # so is an item of fewer words: too few coordinates agree to sample from
+DRAWS = 256          # edited items that the agreement is measured on
 ITEMS_PER_BLOCK = 20_000
 _WALK = 3            # steps of the walk per word
 _ROLL = np.uint64(0xD6E8FEB86659FD93)
@@ -87,13 +90,13 @@ class Group:
     edits: int
     keys: np.ndarray    # sorted bucket keys of all items and repeats
     owner: np.ndarray   # item of each key
-    repeats: int
+    repeats: int        # 0: every window is aligned with the items whose piece it holds
 
 
 @dataclass
 class Index:
     groups: dict[int, Group]
-    pieces: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]  # piece length: sorted hash, item length, offset
+    pieces: dict[int, tuple[np.ndarray, ...]]  # piece length: sorted hash, item length, offset, item or -1 for any
     short: dict[bytes, list]  # words of an item below MIN_WORDS: item ids
     seed: int
 
@@ -106,12 +109,14 @@ def _rolled(hashes: np.ndarray, size: int) -> np.ndarray:
 
 
 def _repeats(items: np.ndarray, edits: int, recall: float, seed: int) -> int:
-    """Repeats that find an item with the allowed edits with the wanted probability, measured by editing."""
+    """Repeats that find an item with the allowed edits with the wanted probability, measured by editing; 0 for too many."""
     if not edits:
         return 1
+    if items.shape[1] < ALIGNED_WORDS:
+        return 0
     rng = np.random.default_rng(seed + 2)
     size = items.shape[1]
-    chosen = items[rng.integers(0, len(items), 64)]
+    chosen = items[rng.integers(0, len(items), DRAWS)]
     changed = np.zeros_like(chosen)
     for row, source in enumerate(chosen):
         words = list(source)
@@ -121,8 +126,11 @@ def _repeats(items: np.ndarray, edits: int, recall: float, seed: int) -> int:
         words = (words + [np.uint64(0)] * size)[:size]
         changed[row] = words
     agreement = (embed(chosen, seed) == embed(changed, seed)).mean(axis=1)
-    hit = max(float(np.quantile(agreement, 0.05)), 0.05) ** SAMPLED
-    return int(min(MOST_REPEATS, np.ceil(np.log(1 - recall) / np.log(1 - hit)))) if hit < 1 else 1
+    hit = agreement ** SAMPLED
+    for repeats in range(1, MOST_REPEATS + 1):  # the mean chance over all draws, not that of a mean draw
+        if (1 - (1 - hit) ** repeats).mean() >= recall:
+            return repeats
+    return 0
 
 
 def build(rows: list[tuple], recall: float = 0.99, seed: int = 11) -> Index:
@@ -142,17 +150,21 @@ def build(rows: list[tuple], recall: float = 0.99, seed: int = 11) -> Index:
         repeats = _repeats(items, edits, recall, seed)
         keys = bucket_keys(embed(items, seed), repeats, seed)
         order = np.argsort(keys, axis=None, kind="stable")
-        groups[size] = Group(np.array([i for i, _ in members], object), items, edits, keys.ravel()[order], order // repeats, repeats)
+        groups[size] = Group(
+            np.array([i for i, _ in members], object), items, edits, keys.ravel()[order], order // max(repeats, 1), repeats)
         piece = size // (edits + 1)
         for at in range(0, piece * (edits + 1), piece):
-            found = np.unique(mix(_roll_rows(items[:, at:at + piece])))
+            found, owner = mix(_roll_rows(items[:, at:at + piece])), np.arange(len(items))
+            if repeats:
+                found = np.unique(found)
+                owner = np.full(len(found), -1)
             pieces.setdefault(piece, []).append(np.stack(
-                [found, np.full(len(found), size, np.uint64), np.full(len(found), at, np.uint64)]))
+                [found, np.full(len(found), size, np.uint64), np.full(len(found), at, np.uint64), owner.astype(np.int64).view(np.uint64)]))
     merged = {}
     for piece, parts in pieces.items():
         table = np.concatenate(parts, axis=1)
         table = table[:, np.argsort(table[0], kind="stable")]
-        merged[piece] = (table[0], table[1].astype(np.int64), table[2].astype(np.int64))
+        merged[piece] = (table[0], *(column.astype(np.int64) for column in table[1:]))
     return Index(groups, merged, short, seed)
 
 
@@ -170,11 +182,11 @@ def _expand(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return owner, np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + low[owner]
 
 
-def _windows(index: Index, words: Words, hashes: np.ndarray) -> dict[int, np.ndarray]:
-    """By item length, the starts of the windows that hold a piece of such an item in its place."""
+def _windows(index: Index, words: Words, hashes: np.ndarray) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """By item length, the starts of the windows that hold a piece of such an item in its place, and the item or -1."""
     last = words.first[1:]
     found: dict[int, list] = {}
-    for piece, (table, sizes, offsets) in index.pieces.items():
+    for piece, (table, sizes, offsets, items) in index.pieces.items():
         rolled = _rolled(hashes, piece)
         flags = np.zeros(1 << 16, bool)
         flags[(table >> np.uint64(48)).astype(np.int64)] = True
@@ -189,8 +201,13 @@ def _windows(index: Index, words: Words, hashes: np.ndarray) -> dict[int, np.nda
         owner, entry = _expand(low, np.searchsorted(table, rolled[at], side="right"))
         start = np.maximum(at[owner] - offsets[entry], words.first[row[owner]])
         for size in np.unique(sizes[entry]):
-            found.setdefault(int(size), []).append(start[sizes[entry] == size])
-    return {size: np.unique(np.concatenate(parts)) for size, parts in found.items()}
+            own = sizes[entry] == size
+            found.setdefault(int(size), []).append(start[own] * (len(index.groups[size].items) + 1) + items[entry[own]] + 1)
+    result = {}
+    for size, parts in found.items():
+        start, item = np.divmod(np.unique(np.concatenate(parts)), len(index.groups[size].items) + 1)
+        result[size] = (start, item - 1)
+    return result
 
 
 def _gather(hashes: np.ndarray, low: np.ndarray, stop: np.ndarray, width: int) -> np.ndarray:
@@ -208,19 +225,21 @@ def search(index: Index, column: pa.Array) -> list[tuple]:
         low, high = words.first[row], words.first[row + 1]
         for item_id in index.short.get(hashes[low:high].tobytes(), ()):
             best[int(row), item_id] = (0, 0, int(high - low))
-    for size, starts in _windows(index, words, hashes).items() if len(hashes) else ():
+    for size, (starts, whose) in _windows(index, words, hashes).items() if len(hashes) else ():
         group = index.groups[size]
-        for part in np.array_split(starts, -(-len(starts) // 4096)):
+        for cut in np.array_split(np.arange(len(starts)), -(-len(starts) // 4096)):
+            part = starts[cut]
             row = np.searchsorted(words.first[1:], part, side="right")
-            keys = bucket_keys(embed(_gather(hashes, part, words.first[row + 1], size), index.seed), group.repeats, index.seed)
-            flat = keys.ravel()
-            low = np.searchsorted(group.keys, flat, side="left")
-            met = low < len(group.keys)
-            met[met] = group.keys[low[met]] == flat[met]
-            place = np.flatnonzero(met)
-            owner, entry = _expand(low[place], np.searchsorted(group.keys, flat[place], side="right"))
-            pairs = np.unique(np.stack([place[owner] // group.repeats, group.owner[entry]]), axis=1)
-            at, item = pairs[0], pairs[1]
+            at, item = np.arange(len(part)), whose[cut]
+            if group.repeats:
+                keys = bucket_keys(embed(_gather(hashes, part, words.first[row + 1], size), index.seed), group.repeats, index.seed)
+                flat = keys.ravel()
+                low = np.searchsorted(group.keys, flat, side="left")
+                met = low < len(group.keys)
+                met[met] = group.keys[low[met]] == flat[met]
+                place = np.flatnonzero(met)
+                owner, entry = _expand(low[place], np.searchsorted(group.keys, flat[place], side="right"))
+                at, item = np.unique(np.stack([place[owner] // group.repeats, group.owner[entry]]), axis=1)
             begin = np.maximum(part[at] - group.edits, words.first[row[at]])
             regions = _gather(hashes, begin, words.first[row[at] + 1], size + 3 * group.edits)
             for a in range(0, len(at), 4096):
