@@ -27,7 +27,8 @@ def test_mixing_equals_its_sql(spark):
 def test_every_query_covers_its_table(spark, name):
     found = QUERIES[name](spark, SMALL)
     rows = found.count()
-    whole = {"op2_token_order": None, "op8_cgk_decontamination": None, "op6_html_paths": "pages"}.get(name, "documents")
+    whole = {"op6_html_paths": "pages", **dict.fromkeys(
+            ["op2_token_order", "op8_cgk_decontamination", "op12_hard_negatives", "op13_collocations"])}.get(name, "documents")
     assert rows == spark.read.parquet(f"{SMALL}/{whole}.parquet").count() if whole else rows > 0
 
 

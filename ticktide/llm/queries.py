@@ -84,7 +84,8 @@ QUERIES = {
 CHECKS = {
     "op4_mixing": r"""
 WITH sized AS (
-    SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents
+    SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
+           coalesce(md5(text), '') AS text_hash, row_number() OVER (PARTITION BY doc_id, source, text) AS nth FROM documents
 ), sources AS (
     SELECT source, sum(size)::BIGINT AS source_size,
            [5, 2, 1][1 + ((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3)::INT] AS weight
@@ -107,7 +108,7 @@ WITH sized AS (
     SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0::DOUBLE END AS rate FROM rated
 ), counted AS (
     SELECT doc_id, sized.source, size, source_size, target, rate,
-           (floor(rate) + CASE WHEN ('0x' || md5('17:' || coalesce(doc_id::VARCHAR, ''))[1:13])::BIGINT / 4503599627370496.0
+           (floor(rate) + CASE WHEN ('0x' || md5(concat_ws(':', 17, coalesce(doc_id::VARCHAR, ''), text_hash, nth))[1:13])::BIGINT / 4503599627370496.0
                                     < rate - floor(rate) THEN 1 ELSE 0 END)::BIGINT AS copies
     FROM sized JOIN rates ON sized.source IS NOT DISTINCT FROM rates.source
 )
