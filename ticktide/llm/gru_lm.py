@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from ticktide.llm.tables import staged, with_largest
 from ticktide.llm.words import crc_remainder, text_of, text_slices, words_of
+from ticktide.session import scratch_path
 
 WORDS = 4_096         # vocabulary of the network
 CLASS_WORDS = 64
@@ -34,6 +35,7 @@ ROUNDS = 4                 # averages of the shards' weights; each round trains
 SHARD_TOKENS = 1 << 21     # words that a shard trains on in a round, give or take those of a text
 LANES, WINDOW, RATE = 256, 24, 0.01
 LARGE = 40.0               # exponents within this bound need no shift: 64 of them add up in 32 bits
+FILLED = 8                 # windows that a lane is filled for at a time
 CHUNK = 1 << 12            # rows whose class scores are made at a time
 SCORED = 1 << 17           # states that are scored at a time
 GROUP_TOKENS = 1 << 22     # words of the texts that take their steps together, give or take those of a slice
@@ -149,26 +151,26 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
                       int(totals["types"]), int(totals["ends"]))
 
 
-def _exponents(scores: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """exp of the scores in place, less the row's maximum where they are so large that they need it, and the rows' sums.
+def _exponents(scores: np.ndarray, small: bool) -> tuple[np.ndarray, np.ndarray]:
+    """exp of the scores in place, less the row's maximum unless they are known to be small, and the rows' sums.
 
     Sums over rows are products with ones, which is faster than adding up short rows.
     """
-    if scores.max(initial=0) > LARGE or scores.min(initial=0) < -LARGE:
+    if not small:
         scores -= scores.max(axis=1, keepdims=True)
     np.exp(scores, out=scores)
     return scores, scores @ np.ones(scores.shape[1], scores.dtype)
 
 
-def _softmax(scores: np.ndarray) -> np.ndarray:
-    scores, total = _exponents(scores)
+def _softmax(scores: np.ndarray, small: bool) -> np.ndarray:
+    scores, total = _exponents(scores, small)
     scores *= np.reciprocal(total)[:, None]
     return scores
 
 
-def _log_softmax_at(scores: np.ndarray, column: np.ndarray) -> np.ndarray:
+def _log_softmax_at(scores: np.ndarray, column: np.ndarray, small: bool) -> np.ndarray:
     """The logarithm of each row's softmax at one column."""
-    scores, total = _exponents(scores)
+    scores, total = _exponents(scores, small)
     return np.log(scores[np.arange(len(column)), column] / total)
 
 
@@ -207,6 +209,12 @@ class Network:
             at += old.size
         return self
 
+    def small(self) -> bool:
+        """Whether no score can pass the bound below which exponents need no shift: states lie between -1 and 1."""
+        by_class = np.abs(self.to_class).sum(axis=0) + np.abs(self.class_bias)
+        by_word = np.abs(self.to_word).sum(axis=1) + np.abs(self.word_bias)
+        return max(by_class.max(initial=0), by_word.max(initial=0)) < LARGE
+
     def step(self, number: np.ndarray, state: np.ndarray) -> np.ndarray:
         """The state behind each number."""
         x = self.into.take(number, axis=0)
@@ -233,15 +241,16 @@ class Network:
     def log_probability(self, states: np.ndarray, number: np.ndarray) -> np.ndarray:
         """Natural log-probability of each number in the state before it."""
         group = np.where(number < self.size, number // CLASS_WORDS, self.classes + number - self.size)
-        result = np.empty(len(group), np.float64)
+        result, small = np.empty(len(group), np.float64), self.small()
         for at in range(0, len(group), CHUNK):
             cut = slice(at, at + CHUNK)
-            result[cut] = _log_softmax_at(states[cut] @ self.to_class + self.class_bias, group[cut])
+            result[cut] = _log_softmax_at(states[cut] @ self.to_class + self.class_bias, group[cut], small)
         order = np.argsort(group.astype(np.int16), kind="stable")
         cuts = np.searchsorted(group[order], np.arange(self.classes + 1))
         for at in np.flatnonzero(np.diff(cuts)):
             own = order[cuts[at]:cuts[at + 1]]
-            result[own] += _log_softmax_at(states[own] @ self.to_word[at] + self.word_bias[at], number[own] - at * CLASS_WORDS)
+            inner = states.take(own, axis=0) @ self.to_word[at] + self.word_bias[at]
+            result[own] += _log_softmax_at(inner, number[own] - at * CLASS_WORDS, small)
         return result
 
     def window(self, inputs: np.ndarray, outputs: np.ndarray, state: np.ndarray):
@@ -261,7 +270,8 @@ class Network:
         flat, number = known.reshape(-1, HIDDEN), outputs.ravel()
         empty = number < 0
         group = np.where(number < self.size, number // CLASS_WORDS, self.classes + number - self.size)
-        share = _softmax(flat @ self.to_class + self.class_bias)
+        small = self.small()
+        share = _softmax(flat @ self.to_class + self.class_bias, small)
         share[np.arange(len(group)), group] -= 1
         share[empty] = 0
         slopes = [np.zeros_like(p) for p in self.parameters()]
@@ -273,7 +283,7 @@ class Network:
         place = number[order] - group[order] * CLASS_WORDS
         for at in np.flatnonzero(np.diff(cuts)):
             own = slice(cuts[at], cuts[at + 1])
-            word = _softmax(sorted_flat[own] @ self.to_word[at] + self.word_bias[at])
+            word = _softmax(sorted_flat[own] @ self.to_word[at] + self.word_bias[at], small)
             word[np.arange(len(word)), place[own]] -= 1
             slopes[4][at], slopes[5][at] = sorted_flat[own].T @ word, word.sum(axis=0)
             sorted_back[own] = word @ self.to_word[at].T
@@ -313,28 +323,30 @@ def lane_windows(texts: Iterator[np.ndarray], lanes: int, end: int) -> Iterator[
     without a word have output -1 and lanes without one are left out.
     """
     rest = [np.zeros(0, np.int64)] * lanes
-    last = np.full(lanes, end)
+    last, width = np.full(lanes, end), FILLED * WINDOW
     while True:
-        outputs = np.full((len(rest), WINDOW), -1)
+        filling = np.full((len(rest), width), -1)  # several windows at a time
         for lane in range(len(rest)):
             filled = 0
-            while filled < WINDOW:
+            while filled < width:
                 if not len(rest[lane]):
                     text = next(texts, None)
                     if text is None:
                         break
                     rest[lane] = np.append(text, end)
-                taken = rest[lane][:WINDOW - filled]
-                outputs[lane, filled:filled + len(taken)] = taken
+                taken = rest[lane][:width - filled]
+                filling[lane, filled:filled + len(taken)] = taken
                 rest[lane] = rest[lane][len(taken):]
                 filled += len(taken)
-        live = np.flatnonzero(outputs[:, 0] >= 0)
-        if not len(live):
-            return
-        rest, outputs = [rest[lane] for lane in live], outputs[live]
-        inputs = np.hstack([last[live, None], np.where(outputs < 0, end, outputs)[:, :-1]])
-        last = outputs[:, -1]
-        yield inputs.T, outputs.T, live
+        for at in range(0, width, WINDOW):
+            live = np.flatnonzero(filling[:, at] >= 0)
+            if not len(live):
+                return
+            rest, filling = [rest[lane] for lane in live], filling[live]
+            outputs = filling[:, at:at + WINDOW]
+            inputs = np.hstack([last[live, None], np.where(outputs < 0, end, outputs)[:, :-1]])
+            last = outputs[:, -1]
+            yield inputs.T, outputs.T, live
 
 
 def train_shard(network: Network, texts: Iterator[np.ndarray], lanes: int) -> int:
@@ -354,11 +366,10 @@ def train_shard(network: Network, texts: Iterator[np.ndarray], lanes: int) -> in
             v *= 0.99
             s *= s
             v += s  # s holds a hundredth of the squared slope
-            np.divide(v, by_second, out=s)
-            np.sqrt(s, out=s)
-            s += 1e-6
+            np.sqrt(v, out=s)
+            s += 1e-6 * by_second ** 0.5
             np.divide(m, s, out=s)
-            s *= RATE / by_first
+            s *= RATE / by_first * by_second ** 0.5
             p -= s
     return seen
 
@@ -394,7 +405,10 @@ def fit(docs: DataFrame, known: Vocabulary, seed: int = 9) -> Network:
                 yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(rows, pa.binary())], ["draw", "numbers"])
 
     drawn = docs.select("text", F.xxhash64(F.lit(seed), "doc_id", "text").alias("draw"))
-    texts = staged(drawn.mapInArrow(numbers, "draw long, numbers binary"), "gru-texts")
+    numbered = drawn.mapInArrow(numbers, "draw long, numbers binary").withColumn("turn", F.pmod("draw", F.lit(ROUNDS)).cast("int"))
+    path = scratch_path(spark, "gru-texts")
+    numbered.write.partitionBy("turn").parquet(path)  # so that a round reads its own part only
+    texts = spark.read.schema("draw long, numbers binary, turn int").parquet(path)
 
     def trainer(turn: int):
         weights = spark.sparkContext.broadcast(network.packed())
@@ -414,7 +428,7 @@ def fit(docs: DataFrame, known: Vocabulary, seed: int = 9) -> Network:
         return train
 
     for turn in range(ROUNDS):
-        own = texts.where(F.pmod("draw", F.lit(ROUNDS)) == turn)
+        own = texts.where(F.col("turn") == turn)
         shard = F.pmod(F.xxhash64(F.lit(turn), "draw"), F.lit(shards)).cast("int").alias("shard")
         trained = own.select(shard, "draw", "numbers").groupBy("shard").applyInArrow(
             trainer(turn), "piece int, part int, size long, weights binary")
