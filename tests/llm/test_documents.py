@@ -353,6 +353,49 @@ def test_names_do_not_exclude_the_text_itself():
     assert html_paths.main_text(f"<body><div class=widget-page><main><p>{text}</p></main></div><p>{'More, of it. ' * 90}</p>").startswith(text)
 
 
+def test_paths_select_the_blocks():
+    text = " ".join(["A longer part of the text, with signs; and more."] * 7)
+    around = ("<div class=x1>menu</div>", "<div class=b7><p>Read our other story now, friends. Great deals, today.</p></div><div class=c9>Impressum</div>")
+    assert html_paths.main_text(f"{around[0]}<div class=a1><p>{text}</p><p>{text}</p></div>{around[1]}") == f"{text}\n{text}"
+    parts = "<div class=a1><h2>Head</h2><p>{0}</p><p>short</p></div><div class=z>in between</div><div class=a2><p>{0}</p><table><tr><td>1<td>2</table></div>"
+    assert html_paths.main_text(f"{around[0]}<div class=t><h1>Title</h1></div>{parts.format(text)}{around[1]}") == "\n".join(
+        ["Title", "Head", text, "short", "in between", text, "1", "2"])
+
+
+def plain_path_scores(page):
+    """Scores by the strings of the paths, block by block."""
+    def path(element):
+        return "" if element is None else f"{path(element.parent)}/{element.label}"
+
+    blocks = html_paths.Page(page).blocks
+    paths = [path(owner) for _, owner, _ in blocks]
+    raw = {}
+    for p in paths:
+        own = [(t, linked) for q, (t, _, linked) in zip(paths, blocks) if q == p]
+        size = sum(max(len(t) - linked, 0) for t, linked in own) / len(own)
+        marks = sum(t.count(c) for t, _ in own for c in ".,;:!?") / len(own)
+        raw[p] = math.log(1 + size) * math.log(1 + marks)
+    smooth = {p: [] for p in paths}
+    for at, p in enumerate(paths):
+        near = [(raw[paths[at + k]], w) for k, w in zip((-2, -1, 0, 1, 2), (0.1, 0.2, 0.4, 0.2, 0.1)) if 0 <= at + k < len(paths)]
+        smooth[p].append(sum(v * w for v, w in near) / sum(w for _, w in near))
+    return [math.sqrt(raw[p] * sum(smooth[p]) / len(smooth[p])) for p in paths]
+
+
+def test_path_scores_equal_plain_ones():
+    rng = random.Random(4)
+    for _ in range(60):
+        page = "".join(rng.choice(["<div>", "</div>", "<p class=a>", "<p>", "<b>", "</b>", "<a>link, </a>", "<ul><li>", "</ul>", "Some words, here. ", "More! "])
+                       for _ in range(60))
+        blocks = html_paths.Page(page).blocks
+        scores, paths = html_paths._scores(blocks, html_paths._tree(blocks))
+        assert [scores[p] for p in paths] == pytest.approx(plain_path_scores(page))
+
+
+def test_deep_pages_take_linear_time():
+    assert html_paths.main_text("<div>x, y." * 20_000) == "\n".join(["x, y."] * 20_000)
+
+
 # --- Kneser-Ney ---
 
 def test_probabilities_add_up_and_unseen_contexts_back_off(spark, docs):

@@ -1,10 +1,12 @@
 """Main text of web pages by tag-path ratios.
 
 A page becomes its blocks of text, each with the path of tags from the root. Text length and punctuation are
-summed per path and divided by the path's number of blocks, smoothed over neighbouring blocks and fused. Paths
-above a threshold of the page's own scores hold content; the smallest element around all of it is the article.
-Its blocks are returned in page order, without those in elements that by tag, role or name are not the article's
-text. Where only the page itself surrounds all content, groups of bare links are left out too.
+summed per path and divided by the path's number of blocks, smoothed over neighbouring blocks and fused; names such
+as "content" raise a path's score. Paths above a threshold of the page's own scores hold content; the smallest element
+around all of it is the article. In an element that is marked up as an article all blocks are returned. Elsewhere a
+block is returned if its path is content, if it shares its section with content, if it lies between content, or if
+it is a heading right above content. Elements that by tag, role or name are not the article's text are left out, and where
+only the page itself surrounds all content, groups of bare links too. Everything is linear in the page.
 """
 
 from __future__ import annotations
@@ -39,6 +41,9 @@ promo promos promotion banner banners nav navbar navigation menu menus submenu b
 footer header masthead topbar toolbar comment comments commentlist disqus reply replies respond discussion cookie cookies consent
 gdpr notice notices notification notifications alert popup modal overlay newsletter subscribe subscription signup login
 share sharing social related recommended recommendations widget widgets pagination pager copyright search form hidden""".split())
+CONTENT_NAMES = frozenset("article body content entry intro lead lede post story summary text".split())
+SECTIONS = frozenset(["", *"html body main article section div center".split()])
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 STATES, SWITCHES = frozenset("has with without no".split()), frozenset("enabled disabled".split())
 NAMED = frozenset("div section ul ol dl table p span ins figure header li".split())
 
@@ -50,31 +55,28 @@ _NAME = re.compile(r"[a-z]+|[A-Z][a-z]*")
 _PUNCTUATION = re.compile(r"[.,;:!?…。，、]")
 
 SMOOTHING = (0.1, 0.2, 0.4, 0.2, 0.1)
-CONTENT_SHARE = 0.25   # of the mean fused score by text, from which a path is content
+CONTENT_SHARE = 0.6    # of the mean fused score by text, from which a path is content
+NAME_WEIGHT = 1.5      # factor on the score of a path with one of the content names
 LINK_SHARE = 0.9
 
 
 class Element:
-    __slots__ = ("tag", "label", "parent", "depth", "barred", "named", "outside", "article", "link")
+    __slots__ = ("tag", "label", "parent", "depth", "barred", "named", "outside", "article", "link", "owner", "section", "praised")
 
-    def __init__(self, tag: str, label: str, parent: Element | None, barred: bool, named: bool = False):
+    def __init__(self, tag: str, label: str, parent: Element | None, barred: bool, named: bool = False, praised: bool = False):
         self.tag, self.label, self.parent, self.named = tag, label, parent, named
         self.depth = parent.depth + 1 if parent else 0
         self.barred = barred or (parent is not None and parent.barred)  # by tag, role or being hidden
         self.outside = barred or named or (parent is not None and parent.outside)
         self.article = tag in ("article", "main") or (parent is not None and parent.article)
         self.link = tag == "a" or (parent is not None and parent.link)
-
-    def path(self) -> str:
-        parts, at = [], self
-        while at is not None:
-            parts.append(at.label)
-            at = at.parent
-        return "/".join(reversed(parts))
+        self.praised = praised or (parent is not None and parent.praised)
+        self.owner = self if parent is None or tag in BLOCK or self.outside else parent.owner  # of the text right inside
+        self.section = self if tag in SECTIONS else parent.section
 
 
 def _element(tag: str, attributes: str, parent: Element) -> Element:
-    names, named, outside = [], False, tag in OUTSIDE or (tag == "header" and not parent.article)
+    names, named, praised, outside = [], False, False, tag in OUTSIDE or (tag == "header" and not parent.article)
     if attributes and not attributes.isspace():
         for found in _ATTRIBUTE.finditer(attributes):
             name, value = found[1].lower(), found[2] or found[3] or found[4] or ""
@@ -86,11 +88,12 @@ def _element(tag: str, attributes: str, parent: Element) -> Element:
                 outside = True
             elif name == "style":
                 outside |= "display:none" in value.replace(" ", "").lower()
+        words = {word for name in names for word in _own_words(name)}
+        praised = not words.isdisjoint(CONTENT_NAMES)
         if tag in NAMED and not (tag == "header" and parent.article):
             inner = {"header"} if parent.article else set()
-            words = {word for name in names for word in _own_words(name)}
             named = bool((words & OUTSIDE_NAMES) - inner)
-    return Element(tag, ".".join([tag, *sorted(names)]), parent, outside, named)
+    return Element(tag, ".".join([tag, *sorted(names)]), parent, outside, named, praised)
 
 
 def _own_words(name: str) -> list[str]:
@@ -105,6 +108,7 @@ class Page:
 
     def __init__(self, source: str):
         self.stack = [Element("", "", None, False)]
+        self.open: dict[str, int] = defaultdict(int)
         self.blocks: list[tuple[str, Element, int]] = []
         self.parts: list[str] = []
         self.linked = 0
@@ -126,10 +130,7 @@ class Page:
             return
         text = html.unescape(raw) if "&" in raw else raw
         if self.owner is None:
-            at = self.stack[-1]
-            while at.parent is not None and at.tag not in BLOCK and not at.outside:
-                at = at.parent
-            self.owner = at
+            self.owner = self.stack[-1].owner
         self.parts.append(text)
         if self.stack[-1].link:
             self.linked += len(text.strip())
@@ -141,8 +142,12 @@ class Page:
         self.parts, self.linked, self.owner = [], 0, None
 
     def _pop(self, tags: set[str], scope) -> None:
+        if not any(self.open[tag] for tag in tags):
+            return
         for at in range(len(self.stack) - 1, 0, -1):
             if self.stack[at].tag in tags:
+                for element in self.stack[at:]:
+                    self.open[element.tag] -= 1
                 del self.stack[at:]
                 return
             if self.stack[at].tag in scope:
@@ -165,7 +170,11 @@ class Page:
         if tag in ENDS_BEFORE:
             self._pop(*ENDS_BEFORE[tag])
         element = _element(tag, attributes, self.stack[-1])
-        self._switch(lambda: None if attributes.endswith("/") and not block else self.stack.append(element), block)
+        self._switch(lambda: None if attributes.endswith("/") and not block else self._push(element), block)
+
+    def _push(self, element: Element) -> None:
+        self.stack.append(element)
+        self.open[element.tag] += 1
 
     def _switch(self, change, block: bool) -> None:
         """Text inside and outside of an excluded inline element never shares a block."""
@@ -175,9 +184,42 @@ class Page:
             self._flush()
 
 
-def _scores(blocks: list) -> tuple[dict[str, float], list[str]]:
-    """Fused, smoothed ratio of every path, and the path of every block."""
-    paths = [owner.path() for _, owner, _ in blocks]
+def _tree(blocks: list) -> list[Element]:
+    """The blocks' elements and all around them, outer ones first."""
+    known: dict[Element, None] = {}
+    for _, owner, _ in blocks:
+        while owner is not None and owner not in known:
+            known[owner] = None
+            owner = owner.parent
+    return sorted(known, key=lambda element: element.depth)
+
+
+def _sums(tree: list[Element], values: list[tuple[Element, float]]) -> dict[Element, float]:
+    """Per element the sum of the values in it, at any depth."""
+    total = dict.fromkeys(tree, 0)
+    for element, value in values:
+        total[element] += value
+    for element in reversed(tree):
+        if element.parent is not None:
+            total[element.parent] += total[element]
+    return total
+
+
+def _within(tree: list[Element], marked: set[Element]) -> set[Element]:
+    """The marked elements and all inside of them."""
+    found: set[Element] = set()
+    for element in tree:
+        if element in marked or element.parent in found:
+            found.add(element)
+    return found
+
+
+def _scores(blocks: list, tree: list[Element]) -> tuple[dict[int, float], list[int]]:
+    """Fused, smoothed ratio of every path, and the number of every block's path."""
+    number, numbers = {None: -1}, {}
+    for element in tree:
+        number[element] = numbers.setdefault((number[element.parent], element.label), len(numbers))
+    paths = [number[owner] for _, owner, _ in blocks]
     length, marks, count = defaultdict(int), defaultdict(int), defaultdict(int)
     for path, (text, _, linked) in zip(paths, blocks):
         length[path] += len(text) - min(linked, len(text))
@@ -205,69 +247,60 @@ def _inside(blocks: list) -> list:
     """
     if not any(owner.outside for _, owner, _ in blocks):
         return blocks
-    scores, paths = _scores(blocks)
+    tree = _tree(blocks)
+    scores, paths = _scores(blocks, tree)
     only = any(owner.article for _, owner, _ in blocks)
     weights = [(scores[path] * len(text), len(text)) if owner.article or not only else (0, 0)
                for path, (text, owner, _) in zip(paths, blocks)]
     by = 0 if any(weight[0] for weight in weights) else 1
-    held: dict[Element, float] = defaultdict(float)
-    for weight, (_, owner, _) in zip(weights, blocks):
-        for element in _above(owner):
-            if element.named:
-                held[element] += weight[by]
+    held = _sums(tree, [(owner, weight[by]) for weight, (_, owner, _) in zip(weights, blocks)])
     half = sum(weight[by] for weight in weights) / 2
-    other = {element for element, mass in held.items() if mass <= half}
-    kept = [block for block in blocks if other.isdisjoint(_above(block[1]))]
+    other = _within(tree, {element for element in tree if element.named and held[element] <= half})
+    kept = [block for block in blocks if block[1] not in other]
     return kept or blocks
 
 
+def _bare_links(blocks: list, paths: list[int]) -> set[int]:
+    """Paths of three or more blocks that are little else than links."""
+    links = defaultdict(lambda: [0, 0, 0])
+    for path, (text, _, linked) in zip(paths, blocks):
+        links[path][0] += linked
+        links[path][1] += len(text)
+        links[path][2] += 1
+    return {path for path, (linked, whole, count) in links.items() if count >= 3 and linked >= LINK_SHARE * whole}
+
+
 def main_text(source: str) -> str:
     """The article's blocks, one per line; empty if the page has no text outside of the excluded parts."""
     blocks = _inside([block for block in Page(source).blocks if not block[1].barred])
     if not blocks:
         return ""
-    scores, paths = _scores(blocks)
+    tree = _tree(blocks)
+    scores, paths = _scores(blocks, tree)
     size = sum(len(text) for text, _, _ in blocks)
     mean = sum(scores[path] * len(text) for path, (text, _, _) in zip(paths, blocks)) / size
-    content = [at for at, path in enumerate(paths) if scores[path] >= CONTENT_SHARE * mean]
-    held: dict[int, int] = defaultdict(int)
-    known: dict[int, Element] = {}
-    for at in content:
-        element = blocks[at][1]
-        while element is not None:
-            held[id(element)] += len(blocks[at][0])
-            known[id(element)] = element
-            element = element.parent
-    total = sum(len(blocks[at][0]) for at in content)
-    inner = [known[key] for key, mass in held.items() if mass == total]
-    article = max(inner, key=lambda element: element.depth)
-    while article.tag not in ("article", "main", "") and any(up.tag in ("article", "main") for up in _above(article)):
+    content = [scores[path] * (NAME_WEIGHT if owner.praised else 1) >= CONTENT_SHARE * mean
+               for path, (_, owner, _) in zip(paths, blocks)]
+    held = _sums(tree, [(owner, 1) for good, (_, owner, _) in zip(content, blocks) if good])
+    found = sum(content)
+    article = next(element for element in reversed(tree) if held[element] == found)
+    while article.tag not in ("article", "main", "") and article.article:
         article = article.parent
-    if article.tag in ("p", "li", "h1", "h2", "h3", "h4", "h5", "h6", "td", "blockquote", "pre") and article.parent is not None:
-        article = article.parent
-    whole_page = article.tag in ("", "html", "body")
-    chosen = {paths[at] for at in content}
-    links = defaultdict(lambda: [0, 0, 0])
-    for path, (text, _, linked) in zip(paths, blocks):
-        links[path][0] += linked
-        links[path][1] += len(text)
-        links[path][2] += 1
-    kept = []
-    for path, (text, owner, _) in zip(paths, blocks):
-        linked, whole, count = links[path]
-        bare = whole_page and path not in chosen and count >= 3 and linked >= LINK_SHARE * whole
-        if article in _above(owner) and not bare:
-            kept.append(text)
-    return "\n".join(kept)
-
-
-def _above(element: Element) -> list[Element]:
-    """The element and all around it."""
-    chain = []
-    while element is not None:
-        chain.append(element)
-        element = element.parent
-    return chain
+    if article.tag not in SECTIONS:
+        article = article.section
+    own = _within(tree, {article})
+    inner = [at for at, (_, owner, _) in enumerate(blocks) if owner in own]
+    if article.article:
+        return "\n".join(blocks[at][0] for at in inner)
+
+    sections = {blocks[at][1].section for at in inner if content[at]}
+    first, last = content.index(True), len(content) - 1 - content[::-1].index(True)
+    while first and first - 1 in inner and blocks[first - 1][1].tag in HEADINGS:
+        first -= 1  # headings right above content
+    bare = _bare_links(blocks, paths) if article.tag in ("", "html", "body") else set()
+    kept = [at for at in inner if content[at] or (
+        paths[at] not in bare and (first <= at <= last or blocks[at][1].section in sections))]
+    return "\n".join(blocks[at][0] for at in kept)
 
 
 def extracted(pages: DataFrame) -> DataFrame:
