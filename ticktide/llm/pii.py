@@ -7,13 +7,15 @@ give its probability of being personal data; a threshold per kind, calibrated on
 seen, selects what is reported beside the base.
 
 There are no labels for personal data, so the trees learn from the text itself: base spans are good
-examples, in their own form and rewritten into the forms that the patterns miss, and proposals that touch
-no base span are bad ones.
+examples, in their own form and rewritten into random groupings and signs that the patterns miss, alone or side by
+side with other numbers. Bad ones are parts and extensions of those, things that only look alike, and proposals that
+touch no base span, unless they are as valid as a base span.
 """
 
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 from dataclasses import dataclass
 
@@ -28,24 +30,29 @@ from ticktide.llm.words import text_of
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE_DOCS = 4_000     # documents with proposals from which the trees are fitted
 SAMPLE_PER_DOC = 40     # proposals of one document that are used for fitting, evenly spread over it
-TREES, DEPTH, RATE, BINS = 40, 3, 0.2, 32
-FALSE_SHARE = 0.002     # share of bad proposals that a threshold may let pass on unseen rows
+FORMS = 6               # random forms that are made of every base span
+TREES, DEPTH, RATE, BINS = 80, 5, 0.2, 32
+PRECISION = 0.98        # of the best proposals that a threshold accepts in unseen examples
 CONTEXT = 24
 
 # Fixed patterns of the base spans.
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 EMAIL_DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 EMAIL_LOCAL = re.compile(r"[A-Za-z0-9._%+-]*\Z")
-IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+IP = re.compile(r"(?<![0-9])[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
 DIGIT = re.compile(r"[0-9]")
+DATE = re.compile(r"(?:1[89]|20)[0-9]{2}[-./\x20]?[01]?[0-9][-./\x20]?[0-3]?[0-9]|[0-3]?[0-9][-./\x20][0-3]?[0-9][-./\x20](?:1[89]|20)?[0-9]{2}")
 
 # Generators of proposals.
 AT = re.compile(r"[A-Za-z0-9._%+-]{1,64}(?:\x20?@\x20?|\x20?[(\[]\x20?at\x20?[)\]]\x20?)"
                 r"[A-Za-z0-9-]{1,64}(?:(?:\.|\x20?[(\[]\x20?dot\x20?[)\]]\x20?)[A-Za-z0-9-]{1,64})+", re.I)
 AT_NEEDS = re.compile(r"@|[(\[]\x20?at\x20?[)\]]", re.I)
+SPELLED = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}\x20at\x20[A-Za-z0-9-]{1,64}(?:\x20dot\x20[A-Za-z0-9-]{1,64}){0,8}"
+                     r"\x20dot\x20[A-Za-z]{2,24}(?![A-Za-z0-9-])", re.I)
+SPELLED_NEEDS = re.compile(r"\x20dot\x20", re.I)
 NUMBER = re.compile(r"[+(]?[0-9](?:[\x20()./-]{0,2}[0-9])*")
 GROUP = re.compile(r"[0-9]+")
 QUAD = re.compile(r"(?<![0-9])[0-9]{1,3}(?:(?:\.|\x20?\[\.\]\x20?|\x20?\(\.\)\x20?|\x20\.\x20)[0-9]{1,3}){3}(?![0-9])")
@@ -105,6 +112,8 @@ def proposals(text: str) -> list[Span]:
     Of a run of numbers every sequence of its groups of digits within the limits of length is proposed.
     """
     found = [("email", *m.span()) for m in AT.finditer(text)] if AT_NEEDS.search(text) else []
+    if SPELLED_NEEDS.search(text):
+        found += [("email", *m.span()) for m in SPELLED.finditer(text)]
     if not DIGIT.search(text):
         return found
     for match in NUMBER.finditer(text):
@@ -143,51 +152,88 @@ def features(text: str, span: Span) -> list[float]:
         float(after[:1] in ("", " ", "\n", ".", ",")), float(sum(c.isdigit() for c in before)),
         float(sum(c.isdigit() for c in after)), float(before.rstrip().endswith((":", "="))), float(len(words[-1]) if words else 0),
         float("/" in inner), float(bool(digits) and digits[0] == "0"),
+        _joined_number(before[::-1]), _joined_number(after), float(13 <= len(digits) <= 19), float(9 <= len(digits) <= 15),
+        float(len(set(groups)) <= 1), float(bool(DATE.fullmatch(inner))), float(inner[-1:].isalpha()),
     ]
 
 
-def rewritten(kind: str, inner: str, at: int) -> str:
-    """A base span in a form that the base patterns miss."""
+def _joined_number(beyond: str) -> float:
+    """What follows in reading direction: 2 a digit behind a sign, 1 a digit behind a space, 0 anything else."""
+    if not beyond[1:2].isdigit():
+        return 0.0
+    return 2.0 if beyond[0] in ".-/" else float(beyond[0] == " ")
+
+
+def rewritten(kind: str, inner: str, rng: random.Random) -> str:
+    """A base span in a form that the base patterns miss, drawn at random."""
     digits = _digits(inner)
     if kind == "email":
-        sign, dot = ((" (at) ", "."), ("[at]", "[dot]"), (" @ ", "."), ("(at)", "(dot)"))[at % 4]
+        sign, dot = rng.choice(((" (at) ", "."), ("[at]", "[dot]"), (" @ ", "."), ("(at)", "(dot)"), (" at ", " dot ")))
         local, _, domain = inner.partition("@")
         return local + sign + domain.replace(".", dot)
     if kind == "ip":
-        return inner.replace(".", ("[.]", "(.)", " . ")[at % 3])
+        parts = rng.choice((inner.split("."), [str(rng.randrange(rng.choice((10, 100, 256)))) for _ in range(4)]))
+        return rng.choice(("[.]", "(.)", " . ")).join(parts)
     if kind == "card":
-        groups = re.findall(".{1,4}", digits)
-        return ("/", ".", "  ")[at % 3].join(groups)
-    tail = digits[-10:]
-    return (f"({tail[:3]}) {tail[3:6]}-{tail[6:]}", f"{tail[:3]}-{tail[3:6]}-{tail[6:]}", f"{tail[:3]} {tail[3:6]} {tail[6:]}")[at % 3]
-
-
-def beside(kind: str, inner: str, form: str, at: int) -> tuple[str, str]:
-    """What stands before and behind a rewritten form: mostly nothing, else another number that makes one run with it."""
-    if kind not in ("card", "phone"):
+        if rng.random() < 0.5:  # cards of other lengths
+            digits = digits[:1] + "".join(rng.choice("0123456789") for _ in range(rng.choice((11, 12, 13, 13, 15, 17))))
+            digits = next(digits + last for last in "0123456789" if luhn(digits + last))
+        groups = rng.choice((re.findall(".{1,4}", digits), re.findall(".{1,5}", digits), [digits[:4], digits[4:10], digits[10:]]))
+        return rng.choice(("/", ".", "  ", " - ")).join(groups)
+    # an area of 2 to 5 digits behind nothing, a zero or a country, then one to three groups
+    number = digits[-rng.randrange(6, 9):]
+    groups = rng.choice(([number], [number[:3], number[3:]], [number[:4], number[4:]], re.findall("..?", number)[:3] + [digits[:2]]))
+    area = digits[1:1 + rng.choice((2, 3, 3, 3, 4))]
+    area = rng.choice((area, area, "0" + area[:-1]))
+    country = rng.choice(("", "", "", digits[:1] + " ", "00" + digits[:2] + "-"))
+    opened, closed = rng.choice((("", " "), ("", "-"), ("", "."), ("", "/"), ("(", ") ")))
+    return country + opened + area + closed + rng.choice((" ", "-", ".")).join(groups)
+
+
+def beside(kind: str, inner: str, form: str, rng: random.Random) -> tuple[str, str]:
+    """What stands before and behind a form: mostly nothing, else another number that makes one run with it."""
+    if kind not in ("card", "phone") or rng.random() < 0.5:
         return "", ""
     digits = _digits(inner)
     date = f"{1950 + int(digits[-4:]) % 100}-{1 + int(digits[-6:-4]) % 12:02}-{1 + int(digits[-3:-1]) % 28:02}"
-    return (("", ""), (f"{date} ", ""), ("", f" {form}"), (f"{form} ", ""), (f"{digits[:5]} ", ""), ("", f" {date}"))[at % 6]
+    address = ".".join(str(rng.randrange(256)) for _ in range(4))
+    return rng.choice(((f"{date} ", ""), ("", f" {form}"), (f"{form} ", ""), (f"{digits[:5]} ", ""), ("", f" {date}"),
+                       (f"{inner} ", ""), ("", f" {inner}"), ("", f" {address}"), (f"{address} ", "")))
 
 
-def lookalikes(kind: str, inner: str, at: int) -> list[str]:
+def lookalikes(kind: str, inner: str, rng: random.Random) -> list[str]:
     """What only looks like a base span: dates, plain numbers, amounts, times, impossible addresses."""
     digits = _digits(inner) or "1"
     if kind == "email":
-        local = inner.partition("@")[0]
-        return [f"{local} (at) {1 + at % 24}.{10 + at % 50}", f"{local} @ {at % 90}.{10 + at % 90}"]
+        local, low, high = inner.partition("@")[0], rng.randrange(90), rng.randrange(10, 90)
+        return [f"{local} (at) {low}.{high}", f"{local} @ {low}.{high}", f"{local} at {low} dot {high}", f"{local} at {inner.rpartition('.')[2]} dot {high}"]
     if kind == "ip":
         parts = inner.split(".")
-        parts[at % 4] = str(256 + int(parts[at % 4]) % 256)
+        parts[rng.randrange(4)] = str(rng.randrange(256, 999))
         return [".".join(parts), "[.]".join(parts), " . ".join(parts)]
     if kind == "card":
-        wrong = digits[:-1] + str((int(digits[-1]) + 1 + at % 9) % 10)
-        return [] if luhn(wrong) else [wrong, "/".join(re.findall(".{1,4}", wrong))]
+        wrong = digits[:-1] + str((int(digits[-1]) + rng.randrange(1, 10)) % 10)
+        return [] if luhn(wrong) else [wrong, *(sign.join(re.findall(".{1,4}", wrong)) for sign in ("/", " ", "."))]
     year, month, day = 1950 + int(digits[-4:]) % 100, 1 + int(digits[-6:-4]) % 12, 1 + int(digits[-3:-1]) % 28
-    run = (digits * 2)[-7 - at % 9:]
-    return [(f"{year}-{month:02}-{day:02}", f"{day:02}.{month:02}.{year}", f"{month}/{day}/{year}", f"{year}{month:02}{day:02}")[at % 4],
-            run, f"{run[:-6]}.{run[-6:-3]}.{run[-3:]}" if at % 2 else f"{year}-{year + 1} {run[-3:]}"]
+    run, low = "".join(rng.choice("0123456789") for _ in range(rng.randrange(7, 16))), rng.randrange(99)
+    amount = f"{int(run[:9]):,}".replace(",", rng.choice((".", " ")))
+    return [rng.choice((f"{year}-{month:02}-{day:02}", f"{day:02}.{month:02}.{year}", f"{month}/{day}/{year}", f"{year}{month:02}{day:02}",
+                        f"{day:02}/{month:02}/{year}", f"{month}/{day}/{year} {day:02}:{month:02}", f"{year}-{month:02}-{day:02} {day:02}:{month:02}", f"{year}.{month:02}.{day:02}")),
+            run, amount, f"{low}.{run}", rng.choice((f"{year}-{year + 1} {run[-3:]}", f"{year} {year + 1} {year + 3}", f"{year}-{year + 4}"))]
+
+
+def valid(text: str, span: Span) -> bool:
+    """Whether a proposal meets its kind's own test, so that nothing says that it is a bad one."""
+    kind, start, end = span
+    inner = text[start:end]
+    digits = _digits(inner)
+    if kind == "card":
+        return 13 <= len(digits) <= 19 and luhn(digits)
+    if kind == "phone":
+        return inner[0] == "+" and 9 <= len(digits) <= 15
+    if kind == "ip":
+        return all(int(part) <= 255 for part in GROUP.findall(inner))
+    return inner[-2:].isalpha()
 
 
 @dataclass
@@ -225,20 +271,18 @@ def boost(rows: np.ndarray, good: np.ndarray) -> Trees:
         slope, curve = good - p, np.maximum(p * (1 - p), 1e-6)
         node = np.zeros(count, int)
         for level in range(DEPTH):
-            for at in range(2 ** level - 1, 2 ** (level + 1) - 1):
-                inside = np.flatnonzero(node == at)
-                if len(inside) >= 10:
-                    best = (1e-6, 0, np.inf)
-                    for f in range(width):
-                        g = np.cumsum(np.bincount(binned[inside, f], slope[inside], BINS))[:-1]
-                        h = np.cumsum(np.bincount(binned[inside, f], curve[inside], BINS))[:-1]
-                        G, H = slope[inside].sum(), curve[inside].sum()
-                        gain = g * g / (h + 1) + (G - g) ** 2 / (H - h + 1) - G * G / (H + 1)
-                        k = int(gain.argmax())
-                        if gain[k] > best[0]:
-                            best = (gain[k], f, cuts[f, k])
-                    trees.feature[tree, at], trees.cut[tree, at] = best[1], best[2]
-                node[inside] = 2 * at + 1 + (rows[inside, trees.feature[tree, at]] > trees.cut[tree, at])
+            above, nodes = 2 ** level - 1, 2 ** level
+            cell = ((((node - above)[:, None] * width) + np.arange(width)) * BINS + binned).ravel()
+            g, h = (np.bincount(cell, np.repeat(values, width), nodes * width * BINS).reshape(nodes, width, BINS).cumsum(axis=2)
+                    for values in (slope, curve))
+            G, H = g[:, :, -1:], h[:, :, -1:]
+            gain = (g * g / (h + 1) + (G - g) ** 2 / (H - h + 1) - G * G / (H + 1))[:, :, :-1].reshape(nodes, -1)
+            best = gain.argmax(axis=1)
+            feature, at = np.divmod(best, BINS - 1)
+            split = (gain[np.arange(nodes), best] > 1e-6) & (np.bincount(node - above, minlength=nodes) >= 10)
+            trees.feature[tree, above:above + nodes] = np.where(split, feature, 0)
+            trees.cut[tree, above:above + nodes] = np.where(split, cuts[feature, at], np.inf)
+            node = 2 * node + 1 + (rows[np.arange(count), trees.feature[tree, node]] > trees.cut[tree, node])
         leaf = node - inner
         value = RATE * np.bincount(leaf, slope, leaves) / (np.bincount(leaf, curve, leaves) + 1)
         trees.value[tree] = value
@@ -256,60 +300,59 @@ def _overlaps(a: int, b: int, taken: list[tuple[int, int]]) -> bool:
     return any(a < end and start < b for start, end in taken)
 
 
-def examples(text: str, place: int) -> list[tuple[str, int, list[float]]]:
-    """(kind, good, features) of the proposals in a text and of rewritten base spans in their places.
+def examples(text: str, place: int) -> list[tuple[str, int, int, list[float]]]:
+    """(kind, good, group, features) of the proposals in a text and of base spans, as they are or rewritten, in their places.
 
-    Of the proposals over a rewritten span those that share an edge with it are examples, since they are the most alike.
+    Of the proposals over such a span those that share an edge with it are examples, since they are the most alike; they
+    make one group, of which only the best would be reported.
     """
+    rng = random.Random(place)
     base = base_spans(text)
     taken = [(a, b) for _, a, b in base]
-    result = []
+    result, group = [], 0
     proposed = proposals(text)
     step = max(1, len(proposed) // SAMPLE_PER_DOC)
-    for kind, a, b in proposed[::step][:SAMPLE_PER_DOC]:
-        if not _overlaps(a, b, taken):
-            result.append((kind, 0, features(text, (kind, a, b))))
-    for at, (kind, a, b) in enumerate(base[:SAMPLE_PER_DOC]):
-        result.append((kind, 1, features(text, (kind, a, b))))
-        form = rewritten(kind, text[a:b], place + at)
-        before, after = beside(kind, text[a:b], form, (place + at) // 12)
-        near = text[max(0, a - CONTEXT):a] + before + form + after + text[b:b + CONTEXT]
-        start = min(a, CONTEXT) + len(before)
-        for proposed_kind, c, d in proposals(near):
-            if c < start + len(form) and d > start:
-                good = proposed_kind == kind and c == start and d == start + len(form)
-                if good or c == start or d == start + len(form):
-                    result.append((proposed_kind, int(good), features(near, (proposed_kind, c, d))))
-        for form in lookalikes(kind, text[a:b], place + at):
-            near = text[max(0, a - CONTEXT):a] + form + text[b:b + CONTEXT]
-            for proposed_kind, c, d in proposals(near):
-                if c == start or d == start + len(form):
-                    result.append((proposed_kind, 0, features(near, (proposed_kind, c, d))))
+    for span in proposed[::step][:SAMPLE_PER_DOC]:
+        if not _overlaps(span[1], span[2], taken) and not valid(text, span):
+            result.append((span[0], 0, (group := group + 1), features(text, span)))
+    for kind, a, b in base[:SAMPLE_PER_DOC]:
+        inner, left, right = text[a:b], text[max(0, a - CONTEXT):a], text[b:b + CONTEXT]
+        result.append((kind, 1, (group := group + 1), features(text, (kind, a, b))))
+        forms = [(inner, 1)] + [(rewritten(kind, inner, rng), 1) for _ in range(FORMS)]
+        for form, good in forms + [(form, 0) for form in lookalikes(kind, inner, rng)]:
+            before, after = beside(kind, inner, form, rng) if good else ("", "")
+            near, start = left + before + form + after + right, len(left) + len(before)
+            group += 1
+            for span in proposals(near):
+                if span[1] == start or span[2] == start + len(form):
+                    whole = span[0] == kind and near[span[1]:span[2]] in (form, inner)
+                    result.append((span[0], int(good and whole), group, features(near, span)))
     return result
 
 
-EXAMPLE = "kind string, good int, place long, features array<double>"
+EXAMPLE = "kind string, good int, place long, part int, features array<double>"
 
 
 def fit(docs: DataFrame, seed: int = 7) -> Model:
-    """Trees and thresholds from at most SAMPLE_DOCS documents that hold a digit or an at sign, by hash of the id."""
-    narrow = docs.where(F.col("text").rlike("[0-9@]")).select("doc_id", F.xxhash64(F.lit(seed), "doc_id").alias("draw"))
+    """Trees and thresholds from at most SAMPLE_DOCS documents that hold a digit or an at sign, by hash of id and text."""
+    narrow = docs.where(F.col("text").rlike("[0-9@]")).select("doc_id", F.xxhash64(F.lit(seed), "doc_id", "text").alias("draw"))
     limit = hashed_sample(narrow, "draw", SAMPLE_DOCS).agg(F.max("draw").alias("top")).first()["top"]
     if limit is None:
         return Model({}, {})
-    chosen = docs.select("doc_id", "text", F.xxhash64(F.lit(seed), "doc_id").alias("draw")).where(F.col("draw") <= limit)
+    chosen = docs.select("doc_id", "text", F.xxhash64(F.lit(seed), "doc_id", "text").alias("draw")).where(F.col("draw") <= limit)
 
     def work(batches):
         for batch in batches:
             places = batch.column(2).to_pylist()
-            found = [(kind, good, place, values) for text, place in zip(text_of(batch, "text").to_pylist(), places)
-                     for kind, good, values in examples(text, place % 97)]
-            columns = list(zip(*found)) or [(), (), (), ()]
+            found = [(kind, good, place, part, values) for text, place in zip(text_of(batch, "text").to_pylist(), places)
+                     for kind, good, part, values in examples(text, place)]
+            columns = list(zip(*found)) or [()] * 5
             yield pa.RecordBatch.from_arrays(
                 [pa.array(columns[0], pa.string()), pa.array(columns[1], pa.int32()), pa.array(columns[2], pa.int64()),
-                 pa.array(columns[3], pa.list_(pa.float64()))], ["kind", "good", "place", "features"])
+                 pa.array(columns[3], pa.int32()), pa.array(columns[4], pa.list_(pa.float64()))],
+                ["kind", "good", "place", "part", "features"])
 
-    known = chosen.mapInArrow(work, EXAMPLE).orderBy(F.xxhash64("place"), "place", "features").limit(
+    known = chosen.mapInArrow(work, EXAMPLE).orderBy(F.xxhash64("place"), "place", "part", "features").limit(
         2 * SAMPLE_DOCS * 4).toPandas()
     model = Model({}, {})
     for kind in KINDS:
@@ -320,12 +363,22 @@ def fit(docs: DataFrame, seed: int = 7) -> Model:
             continue
         trees = boost(rows[~unseen], good[~unseen])
         score = trees.predict(rows[unseen])
-        bad = np.sort(score[good[unseen] == 0])
-        allowed = bad[max(0, int(np.ceil(len(bad) * (1 - FALSE_SHARE))) - 1)] if len(bad) else 0.5
-        model.trees[kind], model.threshold[kind] = trees, max(0.9, float(allowed) + 1e-6)
+        best = own[["place", "part"]][unseen].assign(score=score, good=good[unseen]).sort_values(
+            "score", ascending=False, kind="stable").drop_duplicates(["place", "part"])
+        model.trees[kind] = trees
+        model.threshold[kind] = threshold(best["score"].to_numpy(), best["good"].to_numpy())
     return model
 
 
+def threshold(score: np.ndarray, good: np.ndarray) -> float:
+    """The lowest threshold, a half at least, above which the wanted share of the examples is good: half way to the next
+    example that is not accepted."""
+    order = np.argsort(-score, kind="stable")
+    share, ranked = np.cumsum(good[order]) / np.arange(1, len(order) + 1), np.append(score[order], 0)
+    enough = np.flatnonzero((share >= PRECISION) & (ranked[1:] < ranked[:-1]))
+    return max(0.5, float(ranked[enough[-1]] + ranked[enough[-1] + 1]) / 2) if len(enough) else 1.1
+
+
 def added_spans(text: str, base: list[Span], model: Model) -> list[Span]:
     """The proposals that the trees accept, best first, none of which overlaps a base span or another one."""
     proposed = [span for span in proposals(text) if span[0] in model.trees] if model.trees else []
