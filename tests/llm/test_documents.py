@@ -433,39 +433,98 @@ def test_deep_pages_take_linear_time():
 
 # --- Kneser-Ney ---
 
-def test_probabilities_add_up_and_unseen_contexts_back_off(spark, docs):
-    counts = kneser_ney.gram_counts(docs).persist()
-    contexts = [r.c for r in counts.selectExpr("gram div 64 as c").distinct().limit(4).collect()] + [64 ** 3 - 1]
-    grams = spark.createDataFrame([(c * 64 + s,) for c in contexts for s in range(64)], "gram long")
-    total = Counter()
-    for r in kneser_ney.gram_scores(grams, counts).collect():
-        total[r.gram // 64] += math.exp(r.logp)
-    assert set(total) == set(contexts) and all(abs(value - 1) < 1e-9 for value in total.values())
-
-
-def test_gram_counts_are_those_of_the_texts(spark):
-    texts = ["ab  c", "", None, "\n\nx", "ab"]
-    frame = spark.createDataFrame([(t,) for t in texts], "text string")
-    expected = Counter()
+def plain_token(word, vocabulary):
+    """A frequent word's place, or the number of another word's shape."""
+    if word in vocabulary:
+        return ("word", word)
+    def some(signs):
+        return any(c in signs for c in word)
+    length = sum(len(word) > limit for limit in (2, 3, 4, 6, 8, 11, 16))
+    capitals = [65 <= c <= 90 for c in word]
+    case = 0 if not any(capitals) else 1 if capitals[0] and sum(capitals) == 1 else 2
+    return ("shape", length, case, some(range(48, 58)), some(rb"#*$%&|<>/\\@+=~^_{}[]"), some(range(128, 256)), word[-1] in b".,;:!?")
+
+
+def plain_kneser_ney(texts, vocabulary):
+    """Probability of a token behind another one, from the definition of the modified estimate."""
+    pairs = Counter()
     for text in texts:
-        code = [int(kneser_ney._SYMBOL[b]) for b in re.sub(rb"[\x20\x09-\x0d]+", b" ", (text or "").encode())]
-        code = [0, 0, 0, *code]
-        for at in range(len(code) - 3):
-            expected[sum(c * 64 ** (3 - k) for k, c in enumerate(code[at:at + 4]))] += 1
-    assert {r.gram: r.n for r in kneser_ney.gram_counts(frame).collect()} == dict(expected)
+        tokens = ["start"] + [plain_token(word, vocabulary) for word in words(text)]
+        pairs.update(zip(tokens, tokens[1:]))
+
+    def discounted(counts):
+        n = [sum(c == k for c in counts.values()) for k in range(5)]
+        if not (n[1] and n[2] and n[3]):
+            return lambda c: (0.5, 1, 1.5)[min(c, 3) - 1]
+        y = n[1] / (n[1] + 2 * n[2])
+        d = [min(max(k - (k + 1) * y * n[k + 1] / n[k], 0.05), k - 0.05) for k in (1, 2, 3)]
+        return lambda c: d[min(c, 3) - 1]
+
+    behind = Counter(second for _, second in pairs)
+    d1, d2 = discounted(behind), discounted(pairs)
+    left = sum(map(d1, behind.values())) / sum(behind.values())
+
+    def alone(token):
+        return (max(behind[token] - d1(behind[token]), 0) / sum(behind.values()) if behind[token] else 0) + left / kneser_ney.TOKENS
+
+    def probability(before, token):
+        own = {b: c for (a, b), c in pairs.items() if a == before}
+        if not own:
+            return alone(token)
+        share = (own[token] - d2(own[token])) / sum(own.values()) if token in own else 0
+        return share + sum(map(d2, own.values())) / sum(own.values()) * alone(token)
+
+    return probability
+
+
+def test_perplexities_equal_plain_ones(spark, rows):
+    rng = random.Random(6)
+    odd = ["A1 b%c Über ÄB. x", "rare, Rare RARE r2d2", "", None, "the the the of of"]
+    texts = [row[1] for row in rows[:20]] + [" ".join(rng.choice(("the", "of", "A1", "b%c", "Über", "x,")) for _ in range(30)) for _ in range(9)] + odd
+    frame = documents(spark, [(at, text, "en", "s") for at, text in enumerate(texts)])
+    vocabulary = kneser_ney.frequent_words(frame)
+    counted = Counter(word for text in texts for word in words(text))
+    known = {word for word, n in counted.items() if n > 1}
+    assert len(vocabulary) == len(known)
+    learned = kneser_ney.model(kneser_ney.gram_counts(frame, vocabulary))
+    assert np.allclose(np.exp(learned.table().reshape(kneser_ney.TOKENS, -1).astype(float)).sum(axis=1), 1, atol=1e-4)
+    probability = plain_kneser_ney(texts, known)
+    other = ["never seen words, of the X9 kind", *texts[:3], *odd]
+    frame = documents(spark, [(at, text, "en", "s") for at, text in enumerate(other)])
+    found = {r.doc_id: r for r in kneser_ney.with_perplexity(frame, vocabulary, learned).collect()}
+    for at, text in enumerate(other):
+        tokens = ["start"] + [plain_token(word, known) for word in words(text)]
+        assert found[at].n_words == len(tokens) - 1
+        if len(tokens) == 1:
+            assert found[at].perplexity is None
+        else:
+            logs = [math.log(probability(a, b)) for a, b in zip(tokens, tokens[1:])]
+            assert found[at].perplexity == pytest.approx(math.exp(-sum(logs) / len(logs)), rel=1e-4)
+
+
+def test_pair_counts_are_those_of_the_texts(spark):
+    texts = ["ab  c ab c", "", None, "\n\nab", "c"]
+    frame = spark.createDataFrame([(t,) for t in texts], "text string")
+    vocabulary = kneser_ney.frequent_words(frame)
+    token = dict(zip(kneser_ney.words_of(pa.array(["ab c"], pa.large_string())).hashes().tolist(), ("ab", "c")))
+    number = {token[h]: 1 + kneser_ney.SHAPES + at for at, h in enumerate(vocabulary.tolist())}
+    expected = {(0, number["ab"]): 2, (number["ab"], number["c"]): 2, (number["c"], number["ab"]): 1, (0, number["c"]): 1}
+    counts = kneser_ney.gram_counts(frame, vocabulary).collect()
+    assert {divmod(r.gram, kneser_ney.TOKENS): r.n for r in counts} == expected
 
 
 def test_strange_text_is_dropped_and_clean_text_stays(spark, rows):
     strange = [(2000 + at, "".join(c + "#|" for c in row[1][:300]), row[2], "s") for at, row in enumerate(rows[:5])]
+    strange += [(2005 + at, " ".join([word] * 80), "en", "s") for at, word in enumerate(("Of", "Ostine", "Über."))]
     found = kneser_ney.classified(documents(spark, rows + strange), labels_of(spark, rows)).collect()
     kept = {r.doc_id: r.kept for r in found}
-    assert len(found) == len(rows) + 5
-    assert all(kept[i] for i in range(60)) and not any(kept[i] for i in range(2000, 2005)) and not kept[62] and not kept[63]
+    assert len(found) == len(rows) + 8
+    assert all(kept[i] for i in range(60)) and not any(kept[i] for i in range(2000, 2008)) and not kept[62] and not kept[63]
     trusted = {r.doc_id for r in found if r.trusted}
     assert trusted == set(range(50)) - {4, 5}
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     bare = kneser_ney.classified(documents(spark, rows), none).collect()
-    assert all(r.threshold is None and r.kept == (r.perplexity is not None) for r in bare)
+    assert all(r.low is None and r.high is None and r.kept == (r.perplexity is not None) for r in bare)
     assert kneser_ney.classified(empty(spark), none).count() == 0
 
 
