@@ -98,7 +98,7 @@ def _merged(
     both = lefts.withColumn(SIDE, F.lit(1)).unionByName(
         rights.withColumn(SIDE, F.lit(0 if first else 2)), allowMissingColumns=True)
     order = [AT, SIDE, ORDER]
-    cut = with_segments(both, keys, order, max(1, -(-both.count() // rows_per_range)))
+    cut = with_segments(both, keys, order, max(1, -(-both.count() // rows_per_range)), rows_per_range)
     is_right = F.col(RIGHT).isNotNull()
 
     # Per range: the key that it begins with, and its last right-hand row, both in the direction of travel.
