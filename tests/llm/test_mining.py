@@ -3,10 +3,13 @@
 import math
 import random
 import re
+import tracemalloc
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 
 from tests.llm.helpers import corpus, documents, empty
@@ -251,3 +254,32 @@ def test_windows_are_counted_once_and_summed_by_a_rollup(spark):
     assert found.agg({"c": "sum"}).first()[0] == 30 * 6
     text = collocations.folded(found, 3, 10, 4).rollup("w1", "w2", "w3").count()._jdf.queryExecution().executedPlan().toString()
     assert "Expand" in text and "Exchange hashpartitioning(w1" in text
+
+
+def test_a_task_of_windows_holds_little(monkeypatch):
+    """Two million windows take under 60 bytes each in a task, and leave it in batches of a bounded size."""
+    rng = np.random.default_rng(1)
+    vocabulary = np.array([a + b + c for a in "abcdefgh" for b in "ijklmnop" for c in "qrstuvwx"])
+    texts = pa.array([" ".join(vocabulary[rng.integers(0, 512, 2000)]) for _ in range(1050)])
+    batch = pa.RecordBatch.from_arrays([pa.array(["en"] * len(texts)), texts], ["lang", "text"])
+    words = np.unique(np.concatenate([code for _, _, code in collocations._coded(batch)]))
+    held = collocations.Lexicon(words, np.full(len(words), 4000), True, 5000)
+
+    stand_in = SimpleNamespace(
+        sparkSession=SimpleNamespace(sparkContext=SimpleNamespace(broadcast=lambda value: SimpleNamespace(value=value))),
+        mapInArrow=lambda work, schema: work)
+    monkeypatch.setattr(collocations, "_narrow", lambda docs: docs)
+    work = collocations.windows(stand_in, held, 3)
+    sizes, total = [], 0
+    tracemalloc.start()
+    try:
+        for found in work([batch]):
+            sizes.append(found.num_rows)
+            total += pc.sum(found.column(found.schema.get_field_index("c"))).as_py()
+            del found
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert total == 2_100_000
+    assert max(sizes) <= 100_000
+    assert peak < 60 * total, peak

@@ -30,6 +30,7 @@ WITHIN = 50  # percent of a candidate's count that a longer candidate needs to m
 HELD_WORDS = 1_000_000  # at most so many frequent words go to every task
 HOT_WORDS = 100_000  # at most so many words count as hot
 SLICE_WINDOWS = 2_000_000
+BATCH_WINDOWS = 100_000  # windows a batch that leaves a task: larger ones are held whole on both sides of the pipe
 PARTITION_ROWS = 1_500_000
 SHARED = "two words share a 63-bit code; change the finaliser of the word hash"
 
@@ -116,43 +117,74 @@ def lexicon(counted: DataFrame, least: int, held: int, total: int) -> Lexicon:
     return Lexicon(rows["code"].to_numpy(), rows["f"].to_numpy(), whole, hot)
 
 
-def _counted(columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """One row number of each distinct window, and how often it occurs. The columns hold small numbers."""
-    base = max(int(column.max()) for column in columns) + 1
-    key, top = columns[0].astype(np.int64), base
-    for column in columns[1:]:
+def _counted(columns: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
+    """The distinct windows, as columns, and how often each occurs. The columns hold small numbers; the list is emptied.
+
+    A window is one number, sorted in place and taken apart again, so that no more than the windows, their numbers
+    and a few flags are held at once.
+    """
+    base, packed = max(int(column.max()) for column in columns) + 1, []
+    key, top = columns.pop(0).astype(np.int64), base
+    while columns:
+        distinct = None
         if top * base >= 1 << 63:
             distinct, key = np.unique(key, return_inverse=True)
             top = len(distinct)
-        key = key * base + column
+        key *= base
+        key += columns.pop(0)
         top *= base
-    _, first, count = np.unique(key, return_index=True, return_counts=True)
-    return first, count
-
-
-def _windows(codes: np.ndarray, run: np.ndarray, held: Lexicon, width: int) -> pa.RecordBatch:
+        packed.append(distinct)
+    key.sort()
+    fresh = np.ones(len(key), bool)
+    np.not_equal(key[1:], key[:-1], out=fresh[1:])
+    first, key = np.flatnonzero(fresh), key[fresh]
+    count, found = np.diff(first, append=len(fresh)), []
+    for distinct in reversed(packed):
+        key, column = np.divmod(key, base)
+        found.append(column.astype(np.int32))
+        key = key if distinct is None else distinct[key]
+    return [key.astype(np.int32), *reversed(found)], count
+
+
+def _windows(codes: list[np.ndarray], fresh: list[np.ndarray], held: Lexicon, width: int) -> Iterator[pa.RecordBatch]:
     """Distinct padded windows of some slices: numbers w1..wN, null behind the end, the number of the hot pair's third
-    word or 0, and their count."""
-    distinct, local = np.unique(codes, return_inverse=True)
+    word or 0, and their count. ``fresh`` marks the first words of pieces. The lists are emptied, the windows come in
+    batches of a bounded size: both keep down what a task holds, here and where the batches are read.
+    """
+    whole = _joined(codes)
+    distinct = np.unique(whole)
     number, wanted = held.numbered(distinct)
+    local = np.searchsorted(distinct, whole).astype(np.int32)
+    del whole
     inside = wanted[local]
-    run, local = (run + np.cumsum(~inside))[inside], local[inside] + 1
-    columns = [local]
-    for lead in range(1, width):
-        ahead = np.zeros(len(local), np.int64)
-        if lead < len(local):
-            ahead[:-lead] = np.where(run[lead:] == run[:-lead], local[lead:], 0)
+    apart = _joined(fresh)
+    apart[1:] |= ~inside[:-1]
+    apart, columns = apart[inside], [local[inside] + np.int32(1)]
+    del local, inside
+    for _ in range(1, width):
+        ahead = np.zeros_like(columns[0])
+        ahead[:-1] = np.where(apart[1:], 0, columns[-1][1:])
         columns.append(ahead)
-    first, count = _counted(columns) if len(local) else (np.zeros(0, np.int64),) * 2
-    local = [column[first] for column in columns]
+    if not len(apart):
+        return
+    del ahead
+    columns, count = _counted(columns)
     number = np.concatenate([np.zeros(1, np.int64), number])
-    values = [number[column] for column in local]
-    hot = (local[1] > 0) & (values[0] >= 0) & (values[0] < held.hot) & (values[1] >= 0) & (values[1] < held.hot)
-    third = np.where(hot & (local[2] > 0), values[2] + 1, 0) if width > 2 else np.zeros(len(first), np.int64)
-    nulls = [pa.array(value, pa.int64(), mask=column == 0) for value, column in zip(values, local)]
-    return pa.RecordBatch.from_arrays(
-        [*nulls, pa.array(third, pa.int64()), pa.array(hot), pa.array(count.astype(np.int64))],
-        [*_names(width), "third", "hot", "c"])
+    for at in range(0, len(count), BATCH_WINDOWS):
+        local = [column[at:at + BATCH_WINDOWS] for column in columns]
+        values = [number[column] for column in local]
+        hot = (local[1] > 0) & (values[0] >= 0) & (values[0] < held.hot) & (values[1] >= 0) & (values[1] < held.hot)
+        third = np.where(hot & (local[2] > 0), values[2] + 1, 0) if width > 2 else np.zeros(len(hot), np.int64)
+        nulls = [pa.array(value, pa.int64(), mask=column == 0) for value, column in zip(values, local)]
+        yield pa.RecordBatch.from_arrays(
+            [*nulls, pa.array(third, pa.int64()), pa.array(hot), pa.array(count[at:at + BATCH_WINDOWS], pa.int64())],
+            [*_names(width), "third", "hot", "c"])
+
+
+def _joined(parts: list[np.ndarray]) -> np.ndarray:
+    whole = np.concatenate(parts)
+    parts.clear()
+    return whole
 
 
 def _names(width: int) -> list[str]:
@@ -164,22 +196,23 @@ def windows(docs: DataFrame, held: Lexicon, width: int) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(held)
 
     def work(batches):
-        codes, runs, size = [], [], 0
+        codes, fresh, size = [], [], 0
         for batch in batches:
             for _, words, code in _coded(batch):
-                ends = np.zeros(len(words.data) + 1, np.int64)
+                ends = np.zeros(len(words.data) + 1, np.int32)
                 np.cumsum(_PIECE_ENDS[words.data], out=ends[1:])
                 piece, row = ends[words.start], words.row
-                fresh = np.ones(len(code), np.int64)
-                fresh[1:] = (piece[1:] != piece[:-1]) | (row[1:] != row[:-1])
+                begins = np.ones(len(code), bool)
+                begins[1:] = (piece[1:] != piece[:-1]) | (row[1:] != row[:-1])
                 codes.append(code)
-                runs.append(np.cumsum(fresh) + size)
+                fresh.append(begins)
                 size += len(code)
+                del words, code, ends, piece, row, begins
                 if size >= SLICE_WINDOWS:
-                    yield _windows(np.concatenate(codes), np.concatenate(runs), shared.value, width)
-                    codes, runs, size = [], [], 0
+                    yield from _windows(codes, fresh, shared.value, width)
+                    size = 0
         if size:
-            yield _windows(np.concatenate(codes), np.concatenate(runs), shared.value, width)
+            yield from _windows(codes, fresh, shared.value, width)
 
     columns = ", ".join(f"{name} long" for name in _names(width))
     return _narrow(docs).mapInArrow(work, f"{columns}, third long, hot boolean, c long")
