@@ -644,6 +644,47 @@ def test_training_reads_every_text_in_whole(lanes):
     assert gru_lm.train_shard(gru_lm.Network(known), iter(texts), lanes) == sum(map(len, wanted))
 
 
+def test_lanes_end_together():
+    rng = np.random.default_rng(3)
+    length = np.concatenate([rng.integers(1, 200, 4000), [3000, 2500, 2000], rng.integers(1, 200, 40), [9]])
+    order = gru_lm.lane_order(length, 64)
+    assert sorted(order.tolist()) == list(range(len(length)))
+    texts = (np.zeros(length[at] - 1, np.int64) for at in order)
+    live = [len(lanes) for _, _, lanes in gru_lm.lane_windows(texts, 64, 71)]
+    assert len(live) < 1.1 * length.sum() / (64 * gru_lm.WINDOW)  # a third more in the order they are drawn in
+    assert gru_lm.lane_order(np.array([50, 1, 1]), 64).tolist() == [0, 1, 2]
+    assert gru_lm.lane_order(np.zeros(0, np.int64), 64).tolist() == []
+
+
+def test_words_are_looked_up_by_leading_bits():
+    rng = np.random.default_rng(4)
+    words = np.unique(np.array([0, 1, 2 ** 64 - 1, *((5 << 44) + np.arange(40)), *rng.integers(0, 2 ** 63, 500)], np.uint64))
+    number = rng.permutation(len(words)) % 101
+    number[0] = 101  # the end
+    known = gru_lm.Vocabulary(words, np.arange(len(words)) + 3, number, 100, np.full(100, 5), 1000, 200, 20)
+    asked = np.concatenate([words, words[1:] + np.uint64(1), words[1:] - np.uint64(1), rng.integers(0, 2 ** 63, 500).astype(np.uint64)])
+    place = {w: at for at, w in enumerate(words.tolist())}
+    at = [place.get(w) for w in asked.tolist()]
+    n, numbers, held = known.look_up(asked)
+    assert n.tolist() == [0 if p is None else p + 3 for p in at]
+    assert numbers.tolist() == known.numbers(asked).tolist() == [
+        101 if w == 0 else 100 if p is None else number[p] for w, p in zip(asked.tolist(), at)]
+    assert held.tolist() == [p is not None or w == 0 for w, p in zip(asked.tolist(), at)]
+    nothing = gru_lm.Vocabulary(words[:0], number[:0], number[:0], 0, number[:0], 0, 0, 0)
+    assert [part.tolist() for part in nothing.look_up(words[:2])] == [[0, 0], [1, 0], [True, False]]
+
+
+def test_windows_with_few_lanes_step_less_far():
+    known = gru_lm.Vocabulary(np.arange(1, 71, dtype=np.uint64), np.full(70, 5), np.arange(70), 70, np.full(70, 5), 1000, 200, 20)
+    moved = []
+    for lanes in (1, 64):
+        network = gru_lm.Network(known)
+        before = network.class_bias.copy()
+        gru_lm.train_shard(network, iter([np.arange(10)]), lanes)
+        moved.append(np.abs(network.class_bias - before).max())
+    assert moved[1] < moved[0] / 32
+
+
 def test_gradients_are_those_of_the_loss():
     rng = np.random.default_rng(0)
     known = gru_lm.Vocabulary(np.arange(1, 71, dtype=np.uint64), np.full(70, 5), np.arange(70), 70, np.full(70, 5), 1000, 200, 20)

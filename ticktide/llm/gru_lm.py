@@ -20,6 +20,7 @@ from functools import cached_property
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,6 +32,7 @@ WORDS = 4_096         # vocabulary of the network
 CLASS_WORDS = 64
 HIDDEN = 16
 COMMON = 1 << 18      # words whose counts every task holds: at most 4 MB
+LEAD = np.uint64(44)  # a hash shifted by this leaves its leading 20 bits
 ROUNDS = 4                 # averages of the shards' weights; each round trains on its own quarter of the documents
 SHARD_TOKENS = 1 << 21     # words that a shard trains on in a round, give or take those of a text
 LANES, WINDOW, RATE = 256, 24, 0.01
@@ -41,8 +43,16 @@ SCORED = 1 << 17           # states that are scored at a time
 GROUP_TOKENS = 1 << 22     # words of the texts that take their steps together, give or take those of a slice
 PIECE = 1 << 14            # weights that are averaged in one row
 END = np.uint64(0)    # stands for the end of a text among the word hashes
+KEPT = 31 << 20       # bytes; the allocator's own bound is 32 MB
 PENDING = 1 << 20     # distinct words that a task gathers before it hands counts on
-SLICE_BYTES = 4 << 20
+
+
+def _keep_memory() -> None:
+    """Let the allocator keep the memory of freed arrays below this size, which it does once one of it was freed.
+
+    Otherwise the arrays of each window are given back to the system, which zeroes their pages again for the next one.
+    """
+    np.empty(KEPT, np.uint8)
 
 
 def _hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -61,9 +71,10 @@ def word_counts(docs: DataFrame) -> DataFrame:
         return words, np.bincount(back, np.concatenate([n for _, n in parts]), len(words)).astype(np.int64)
 
     def work(batches):
+        _keep_memory()
         parts, size = [], 0
         for whole in batches:
-            for batch in text_slices(whole, "text", SLICE_BYTES):
+            for batch in text_slices(whole, "text"):
                 parts.append(np.unique(_hashes(text_of(batch, "text"))[0], return_counts=True))
                 size += len(parts[-1][0])
                 if size > 2 * PENDING:
@@ -102,33 +113,34 @@ class Vocabulary:
         return -(-self.size // CLASS_WORDS)
 
     @cached_property
-    def inner(self) -> np.ndarray:
-        """Places of the network's words and the end among the common words: few enough to be searched in the cache."""
-        return np.flatnonzero(self.number != self.size)
-
-    def numbers(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Number of each hash, and its place among the common words or -1 for words outside of the network."""
-        number = np.where(hashes == END, self.size + 1, self.size)
-        place = np.full(len(hashes), -1)
-        if len(self.inner):
-            keys = self.words[self.inner]
-            at = np.minimum(np.searchsorted(keys, hashes), len(keys) - 1)
-            hit = keys[at] == hashes
-            place[hit] = self.inner[at[hit]]
-            number[hit] = self.number[place[hit]]
-        return number, place
+    def begins(self) -> np.ndarray:
+        """Place of the first common word at or above each value of a hash's leading bits; few values have several words."""
+        lead = (self.words >> LEAD).astype(np.int64)
+        return np.concatenate([[0], np.cumsum(np.bincount(lead, minlength=1 << 64 - int(LEAD)))]).astype(np.int32)
+
+    def places(self, hashes: np.ndarray) -> np.ndarray:
+        """Place of each hash among the common words, or behind the last one."""
+        lead = (hashes >> LEAD).astype(np.int32)
+        place, stop = self.begins[lead], self.begins[1:][lead]
+        keys = np.append(self.words, END)
+        open_ = np.flatnonzero((place < stop) & (keys[place] != hashes))
+        while len(open_):
+            place[open_] += 1
+            at = place[open_]
+            open_ = open_[(at < stop[open_]) & (keys[at] != hashes[open_])]
+        place[place == stop] = len(self.words)
+        return place
+
+    def numbers(self, hashes: np.ndarray) -> np.ndarray:
+        """Number of each hash in the network."""
+        return self.look_up(hashes)[1]
 
     def look_up(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Count, number and whether the count is held here, of each hash."""
-        number, place = self.numbers(hashes)
-        loose = np.flatnonzero(place < 0)
-        if len(self.words) and len(loose):
-            at = np.minimum(np.searchsorted(self.words, hashes[loose]), len(self.words) - 1)
-            place[loose] = np.where(self.words[at] == hashes[loose], at, -1)
-        held = place >= 0
-        n = np.zeros(len(hashes), np.int64)
-        n[held] = self.n[place[held]]
-        return n, number, held | (hashes == END)
+        place, end = self.places(hashes), hashes == END
+        number = np.append(self.number, self.size).astype(np.int16)[place]
+        number[end] = self.size + 1
+        return np.append(self.n, 0)[place], number, (place < len(self.words)) | end
 
     @property
     def other_mass(self) -> int:
@@ -162,18 +174,23 @@ def _exponents(scores: np.ndarray, small: bool) -> tuple[np.ndarray, np.ndarray]
     return scores, scores @ np.ones(scores.shape[1], scores.dtype)
 
 
-def _softmax(scores: np.ndarray, small: bool) -> np.ndarray:
-    scores, total = _exponents(scores, small)
-    scores *= np.reciprocal(total)[:, None]
-    return scores
-
-
 def _log_softmax_at(scores: np.ndarray, column: np.ndarray, small: bool) -> np.ndarray:
     """The logarithm of each row's softmax at one column."""
     scores, total = _exponents(scores, small)
     return np.log(scores[np.arange(len(column)), column] / total)
 
 
+def _slopes(states: np.ndarray, weights: np.ndarray, column: np.ndarray, small: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Gradients of the negative log-softmax at one column of each row: by the weights, the last of which are the biases,
+    and by the states. What the softmax is divided by goes into the states and their gradients, which are narrower."""
+    scores, total = _exponents(states @ weights, small)
+    scores[np.arange(len(column)), column] -= total
+    share = np.reciprocal(total)[:, None]
+    back = scores @ weights[:-1].T
+    back *= share
+    return (states * share).T @ scores, back
+
+
 class Network:
     """Weights: input rows per word number, recurrent matrix, class outputs, word outputs within each class."""
 
@@ -267,28 +284,32 @@ class Network:
             before[t][ends[t]] = 0  # a text begins behind an end
             self._advance(x[t], before[t], gates[t], inner[t], again[t], known[t])
             state = known[t]
-        flat, number = known.reshape(-1, HIDDEN), outputs.ravel()
-        empty = number < 0
+        number = outputs.ravel()
         group = np.where(number < self.size, number // CLASS_WORDS, self.classes + number - self.size)
-        small = self.small()
-        share = _softmax(flat @ self.to_class + self.class_bias, small)
-        share[np.arange(len(group)), group] -= 1
-        share[empty] = 0
+        order = np.argsort(group.astype(np.int16), kind="stable")
+        order = order[np.searchsorted(group[order], 0):]  # places without a word come first
+        number, group = number[order], group[order]
+        flat, small = np.ones((len(order), HIDDEN + 1), x.dtype), self.small()  # a state and the input of the bias
+        np.take(known.reshape(-1, HIDDEN), order, axis=0, out=flat[:, :HIDDEN], mode="clip")
         slopes = [np.zeros_like(p) for p in self.parameters()]
-        slopes[2], slopes[3] = flat.T @ share, share.sum(axis=0)
-        back = share @ self.to_class.T
-        order = np.argsort(group, kind="stable")
-        cuts = np.searchsorted(group[order], np.arange(self.classes + 1))
-        sorted_flat, sorted_back = flat.take(order, axis=0), np.zeros((len(order), HIDDEN), back.dtype)
-        place = number[order] - group[order] * CLASS_WORDS
+        to_class, back = np.vstack([self.to_class, self.class_bias]), np.empty((len(order), HIDDEN), x.dtype)
+        d_class = np.zeros_like(to_class)
+        for at in range(0, len(order), CHUNK):
+            own = slice(at, at + CHUNK)
+            slope, back[own] = _slopes(flat[own], to_class, group[own], small)
+            d_class += slope
+        slopes[2], slopes[3] = d_class[:-1], d_class[-1]
+        cuts = np.searchsorted(group, np.arange(self.classes + 1))
+        to_word = np.concatenate([self.to_word, self.word_bias[:, None]], axis=1)
+        place = number - group * CLASS_WORDS
         for at in np.flatnonzero(np.diff(cuts)):
             own = slice(cuts[at], cuts[at + 1])
-            word = _softmax(sorted_flat[own] @ self.to_word[at] + self.word_bias[at], small)
-            word[np.arange(len(word)), place[own]] -= 1
-            slopes[4][at], slopes[5][at] = sorted_flat[own].T @ word, word.sum(axis=0)
-            sorted_back[own] = word @ self.to_word[at].T
-        back[order] += sorted_back
-        back = back.reshape(steps, lanes, HIDDEN)
+            slope, more = _slopes(flat[own], to_word[at], place[own], small)
+            slopes[4][at], slopes[5][at] = slope[:-1], slope[-1]
+            back[own] += more
+        by_place = np.zeros((steps * lanes, HIDDEN), x.dtype)
+        by_place[order] = back
+        count, back = max(1, len(order)), by_place.reshape(steps, lanes, HIDDEN)
 
         z, r = gates[:, :, :HIDDEN], gates[:, :, HIDDEN:]
         to_inner, to_z, to_r = (1 - z) * (1 - inner * inner), (before - inner) * z * (1 - z), again * r * (1 - r)
@@ -309,7 +330,6 @@ class Network:
         read = inputs.ravel()[order]
         first = np.flatnonzero(np.append(True, read[1:] != read[:-1]))
         slopes[0][read[first]] = np.add.reduceat(d_input.reshape(-1, 3 * HIDDEN).take(order, axis=0), first, axis=0)
-        count = max(1, len(empty) - int(empty.sum()))
         for slope in slopes:
             slope /= count
         return slopes, state
@@ -349,8 +369,21 @@ def lane_windows(texts: Iterator[np.ndarray], lanes: int, end: int) -> Iterator[
             yield inputs.T, outputs.T, live
 
 
+def lane_order(length: np.ndarray, lanes: int) -> np.ndarray:
+    """The order in which texts of these lengths, ends included, go into the lanes.
+
+    Each begins at a place drawn evenly from those that let it end when the lanes do, if it is not longer than a lane:
+    a long text that came last would go on in windows that are nearly empty. The texts come in drawn order.
+    """
+    room = np.maximum(0, 1 - length * (lanes / max(1, length.sum())))
+    return np.argsort(np.arange(len(length)) * room, kind="stable")
+
+
 def train_shard(network: Network, texts: Iterator[np.ndarray], lanes: int) -> int:
-    """One pass over the whole texts as they come, the state carried from window to window; the number of outputs."""
+    """One pass over the whole texts as they come, the state carried from window to window; the number of outputs.
+
+    A window with fewer lanes says less about the texts, and its step is shorter by as much.
+    """
     state, seen = np.zeros((lanes, HIDDEN), np.float32), 0
     parameters = network.parameters()
     first, second = [np.zeros_like(p) for p in parameters], [np.zeros_like(p) for p in parameters]
@@ -369,7 +402,7 @@ def train_shard(network: Network, texts: Iterator[np.ndarray], lanes: int) -> in
             np.sqrt(v, out=s)
             s += 1e-6 * by_second ** 0.5
             np.divide(m, s, out=s)
-            s *= RATE / by_first * by_second ** 0.5
+            s *= RATE * len(live) / lanes / by_first * by_second ** 0.5
             p -= s
     return seen
 
@@ -397,10 +430,11 @@ def fit(docs: DataFrame, known: Vocabulary, seed: int = 9) -> Network:
     shards = max(1, -(-known.tokens // (ROUNDS * SHARD_TOKENS)))
 
     def numbers(batches):
+        _keep_memory()
         for whole in batches:
             for batch in text_slices(whole, "text"):
                 hashes, first = _hashes(text_of(batch, "text"))
-                number = vocabulary_everywhere.value.numbers(hashes)[0].astype(np.int16)
+                number = vocabulary_everywhere.value.numbers(hashes)
                 rows = [number[low:high].tobytes() for low, high in zip(first[:-1], first[1:] - 1)]
                 yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(rows, pa.binary())], ["draw", "numbers"])
 
@@ -414,9 +448,11 @@ def fit(docs: DataFrame, known: Vocabulary, seed: int = 9) -> Network:
         weights = spark.sparkContext.broadcast(network.packed())
 
         def train(rows: pa.Table) -> pa.Table:
+            _keep_memory()
             rows = rows.sort_by([("draw", "ascending"), ("numbers", "ascending")])
             own = Network(vocabulary_everywhere.value).load(weights.value)
-            texts = (np.frombuffer(row.as_py(), np.int16).astype(np.int64) for row in rows["numbers"])
+            order = lane_order(pc.binary_length(rows["numbers"]).to_numpy() // 2 + 1, LANES)
+            texts = (np.frombuffer(row.as_py(), np.int16).astype(np.int64) for row in rows["numbers"].take(pa.array(order)))
             seen = train_shard(own, texts, LANES)
             raw = own.packed()
             pieces = [raw[at:at + 4 * PIECE] for at in range(0, len(raw), 4 * PIECE)]
@@ -481,6 +517,7 @@ def _parts(docs: DataFrame, known: Vocabulary, network: Network) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast((known, network))
 
     def work(batches):
+        _keep_memory()
         held_counts, model = shared.value
         names = [part.split()[0] for part in PARTS.split(", ")[:9]] + ["rare"]
         waiting, numbers, firsts, size = [], [], [], 0
@@ -495,7 +532,7 @@ def _parts(docs: DataFrame, known: Vocabulary, network: Network) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*columns[:-1], network_scores, columns[-1]], names)
 
         for whole in batches:
-            for batch in text_slices(whole, "text", SLICE_BYTES):
+            for batch in text_slices(whole, "text"):
                 hashes, first = _hashes(text_of(batch, "text"))
                 texts, length = batch.num_rows, np.diff(first)
                 row = np.repeat(np.arange(texts), length)
@@ -518,7 +555,7 @@ def _parts(docs: DataFrame, known: Vocabulary, network: Network) -> DataFrame:
                 waiting.append([
                     batch.column(0), batch.column(1), batch.column(2), pa.array(length), count(n > 0), count(other),
                     pa.array(np.bincount(row, logs, texts)), pa.array(np.bincount(row, np.where(other, logs, 0), texts)), rare])
-                numbers.append(number.astype(np.int16))
+                numbers.append(number)
                 firsts.append(first + size)
                 size += len(number)
                 if size >= GROUP_TOKENS:
