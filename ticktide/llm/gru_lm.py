@@ -241,9 +241,9 @@ class Network:
 
     def _advance(self, x, state, gates, inner, again, after) -> None:
         """One step of the gated unit; gates, the proposed state, its recurrent part and the new state go into arrays."""
-        u = state @ self.again
-        again[:] = u[:, 2 * HIDDEN:]
-        np.add(x[:, :2 * HIDDEN], u[:, :2 * HIDDEN], out=gates)
+        np.matmul(state, self.again[:, :2 * HIDDEN], out=gates)
+        np.matmul(state, self.again[:, 2 * HIDDEN:], out=again)
+        gates += x[:, :2 * HIDDEN]
         np.negative(gates, out=gates)
         np.exp(gates, out=gates)
         gates += 1
